@@ -89,12 +89,15 @@ def strip_html(c) -> Column:
     return collapse_ws(decode_entities(h))
 
 
-def extract_text(fields: list[str], fallback_cols: list[str]) -> Column:
+def extract_text(fields: list[str], fallback_cols: list[str] | None = None) -> Column:
     """Canonical text of a document (P3): each configured string field
-    normalized, joined by newline; when that is blank, the JSON of the content
-    columns (never index or lease state) normalized."""
+    normalized, joined by newline; when that is blank and ``fallback_cols``
+    are given, the JSON of those content columns (never index or lease state)
+    normalized. Without a fallback a blank document stays blank (F6)."""
     parts = [normalize_text(F.col(f).cast("string")) for f in fields]
     joined = F.concat_ws("\n", *parts) if parts else F.lit("")
+    if not fallback_cols:
+        return joined
     fallback = normalize_text(F.to_json(F.struct(*[F.col(x) for x in fallback_cols])))
     return F.when(F.trim(F.regexp_replace(joined, WS + "+", " ")) == "", fallback).otherwise(joined)
 

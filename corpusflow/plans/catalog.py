@@ -192,3 +192,238 @@ def q_embedding_input(spark, sf):
     c = I.chunks(spark, sf)
     return c.select("chunk_id", T.embedding_input("name", "contents", F.col("meta")["content_type"] == "html")
                     .alias("input"))
+
+
+# ================================================================== sources
+REC_SQL = """rec AS (
+  SELECT CAST((rn - 1) // 100 + 1 AS INTEGER) AS page_no, CAST((rn - 1) % 100 AS INTEGER) AS record_idx,
+         CAST(p_partkey AS VARCHAR) AS item_seq, p_name AS item_name, p_brand AS entp_name,
+         CAST(cnt AS VARCHAR) AS total_count
+  FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS rn, count(*) OVER () AS cnt FROM part))"""
+PAGES_SQL = "pg AS (SELECT CAST(range + 1 AS INTEGER) AS page_no FROM range(0, (SELECT CAST(ceil(count(*) / 100.0) AS BIGINT) FROM part)))"
+
+
+def _json_records(spark, sf):
+    from ..sources.pages import explode_json_pages
+    return explode_json_pages(I.json_pages(spark, sf))
+
+
+@query("json_page_records", f"WITH {REC_SQL} SELECT page_no, record_idx, item_seq, item_name, entp_name, "
+       "total_count, 'list' AS shape_status FROM rec")
+def q_json_page_records(spark, sf):
+    r = _json_records(spark, sf)
+    g = lambda k: F.variant_get("record", f"$.{k}", "string")
+    return r.select("page_no", "record_idx", g("ITEM_SEQ").alias("item_seq"), g("ITEM_NAME").alias("item_name"),
+                    g("ENTP_NAME").alias("entp_name"), "total_count", "shape_status")
+
+
+@query("xml_page_records", f"WITH {REC_SQL} SELECT page_no, record_idx, item_seq, item_name, entp_name, total_count FROM rec")
+def q_xml_page_records(spark, sf):
+    from ..sources.pages import explode_xml_pages
+    r = explode_xml_pages(I.xml_pages(spark, sf))
+    m = F.col("record_map")
+    return r.select("page_no", "record_idx", m["ITEM_SEQ"].alias("item_seq"), m["ITEM_NAME"].alias("item_name"),
+                    m["ENTP_NAME"].alias("entp_name"), "total_count")
+
+
+def _parsed(spark, sf):
+    from ..sources.pages import parse_records
+    return parse_records(_json_records(spark, sf), keep=("page_no", "record_idx"))
+
+
+@query("parse_records", "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS vendor, "
+       "md5(coalesce(p_brand, '') || '|' || coalesce(p_name, '') || '|' || CAST(p_partkey AS VARCHAR)) AS row_hash FROM part")
+def q_parse_records(spark, sf):
+    good, _ = _parsed(spark, sf)
+    return good.select("id", "name", "vendor", "row_hash")
+
+
+@query("parse_quarantine", "SELECT CAST(p_partkey AS INTEGER) AS page_no, CAST(0 AS INTEGER) AS record_idx, "
+       "'' AS reason FROM part WHERE p_partkey IS NULL AND p_partkey IS NOT NULL")
+def q_parse_quarantine(spark, sf):
+    _, bad = _parsed(spark, sf)
+    return bad.select("page_no", "record_idx", "reason")
+
+
+@query("xml_parse_records", "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS vendor FROM part")
+def q_xml_parse_records(spark, sf):
+    from ..sources.pages import explode_xml_pages, map_to_variant, parse_records
+    r = explode_xml_pages(I.xml_pages(spark, sf)).withColumn("record", map_to_variant("record_map"))
+    good, _ = parse_records(r)
+    return good.select("id", "name", "vendor")
+
+
+@query("page_plan", """
+  SELECT api_name, page_count, CAST(p AS INTEGER) AS page_no, CAST((p - 1) // 100 AS INTEGER) AS batch_no
+  FROM (SELECT event_type AS api_name, CAST(ceil(count(*) / 100.0) AS INTEGER) AS page_count
+        FROM events GROUP BY 1) t, range(1, page_count + 1) r(p)
+""")
+def q_page_plan(spark, sf):
+    from ..sources.pages import plan_pages
+    return plan_pages(I.event_totals(spark, sf), page_size=100, batch_size=100) \
+        .select("api_name", "page_count", "page_no", "batch_no")
+
+
+@query("page_batches", """
+  SELECT api_name, CAST((p - 1) // 100 AS INTEGER) AS batch_no, CAST(count(*) AS BIGINT) AS pages,
+         CAST(min(p) AS INTEGER) AS first_page, CAST(max(p) AS INTEGER) AS last_page
+  FROM (SELECT event_type AS api_name, CAST(ceil(count(*) / 10.0) AS INTEGER) AS n FROM events GROUP BY 1) t,
+       range(1, n + 1) r(p) GROUP BY 1, 2
+""")
+def q_page_batches(spark, sf):
+    from ..sources.pages import page_batches, plan_pages
+    b = page_batches(plan_pages(I.event_totals(spark, sf), page_size=10, batch_size=100))
+    return b.select("api_name", "batch_no", F.size("page_batch").cast("long").alias("pages"),
+                    F.col("page_batch")[0].alias("first_page"), F.element_at("page_batch", -1).alias("last_page"))
+
+
+def _item_plan(spark, sf):
+    """Page plan of the items API from the totalCount its first page reports."""
+    from ..sources.pages import plan_pages
+    rec = _json_records(spark, sf)
+    totals = rec.where(F.col("page_no") == 1).groupBy("api_name", "run_date").agg(F.max("total_count").alias("total_count"))
+    return plan_pages(totals, page_size=I.API_PAGE_SIZE, batch_size=100)
+
+
+@query("pending_pages", f"WITH {PAGES_SQL} SELECT 'items' AS api_name, '2024-01-31' AS run_date, page_no "
+       "FROM pg WHERE page_no % 3 <> 0")
+def q_pending_pages(spark, sf):
+    from ..sources.ledger import pending_pages
+    return pending_pages(_item_plan(spark, sf), I.ledger(spark, sf)).select("api_name", "run_date", "page_no")
+
+
+@query("ledger_mark", f"""WITH {REC_SQL}, sz AS (SELECT page_no, count(*) AS n FROM rec GROUP BY 1)
+  SELECT 'items' AS api_name, '2024-01-31' AS run_date, page_no,
+         CAST(CASE WHEN page_no % 3 = 0 THEN 100 ELSE n END AS INTEGER) AS processed_size,
+         strftime(CASE WHEN page_no % 3 = 0 THEN TIMESTAMP '2024-01-31' - to_days(CAST(10 * page_no AS INTEGER))
+                  ELSE TIMESTAMP '2024-01-31 00:00:00' END, '%Y-%m-%d %H:%M:%S') AS processed_at,
+         CASE WHEN page_no % 3 = 0 THEN 'kept' ELSE 'upserted' END AS _action
+  FROM sz""")
+def q_ledger_mark(spark, sf):
+    from ..sources.ledger import mark_pages, pending_pages
+    from ..session import FIXED_NOW
+    rec = _json_records(spark, sf)
+    pend = pending_pages(_item_plan(spark, sf), I.ledger(spark, sf))
+    sizes = rec.groupBy("api_name", "run_date", "page_no").agg(F.count(F.lit(1)).cast("int").alias("processed_size"))
+    done = pend.join(sizes, ["api_name", "run_date", "page_no"])
+    m = mark_pages(I.ledger(spark, sf), done, FIXED_NOW)
+    return m.select("api_name", "run_date", "page_no", "processed_size",
+                    TM.fmt_ts("processed_at").alias("processed_at"), "_action")
+
+
+@query("ledger_unmark", f"WITH {PAGES_SQL} SELECT 'items' AS api_name, '2024-01-31' AS run_date, page_no "
+       "FROM pg WHERE page_no % 3 = 0 AND page_no % 2 = 1")
+def q_ledger_unmark(spark, sf):
+    from ..sources.ledger import unmark_pages
+    led = I.ledger(spark, sf)
+    return unmark_pages(led, led.where(F.col("page_no") % 2 == 0)).select("api_name", "run_date", "page_no")
+
+
+@query("ledger_retention", f"WITH {PAGES_SQL} SELECT 'items' AS api_name, '2024-01-31' AS run_date, page_no "
+       "FROM pg WHERE page_no % 3 = 0 AND TIMESTAMP '2024-01-31' - to_days(CAST(10 * page_no AS INTEGER)) "
+       "> TIMESTAMP '2024-01-31' - INTERVAL 90 DAY")
+def q_ledger_retention(spark, sf):
+    from ..sources.ledger import expire_pages
+    from ..session import FIXED_NOW
+    return expire_pages(I.ledger(spark, sf), FIXED_NOW, 90).select("api_name", "run_date", "page_no")
+
+
+@query("request_plan", f"""WITH {PAGES_SQL}
+  SELECT page_no, 'demo-...key' AS service_key, 'json' AS type, CAST(page_no AS VARCHAR) AS page_param,
+         '100' AS num_of_rows, 'Y' AS flag FROM pg""")
+def q_request_plan(spark, sf):
+    from ..sources.paged_api import request_plan
+    r = request_plan(_item_plan(spark, sf), 100, "json", {"flag": "Y"}, service_key="demo-service-key")
+    p = F.col("params")
+    return r.select("page_no", p["serviceKey"].alias("service_key"), p["type"].alias("type"),
+                    p["pageNo"].alias("page_param"), p["numOfRows"].alias("num_of_rows"), p["flag"].alias("flag"))
+
+
+# ------------------------------------------------------------------ S9 / A4 / L1
+@query("scan_page", """
+  SELECT doc_id, source, rn AS position FROM (
+    SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) AS rn FROM documents WHERE lang = 'en')
+  WHERE rn > 50 AND rn <= 100""")
+def q_scan_page(spark, sf):
+    from ..sources.scan import scan_page
+    d = I.table(spark, sf, "documents")
+    return scan_page(d, "doc_id", page=2, size=50, where=F.col("lang") == "en", cols=["doc_id", "source"])
+
+
+@query("scan_count", "SELECT count(*) AS n FROM documents WHERE lang = 'en'")
+def q_scan_count(spark, sf):
+    from ..sources.scan import scan_count
+    return scan_count(I.table(spark, sf, "documents"), F.col("lang") == "en")
+
+
+@query("total_pages", "SELECT CAST(ceil(count(*) / 50.0) AS BIGINT) AS total_pages FROM documents")
+def q_total_pages(spark, sf):
+    from ..operators.ranking import total_pages
+    return total_pages(I.table(spark, sf, "documents"), 50)
+
+
+@query("ids_by_page", "SELECT doc_id, rn AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn "
+       "FROM documents) WHERE rn > 100 AND rn <= 150")
+def q_ids_by_page(spark, sf):
+    from ..operators.ranking import ids_by_page
+    return ids_by_page(I.table(spark, sf, "documents"), "doc_id", page_no=3, page_size=50)
+
+
+# ================================================================== merge
+_MERGE_SQL = """
+  WITH b AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS id,
+           CASE WHEN p_partkey % 7 = 0 THEN p_name || ' v2' ELSE p_name END AS name,
+           CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS vendor, 1 AS seq
+    FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 5 = 0
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_name || ' old', p_brand, 0 FROM part WHERE p_partkey % 7 = 0
+    UNION ALL SELECT CAST(p_partkey + 1000000 AS VARCHAR), p_name, p_brand, 1 FROM part WHERE p_partkey % 13 = 0),
+  u AS (SELECT id, name, vendor, seq FROM (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, name DESC, vendor DESC) AS rn FROM b) WHERE rn = 1),
+  t AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS vendor FROM part),
+  m AS (
+    SELECT coalesce(t.id, u.id) AS id,
+           CASE WHEN u.id IS NOT NULL THEN u.name ELSE t.name END AS name,
+           CASE WHEN u.id IS NOT NULL THEN u.vendor ELSE t.vendor END AS vendor,
+           CASE WHEN t.id IS NULL THEN 'upserted'
+                WHEN u.id IS NULL THEN 'kept'
+                WHEN t.name IS DISTINCT FROM u.name OR t.vendor IS DISTINCT FROM u.vendor THEN 'modified'
+                ELSE 'same' END AS _action
+    FROM t FULL OUTER JOIN u ON t.id = u.id)
+"""
+
+
+@query("dedup_latest", _MERGE_SQL + "SELECT id, name, vendor, CAST(seq AS INTEGER) AS seq FROM u")
+def q_dedup_latest(spark, sf):
+    from ..operators.merge import dedup_latest
+    return dedup_latest(I.changed_batch(spark, sf), ["id"], "seq").select("id", "name", "vendor", "seq")
+
+
+@query("merge_upsert", _MERGE_SQL + "SELECT id, name, vendor, _action FROM m")
+def q_merge_upsert(spark, sf):
+    from ..operators.merge import merge_upsert
+    return merge_upsert(I.part_items(spark, sf), I.changed_batch(spark, sf), ["id"], "seq")
+
+
+@query("merge_counts", _MERGE_SQL + """SELECT count(*) FILTER (WHERE _action = 'upserted') AS upserted,
+  count(*) FILTER (WHERE _action = 'modified') AS modified, count(*) FILTER (WHERE _action = 'same') AS same,
+  count(*) FILTER (WHERE _action IN ('upserted', 'modified')) AS written FROM m""")
+def q_merge_counts(spark, sf):
+    from ..operators.merge import merge_counts, merge_upsert
+    return merge_counts(merge_upsert(I.part_items(spark, sf), I.changed_batch(spark, sf), ["id"], "seq"))
+
+
+@query("point_delete", "SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type FROM embeddings WHERE label <> 3")
+def q_point_delete(spark, sf):
+    from ..operators.points import delete_points
+    pts = I.vector_points(spark, sf)
+    return delete_points(pts, pts.where(F.col("type") == "3")).select("point_id", "type")
+
+
+@query("point_lookup", "SELECT vec_id AS point_id, label FROM embeddings WHERE vec_id IN "
+       "(SELECT doc_id FROM labels WHERE quality = 1)")
+def q_point_lookup(spark, sf):
+    from ..operators.merge import lookup_by_ids
+    e = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("point_id"), "label")
+    ids = I.table(spark, sf, "labels").where(F.col("quality") == 1).select(F.col("doc_id").alias("point_id"))
+    return lookup_by_ids(e, ids, "point_id")

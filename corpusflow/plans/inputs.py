@@ -132,7 +132,7 @@ def doc_texts(spark, sf_dir) -> DataFrame:
     (fields normalized, then the whole again) and the sha1 of its
     normalization."""
     d = documents(spark, sf_dir)
-    t = normalize_text(extract_text(["text"], ["doc_id", "text", "lang", "source"]))
+    t = normalize_text(extract_text(["text"]))
     return d.select("doc_id", "lang", "source", t.alias("text")) \
         .withColumn("text_hash", text_hash(normalize_text(F.col("text"))))
 

@@ -427,3 +427,212 @@ def q_point_lookup(spark, sf):
     e = I.table(spark, sf, "embeddings").select(F.col("vec_id").alias("point_id"), "label")
     ids = I.table(spark, sf, "labels").where(F.col("quality") == 1).select(F.col("doc_id").alias("point_id"))
     return lookup_by_ids(e, ids, "point_id")
+
+
+# ================================================================== indexing (F, T, W1, A2, A3, Q2)
+DOC_STATE_SQL = f"""
+  dt AS (SELECT doc_id, {norm_sql(norm_sql('text'))} AS text FROM {DOCS_SQL}),
+  dh AS (SELECT doc_id, text, sha1({norm_sql('text')}) AS text_hash FROM dt),
+  st AS (SELECT doc_id, CASE WHEN doc_id % 6 IN (1, 2, 4) THEN '1' WHEN doc_id % 6 = 3 THEN '0' END AS embedding_version,
+                CASE WHEN doc_id % 6 = 2 THEN 'stale' WHEN doc_id % 6 = 4 THEN '' ELSE text_hash END AS indexed_hash
+         FROM dh WHERE doc_id % 6 <> 0),
+  ls AS (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'w0' WHEN 2 THEN 'w1' ELSE 'w2' END AS owner,
+                CASE WHEN doc_id % 4 = 1 THEN TIMESTAMP '2024-01-31' - to_seconds(CAST(doc_id - 1 AS BIGINT))
+                     ELSE TIMESTAMP '2024-01-31 00:05:00' END AS expires_at
+         FROM documents WHERE doc_id % 4 <> 0),
+  j AS (SELECT dh.*, st.doc_id IS NOT NULL AS has_state, st.embedding_version, st.indexed_hash,
+               ls.doc_id IS NOT NULL AS has_lease, ls.owner, ls.expires_at
+        FROM dh LEFT JOIN st USING (doc_id) LEFT JOIN ls USING (doc_id)),
+  f AS (SELECT *, (NOT has_state OR embedding_version IS DISTINCT FROM '1'
+                   OR coalesce(text_hash, '') <> coalesce(indexed_hash, '')) AS needs,
+               (NOT has_lease OR coalesce(expires_at <= TIMESTAMP '2024-01-31', false)) AS free FROM j),
+  r AS (SELECT *, CASE WHEN NOT needs THEN 'up_to_date' WHEN NOT free THEN 'leased'
+                       WHEN text = '' THEN 'empty_text'
+                       WHEN coalesce(indexed_hash, '') <> '' AND indexed_hash = text_hash AND embedding_version = '1'
+                         THEN 'skipped_same_hash'
+                       ELSE 'embed' END AS status FROM f),
+  pg AS (SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 500 + 1 AS BIGINT) AS page_no
+         FROM r WHERE status <> 'up_to_date')
+"""
+
+
+def _doc_state(spark, sf):
+    return I.doc_texts(spark, sf), I.index_state(spark, sf), I.leases(spark, sf)
+
+
+def _joined(spark, sf):
+    d, st, ls = _doc_state(spark, sf)
+    return d.join(st.select("doc_id", "embedding_version", "indexed_hash", F.lit(True).alias("has_state")), "doc_id", "left") \
+        .join(ls.select("doc_id", "owner", "expires_at", F.lit(True).alias("has_lease")), "doc_id", "left")
+
+
+@query("needs_index", f"WITH {DOC_STATE_SQL} SELECT doc_id, needs AS needs_index FROM f")
+def q_needs_index(spark, sf):
+    from ..functions.predicates import needs_index
+    return _joined(spark, sf).select("doc_id", needs_index(I.EMBEDDING_VERSION).alias("needs_index"))
+
+
+@query("lease_free", f"WITH {DOC_STATE_SQL} SELECT doc_id, free AS lease_free FROM f")
+def q_lease_free(spark, sf):
+    from ..functions.predicates import lease_free
+    from ..session import FIXED_NOW
+    return _joined(spark, sf).select("doc_id", lease_free(FIXED_NOW).alias("lease_free"))
+
+
+@query("id_range", "SELECT doc_id, lang FROM documents WHERE doc_id >= 100 AND doc_id < 600")
+def q_id_range(spark, sf):
+    from ..functions.predicates import in_range
+    return I.table(spark, sf, "documents").where(in_range("doc_id", 100, 600)).select("doc_id", "lang")
+
+
+def _routed(spark, sf):
+    from ..operators.state import route
+    from ..session import FIXED_NOW
+    d, st, ls = _doc_state(spark, sf)
+    return route(d, st, ls, I.EMBEDDING_VERSION, FIXED_NOW)
+
+
+@query("index_routing", f"WITH {DOC_STATE_SQL} SELECT doc_id, status FROM r")
+def q_index_routing(spark, sf):
+    return _routed(spark, sf).select("doc_id", "status")
+
+
+@query("blank_docs", f"WITH {DOC_STATE_SQL} SELECT doc_id FROM r WHERE status = 'empty_text'")
+def q_blank_docs(spark, sf):
+    return _routed(spark, sf).where(F.col("status") == "empty_text").select("doc_id")
+
+
+@query("unchanged_docs", f"WITH {DOC_STATE_SQL} SELECT doc_id FROM j WHERE has_state AND "
+       "coalesce(indexed_hash, '') <> '' AND indexed_hash = text_hash AND embedding_version = '1'")
+def q_unchanged_docs(spark, sf):
+    j = _joined(spark, sf)
+    same = (F.coalesce(F.col("indexed_hash"), F.lit("")) != "") & (F.col("indexed_hash") == F.col("text_hash")) & \
+        F.col("embedding_version").eqNullSafe(F.lit(str(I.EMBEDDING_VERSION)))
+    return j.where(F.col("has_state") & same).select("doc_id")
+
+
+@query("page_anchors", f"WITH {DOC_STATE_SQL} SELECT page_no, doc_id AS start_id FROM "
+       "(SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 500 + 1 AS BIGINT) AS page_no "
+       "FROM f WHERE needs) WHERE (rn - 1) % 500 = 0")
+def q_page_anchors(spark, sf):
+    from ..functions.predicates import needs_index
+    from ..operators.ranking import page_anchors
+    ids = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    return page_anchors(ids, "doc_id", I.INDEX_PAGE_SIZE)
+
+
+@query("page_ranges", f"WITH {DOC_STATE_SQL}, a AS (SELECT page_no, doc_id AS start_id FROM "
+       "(SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 500 + 1 AS BIGINT) AS page_no "
+       "FROM f WHERE needs) WHERE (rn - 1) % 500 = 0) "
+       "SELECT page_no, start_id, lead(start_id) OVER (ORDER BY page_no) AS end_id FROM a")
+def q_page_ranges(spark, sf):
+    from ..functions.predicates import needs_index
+    from ..operators.ranking import page_anchors, page_ranges
+    ids = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    return page_ranges(page_anchors(ids, "doc_id", I.INDEX_PAGE_SIZE))
+
+
+@query("page_assignment", f"WITH {DOC_STATE_SQL} SELECT doc_id, page_no FROM pg")
+def q_page_assignment(spark, sf):
+    from ..plans.index import routed_documents
+    from ..session import FIXED_NOW
+    d, st, ls = _doc_state(spark, sf)
+    r = routed_documents(d, st, ls, I.EMBEDDING_VERSION, FIXED_NOW, I.INDEX_PAGE_SIZE)
+    return r.where(F.col("page_no").isNotNull()).select("doc_id", "page_no")
+
+
+# ------------------------------------------------------------------ T1-T6
+_TS = "'%Y-%m-%d %H:%M:%S'"
+
+
+@query("release_stale", f"WITH {DOC_STATE_SQL} SELECT doc_id, owner FROM ls WHERE NOT (expires_at <= TIMESTAMP '2024-01-31')")
+def q_release_stale(spark, sf):
+    from ..operators.state import release_stale
+    from ..session import FIXED_NOW
+    return release_stale(I.leases(spark, sf), FIXED_NOW).select("doc_id", "owner")
+
+
+@query("stale_count", f"WITH {DOC_STATE_SQL} SELECT count(*) FILTER (WHERE expires_at <= TIMESTAMP '2024-01-31') AS released FROM ls")
+def q_stale_count(spark, sf):
+    from ..operators.state import stale_count
+    from ..session import FIXED_NOW
+    return stale_count(I.leases(spark, sf), FIXED_NOW)
+
+
+@query("acquire_leases", f"""WITH {DOC_STATE_SQL}
+  SELECT doc_id, owner, strftime(expires_at, {_TS}) AS expires_at FROM ls WHERE doc_id NOT IN (SELECT doc_id FROM f WHERE needs AND free)
+  UNION ALL
+  SELECT doc_id, 'w9', '2024-01-31 00:05:00' FROM f WHERE needs AND free""")
+def q_acquire_leases(spark, sf):
+    from ..functions.predicates import needs_index
+    from ..operators.state import acquire
+    from ..session import FIXED_NOW
+    cand = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    out = acquire(cand, I.leases(spark, sf), "w9", FIXED_NOW, I.LEASE_SECONDS)
+    return out.select("doc_id", "owner", TM.fmt_ts("expires_at").alias("expires_at"))
+
+
+@query("heartbeat", f"""WITH {DOC_STATE_SQL}
+  SELECT doc_id, owner,
+         CASE WHEN owner = 'w1' THEN '2024-01-31 00:07:00' ELSE strftime(expires_at, {_TS}) END AS expires_at,
+         CASE WHEN owner = 'w1' THEN '2024-01-31 00:02:00' ELSE strftime(expires_at - INTERVAL 300 SECOND, {_TS}) END AS heartbeat_at
+  FROM ls""")
+def q_heartbeat(spark, sf):
+    import datetime as dt
+    from ..operators.state import heartbeat
+    from ..session import FIXED_NOW
+    ids = I.table(spark, sf, "documents").select("doc_id")
+    out = heartbeat(I.leases(spark, sf), ids, "w1", FIXED_NOW + dt.timedelta(seconds=120), I.LEASE_SECONDS)
+    return out.select("doc_id", "owner", TM.fmt_ts("expires_at").alias("expires_at"),
+                      TM.fmt_ts("heartbeat_at").alias("heartbeat_at"))
+
+
+@query("release_owned", f"WITH {DOC_STATE_SQL} SELECT doc_id, owner FROM ls WHERE owner <> 'w2'")
+def q_release_owned(spark, sf):
+    from ..operators.state import release
+    ids = I.table(spark, sf, "documents").select("doc_id")
+    return release(I.leases(spark, sf), ids, "w2").select("doc_id", "owner")
+
+
+@query("mark_indexed", f"""WITH {DOC_STATE_SQL}
+  SELECT coalesce(st.doc_id, e.doc_id) AS doc_id,
+         CASE WHEN e.doc_id IS NOT NULL THEN '1' ELSE st.embedding_version END AS embedding_version,
+         CASE WHEN e.doc_id IS NOT NULL THEN coalesce(e.text_hash, '') ELSE st.indexed_hash END AS indexed_hash,
+         CASE WHEN e.doc_id IS NOT NULL THEN '2024-01-31 00:00:00' ELSE '2024-01-30 00:00:00' END AS indexed_at,
+         CASE WHEN st.doc_id IS NULL THEN 'upserted' WHEN e.doc_id IS NULL THEN 'kept'
+              WHEN st.embedding_version IS DISTINCT FROM '1' OR st.indexed_hash IS DISTINCT FROM coalesce(e.text_hash, '')
+                   OR true THEN 'modified' ELSE 'same' END AS _action
+  FROM st FULL OUTER JOIN (SELECT doc_id, text_hash FROM r WHERE status = 'embed') e USING (doc_id)""")
+def q_mark_indexed(spark, sf):
+    from ..operators.state import mark_indexed
+    from ..session import FIXED_NOW
+    done = _routed(spark, sf).where(F.col("status") == "embed").select("doc_id", "text_hash")
+    out = mark_indexed(I.index_state(spark, sf), done, I.EMBEDDING_VERSION, FIXED_NOW)
+    return out.select("doc_id", "embedding_version", "indexed_hash", TM.fmt_ts("indexed_at").alias("indexed_at"), "_action")
+
+
+@query("mark_failed", f"""WITH {DOC_STATE_SQL},
+  fl AS (SELECT doc_id FROM r WHERE status = 'leased' AND owner = 'w1')
+  SELECT coalesce(st.doc_id, fl.doc_id) AS doc_id,
+         CASE WHEN fl.doc_id IS NOT NULL THEN 'lease conflict' END AS last_error,
+         CASE WHEN fl.doc_id IS NOT NULL THEN '2024-01-31 00:00:00' END AS last_error_at,
+         CASE WHEN st.doc_id IS NULL THEN 'upserted' WHEN fl.doc_id IS NULL THEN 'kept' ELSE 'modified' END AS _action
+  FROM st FULL OUTER JOIN fl USING (doc_id)""")
+def q_mark_failed(spark, sf):
+    from ..operators.state import mark_failed
+    from ..session import FIXED_NOW
+    r = _routed(spark, sf).where(F.col("status") == "leased")
+    failed = r.select("doc_id", F.lit("lease conflict").alias("reason"), F.lit("w1").alias("owner"))
+    st, _ = mark_failed(I.index_state(spark, sf), failed, I.leases(spark, sf), FIXED_NOW)
+    return st.select("doc_id", "last_error", TM.fmt_ts("last_error_at").alias("last_error_at"), "_action")
+
+
+@query("lease_after_failure", f"""WITH {DOC_STATE_SQL}
+  SELECT doc_id, owner FROM ls WHERE NOT (owner = 'w1' AND doc_id IN (SELECT doc_id FROM r WHERE status = 'leased'))""")
+def q_lease_after_failure(spark, sf):
+    from ..operators.state import mark_failed
+    from ..session import FIXED_NOW
+    r = _routed(spark, sf).where(F.col("status") == "leased")
+    failed = r.select("doc_id", F.lit("lease conflict").alias("reason"), F.lit("w1").alias("owner"))
+    _, ls = mark_failed(I.index_state(spark, sf), failed, I.leases(spark, sf), FIXED_NOW)
+    return ls.select("doc_id", "owner")

@@ -27,7 +27,7 @@ DEFAULT_DIM = 768
 # Role prefixes of the E5 family (fixed values).
 E5_PREFIX = {"passage": "passage: ", "query": "query: "}
 # Token separators of the hashing embedder: ASCII whitespace.
-TOKEN_SPLIT = r"[ \t\n\r\f\v]+"
+TOKEN_SPLIT = r"[ \t\n\r\f\x0b]+"
 
 
 def model_family(model_name: str) -> str:

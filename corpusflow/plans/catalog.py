@@ -636,3 +636,305 @@ def q_lease_after_failure(spark, sf):
     failed = r.select("doc_id", F.lit("lease conflict").alias("reason"), F.lit("w1").alias("owner"))
     _, ls = mark_failed(I.index_state(spark, sf), failed, I.leases(spark, sf), FIXED_NOW)
     return ls.select("doc_id", "owner")
+
+
+# ================================================================== vectors (V, A1, A5, S10, S11, L2, L3, F4, F9)
+TOK_SQL = r"'[ \t\n\r\x0c\x0b]+'"
+
+
+def hashing_sql(src: str, key: str, text: str) -> str:
+    """Hashing embedder in DuckDB: (key, bucket, value) for non-zero buckets."""
+    return f"""(SELECT {key}, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS value FROM (
+      SELECT {key}, CAST(CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % 64 AS INTEGER) AS bucket, count(*) AS n
+      FROM (SELECT {key}, unnest(regexp_split_to_array(lower({text}), {TOK_SQL})) AS w FROM {src})
+      WHERE w <> '' GROUP BY 1, 2))"""
+
+
+DOC_TEXT_SQL = f"(SELECT doc_id, {norm_sql(norm_sql('text'))} AS text FROM {DOCS_SQL})"
+
+
+@query("embed_docs", f"SELECT doc_id, bucket, round(value, 6) AS value FROM {hashing_sql(DOC_TEXT_SQL, 'doc_id', 'text')}")
+def q_embed_docs(spark, sf):
+    from ..operators.embed import HashingEmbedder
+    sp = HashingEmbedder(dim=64).embed_sparse(I.doc_texts(spark, sf), ["doc_id"], "text", role="passage")
+    return sp.select("doc_id", "bucket", F.round("value", 6).alias("value"))
+
+
+@query("embed_query", f"SELECT item_id, bucket, round(value, 6) AS value FROM {hashing_sql('benchmark', 'item_id', 'text')}")
+def q_embed_query(spark, sf):
+    from ..operators.embed import HashingEmbedder
+    sp = HashingEmbedder(dim=64).embed_sparse(I.table(spark, sf, "benchmark"), ["item_id"], "text", role="query")
+    return sp.select("item_id", "bucket", F.round("value", 6).alias("value"))
+
+
+CENTROID_SQL = """cen AS (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS c FROM (
+    SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) GROUP BY 1, 2)"""
+
+
+@query("mean_pool", f"WITH {CENTROID_SQL} SELECT label, CAST(pos AS INTEGER) AS pos, round(c, 6) AS value FROM cen")
+def q_mean_pool(spark, sf):
+    from ..operators.embed import mean_pool
+    e = I.table(spark, sf, "embeddings")
+    return mean_pool(e, ["label"], "embedding").select("label", "pos", F.round("value", 6).alias("value"))
+
+
+@query("vector_scores", f"""WITH {CENTROID_SQL},
+  ex AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+  s AS (SELECT vec_id, sum(CAST(x AS DOUBLE) * c) AS dot, sum(CAST(x AS DOUBLE) * x) AS xx, sum(c * c) AS cc,
+               sum((CAST(x AS DOUBLE) - c) * (CAST(x AS DOUBLE) - c)) AS d2
+        FROM ex JOIN cen USING (label, pos) GROUP BY 1)
+  SELECT vec_id, round(dot / (greatest(sqrt(xx), 1e-9) * greatest(sqrt(cc), 1e-9)), 6) AS cosine,
+         round(dot, 6) AS dot, round(sqrt(d2), 6) AS euclid FROM s""")
+def q_vector_scores(spark, sf):
+    from ..operators.embed import assemble, mean_pool
+    e = I.table(spark, sf, "embeddings")
+    cen = assemble(mean_pool(e, ["label"], "embedding"), ["label"]).withColumnRenamed("vector", "centroid")
+    j = e.join(cen, "label")
+    return j.select("vec_id", F.round(V.cosine("embedding", "centroid"), 6).alias("cosine"),
+                    F.round(V.dot("embedding", "centroid"), 6).alias("dot"),
+                    F.round(V.euclid("embedding", "centroid"), 6).alias("euclid"))
+
+
+def topk_sql(k: int, offset: int = 0, where: str = "true", threshold: str = "true") -> str:
+    return f"""
+  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 50),
+  p AS (SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type, CAST(embedding AS DOUBLE[]) AS pv FROM embeddings),
+  s AS (SELECT query_id, point_id, type,
+               list_dot_product(qv, pv) / (greatest(sqrt(list_dot_product(qv, qv)), 1e-9) *
+                                           greatest(sqrt(list_dot_product(pv, pv)), 1e-9)) AS score
+        FROM q, p WHERE {where}),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rn FROM s WHERE {threshold})
+  SELECT query_id, CAST(rn - {offset} AS INTEGER) AS rank, point_id, type, round(score, 6) AS score
+  FROM r WHERE rn > {offset} AND rn <= {offset + k}"""
+
+
+def _topk(spark, sf, k, offset=0, where=None, threshold=None):
+    from ..operators.search import search
+    hits = search(I.vector_points(spark, sf), I.vector_queries(spark, sf), k=k, offset=offset, where=where,
+                  threshold=threshold, payload_cols=["type"])
+    return hits.select("query_id", "rank", "point_id", "type", F.round("score", 6).alias("score"))
+
+
+@query("vector_topk", topk_sql(5))
+def q_vector_topk(spark, sf):
+    return _topk(spark, sf, 5)
+
+
+@query("vector_topk_offset", topk_sql(5, offset=5))
+def q_vector_topk_offset(spark, sf):
+    return _topk(spark, sf, 5, offset=5)
+
+
+@query("search_threshold", topk_sql(10, threshold="score >= 0.25"))
+def q_search_threshold(spark, sf):
+    return _topk(spark, sf, 10, threshold=0.25)
+
+
+@query("payload_filter", topk_sql(5, where="type = '3'"))
+def q_payload_filter(spark, sf):
+    from ..functions.predicates import payload_match
+    return _topk(spark, sf, 5, where=payload_match(type="3"))
+
+
+@query("vector_topk_dot", """
+  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 50),
+  p AS (SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS pv FROM embeddings),
+  r AS (SELECT query_id, point_id, sqrt(list_sum(list_transform(list_zip(qv, pv), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS score,
+        row_number() OVER (PARTITION BY query_id ORDER BY sqrt(list_sum(list_transform(list_zip(qv, pv), lambda t: (t[1] - t[2]) * (t[1] - t[2])))), point_id) AS rn FROM q, p)
+  SELECT query_id, CAST(rn AS INTEGER) AS rank, point_id, round(score, 6) AS score FROM r WHERE rn <= 5""")
+def q_vector_topk_euclid(spark, sf):
+    from ..operators.search import search
+    hits = search(I.vector_points(spark, sf), I.vector_queries(spark, sf), k=5, metric="l2")
+    return hits.select("query_id", "rank", "point_id", F.round("score", 6).alias("score"))
+
+
+@query("points_scroll", """SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type, len(embedding) AS dim,
+  round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings WHERE vec_id > 100 ORDER BY vec_id LIMIT 10""")
+def q_points_scroll(spark, sf):
+    from ..operators.ranking import scroll
+    s = scroll(I.vector_points(spark, sf), "point_id", after=100, limit=10)
+    return s.select("point_id", "type", F.size("vector").alias("dim"),
+                    F.round(F.col("vector")[0].cast("double"), 6).alias("first_value"))
+
+
+@query("points_count", "SELECT CAST(label AS VARCHAR) AS type, count(*) AS points FROM embeddings GROUP BY 1")
+def q_points_count(spark, sf):
+    from ..operators.points import points_count
+    return points_count(I.vector_points(spark, sf), by=["type"])
+
+
+@query("point_upsert", """
+  SELECT vec_id AS point_id, CASE WHEN label = 0 THEN 'zero' ELSE CAST(label AS VARCHAR) END AS type,
+         CASE WHEN label = 0 THEN 'modified' WHEN label = 2 THEN 'same' ELSE 'kept' END AS _action FROM embeddings
+  UNION ALL SELECT vec_id + 1000000, CAST(label AS VARCHAR), 'upserted' FROM embeddings WHERE label = 1""")
+def q_point_upsert(spark, sf):
+    from ..operators.points import upsert_points
+    pts = I.vector_points(spark, sf)
+    new = pts.where(F.col("type") == "0").withColumn("type", F.lit("zero")) \
+        .unionByName(pts.where(F.col("type") == "1").withColumn("point_id", F.col("point_id") + 1000000)) \
+        .unionByName(pts.where(F.col("type") == "2"))
+    return upsert_points(pts, new).select("point_id", "type", "_action")
+
+
+@query("vector_schema_check", """SELECT min(len(embedding)) AS batch_min_dim, max(len(embedding)) AS batch_max_dim,
+  384 AS coll_dim, 'cosine' AS coll_distance, 'cosine' AS want_distance,
+  CASE WHEN min(len(embedding)) <> max(len(embedding)) THEN 'error' WHEN max(len(embedding)) = 384 THEN 'ok' ELSE 'error' END AS decision
+  FROM embeddings""")
+def q_vector_schema_check(spark, sf):
+    from ..operators.embed import resolve_dim
+    from ..operators.points import check_vector_schema
+    pts = I.vector_points(spark, sf)
+    # The collection was created for a MiniLM model (V6: 384 dimensions).
+    meta = spark.range(1).select(F.lit("documents").alias("name"), F.lit(resolve_dim("all-MiniLM-L6-v2")).alias("dim"),
+                                 F.lit("cosine").alias("distance"))
+    return check_vector_schema(pts, meta, "cos", "error").select(
+        F.col("batch_min_dim").cast("int").alias("batch_min_dim"), F.col("batch_max_dim").cast("int").alias("batch_max_dim"),
+        "coll_dim", "coll_distance", "want_distance", "decision")
+
+
+# ================================================================== payloads, requests
+@query("build_payload", f"""
+  SELECT doc_id, 'documents' AS type, 1 AS embedding_version,
+         CAST(CASE WHEN n = 0 THEN 0 WHEN n <= 1600 THEN 1 ELSE 1 + CAST(ceil((n - 1600) / 1520.0) AS BIGINT) END AS INTEGER) AS chunk_count,
+         1600 AS chunk_size, 80 AS overlap
+  FROM (SELECT doc_id, length(text) AS n FROM {DOC_TEXT_SQL})""")
+def q_build_payload(spark, sf):
+    from ..functions.payload import index_payload
+    from ..functions.text import chunk_text
+    d = I.doc_texts(spark, sf)
+    p = index_payload("doc_id", I.DATASET_TYPE, I.EMBEDDING_VERSION,
+                      F.size(chunk_text(F.col("text"), I.CHUNK_MAX, I.CHUNK_OVERLAP)), I.CHUNK_MAX, I.CHUNK_OVERLAP)
+    return d.select(F.col("doc_id"), p.alias("p")).select(
+        "doc_id", F.col("p.type").alias("type"), F.col("p.embeddingVersion").alias("embedding_version"),
+        F.col("p.chunkCount").alias("chunk_count"), F.col("p.chunkSize").alias("chunk_size"), F.col("p.overlap").alias("overlap"))
+
+
+CHUNKS_SQL = """(
+    SELECT source AS request_id, CAST(doc_id AS VARCHAR) AS chunk_id, source AS item_sequence, lang AS name, text AS contents,
+           lang AS meta_lang, 'text' AS content_type FROM documents
+    UNION ALL
+    SELECT 'pages', 'p' || CAST(page_id AS VARCHAR), url, 'page', html, NULL, 'html' FROM pages)"""
+
+
+@query("payload_roundtrip", f"""SELECT chunk_id, item_sequence, name, CAST(length(contents) AS INTEGER) AS contents_len,
+  meta_lang, content_type, 0 AS n_missing FROM {CHUNKS_SQL}""")
+def q_payload_roundtrip(spark, sf):
+    from ..functions.payload import chunk_payload, resolve_chunk
+    c = I.chunks(spark, sf)
+    r = c.select(resolve_chunk(chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta")).alias("r")).select("r.*")
+    return r.select("chunk_id", "item_sequence", "name", F.char_length("contents").alias("contents_len"),
+                    F.col("meta")["lang"].alias("meta_lang"), F.col("meta")["content_type"].alias("content_type"),
+                    F.size("_missing").alias("n_missing"))
+
+
+@query("request_admission", f"""SELECT request_id, count(*) AS n_chunks, CAST(sum(strlen(contents)) AS BIGINT) AS n_bytes,
+  CASE WHEN count(*) > 100 THEN 'too_many_chunks' WHEN sum(strlen(contents)) > 100000 THEN 'too_many_bytes' END AS reject_reason,
+  count(*) <= 100 AND sum(strlen(contents)) <= 100000 AS accepted
+  FROM {CHUNKS_SQL} GROUP BY 1""")
+def q_request_admission(spark, sf):
+    from ..operators.state import admit_requests
+    # Limits of the embedding worker (fixed values): 100 chunks, 100,000 bytes.
+    return admit_requests(I.chunks(spark, sf), max_items=100, max_bytes=100000)
+
+
+@query("chunk_requests", f"SELECT chunk_id, request_id, true AS valid FROM {CHUNKS_SQL}")
+def q_chunk_requests(spark, sf):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.chunks import read_chunk_requests, validate_chunks
+    landing = checkpoint_dir(spark).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
+    I.chunks(spark, sf).write.mode("overwrite").json(landing)
+    return validate_chunks(read_chunk_requests(spark, landing)).select("chunk_id", "request_id", "valid")
+
+
+# ================================================================== composed runs (Q1, Q2, Q3)
+@query("ingest_pages", f"""WITH {REC_SQL}
+  SELECT item_seq AS id, item_name AS name, entp_name AS vendor,
+         md5(coalesce(entp_name, '') || '|' || coalesce(item_name, '') || '|' || item_seq) AS row_hash,
+         CASE WHEN page_no % 3 = 0 THEN 'kept' ELSE 'upserted' END AS _action FROM rec""")
+def q_ingest_pages(spark, sf):
+    from ..plans.ingest import ingest_pages, page_records
+    from ..session import FIXED_NOW
+    from ..sources.pages import parse_records
+    pages = I.json_pages(spark, sf)
+    done = page_records(pages).join(I.ledger(spark, sf).select("api_name", "run_date", "page_no"),
+                                    ["api_name", "run_date", "page_no"], "left_semi")
+    items, _ = parse_records(done)  # what earlier runs stored
+    res = ingest_pages(pages, I.ledger(spark, sf), items, FIXED_NOW)
+    return res.items.select("id", "name", "vendor", "row_hash", "_action")
+
+
+@query("ingest_ledger", f"""WITH {REC_SQL}
+  SELECT DISTINCT page_no, CASE WHEN page_no % 3 = 0 THEN 'kept' ELSE 'upserted' END AS _action FROM rec""")
+def q_ingest_ledger(spark, sf):
+    from ..plans.ingest import ingest_pages, page_records
+    from ..session import FIXED_NOW
+    from ..sources.pages import parse_records
+    pages = I.json_pages(spark, sf)
+    done = page_records(pages).join(I.ledger(spark, sf).select("api_name", "run_date", "page_no"),
+                                    ["api_name", "run_date", "page_no"], "left_semi")
+    items, _ = parse_records(done)
+    return ingest_pages(pages, I.ledger(spark, sf), items, FIXED_NOW).ledger.select("page_no", "_action")
+
+
+def _index_run(spark, sf):
+    from ..plans.index import index_documents
+    from ..session import FIXED_NOW
+    d, st, ls = _doc_state(spark, sf)
+    empty_points = spark.createDataFrame([], "point_id string, vector array<float>, type string, doc_id string, "
+                                             "embedding_version int, chunk_count int, chunk_size int, overlap int")
+    return index_documents(d, st, ls, empty_points, None, version=I.EMBEDDING_VERSION, owner="indexer-1",
+                           now=FIXED_NOW, page_size=I.INDEX_PAGE_SIZE, chunk_size=I.CHUNK_MAX,
+                           overlap=I.CHUNK_OVERLAP, lease_seconds=I.LEASE_SECONDS)
+
+
+@query("index_documents", f"""WITH {DOC_STATE_SQL}, u AS ({_UUID_SQL})
+  SELECT r.doc_id, pg.page_no, CASE WHEN status = 'embed' THEN 'embedded' ELSE status END AS status,
+         CASE WHEN status = 'embed' THEN u.point_id END AS point_id
+  FROM r LEFT JOIN pg USING (doc_id) LEFT JOIN u USING (doc_id)""")
+def q_index_documents(spark, sf):
+    return _index_run(spark, sf).status
+
+
+@query("page_stats", f"""WITH {DOC_STATE_SQL}
+  SELECT page_no, count(*) AS ids,
+    count(*) FILTER (WHERE status IN ('empty_text', 'skipped_same_hash', 'embed')) AS leases_acquired,
+    count(*) FILTER (WHERE status IN ('empty_text', 'skipped_same_hash', 'embed')) AS fetched,
+    count(*) FILTER (WHERE status = 'empty_text') AS empty_text,
+    count(*) FILTER (WHERE status = 'skipped_same_hash') AS skipped_same_hash,
+    count(*) FILTER (WHERE status = 'embed') AS embedded, count(*) FILTER (WHERE status = 'embed') AS upserted,
+    count(*) FILTER (WHERE status IN ('embed', 'empty_text', 'skipped_same_hash')) AS marked_indexed,
+    0 AS marked_failed
+  FROM r JOIN pg USING (doc_id) GROUP BY 1""")
+def q_page_stats(spark, sf):
+    return _index_run(spark, sf).page_stats
+
+
+@query("index_summary", f"""WITH {DOC_STATE_SQL},
+  st2 AS (SELECT doc_id, CASE WHEN r.status IN ('embed', 'empty_text', 'skipped_same_hash') THEN '1' ELSE st.embedding_version END AS v,
+                 CASE WHEN r.status IN ('embed', 'empty_text', 'skipped_same_hash') THEN r.text_hash ELSE st.indexed_hash END AS h,
+                 st.doc_id IS NOT NULL OR r.status IN ('embed', 'empty_text', 'skipped_same_hash') AS has
+          FROM r LEFT JOIN st USING (doc_id))
+  SELECT 'documents' AS type, 1 AS embedding_version, (SELECT count(*) FROM r WHERE status = 'embed') AS points,
+         count(*) AS documents, count(*) FILTER (WHERE v = '1') AS indexed_current,
+         count(*) FILTER (WHERE NOT has OR v IS DISTINCT FROM '1' OR coalesce(dh.text_hash, '') <> coalesce(h, '')) AS needs_index
+  FROM dh JOIN st2 USING (doc_id)""")
+def q_index_summary(spark, sf):
+    return _index_run(spark, sf).summary
+
+
+@query("search", f"""WITH d AS {hashing_sql(DOC_TEXT_SQL, 'doc_id', 'text')},
+  q AS {hashing_sql('benchmark', 'item_id', 'text')},
+  s AS (SELECT q.item_id, d.doc_id, sum(q.value * d.value) AS score FROM q JOIN d USING (bucket) GROUP BY 1, 2),
+  r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, CAST(doc_id AS VARCHAR)) AS rn FROM s)
+  SELECT r.item_id AS query_id, CAST(rn AS INTEGER) AS rank, round(score, 4) AS score, CAST(r.doc_id AS VARCHAR) AS chunk_id,
+         documents.source AS item_sequence, documents.lang AS name
+  FROM r JOIN documents USING (doc_id) WHERE rn <= 5""")
+def q_search(spark, sf):
+    from ..plans.search import chunk_points, search_chunks
+    d = I.doc_texts(spark, sf)
+    chunks = d.select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("item_sequence"),
+                      F.col("lang").alias("name"), F.col("text").alias("contents"),
+                      F.create_map(F.lit("lang"), F.col("lang")).alias("meta"))
+    hits = search_chunks(chunk_points(chunks), I.table(spark, sf, "benchmark"), k=5, query_id="item_id")
+    return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "chunk_id", "item_sequence", "name")

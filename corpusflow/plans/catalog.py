@@ -938,3 +938,50 @@ def q_search(spark, sf):
                       F.create_map(F.lit("lang"), F.col("lang")).alias("meta"))
     hits = search_chunks(chunk_points(chunks), I.table(spark, sf, "benchmark"), k=5, query_id="item_id")
     return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "chunk_id", "item_sequence", "name")
+
+
+# ================================================================== streaming (ST1-ST5)
+def _run_stream(spark, sf):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import read_current
+    from ..streaming.embed_stream import POINTS_SCHEMA, read_dead_letters, start_embed_stream
+    base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    # Each request lands whole in one file; at most 2 files per micro-batch.
+    I.chunks(spark, sf).repartition(8, "request_id").write.json(base + "/landing")
+    q = start_embed_stream(spark, base + "/landing", base + "/points", base + "/dead", base + "/ckpt",
+                           max_files_per_trigger=2, max_items=100, max_bytes=100000)
+    q.awaitTermination()
+    return read_current(spark, base + "/points", POINTS_SCHEMA), read_dead_letters(spark, base + "/dead")
+
+
+ADMIT_SQL = f"""adm AS (SELECT request_id, CASE WHEN count(*) > 100 THEN 'too_many_chunks'
+                 WHEN sum(strlen(contents)) > 100000 THEN 'too_many_bytes' END AS reason FROM {CHUNKS_SQL} GROUP BY 1)"""
+
+
+@query("embed_stream", f"""WITH {ADMIT_SQL}
+  SELECT c.chunk_id AS point_id, c.item_sequence, c.name, 1 AS embedding_version, 64 AS dim
+  FROM {CHUNKS_SQL} c JOIN adm USING (request_id) WHERE adm.reason IS NULL""")
+def q_embed_stream(spark, sf):
+    pts, _ = _run_stream(spark, sf)
+    p = F.from_json("payload", "itemSequence string, name string")
+    return pts.select("point_id", p["itemSequence"].alias("item_sequence"), p["name"].alias("name"),
+                      "embedding_version", F.size("vector").alias("dim"))
+
+
+@query("dead_letter", f"""WITH {ADMIT_SQL}
+  SELECT c.chunk_id, c.request_id, adm.reason FROM {CHUNKS_SQL} c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL""")
+def q_dead_letter(spark, sf):
+    _, dead = _run_stream(spark, sf)
+    return dead.select("chunk_id", "request_id", "reason")
+
+
+@query("stream_load", """SELECT event_id AS sample_id, CAST(event_id % 500 AS BIGINT) AS size, 500 AS max_size,
+  round((event_id % 500) / 500.0, 6) AS usage, (event_id % 500) < 350.0 AS available FROM events""")
+def q_stream_load(spark, sf):
+    from ..streaming.embed_stream import stream_load
+    ev = I.table(spark, sf, "events")
+    m = ev.select(F.col("event_id").alias("sample_id"), (F.col("event_id") % 500).alias("size"),
+                  F.lit(500).alias("max_size"))
+    # Queue limits of the embedding worker (fixed values): 500 slots, 0.7 usage threshold.
+    return stream_load(m, 0.7).withColumn("usage", F.round("usage", 6))

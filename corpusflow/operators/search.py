@@ -46,12 +46,22 @@ def _local_topk(bid, metric: str, keep: int, threshold, id_col: str, vec_col: st
                 bad = (S > threshold) if metric == "euclid" else (S < threshold)
                 order_key = np.where(bad, np.inf, order_key)
             kk = min(keep, len(pdf))
-            idx = np.argpartition(order_key, kk - 1, axis=0)[:kk] if kk < len(pdf) else \
-                np.tile(np.arange(len(pdf))[:, None], (1, len(qids)))
-            rows_p = idx.T.reshape(-1)
-            rows_q = np.repeat(np.arange(len(qids)), idx.shape[0])
-            ok = np.isfinite(order_key[rows_p, rows_q])
-            rows_p, rows_q = rows_p[ok], rows_q[ok]
+            # Per query, every row at least as good as the kk-th is a
+            # candidate (ties at the boundary included); then order by
+            # (score, id) and keep kk, so the global id tie-break is exact.
+            kth = np.partition(order_key, kk - 1, axis=0)[kk - 1] if kk < len(pdf) else \
+                np.full(len(qids), np.inf)
+            cand = (order_key <= kth[None, :]) & np.isfinite(order_key)
+            ids = pdf[id_col].to_numpy()
+            sel_p, sel_q = [], []
+            for qi in range(len(qids)):
+                rows = np.flatnonzero(cand[:, qi])
+                if len(rows) > kk:
+                    rows = rows[np.lexsort((ids[rows], order_key[rows, qi]))[:kk]]
+                sel_p.append(rows)
+                sel_q.append(np.full(len(rows), qi))
+            rows_p = np.concatenate(sel_p) if sel_p else np.array([], dtype=int)
+            rows_q = np.concatenate(sel_q) if sel_q else np.array([], dtype=int)
             out = pd.DataFrame({"query_id": qids[rows_q], "score": S[rows_p, rows_q]})
             sub = pdf.iloc[rows_p]
             out[id_col] = sub[id_col].to_numpy()
@@ -89,14 +99,21 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
         f", `{c}` {pts.schema[c].dataType.simpleString()}" for c in carry)
     if n_q == 0:
         return spark.createDataFrame([], out_schema + ", rank int")
-    n_blocks = max(1, -(-(n_q * max(dim, 1) * 8) // max_block_bytes))
+    per_block = max(1, max_block_bytes // (max(dim, 1) * 8))
+    n_blocks = -(-n_q // per_block)
     keep = k + max(0, offset)
+    if n_blocks > 1:
+        # exact block sizes from a distributed rank of the query ids
+        from .ranking import global_rank
+        q = global_rank(q, "query_id", "_qr").withColumn("_blk", ((F.col("_qr") - 1) / per_block).cast("long"))
 
     parts = []
     for b in range(n_blocks):
-        blk = q if n_blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        # Bounded by the size check above: at most max_block_bytes of vectors.
-        rows = blk.collect()
+        blk = q if n_blocks == 1 else q.where(F.col("_blk") == b)
+        # Bounded by the size check above: at most per_block query vectors.
+        rows = blk.select("query_id", "_qv").collect()
+        if not rows:
+            continue
         qids = np.array([r["query_id"] for r in rows], dtype=object)
         qmat = np.array([r["_qv"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
         bid = spark.sparkContext.broadcast((qids, qmat))

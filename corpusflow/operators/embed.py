@@ -64,26 +64,41 @@ class HashingEmbedder:
         return df.select(*keys, F.explode(F.split(F.lower(text), TOKEN_SPLIT)).alias("_tok")) \
             .where(F.col("_tok") != "")
 
-    def embed_sparse(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
-        """(keys..., bucket, value) for the non-zero buckets, L2-normalized."""
-        keys = list(keys)
-        bucket = F.pmod(F.conv(F.substring(F.md5("_tok"), 1, 8), 16, 10).cast("long"), F.lit(self.dim))
-        counts = self._tokens(df, keys, text_col, role).groupBy(*keys, bucket.alias("bucket")) \
+    def _bucket(self):
+        """int(first 8 hex digits of md5(token), 16) mod dim. When dim divides
+        256 only the low byte matters, i.e. hex digits 7-8: read them with two
+        instr() lookups instead of a string base conversion."""
+        h = F.md5("_tok")
+        if 256 % self.dim == 0:
+            digit = lambda i: F.instr(F.lit("0123456789abcdef"), F.substring(h, i, 1)) - 1
+            return ((digit(7) * 16 + digit(8)) % self.dim).cast("int")
+        return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(self.dim)).cast("int")
+
+    def _grouped(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
+        """(keys..., _e array<struct<bucket, _n>>, _norm): token counts per
+        bucket, pre-aggregated map-side, one row per text."""
+        counts = self._tokens(df, keys, text_col, role).groupBy(*keys, self._bucket().alias("bucket")) \
             .agg(F.count(F.lit(1)).alias("_n"))
         vec = counts.groupBy(*keys).agg(F.collect_list(F.struct("bucket", "_n")).alias("_e"))
         norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["_n"] * e["_n"]))
-        return vec.select(*keys, F.inline(F.transform("_e", lambda e: F.struct(
-            e["bucket"].cast("int").alias("bucket"), (e["_n"] / F.greatest(norm, F.lit(1e-9))).alias("value")))))
+        return vec.withColumn("_norm", F.greatest(norm, F.lit(1e-9)))
+
+    def embed_sparse(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
+        """(keys..., bucket, value) for the non-zero buckets, L2-normalized."""
+        keys = list(keys)
+        g = self._grouped(df, keys, text_col, role)
+        return g.select(*keys, F.inline(F.transform("_e", lambda e: F.struct(
+            e["bucket"].alias("bucket"), (e["_n"] / F.col("_norm")).alias("value")))))
 
     def embed(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
         """(keys..., vector array<float>) dense vectors. A text without tokens
         gets no row (its vector would be all zero)."""
         keys = list(keys)
-        sp = self.embed_sparse(df, keys, text_col, role)
-        grouped = sp.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("_m"))
-        return grouped.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(self.dim - 1)),
-                                                 lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0)).cast("float"))
-                              .alias("vector"))
+        g = self._grouped(df, keys, text_col, role) \
+            .withColumn("_m", F.map_from_entries(F.col("_e")))
+        return g.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(self.dim - 1)),
+                                           lambda i: (F.coalesce(F.col("_m")[i], F.lit(0)) / F.col("_norm")).cast("float"))
+                        .alias("vector"))
 
 
 _MODEL_CACHE: dict = {}

@@ -457,7 +457,12 @@ DOC_STATE_SQL = f"""
 
 
 def _doc_state(spark, sf):
-    return I.doc_texts(spark, sf), I.index_state(spark, sf), I.leases(spark, sf)
+    """Canonical texts (normalized once, checkpointed: both the documents and
+    the derived index state read them), index state and leases."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    d = I.doc_texts(spark, sf).checkpoint(eager=True)
+    return d, I.index_state(spark, sf, d), I.leases(spark, sf)
 
 
 def _joined(spark, sf):

@@ -83,8 +83,13 @@ def xml_pages(spark, sf_dir) -> DataFrame:
 
 def ledger(spark, sf_dir) -> DataFrame:
     """Pages with page_no % 3 = 0 are done; processed_at = now - page_no x 10 days."""
-    return json_pages(spark, sf_dir).where(F.col("page_no") % 3 == 0).select(
-        "api_name", "run_date", "page_no", F.lit(API_PAGE_SIZE).alias("processed_size"),
+    n = table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n"))
+    pages = n.select(F.explode(F.sequence(F.lit(1), F.greatest(F.ceil(F.col("n") / API_PAGE_SIZE).cast("int"),
+                                                                F.lit(1)))).alias("page_no"), "n") \
+        .where(F.col("n") > 0).drop("n")
+    return pages.where(F.col("page_no") % 3 == 0).select(
+        F.lit(API_NAME).alias("api_name"), F.lit(RUN_DATE).alias("run_date"), F.col("page_no").cast("int"),
+        F.lit(API_PAGE_SIZE).alias("processed_size"),
         F.timestamp_add("DAY", -10 * F.col("page_no"), ts_lit(FIXED_NOW)).alias("processed_at"))
 
 
@@ -137,11 +142,11 @@ def doc_texts(spark, sf_dir) -> DataFrame:
         .withColumn("text_hash", text_hash(normalize_text(F.col("text"))))
 
 
-def index_state(spark, sf_dir) -> DataFrame:
+def index_state(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:
     """By doc_id % 6: 0 none; 1 version 1 + current hash; 2 version 1 +
     'stale'; 3 version 0 + current hash; 4 version 1 + ''; 5 no version +
     current hash. Version stored as text."""
-    t = doc_texts(spark, sf_dir)
+    t = texts if texts is not None else doc_texts(spark, sf_dir)
     m = F.col("doc_id") % 6
     ver = F.when(m.isin(1, 2, 4), "1").when(m == 3, "0")
     h = F.when(m == 2, "stale").when(m == 4, "").otherwise(F.col("text_hash"))

@@ -47,8 +47,19 @@ def normalize_text(c) -> Column:
     return F.trim(t)
 
 
+def normalize_again(p) -> Column:
+    """A further pass over text that is already the output of a pass.
+
+    Such text has no zero-width character, no CR, no whitespace other than
+    single inner spaces, so another pass can only change it when NFKC does:
+    the regex chain runs only for those rows."""
+    p = _col(p)
+    return F.when(nfkc(p) == p, p).otherwise(normalize_text(p))
+
+
 def normalize_twice(c) -> Column:
-    return normalize_text(normalize_text(c))
+    """Two passes, as the pipelines apply them (the second is usually a no-op check)."""
+    return normalize_again(normalize_text(c))
 
 
 def collapse_ws(c) -> Column:

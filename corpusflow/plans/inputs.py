@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import text_hash
-from ..functions.text import extract_text, normalize_text
+from ..functions.text import extract_text, normalize_again, normalize_text
 from ..functions.time import lease_expiry, ts_lit
 from ..operators.points import attach_row
 from ..operators.ranking import global_rank
@@ -137,9 +137,9 @@ def doc_texts(spark, sf_dir) -> DataFrame:
     (fields normalized, then the whole again) and the sha1 of its
     normalization."""
     d = documents(spark, sf_dir)
-    t = normalize_text(extract_text(["text"]))
+    t = normalize_again(extract_text(["text"]))
     return d.select("doc_id", "lang", "source", t.alias("text")) \
-        .withColumn("text_hash", text_hash(normalize_text(F.col("text"))))
+        .withColumn("text_hash", text_hash(normalize_again(F.col("text"))))
 
 
 def index_state(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:

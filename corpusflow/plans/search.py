@@ -27,6 +27,11 @@ def search_chunks(points: DataFrame, queries: DataFrame, *, embedder=None, k: in
     Hits without a payload are dropped (V8)."""
     embedder = embedder or HashingEmbedder()
     qv = embedder.embed(queries, [query_id], text_col, role="query").withColumnRenamed(query_id, "query_id")
-    hits = search(points, qv, k=k, where=where, threshold=threshold, payload_cols=["payload"])
+    src = points if where is None else points.where(where)
+    # Score on (id, vector) only; payloads (whole chunk texts) are looked up
+    # for the hits alone: at most queries x k rows, broadcast into one scan.
+    hits = search(src.select("point_id", "vector"), qv, k=k, threshold=threshold)
+    hits = hits.join(src.select("point_id", "payload").join(F.broadcast(hits.select("point_id").distinct()),
+                                                           "point_id", "left_semi"), "point_id")
     hits = hits.where(F.col("payload").isNotNull()).withColumn("chunk", resolve_chunk("payload"))
     return hits.select("query_id", "rank", "score", "point_id", "chunk.*").drop("_missing")

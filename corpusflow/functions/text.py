@@ -53,8 +53,10 @@ def normalize_again(p) -> Column:
     Such text has no zero-width character, no CR, no whitespace other than
     single inner spaces, so another pass can only change it when NFKC does:
     the regex chain runs only for those rows."""
-    p = _col(p)
-    return F.when(nfkc(p) == p, p).otherwise(normalize_text(p))
+    # ``reflect`` is non-deterministic to Catalyst, so a repeated operand would
+    # be evaluated again; a one-element lambda binds the pass once.
+    return F.element_at(F.transform(F.array(_col(p)), lambda x: F.when(nfkc(x) == x, x)
+                                    .otherwise(normalize_text(x))), 1)
 
 
 def normalize_twice(c) -> Column:

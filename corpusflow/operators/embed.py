@@ -61,8 +61,10 @@ class HashingEmbedder:
     def _tokens(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
         pre = role_prefix(self.model_name, role)
         text = F.concat(F.lit(pre), F.coalesce(F.col(text_col), F.lit(""))) if pre else F.col(text_col)
-        return df.select(*keys, F.explode(F.split(F.lower(text), TOKEN_SPLIT)).alias("_tok")) \
-            .where(F.col("_tok") != "")
+        # Lower-case per token, after the split (same tokens: lower-casing never
+        # makes or removes ASCII whitespace): ASCII tokens stay on Spark's fast path.
+        return df.select(*keys, F.explode(F.split(text, TOKEN_SPLIT)).alias("_tok")) \
+            .where(F.col("_tok") != "").select(*keys, F.lower("_tok").alias("_tok"))
 
     def _bucket(self):
         """int(first 8 hex digits of md5(token), 16) mod dim. When dim divides

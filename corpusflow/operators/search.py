@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import NORM_EPS, canonical_distance
+from ..session import checkpoint_dir
 
 # Upper bound for one broadcast block of query vectors (bytes of float64).
 MAX_QUERY_BLOCK_BYTES = 64 * 1024 * 1024
@@ -89,6 +90,9 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     pts = points if where is None else points.where(where)
     pts = pts.select(id_col, vec_col, *[c for c in carry if c != vec_col])
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_qv")).where(F.col("_qv").isNotNull())
+    # Materialize the query side once: it is sized, then read block by block.
+    checkpoint_dir(spark)
+    q = q.checkpoint(eager=True)
 
     # Size check of the query side: rows x dim x 8 bytes, one small aggregate.
     stats = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qv")).alias("d")).first()

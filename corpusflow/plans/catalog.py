@@ -937,11 +937,16 @@ def q_index_summary(spark, sf):
   FROM r JOIN documents USING (doc_id) WHERE rn <= 5""")
 def q_search(spark, sf):
     from ..plans.search import chunk_points, search_chunks
-    d = I.doc_texts(spark, sf)
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    # canonical texts, normalized once: the embedding and the payloads both read them
+    d = I.doc_texts(spark, sf).checkpoint(eager=True)
     chunks = d.select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("item_sequence"),
                       F.col("lang").alias("name"), F.col("text").alias("contents"),
                       F.create_map(F.lit("lang"), F.col("lang")).alias("meta"))
-    hits = search_chunks(chunk_points(chunks), I.table(spark, sf, "benchmark"), k=5, query_id="item_id")
+    # the points table, written once (a stored table in production)
+    points = chunk_points(chunks).checkpoint(eager=True)
+    hits = search_chunks(points, I.table(spark, sf, "benchmark"), k=5, query_id="item_id")
     return hits.select("query_id", "rank", F.round("score", 4).alias("score"), "chunk_id", "item_sequence", "name")
 
 

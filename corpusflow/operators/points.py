@@ -17,10 +17,13 @@ POLICIES = ("error", "recreate", "ignore")
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate to every row of ``df``
-    (an equi-join on a constant key; the one-row side is broadcast)."""
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one") \
-        .drop("_one")
+    """Append the columns of a one-row aggregate to every row of ``df``.
+
+    The row travels as one scalar subquery (a struct), evaluated once and
+    inlined as a value: no join, no broadcast of anything that grows."""
+    cols = one_row.columns
+    sub = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_row")).scalar()
+    return df.withColumn("_row", sub).select(*df.columns, *[F.col("_row")[c].alias(c) for c in cols])
 
 
 def upsert_points(points: DataFrame, new: DataFrame, order_col: str | None = None) -> DataFrame:

@@ -995,3 +995,21 @@ def q_stream_load(spark, sf):
                   F.lit(500).alias("max_size"))
     # Queue limits of the embedding worker (fixed values): 500 slots, 0.7 usage threshold.
     return stream_load(m, 0.7).withColumn("usage", F.round("usage", 6))
+
+
+@query("point_upsert_bucketed", """
+  SELECT vec_id AS point_id, CASE WHEN label = 0 THEN 'zero' ELSE CAST(label AS VARCHAR) END AS type FROM embeddings
+  UNION ALL SELECT vec_id + 1000000, CAST(label AS VARCHAR) FROM embeddings WHERE label = 1""")
+def q_point_upsert_bucketed(spark, sf):
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.tables import upsert_bucketed
+    base = checkpoint_dir(spark).rstrip("/") + f"/points-{uuid.uuid4().hex}"
+    schema = "point_id long, vector array<float>, type string"
+    pts = I.vector_points(spark, sf)
+    # initial load, then an upsert that touches a subset of the 16 buckets
+    upsert_bucketed(spark, base + "/table", pts, "point_id", 16, base + "/stage0", schema)
+    new = pts.where(F.col("type") == "0").withColumn("type", F.lit("zero")) \
+        .unionByName(pts.where(F.col("type") == "1").withColumn("point_id", F.col("point_id") + 1000000))
+    upsert_bucketed(spark, base + "/table", new, "point_id", 16, base + "/stage1", schema)
+    return spark.read.parquet(base + "/table").select("point_id", "type")

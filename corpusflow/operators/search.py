@@ -25,9 +25,10 @@ from ..session import checkpoint_dir
 MAX_QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 
 
-def _local_topk(bid, metric: str, keep: int, threshold, id_col: str, vec_col: str, carry: list):
+def _local_topk(bid, metric: str, keep: int, threshold, id_col: str, vec_col: str, carry: list,
+                cluster_col: str | None = None):
     def run(batches):
-        qids, qmat = bid.value
+        qids, qmat, probe = bid.value
         qn = np.maximum(np.linalg.norm(qmat, axis=1), NORM_EPS)
         for pdf in batches:
             pdf = pdf[pdf[vec_col].notna()]
@@ -46,6 +47,10 @@ def _local_topk(bid, metric: str, keep: int, threshold, id_col: str, vec_col: st
             if threshold is not None:
                 bad = (S > threshold) if metric == "euclid" else (S < threshold)
                 order_key = np.where(bad, np.inf, order_key)
+            if probe is not None:
+                # IVF: a point only competes for the queries probing its list
+                cl = pdf[cluster_col].to_numpy().astype(np.int64)
+                order_key = np.where(probe[:, cl].T, order_key, np.inf)
             kk = min(keep, len(pdf))
             # Per query, every row at least as good as the kk-th is a
             # candidate (ties at the boundary included); then order by
@@ -75,7 +80,8 @@ def _local_topk(bid, metric: str, keep: int, threshold, id_col: str, vec_col: st
 def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine", where=None,
            threshold: float | None = None, offset: int = 0, with_vectors: bool = False,
            id_col: str = "point_id", vec_col: str = "vector", query_id: str = "query_id",
-           query_vec: str = "vector", payload_cols=(), max_block_bytes: int = MAX_QUERY_BLOCK_BYTES) -> DataFrame:
+           query_vec: str = "vector", payload_cols=(), max_block_bytes: int = MAX_QUERY_BLOCK_BYTES,
+           cluster_col: str | None = None, probe_fn=None) -> DataFrame:
     """Top-k points per query: (query_id, rank, id, score[, payload..., vector]).
 
     ``where`` is a Column over points (payload filter, F4); ``threshold``
@@ -88,7 +94,7 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
         raise ValueError("k must be positive")
     carry = list(payload_cols) + ([vec_col] if with_vectors else [])
     pts = points if where is None else points.where(where)
-    pts = pts.select(id_col, vec_col, *[c for c in carry if c != vec_col])
+    pts = pts.select(id_col, vec_col, *[c for c in carry if c != vec_col], *([cluster_col] if cluster_col else []))
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("_qv")).where(F.col("_qv").isNotNull())
     # Materialize the query side once: it is sized, then read block by block.
     checkpoint_dir(spark)
@@ -120,8 +126,10 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
             continue
         qids = np.array([r["query_id"] for r in rows], dtype=object)
         qmat = np.array([r["_qv"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-        bid = spark.sparkContext.broadcast((qids, qmat))
-        parts.append(pts.mapInPandas(_local_topk(bid, metric, keep, threshold, id_col, vec_col, carry), out_schema))
+        probe = probe_fn(qmat) if probe_fn is not None else None
+        bid = spark.sparkContext.broadcast((qids, qmat, probe))
+        parts.append(pts.mapInPandas(_local_topk(bid, metric, keep, threshold, id_col, vec_col, carry, cluster_col),
+                                     out_schema))
     cand = reduce(DataFrame.unionByName, parts)
     order = F.col("score").asc() if metric == "euclid" else F.col("score").desc()
     w = Window.partitionBy("query_id").orderBy(order, F.col(id_col).asc())
@@ -135,3 +143,37 @@ def search_hits_to_chunks(hits: DataFrame, payload_col: str = "payload") -> Data
     from ..functions.payload import resolve_chunk
     return hits.where(F.col(payload_col).isNotNull()) \
         .withColumn("chunk", resolve_chunk(F.col(payload_col)))
+
+
+def build_ivf(points: DataFrame, nlist: int, vec_col: str = "vector", seed: int = 7, max_iter: int = 20):
+    """Inverted-file index for search at scale: MLlib k-means over the
+    L2-normalized vectors (spherical k-means for cosine), trained on the
+    cluster; returns (points with a ``cluster`` column, centroids ndarray).
+    The centroid table is bounded by ``nlist``, not by the data."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from ..functions.vectors import l2_normalize
+    feats = points.withColumn("_f", array_to_vector(l2_normalize(vec_col)))
+    model = KMeans(k=nlist, seed=seed, maxIter=max_iter, featuresCol="_f", predictionCol="cluster").fit(feats)
+    centers = np.array(model.clusterCenters(), dtype=np.float64)
+    assigned = model.transform(feats).drop("_f")
+    return assigned, centers
+
+
+def search_ivf(points_with_cluster: DataFrame, centers, queries: DataFrame, k: int = 5, nprobe: int = 4,
+               **kw) -> DataFrame:
+    """Top-k over the ``nprobe`` lists nearest each query (cosine). Approximate
+    unless ``nprobe`` equals the number of lists, where it is exact."""
+    cn = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), NORM_EPS)
+    npb = max(1, min(int(nprobe), len(cn)))
+
+    def probe_fn(qmat):
+        qn = qmat / np.maximum(np.linalg.norm(qmat, axis=1, keepdims=True), NORM_EPS)
+        near = np.argsort(-(qn @ cn.T), axis=1)[:, :npb]
+        mask = np.zeros((len(qmat), len(cn)), dtype=bool)
+        np.put_along_axis(mask, near, True, axis=1)
+        return mask
+
+    return search(points_with_cluster, queries, k=k, metric="cosine", cluster_col="cluster",
+                  probe_fn=probe_fn, **kw)

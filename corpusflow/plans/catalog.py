@@ -1013,3 +1013,16 @@ def q_point_upsert_bucketed(spark, sf):
         .unionByName(pts.where(F.col("type") == "1").withColumn("point_id", F.col("point_id") + 1000000))
     upsert_bucketed(spark, base + "/table", new, "point_id", 16, base + "/stage1", schema)
     return spark.read.parquet(base + "/table").select("point_id", "type")
+
+
+@query("vector_topk_ivf")
+def q_vector_topk_ivf(spark, sf):
+    """IVF-pruned search (approximate: 3 of 8 lists probed); rows-only check,
+    exactness at nprobe = nlist and recall are unit-tested."""
+    from ..operators.search import build_ivf, search_ivf
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    pts, centers = build_ivf(I.vector_points(spark, sf), nlist=8)
+    pts = pts.checkpoint(eager=True)
+    hits = search_ivf(pts, centers, I.vector_queries(spark, sf), k=5, nprobe=3, payload_cols=["type"])
+    return hits.select("query_id", "rank", "point_id", "type", F.round("score", 6).alias("score"))

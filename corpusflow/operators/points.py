@@ -42,7 +42,8 @@ def check_vector_schema(new: DataFrame, meta: DataFrame | None, distance: str =
     """Compare an incoming batch with the collection schema.
 
     One aggregate over the batch (min/max vector size) joined with the one-row
-    ``meta``. ``decision``: 'create' (no collection), 'ok', or the mismatch
+    ``meta``. ``decision``: 'empty' (nothing to check: the batch has no
+    vectors), 'create' (no collection), 'ok', or the mismatch
     policy ('recreate', 'error', 'ignore'); an inconsistent batch (several
     sizes) is always 'error'. :func:`ensure_collection` acts on it.
     """
@@ -57,7 +58,8 @@ def check_vector_schema(new: DataFrame, meta: DataFrame | None, distance: str =
                  F.count(F.lit(1)).alias("_n"))
     j = attach_row(b, m)
     coll_dist = F.col("coll_distance")
-    decision = (F.when(F.col("batch_min_dim") != F.col("batch_max_dim"), "error")
+    decision = (F.when(F.col("batch_max_dim").isNull(), "empty")
+                .when(F.col("batch_min_dim") != F.col("batch_max_dim"), "error")
                 .when(F.col("_n") == 0, "create")
                 .when((F.col("coll_dim") == F.col("batch_max_dim")) & (coll_dist == F.lit(want)), "ok")
                 .otherwise(F.lit(on_mismatch)))

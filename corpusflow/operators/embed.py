@@ -96,11 +96,15 @@ class HashingEmbedder:
         """(keys..., vector array<float>) dense vectors. A text without tokens
         gets no row (its vector would be all zero)."""
         keys = list(keys)
-        g = self._grouped(df, keys, text_col, role) \
-            .withColumn("_m", F.map_from_entries(F.col("_e")))
-        return g.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(self.dim - 1)),
-                                           lambda i: (F.coalesce(F.col("_m")[i], F.lit(0)) / F.col("_norm")).cast("float"))
-                        .alias("vector"))
+        g = self._grouped(df, keys, text_col, role)
+        # Dense fill with native array functions: the absent buckets get zero
+        # entries, a native sort orders all dim entries by bucket, one lambda
+        # per element divides by the norm (no per-element map lookups).
+        present = F.transform("_e", lambda e: e["bucket"])
+        missing = F.array_except(F.sequence(F.lit(0), F.lit(self.dim - 1)), present)
+        zeros = F.transform(missing, lambda b: F.struct(b.alias("bucket"), F.lit(0).cast("long").alias("_n")))
+        full = F.array_sort(F.concat(F.col("_e"), zeros))
+        return g.select(*keys, F.transform(full, lambda e: (e["_n"] / F.col("_norm")).cast("float")).alias("vector"))
 
 
 _MODEL_CACHE: dict = {}

@@ -35,7 +35,12 @@ def null_key_rows(df: DataFrame, keys) -> DataFrame:
     return df.where(~_keys_not_null(keys)).withColumn("reason", F.lit("null_key"))
 
 
-def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | None = None) -> DataFrame:
+# Above this many batch keys the merge falls back to one full outer join.
+MAX_BROADCAST_KEYS = 2_000_000
+
+
+def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | None = None,
+                 max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """``$set``-style upsert of ``updates`` into ``target`` on ``keys``.
 
     Columns present in ``updates`` overwrite (an explicit null overwrites);
@@ -44,11 +49,34 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | N
     null key are left out (see :func:`null_key_rows`). ``_action`` is
     'upserted' (new key), 'modified' (some provided value changed), 'same'
     (matched, nothing changed) or 'kept' (target row not in the batch).
+
+    Plan: the de-duplicated batch is checkpointed once and its keys counted.
+    A batch of at most ``max_broadcast_keys`` keys (the usual incremental
+    case) is broadcast: untouched target rows stream through a broadcast anti
+    join without any shuffle, and only the touched rows (broadcast semi join)
+    meet the batch. A larger batch uses one full outer join.
     """
     keys = list(keys)
     upd = updates.where(_keys_not_null(keys))
     if order_col:
         upd = dedup_latest(upd, keys, order_col).drop(order_col)
+    spark = target.sparkSession
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    upd = upd.checkpoint(eager=True)
+    if upd.count() <= max_broadcast_keys:
+        bkeys = F.broadcast(upd.select(*keys))
+        untouched = target.join(bkeys, keys, "left_anti").withColumn("_action", F.lit("kept"))
+        touched = _merge_join(target.join(bkeys, keys, "left_semi"), upd, keys)
+        cols = touched.columns
+        for c in cols:
+            if c not in untouched.columns:
+                untouched = untouched.withColumn(c, F.lit(None).cast(touched.schema[c].dataType))
+        return untouched.select(*cols).unionByName(touched)
+    return _merge_join(target, upd, keys)
+
+
+def _merge_join(target: DataFrame, upd: DataFrame, keys) -> DataFrame:
     upd_cols = [c for c in upd.columns if c not in keys]
     tgt_only = [c for c in target.columns if c not in keys and c not in upd_cols]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys],

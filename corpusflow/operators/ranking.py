@@ -22,7 +22,9 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank",
     (ties broken arbitrarily but consistently)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many range partitions as the input has splits (never fewer than the
+    # shuffle setting): each range then holds about one input split of keys
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     ranged = df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col).checkpoint(eager=True)
     # monotonically_increasing_id = partition index << 33 | position in partition
     local = ranged.withColumn("_mid", F.monotonically_increasing_id()) \

@@ -34,3 +34,12 @@ def test_dedup_latest_hot_key(spark):
     df = spark.createDataFrame(rows, "id string, seq int, v string")
     got = {r.id: (r.seq, r.v) for r in dedup_latest(df, ["id"], "seq").collect()}
     assert got == {"hot": (2999, "v2999"), "k": (1, "only")}
+
+
+def test_merge_paths_agree(spark):
+    target = spark.createDataFrame([(str(i), f"n{i}", i % 3) for i in range(200)], "id string, name string, x int")
+    batch = spark.createDataFrame([(str(i), f"m{i}" if i % 2 else f"n{i}", i) for i in range(150, 260)] + [("5", None, 0)],
+                                  "id string, name string, seq int")
+    small = sorted(tuple(r) for r in merge_upsert(target, batch, ["id"], "seq").collect())
+    big = sorted(tuple(r) for r in merge_upsert(target, batch, ["id"], "seq", max_broadcast_keys=0).collect())
+    assert small == big and len(small) == 260

@@ -26,9 +26,10 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
-def read_current(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Latest committed snapshot, or an empty table of ``schema``."""
-    v = versions(spark, path)
+def read_current(spark: SparkSession, path: str, schema: str, at_most: int | None = None) -> DataFrame:
+    """Latest committed snapshot (the latest not above ``at_most`` when given),
+    or an empty table of ``schema``."""
+    v = [x for x in versions(spark, path) if at_most is None or x <= at_most]
     if not v:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/v={v[-1]}")

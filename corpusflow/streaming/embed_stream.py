@@ -48,7 +48,9 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
     dead = j.where(F.col("reason").isNotNull()).select("chunk_id", "request_id", "reason") \
         .unionByName(emb.where(F.col("vector").isNull())
                      .select("chunk_id", "request_id", F.lit("embed_failed").alias("reason")))
-    cur = read_current(spark, points_path, POINTS_SCHEMA)
+    # Epoch e writes version e+1 from the snapshot as of before it (<= e): a
+    # replayed epoch rebuilds the same version and never reads what it overwrites.
+    cur = read_current(spark, points_path, POINTS_SCHEMA, at_most=epoch)
     merged = upsert_points(cur, pts, None).drop("_action")
     # data first, dead letters second; both keyed by the epoch for replay
     commit(merged, points_path, version=epoch + 1)

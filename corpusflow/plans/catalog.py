@@ -1026,3 +1026,24 @@ def q_vector_topk_ivf(spark, sf):
     pts = pts.checkpoint(eager=True)
     hits = search_ivf(pts, centers, I.vector_queries(spark, sf), k=5, nprobe=3, payload_cols=["type"])
     return hits.select("query_id", "rank", "point_id", "type", F.round("score", 6).alias("score"))
+
+
+@query("paged_api_source", f"WITH {REC_SQL} SELECT page_no, record_idx, item_seq, item_name FROM rec")
+def q_paged_api_source(spark, sf):
+    """S8 end to end: pages land as files (one folder per page, written by
+    Spark), the paged_api source reads them back in batches of 10 pages per
+    partition (file transport: no socket), and S1 explodes them."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.paged_api import register
+    from ..sources.pages import explode_json_pages
+    register(spark)
+    land = checkpoint_dir(spark).rstrip("/").replace("file:", "") + f"/api-{uuid.uuid4().hex}"
+    pages = I.json_pages(spark, sf)
+    pages.select("page_no", "body").write.partitionBy("page_no").text(land)
+    n = pages.agg(F.max("page_no")).first()[0] or 0
+    raw = spark.read.format("paged_api").options(transport="file", path=land, pages=f"1-{n}", batch_size="10",
+                                                  api_name=I.API_NAME, run_date=I.RUN_DATE).load()
+    r = explode_json_pages(raw)
+    return r.select("page_no", "record_idx", F.variant_get("record", "$.ITEM_SEQ", "string").alias("item_seq"),
+                    F.variant_get("record", "$.ITEM_NAME", "string").alias("item_name"))

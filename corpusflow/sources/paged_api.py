@@ -104,12 +104,19 @@ try:
                     time.sleep(backoff * (2 ** attempt))
 
         def _fetch_file(self, page_no: int) -> str | None:
+            """``{path}/{page_no}.{format}``, or a Spark-written page folder
+            ``{path}/page_no={page_no}/part-*`` holding the body as text."""
+            import glob
             import os
             path = os.path.join(self.o["path"], f"{page_no}.{self.o.get('format', 'json')}")
-            if not os.path.exists(path):
+            if os.path.exists(path):
+                with open(path, encoding="utf-8") as f:
+                    return f.read()
+            parts = sorted(glob.glob(os.path.join(self.o["path"], f"page_no={page_no}", "part-*")))
+            if not parts:
                 return None
-            with open(path, encoding="utf-8") as f:
-                return f.read()
+            with open(parts[0], encoding="utf-8") as f:
+                return f.read().rstrip("\n")
 
         def read(self, partition):
             o = self.o

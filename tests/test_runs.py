@@ -60,3 +60,23 @@ def test_index_run_then_nothing_left(spark):
     assert r2.points.count() == pts1.count() == r1.status.where(F.col("status") == "embedded").count()
     summ = r2.summary.first()
     assert summ.needs_index == 0 and summ.indexed_current == summ.documents
+
+
+def test_registry():
+    import pytest
+    from corpusflow.sources.registry import Dataset, Registry
+    reg = Registry([Dataset("items", "/data/items", keys=("id",))])
+    assert reg.resolve("items").keys == ("id",)
+    with pytest.raises(KeyError):
+        reg.resolve("nope")
+
+
+def test_registry_warns_on_missing_keys(spark):
+    import warnings
+    from corpusflow.sources.registry import Dataset, Registry
+    reg = Registry([Dataset("items", "/data/items", keys=("id", "region"))])
+    df = spark.createDataFrame([("1",)], "id string")
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        assert reg.check("items", df) == ["region"]
+    assert any("region" in str(x.message) for x in w)

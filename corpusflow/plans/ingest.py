@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import DEFAULT_SPEC, RecordSpec
 from ..operators.merge import merge_counts, merge_upsert, null_key_rows
+from ..session import checkpoint_dir
 from ..sources.ledger import LEDGER_KEYS, mark_pages, pending_pages
 from ..sources.pages import explode_json_pages, explode_xml_pages, map_to_variant, parse_records, plan_pages
 
@@ -46,6 +47,10 @@ def ingest_pages(raw_pages: DataFrame, ledger: DataFrame, items: DataFrame, now,
     plan = plan_pages(totals, page_size, batch_size)
     todo = pending_pages(plan, ledger)
     recs = recs.join(todo.select(*LEDGER_KEYS), LEDGER_KEYS, "left_semi")
+    # The pending records feed the item merge, the page sizes of the ledger and
+    # the quarantine: explode and parse them once.
+    checkpoint_dir(raw_pages.sparkSession)
+    recs = recs.checkpoint(eager=True)
     good, bad = parse_records(recs, spec, keep=(*LEDGER_KEYS, "record_idx"))
     upd = good.withColumn("_seq", F.col("page_no").cast("long") * 1000000 + F.col("record_idx"))
     merged = merge_upsert(items, upd.drop(*LEDGER_KEYS, "record_idx"), list(keys), "_seq")

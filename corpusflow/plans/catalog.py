@@ -954,15 +954,14 @@ def q_search(spark, sf):
 def _run_stream(spark, sf):
     import uuid
     from ..session import checkpoint_dir
-    from ..sources.tables import read_current
-    from ..streaming.embed_stream import POINTS_SCHEMA, read_dead_letters, start_embed_stream
+    from ..streaming.embed_stream import read_dead_letters, read_points, start_embed_stream
     base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
     # Each request lands whole in one file; at most 2 files per micro-batch.
     I.chunks(spark, sf).repartition(8, "request_id").write.json(base + "/landing")
     q = start_embed_stream(spark, base + "/landing", base + "/points", base + "/dead", base + "/ckpt",
                            max_files_per_trigger=2, max_items=100, max_bytes=100000)
     q.awaitTermination()
-    return read_current(spark, base + "/points", POINTS_SCHEMA), read_dead_letters(spark, base + "/dead")
+    return read_points(spark, base + "/points"), read_dead_letters(spark, base + "/dead")
 
 
 ADMIT_SQL = f"""adm AS (SELECT request_id, CASE WHEN count(*) > 100 THEN 'too_many_chunks'

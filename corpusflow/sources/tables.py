@@ -78,7 +78,8 @@ def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, key: str, bu
     cur = cur.join(F.broadcast(touched), "bucket", "left_semi")
     merged = merge_upsert(cur, nb, [key])
     merged.write.mode("overwrite").partitionBy("bucket").parquet(staging)
-    staged = spark.read.parquet(staging)
-    staged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("bucket").parquet(path)
-    return spark.read.parquet(staging)
+    staged = spark.read.schema(merged.schema).parquet(staging)
+    if staged.select("bucket").limit(1).count() or not exists(spark, path):
+        staged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("bucket").parquet(path)
+    return staged

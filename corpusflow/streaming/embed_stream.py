@@ -3,8 +3,9 @@
 Chunk requests land as JSON files; each micro-batch
   1. admits requests within limits (F5) and checks required fields,
   2. builds the embedder input (P6) and embeds (V3),
-  3. merges the points by id into the snapshot table (S10) - a replayed batch
-     rewrites the same version, so delivery is effectively exactly-once,
+  3. upserts the points by id into the bucketed points table (S10), rewriting
+     only the touched buckets; the upsert is idempotent, so a replayed batch
+     changes nothing and delivery is effectively exactly-once,
   4. writes rejected, invalid and failed chunks to a dead-letter table (ST5).
 Backpressure (ST2) is ``maxFilesPerTrigger``; drain-and-stop (ST3) is
 ``trigger(availableNow=True)``. Load status (ST4) is a view over progress
@@ -18,17 +19,16 @@ from pyspark.sql import functions as F
 from ..functions.payload import chunk_payload
 from ..functions.text import embedding_input
 from ..operators.embed import HashingEmbedder
-from ..operators.points import upsert_points
 from ..operators.state import admit_requests
 from ..sources.chunks import stream_chunk_requests, validate_chunks
-from ..sources.tables import commit, read_current
+from ..sources.tables import commit, exists, upsert_bucketed
 
 POINTS_SCHEMA = "point_id string, vector array<float>, payload string, embedding_version int"
 DEAD_SCHEMA = "chunk_id string, request_id string, reason string, epoch long"
 
 
 def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path: str, embedder=None,
-                  version: int = 1, max_items: int = 500, max_bytes: int = 5242880) -> None:
+                  version: int = 1, max_items: int = 500, max_bytes: int = 5242880, buckets: int = 64) -> None:
     spark = batch.sparkSession
     embedder = embedder or HashingEmbedder()
     checked = validate_chunks(batch).persist()
@@ -50,10 +50,11 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
                      .select("chunk_id", "request_id", F.lit("embed_failed").alias("reason")))
     # Epoch e writes version e+1 from the snapshot as of before it (<= e): a
     # replayed epoch rebuilds the same version and never reads what it overwrites.
-    cur = read_current(spark, points_path, POINTS_SCHEMA, at_most=epoch)
-    merged = upsert_points(cur, pts, None).drop("_action")
-    # data first, dead letters second; both keyed by the epoch for replay
-    commit(merged, points_path, version=epoch + 1)
+    # Only the hash buckets this batch touches are read, merged and rewritten
+    # (staged, then swapped in); a replayed epoch merges the same rows again,
+    # which changes nothing, and repairs a commit that stopped half way.
+    upsert_bucketed(spark, points_path, pts, "point_id", buckets, f"{points_path.rstrip('/')}_staging/epoch={epoch}",
+                    POINTS_SCHEMA)
     commit(dead.withColumn("epoch", F.lit(int(epoch))), f"{dead_path.rstrip('/')}/epoch={epoch}", version=0)
     checked.unpersist()
 
@@ -73,15 +74,14 @@ def start_embed_stream(spark: SparkSession, source_path: str, points_path: str,
     return w.start()
 
 
-def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
-    return spark.read.schema(DEAD_SCHEMA).parquet(f"{dead_path.rstrip('/')}/*/v=0") \
-        if _exists(spark, dead_path) else spark.createDataFrame([], DEAD_SCHEMA)
+def read_points(spark: SparkSession, points_path: str) -> DataFrame:
+    return spark.read.schema(POINTS_SCHEMA + ", bucket int").parquet(points_path) \
+        if exists(spark, points_path) else spark.createDataFrame([], POINTS_SCHEMA + ", bucket int")
 
 
-def _exists(spark, path):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
+    return spark.read.schema(DEAD_SCHEMA).parquet(f"{dead_path.rstrip('/')}/*/v=0") \
+        if exists(spark, dead_path) else spark.createDataFrame([], DEAD_SCHEMA)
 
 
 def stream_load(metrics: DataFrame, threshold: float = 0.7, size_col: str = "size", max_col: str = "max_size") -> DataFrame:

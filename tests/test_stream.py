@@ -6,19 +6,17 @@ from pyspark.sql import functions as F
 from conftest import SF
 from corpusflow.plans import inputs as I
 from corpusflow.sources.chunks import REQUEST_SCHEMA
-from corpusflow.sources.tables import read_current, versions
-from corpusflow.streaming.embed_stream import (POINTS_SCHEMA, process_batch, progress_rows, start_embed_stream,
-                                               stream_load)
+from corpusflow.streaming.embed_stream import process_batch, progress_rows, read_points, start_embed_stream, stream_load
 
 
 def test_replayed_batch_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="cf-stream-")
     batch = I.chunks(spark, SF).where(F.col("request_id").isin("src1", "src2", "pages"))
     process_batch(batch, 0, points_path=base + "/p", dead_path=base + "/d", max_items=100, max_bytes=100000)
-    first = sorted((r.point_id, tuple(r.vector)) for r in read_current(spark, base + "/p", POINTS_SCHEMA).collect())
+    first = sorted((r.point_id, tuple(r.vector)) for r in read_points(spark, base + "/p").collect())
     process_batch(batch, 0, points_path=base + "/p", dead_path=base + "/d", max_items=100, max_bytes=100000)
-    again = sorted((r.point_id, tuple(r.vector)) for r in read_current(spark, base + "/p", POINTS_SCHEMA).collect())
-    assert first == again and versions(spark, base + "/p") == [1]
+    again = sorted((r.point_id, tuple(r.vector)) for r in read_points(spark, base + "/p").collect())
+    assert first == again and len(first) > 0
 
 
 def test_progress_and_load(spark):

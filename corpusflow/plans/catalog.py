@@ -702,7 +702,7 @@ def q_vector_scores(spark, sf):
 
 def topk_sql(k: int, offset: int = 0, where: str = "true", threshold: str = "true") -> str:
     return f"""
-  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 50),
+  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings),
   p AS (SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type, CAST(embedding AS DOUBLE[]) AS pv FROM embeddings),
   s AS (SELECT query_id, point_id, type,
                list_dot_product(qv, pv) / (greatest(sqrt(list_dot_product(qv, qv)), 1e-9) *
@@ -742,7 +742,7 @@ def q_payload_filter(spark, sf):
 
 
 @query("vector_topk_dot", """
-  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 50),
+  WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings),
   p AS (SELECT vec_id AS point_id, CAST(embedding AS DOUBLE[]) AS pv FROM embeddings),
   r AS (SELECT query_id, point_id, sqrt(list_sum(list_transform(list_zip(qv, pv), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS score,
         row_number() OVER (PARTITION BY query_id ORDER BY sqrt(list_sum(list_transform(list_zip(qv, pv), lambda t: (t[1] - t[2]) * (t[1] - t[2])))), point_id) AS rn FROM q, p)

@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,10 +61,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(path)
     return path
 
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables, under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base.replace("file:", ""), "tables", name) if base.startswith(("file:", "/")) \
-        else base.rstrip("/") + "/tables/" + name
-    return path

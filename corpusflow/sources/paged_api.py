@@ -4,8 +4,8 @@
 (api_name, run_date, page_no, format, body); one input partition per batch
 of pages, so executors fetch in parallel and a lost task re-fetches only its
 batch. The transport is pluggable: "http" (urllib, retries with backoff) or
-"file" (pages read from ``{path}/{page_no}.{format}``, used by tests - no
-socket is opened).
+"file" (pages read from ``{path}/{page_no}.{format}`` or Spark-written
+``{path}/page_no=N/`` folders on any pyarrow filesystem; no HTTP request).
 
 Options: api_name, run_date, base_url, endpoint, service_key, format
 (json|xml), num_of_rows (100), pages ("1-250" or "1,2,5"), batch_size (100),
@@ -105,18 +105,26 @@ try:
 
         def _fetch_file(self, page_no: int) -> str | None:
             """``{path}/{page_no}.{format}``, or a Spark-written page folder
-            ``{path}/page_no={page_no}/part-*`` holding the body as text."""
-            import glob
-            import os
-            path = os.path.join(self.o["path"], f"{page_no}.{self.o.get('format', 'json')}")
-            if os.path.exists(path):
-                with open(path, encoding="utf-8") as f:
-                    return f.read()
-            parts = sorted(glob.glob(os.path.join(self.o["path"], f"page_no={page_no}", "part-*")))
-            if not parts:
+            ``{path}/page_no={page_no}/part-*`` holding the body as text. Paths
+            go through pyarrow's filesystem layer, so shared storage URIs work
+            from any executor."""
+            from pyarrow import fs as pafs
+            filesystem, root = pafs.FileSystem.from_uri(self.o["path"]) if "://" in self.o["path"] \
+                else (pafs.LocalFileSystem(), self.o["path"])
+            root = root.rstrip("/")
+
+            def read_text(p):
+                with filesystem.open_input_stream(p) as f:
+                    return f.read().decode("utf-8")
+            single = f"{root}/{page_no}.{self.o.get('format', 'json')}"
+            if filesystem.get_file_info(single).type == pafs.FileType.File:
+                return read_text(single)
+            folder = f"{root}/page_no={page_no}"
+            if filesystem.get_file_info(folder).type != pafs.FileType.Directory:
                 return None
-            with open(parts[0], encoding="utf-8") as f:
-                return f.read().rstrip("\n")
+            parts = sorted(i.path for i in filesystem.get_file_info(pafs.FileSelector(folder))
+                           if i.base_name.startswith("part-"))
+            return read_text(parts[0]).rstrip("\n") if parts else None
 
         def read(self, partition):
             o = self.o

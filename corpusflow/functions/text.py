@@ -152,6 +152,16 @@ def chunk_text(c, max_chars: int = 1000, overlap: int = 100) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def chunk_count(n_chars, max_chars: int = 1000, overlap: int = 100) -> Column:
+    """Number of windows :func:`chunk_text` makes for a text of ``n_chars``."""
+    n = _col(n_chars)
+    if max_chars <= 0:
+        return F.lit(1)
+    step = max_chars - overlap
+    return F.when(n == 0, 0).when(n <= max_chars, 1) \
+        .otherwise(1 + F.floor((n - max_chars + step - 1) / step).cast("int"))
+
+
 def mask_secret(c) -> Column:
     """Log-safe form of a key (P16): first 5, '...', last 3; non-string -> mark."""
     c = _col(c)

@@ -98,20 +98,22 @@ def mark_failed(state: DataFrame, failed: DataFrame, leases: DataFrame, now) ->
 def route(docs: DataFrame, state: DataFrame, leases: DataFrame, version: int, now) -> DataFrame:
     """Index routing (F8): one status per document.
 
-    ``docs`` has (doc_id, text, text_hash) with text already normalized.
-    Stale leases are released first (T1). Status: 'up_to_date' (F1 false),
+    ``docs`` has (doc_id, text_hash) and either the normalized ``text`` or a
+    boolean ``blank`` (routing needs no text: callers pass narrow rows so the
+    joins never move document text). Stale leases are released first (T1). Status: 'up_to_date' (F1 false),
     'leased' (held by someone), 'empty_text' (F6), 'skipped_same_hash' (F7:
     same hash and version as indexed), 'embed'.
     """
     st = state.select("doc_id", "embedding_version", "indexed_hash", F.lit(True).alias("has_state"))
     lz = release_stale(leases, now).select("doc_id", "owner", "expires_at", F.lit(True).alias("has_lease"))
+    blank = F.col("blank") if "blank" in docs.columns else (F.col("text") == "")
     j = docs.join(st, "doc_id", "left").join(lz, "doc_id", "left")
     prev_hash = F.coalesce(F.nullif(F.col("indexed_hash"), F.lit("")), F.lit(""))
     same = (prev_hash != "") & (prev_hash == F.col("text_hash")) & \
         F.col("embedding_version").eqNullSafe(F.lit(str(version)))
     status = (F.when(~needs_index(version), "up_to_date")
               .when(~lease_free(now), "leased")
-              .when(F.col("text") == "", "empty_text")
+              .when(blank, "empty_text")
               .when(same, "skipped_same_hash")
               .otherwise("embed"))
     return j.withColumn("status", status).drop("has_state", "has_lease")

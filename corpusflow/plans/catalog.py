@@ -494,7 +494,8 @@ def _routed(spark, sf):
     from ..operators.state import route
     from ..session import FIXED_NOW
     d, st, ls = _doc_state(spark, sf)
-    return route(d, st, ls, I.EMBEDDING_VERSION, FIXED_NOW)
+    narrow = d.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
+    return route(narrow, st, ls, I.EMBEDDING_VERSION, FIXED_NOW)
 
 
 @query("index_routing", f"WITH {DOC_STATE_SQL} SELECT doc_id, status FROM r")
@@ -542,7 +543,8 @@ def q_page_assignment(spark, sf):
     from ..plans.index import routed_documents
     from ..session import FIXED_NOW
     d, st, ls = _doc_state(spark, sf)
-    r = routed_documents(d, st, ls, I.EMBEDDING_VERSION, FIXED_NOW, I.INDEX_PAGE_SIZE)
+    narrow = d.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
+    r = routed_documents(narrow, st, ls, I.EMBEDDING_VERSION, FIXED_NOW, I.INDEX_PAGE_SIZE)
     return r.where(F.col("page_no").isNotNull()).select("doc_id", "page_no")
 
 

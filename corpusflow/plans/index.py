@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import point_id
-from ..functions.text import chunk_text
+from ..functions.text import chunk_count
 from ..operators import state as S
 from ..operators.embed import HashingEmbedder
 from ..operators.points import ensure_collection, index_summary, upsert_points
 from ..operators.ranking import assign_pages
 from ..session import checkpoint_dir
 
+# Above this many documents to embed, their text is fetched by a shuffled semi join.
+MAX_BROADCAST_IDS = 2_000_000
+
 
 def routed_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, version: int, now,
                      page_size: int = 500) -> DataFrame:
@@ -53,14 +56,21 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
     commit (data first, then state, as the reference orders it)."""
     embedder = embedder or HashingEmbedder()
     checkpoint_dir(docs.sparkSession)
-    routed = routed_documents(docs, state, leases, version, now, page_size).checkpoint(eager=True)
+    # Route on narrow rows: the joins with state and leases never move text.
+    narrow = docs.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
+    routed = routed_documents(narrow, state, leases, version, now, page_size).checkpoint(eager=True)
 
     acquired = routed.where(F.col("status").isin("empty_text", "skipped_same_hash", "embed")).select("doc_id")
     leases1 = S.acquire(acquired, S.release_stale(leases, now), owner, now, lease_seconds)
 
-    to_embed = routed.where(F.col("status") == "embed").select("doc_id", "text", "text_hash")
+    # Text is fetched only for the documents to embed: a broadcast semi join
+    # when their id list is small enough (the usual incremental run), else a
+    # shuffled one.
+    embed_ids = routed.where(F.col("status") == "embed").select("doc_id")
+    ids = F.broadcast(embed_ids) if embed_ids.count() <= MAX_BROADCAST_IDS else embed_ids
+    to_embed = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text", "text_hash")
     vec = embedder.embed(to_embed, ["doc_id"], "text", role="passage")
-    emb = to_embed.join(vec, "doc_id", "left")
+    emb = to_embed.select("doc_id", "text_hash", F.char_length("text").alias("n_chars")).join(vec, "doc_id", "left")
     if "embed_error" not in emb.columns:
         emb = emb.withColumn("embed_error", F.when(F.col("vector").isNull(), F.lit("Vector dimension is 0")))
     emb = emb.withColumn("embed_error", F.coalesce("embed_error", F.when(F.size("vector") <= 0,
@@ -72,7 +82,7 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
     new_points = ok.select(
         point_id("doc_id", version).alias("point_id"), "vector", F.lit(dataset_type).alias("type"),
         F.col("doc_id").cast("string").alias("doc_id"), F.lit(int(version)).alias("embedding_version"),
-        F.greatest(F.size(chunk_text(F.col("text"), chunk_size, overlap)), F.lit(1)).alias("chunk_count"),
+        F.greatest(chunk_count("n_chars", chunk_size, overlap), F.lit(1)).alias("chunk_count"),
         F.lit(int(chunk_size)).alias("chunk_size"), F.lit(int(overlap)).alias("overlap"))
     meta2, drop_existing = ensure_collection(new_points, meta, collection, distance, on_mismatch)
     base_points = points.limit(0) if drop_existing else points

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.payload import chunk_payload, resolve_chunk
 from ..operators.embed import HashingEmbedder
 from ..operators.search import search
+from ..session import checkpoint_dir
+
+# Above this many hit ids the payload lookup uses a shuffled semi join.
+MAX_BROADCAST_HITS = 2_000_000
 
 
 def chunk_points(chunks: DataFrame, embedder=None) -> DataFrame:
@@ -31,7 +35,11 @@ def search_chunks(points: DataFrame, queries: DataFrame, *, embedder=None, k: in
     # Score on (id, vector) only; payloads (whole chunk texts) are looked up
     # for the hits alone: at most queries x k rows, broadcast into one scan.
     hits = search(src.select("point_id", "vector"), qv, k=k, threshold=threshold)
-    hits = hits.join(src.select("point_id", "payload").join(F.broadcast(hits.select("point_id").distinct()),
-                                                           "point_id", "left_semi"), "point_id")
+    checkpoint_dir(points.sparkSession)
+    hits = hits.checkpoint(eager=True)
+    ids = hits.select("point_id").distinct()
+    # at most queries x k ids: broadcast under the bound, shuffled beyond it
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_HITS else ids
+    hits = hits.join(src.select("point_id", "payload").join(ids, "point_id", "left_semi"), "point_id")
     hits = hits.where(F.col("payload").isNotNull()).withColumn("chunk", resolve_chunk("payload"))
     return hits.select("query_id", "rank", "score", "point_id", "chunk.*").drop("_missing")

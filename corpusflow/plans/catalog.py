@@ -606,9 +606,9 @@ def q_release_owned(spark, sf):
          CASE WHEN e.doc_id IS NOT NULL THEN '1' ELSE st.embedding_version END AS embedding_version,
          CASE WHEN e.doc_id IS NOT NULL THEN coalesce(e.text_hash, '') ELSE st.indexed_hash END AS indexed_hash,
          CASE WHEN e.doc_id IS NOT NULL THEN '2024-01-31 00:00:00' ELSE '2024-01-30 00:00:00' END AS indexed_at,
+         -- a matched row always changes: indexed_at moves from the day before to now
          CASE WHEN st.doc_id IS NULL THEN 'upserted' WHEN e.doc_id IS NULL THEN 'kept'
-              WHEN st.embedding_version IS DISTINCT FROM '1' OR st.indexed_hash IS DISTINCT FROM coalesce(e.text_hash, '')
-                   OR true THEN 'modified' ELSE 'same' END AS _action
+              ELSE 'modified' END AS _action
   FROM st FULL OUTER JOIN (SELECT doc_id, text_hash FROM r WHERE status = 'embed') e USING (doc_id)""")
 def q_mark_indexed(spark, sf):
     from ..operators.state import mark_indexed

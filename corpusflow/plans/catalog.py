@@ -755,7 +755,7 @@ def q_vector_topk_euclid(spark, sf):
     return hits.select("query_id", "rank", "point_id", F.round("score", 6).alias("score"))
 
 
-@query("points_scroll", """SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type, len(embedding) AS dim,
+@query("points_scroll", """SELECT vec_id AS point_id, CAST(label AS VARCHAR) AS type, CAST(len(embedding) AS INTEGER) AS dim,
   round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings WHERE vec_id > 100 ORDER BY vec_id LIMIT 10""")
 def q_points_scroll(spark, sf):
     from ..operators.ranking import scroll
@@ -783,7 +783,8 @@ def q_point_upsert(spark, sf):
     return upsert_points(pts, new).select("point_id", "type", "_action")
 
 
-@query("vector_schema_check", """SELECT min(len(embedding)) AS batch_min_dim, max(len(embedding)) AS batch_max_dim,
+@query("vector_schema_check", """SELECT CAST(min(len(embedding)) AS INTEGER) AS batch_min_dim,
+  CAST(max(len(embedding)) AS INTEGER) AS batch_max_dim,
   384 AS coll_dim, 'cosine' AS coll_distance, 'cosine' AS want_distance,
   CASE WHEN min(len(embedding)) <> max(len(embedding)) THEN 'error' WHEN max(len(embedding)) = 384 THEN 'ok' ELSE 'error' END AS decision
   FROM embeddings""")
@@ -911,7 +912,7 @@ def q_index_documents(spark, sf):
     count(*) FILTER (WHERE status = 'skipped_same_hash') AS skipped_same_hash,
     count(*) FILTER (WHERE status = 'embed') AS embedded, count(*) FILTER (WHERE status = 'embed') AS upserted,
     count(*) FILTER (WHERE status IN ('embed', 'empty_text', 'skipped_same_hash')) AS marked_indexed,
-    0 AS marked_failed
+    CAST(0 AS BIGINT) AS marked_failed
   FROM r JOIN pg USING (doc_id) GROUP BY 1""")
 def q_page_stats(spark, sf):
     return _index_run(spark, sf).page_stats

@@ -1049,3 +1049,25 @@ def q_paged_api_source(spark, sf):
     r = explode_json_pages(raw)
     return r.select("page_no", "record_idx", F.variant_get("record", "$.ITEM_SEQ", "string").alias("item_seq"),
                     F.variant_get("record", "$.ITEM_NAME", "string").alias("item_name"))
+
+
+@query("index_chunks", f"""WITH {DOC_STATE_SQL},
+  e AS (SELECT r.doc_id, dh.text, length(dh.text) AS n FROM r JOIN dh USING (doc_id) WHERE r.status = 'embed'),
+  k AS (SELECT doc_id, text, CASE WHEN n = 0 THEN 0 WHEN n <= 1600 THEN 1
+        ELSE 1 + CAST(ceil((n - 1600) / 1520.0) AS BIGINT) END AS k FROM e),
+  c AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx, k,
+               left(sha256(CAST(doc_id AS VARCHAR) || '|' || substring(text, i * 1520 + 1, 1600)), 24) AS point_id
+        FROM k, range(0, k) t(i))
+  SELECT CAST(doc_id AS VARCHAR) AS doc_id, chunk_idx, point_id, CAST(k AS INTEGER) AS chunk_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY chunk_idx DESC) AS rn FROM c) WHERE rn = 1""")
+def q_index_chunks(spark, sf):
+    """Q2 at chunk granularity: one point per window of each embedded document."""
+    from ..plans.index import index_documents
+    from ..session import FIXED_NOW
+    d, st, ls = _doc_state(spark, sf)
+    empty_points = spark.createDataFrame([], "point_id string, vector array<float>, type string, doc_id string, "
+                                             "embedding_version int, chunk_count int, chunk_size int, overlap int")
+    r = index_documents(d, st, ls, empty_points, None, version=I.EMBEDDING_VERSION, owner="indexer-1",
+                        now=FIXED_NOW, page_size=I.INDEX_PAGE_SIZE, chunk_size=I.CHUNK_MAX,
+                        overlap=I.CHUNK_OVERLAP, lease_seconds=I.LEASE_SECONDS, granularity="chunk")
+    return r.points.select("doc_id", "chunk_idx", "point_id", "chunk_count")

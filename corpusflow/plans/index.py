@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import point_id
-from ..functions.text import chunk_count
+from ..functions.hashing import chunk_id, point_id
+from ..functions.text import chunk_count, chunk_text
 from ..operators import state as S
 from ..operators.embed import HashingEmbedder
 from ..operators.points import ensure_collection, index_summary, upsert_points
@@ -50,10 +50,20 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
                     meta: DataFrame | None, *, version: int, owner: str, now, embedder=None,
                     collection: str = "documents", dataset_type: str = "documents", page_size: int = 500,
                     chunk_size: int = 1600, overlap: int = 80, lease_seconds: int = 300,
-                    distance: str = "cosine", on_mismatch: str = "error") -> IndexResult:
+                    distance: str = "cosine", on_mismatch: str = "error",
+                    granularity: str = "document") -> IndexResult:
     """One indexing run. ``docs`` has (doc_id, text, text_hash) with the
     canonical text. Returns the new tables; writing them is the caller's
-    commit (data first, then state, as the reference orders it)."""
+    commit (data first, then state, as the reference orders it).
+
+    ``granularity``: 'document' makes one point per document (point id =
+    uuid5 of doc and version); 'chunk' cuts the canonical text into
+    ``chunk_size``/``overlap`` windows and makes one point per window (point
+    id = the chunk id; identical windows of a document share it, the later
+    one wins). A document counts as embedded when all its windows are; its
+    earlier points are replaced."""
+    if granularity not in ("document", "chunk"):
+        raise ValueError("granularity must be 'document' or 'chunk'")
     embedder = embedder or HashingEmbedder()
     checkpoint_dir(docs.sparkSession)
     # Route on narrow rows: the joins with state and leases never move text.
@@ -69,24 +79,57 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
     embed_ids = routed.where(F.col("status") == "embed").select("doc_id")
     ids = F.broadcast(embed_ids) if embed_ids.count() <= MAX_BROADCAST_IDS else embed_ids
     to_embed = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text", "text_hash")
-    vec = embedder.embed(to_embed, ["doc_id"], "text", role="passage")
-    emb = to_embed.select("doc_id", "text_hash", F.char_length("text").alias("n_chars")).join(vec, "doc_id", "left")
-    if "embed_error" not in emb.columns:
-        emb = emb.withColumn("embed_error", F.when(F.col("vector").isNull(), F.lit("Vector dimension is 0")))
-    emb = emb.withColumn("embed_error", F.coalesce("embed_error", F.when(F.size("vector") <= 0,
+    if granularity == "document":
+        vec = embedder.embed(to_embed, ["doc_id"], "text", role="passage")
+        emb = to_embed.select("doc_id", "text_hash", F.char_length("text").alias("n_chars")).join(vec, "doc_id", "left")
+        if "embed_error" not in emb.columns:
+            emb = emb.withColumn("embed_error", F.when(F.col("vector").isNull(), F.lit("Vector dimension is 0")))
+        emb = emb.withColumn("embed_error", F.coalesce("embed_error", F.when(F.size("vector") <= 0,
+                                                                            F.lit("Vector dimension is 0"))))
+    else:
+        ch = to_embed.select("doc_id", F.posexplode(chunk_text(F.col("text"), chunk_size, overlap))
+                             .alias("chunk_idx", "chunk"))
+        vec = embedder.embed(ch, ["doc_id", "chunk_idx"], "chunk", role="passage")
+        cv = ch.select("doc_id", "chunk_idx", chunk_id("doc_id", "chunk").alias("chunk_id")) \
+            .join(vec, ["doc_id", "chunk_idx"], "left")
+        if "embed_error" not in cv.columns:
+            cv = cv.withColumn("embed_error", F.when(F.col("vector").isNull(), F.lit("Vector dimension is 0")))
+        cv = cv.checkpoint(eager=True)
+        per_doc = cv.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("n_chunks"),
+                                           F.max("embed_error").alias("embed_error"))
+        emb = to_embed.select("doc_id", "text_hash", F.char_length("text").alias("n_chars")) \
+            .join(per_doc, "doc_id", "left") \
+            .withColumn("embed_error", F.coalesce("embed_error", F.when(F.col("n_chunks").isNull(),
                                                                         F.lit("Vector dimension is 0"))))
     emb = emb.checkpoint(eager=True)
     ok = emb.where(F.col("embed_error").isNull())
     failed = emb.where(F.col("embed_error").isNotNull())
 
-    new_points = ok.select(
-        point_id("doc_id", version).alias("point_id"), "vector", F.lit(dataset_type).alias("type"),
-        F.col("doc_id").cast("string").alias("doc_id"), F.lit(int(version)).alias("embedding_version"),
-        F.greatest(chunk_count("n_chars", chunk_size, overlap), F.lit(1)).alias("chunk_count"),
-        F.lit(int(chunk_size)).alias("chunk_size"), F.lit(int(overlap)).alias("overlap"))
+    if granularity == "document":
+        new_points = ok.select(
+            point_id("doc_id", version).alias("point_id"), "vector", F.lit(dataset_type).alias("type"),
+            F.col("doc_id").cast("string").alias("doc_id"), F.lit(int(version)).alias("embedding_version"),
+            F.greatest(chunk_count("n_chars", chunk_size, overlap), F.lit(1)).alias("chunk_count"),
+            F.lit(int(chunk_size)).alias("chunk_size"), F.lit(int(overlap)).alias("overlap"))
+        order = None
+        replaced = points
+    else:
+        new_points = cv.join(ok.select("doc_id", "n_chunks"), "doc_id").select(
+            F.col("chunk_id").alias("point_id"), "vector", F.lit(dataset_type).alias("type"),
+            F.col("doc_id").cast("string").alias("doc_id"), F.lit(int(version)).alias("embedding_version"),
+            F.col("n_chunks").alias("chunk_count"), F.lit(int(chunk_size)).alias("chunk_size"),
+            F.lit(int(overlap)).alias("overlap"), F.col("chunk_idx").cast("int").alias("chunk_idx"))
+        order = "chunk_idx"
+        # the earlier windows of re-embedded documents go away
+        gone = ok.select(F.col("doc_id").cast("string").alias("doc_id"))
+        replaced = points.join(gone, "doc_id", "left_anti")
     meta2, drop_existing = ensure_collection(new_points, meta, collection, distance, on_mismatch)
-    base_points = points.limit(0) if drop_existing else points
-    points2 = upsert_points(base_points, new_points)
+    base_points = points.limit(0) if drop_existing else replaced
+    if order:
+        # keep the window index as a column of the table
+        new_points = new_points.withColumn("_order", F.col("chunk_idx"))
+        order = "_order"
+    points2 = upsert_points(base_points, new_points, order)
 
     done = routed.where(F.col("status").isin("empty_text", "skipped_same_hash")).select("doc_id", "text_hash") \
         .unionByName(ok.select("doc_id", "text_hash"))
@@ -99,7 +142,8 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
     status = F.when(F.col("status") != "embed", F.col("status")) \
         .when(F.col("embed_error").isNull(), "embedded").otherwise("failed")
     out = final.select("doc_id", "page_no", status.alias("status"),
-                       F.when(status == "embedded", point_id("doc_id", version)).alias("point_id"))
+                       F.when((status == "embedded") & F.lit(granularity == "document"),
+                              point_id("doc_id", version)).alias("point_id"))
     stats = S.page_stats(final.withColumn("status", F.when(F.col("embed_error").isNotNull(), "failed")
                                           .otherwise(F.col("status"))))
     summ = index_summary(docs, state2.drop("_action"), points2.drop("_action"), version)

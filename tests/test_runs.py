@@ -80,3 +80,24 @@ def test_registry_warns_on_missing_keys(spark):
         warnings.simplefilter("always")
         assert reg.check("items", df) == ["region"]
     assert any("region" in str(x.message) for x in w)
+
+
+def test_chunk_granularity_replaces_windows(spark):
+    from corpusflow.functions.hashing import text_hash
+    from corpusflow.plans.index import index_documents
+    def docs(texts):
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        return df.withColumn("text_hash", text_hash(F.col("text")))
+    state = spark.createDataFrame([], "doc_id long, embedding_version string, indexed_hash string, indexed_at timestamp_ntz, "
+                                      "last_error string, last_error_at timestamp_ntz")
+    ls = spark.createDataFrame([], "doc_id long, owner string, expires_at timestamp_ntz, heartbeat_at timestamp_ntz")
+    pts = spark.createDataFrame([], "point_id string, vector array<float>, type string, doc_id string, "
+                                    "embedding_version int, chunk_count int, chunk_size int, overlap int")
+    kw = dict(version=1, owner="o", now=FIXED_NOW, chunk_size=10, overlap=2, granularity="chunk")
+    r1 = index_documents(docs({1: "alpha beta gamma delta epsilon", 2: "short"}), state, ls, pts, None, **kw)
+    p1 = r1.points.checkpoint()
+    assert sorted(r.chunk_idx for r in p1.where("doc_id = '1'").collect()) == [0, 1, 2, 3]
+    r2 = index_documents(docs({1: "alpha beta gamma", 2: "short"}), r1.state.checkpoint(), r1.leases, p1, r1.meta, **kw)
+    p2 = {(r.doc_id, r.chunk_idx) for r in r2.points.collect()}
+    assert p2 == {("1", 0), ("1", 1), ("2", 0)}       # doc 1 re-embedded: 2 windows, old ones gone
+    assert {r.status for r in r2.status.collect()} == {"embedded", "up_to_date"}

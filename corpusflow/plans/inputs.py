@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import text_hash
-from ..functions.text import extract_text, normalize_again, normalize_text
+from ..functions.text import extract_text, normalize_again
 from ..functions.time import lease_expiry, ts_lit
 from ..operators.points import attach_row
 from ..operators.ranking import global_rank

@@ -20,6 +20,9 @@ MAX_BROADCAST_HITS = 2_000_000
 def chunk_points(chunks: DataFrame, embedder=None) -> DataFrame:
     """Points for chunks (ST1's batch twin): point id = chunk_id, payload = chunk JSON."""
     embedder = embedder or HashingEmbedder()
+    # One shuffle by chunk id up front: the embedder's per-chunk aggregations
+    # and the payload join then all reuse that partitioning.
+    chunks = chunks.repartition("chunk_id")
     vec = embedder.embed(chunks, ["chunk_id"], "contents", role="passage")
     pay = chunks.select("chunk_id", chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta").alias("payload"))
     return vec.join(pay, "chunk_id").select(F.col("chunk_id").alias("point_id"), "vector", "payload")

@@ -101,3 +101,13 @@ def test_chunk_granularity_replaces_windows(spark):
     p2 = {(r.doc_id, r.chunk_idx) for r in r2.points.collect()}
     assert p2 == {("1", 0), ("1", 1), ("2", 0)}       # doc 1 re-embedded: 2 windows, old ones gone
     assert {r.status for r in r2.status.collect()} == {"embedded", "up_to_date"}
+
+
+def test_request_params(spark):
+    from corpusflow.sources.paged_api import request_plan
+    plan = spark.createDataFrame([(1,), (2,)], "page_no int")
+    js = {r.page_no: r.params for r in request_plan(plan, 100, "json", {"numOfRows": "7", "q": "x"},
+                                                     service_key="abcdefghij").collect()}
+    assert js[1] == {"serviceKey": "abcde...hij", "type": "json", "pageNo": "1", "numOfRows": "7", "q": "x"}
+    xm = request_plan(plan, 100, "xml", None, service_key=None).first().params
+    assert "type" not in xm and xm["serviceKey"] == "***MASKED***"

@@ -23,6 +23,8 @@ from ..operators.state import admit_requests
 from ..sources.chunks import stream_chunk_requests, validate_chunks
 from ..sources.tables import commit, exists, upsert_bucketed
 
+# Above this many requests in one micro-batch the verdicts join by shuffle.
+MAX_BROADCAST_REQUESTS = 1_000_000
 POINTS_SCHEMA = "point_id string, vector array<float>, payload string, embedding_version int"
 DEAD_SCHEMA = "chunk_id string, request_id string, reason string, epoch long"
 
@@ -33,7 +35,10 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
     embedder = embedder or HashingEmbedder()
     checked = validate_chunks(batch).persist()
     adm = admit_requests(checked, max_items=max_items, max_bytes=max_bytes).select("request_id", "reject_reason")
-    j = checked.join(adm, "request_id", "left")
+    # One verdict row per request: broadcast under a bound, so a request that
+    # holds a large share of the batch never lands in one shuffled task.
+    adm = adm.checkpoint(eager=True)
+    j = checked.join(F.broadcast(adm) if adm.count() <= MAX_BROADCAST_REQUESTS else adm, "request_id", "left")
     reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")) \
         .when(~F.col("valid"), F.concat(F.lit("missing:"), F.array_join("missing", ",")))
     j = j.withColumn("reason", reason)

@@ -68,3 +68,20 @@ def test_xml_records_parse(spark):
     r = explode_xml_pages(_pages(spark, [body], "xml")).withColumn("record", map_to_variant("record_map"))
     good, bad = parse_records(r)
     assert [(x.id, x.vendor) for x in good.collect()] == [("3", "v")] and bad.count() == 0
+
+
+def test_custom_paths(spark):
+    body = '{"response": {"data": {"rows": [{"ITEM_SEQ": "1"}, {"ITEM_SEQ": "2"}]}, "meta": {"n": 2}}}'
+    out = explode_json_pages(_pages(spark, [body]), records_path=("response", "data", "rows"),
+                             total_path=("response", "meta", "n")).collect()
+    assert [r.record_idx for r in out] == [0, 1] and {r.total_count for r in out} == {"2"}
+
+
+def test_payload_resolution(spark):
+    from corpusflow.functions.payload import resolve_chunk
+    df = spark.createDataFrame([('{"docId": "a", "itemSequence": "s", "name": "n"}',),
+                                ('{"docId": "b", "contents": "x", "meta": {"k": "v"}}',), ("not json",)], "p string")
+    got = [r.c for r in df.select(resolve_chunk("p").alias("c")).collect()]
+    assert (got[0].contents, got[0].meta, got[0]._missing) == ("", {}, [])
+    assert got[1]._missing == ["itemSequence", "name"] and got[1].meta == {"k": "v"}
+    assert got[2]._missing

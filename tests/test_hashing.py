@@ -28,3 +28,26 @@ def test_chunk_and_item_ids(spark):
     assert r.c == hashlib.sha256("d1|chunk é".encode()).hexdigest()[:24]
     assert r.i == hashlib.md5(b"201707337-test").hexdigest()
     assert r.t == hashlib.sha1("chunk é".encode()).hexdigest()
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_keys = st.sampled_from(["ITEM_SEQ", "ITEM_NAME", "ENTP_NAME", "content_hash", "contentHash", "Z", "a", "가"])
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.dictionaries(_keys, st.one_of(st.none(), st.text(max_size=6)), max_size=6), min_size=1, max_size=6))
+def test_row_hash_property(spark, recs):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(recs)], "i int, m map<string,string>")
+    got = {r.i: r.h for r in df.select("i", H.row_hash("m").alias("h")).collect()}
+    for i, rec in enumerate(recs):
+        vals = [("" if v is None else v) for k, v in sorted(rec.items()) if k not in ("content_hash", "contentHash")]
+        assert got[i] == hashlib.md5("|".join(vals).encode()).hexdigest()
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(min_size=1, max_size=12), min_size=1, max_size=8))
+def test_point_id_property(spark, ids):
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(ids)], "i int, d string")
+    got = {r.i: r.p for r in df.select("i", H.point_id("d", 1).alias("p")).collect()}
+    assert all(got[i] == str(uuid.uuid5(uuid.NAMESPACE_URL, f"doc:{d}|v1")) for i, d in enumerate(ids))

@@ -13,10 +13,10 @@ are verified by a banded bit-parallel edit distance.
 
 Keys are shuffled as 64-bit hashes; only keys that two different lines share go
 on, so most rows end there. Long buckets are refined before any pair is made.
-An edit changes how often at most two characters occur, so of 2 * max_edits + 1
-classes of characters one at least has the same counts in both lines: a key that
-more than ``BUCKET`` lines share is replaced by one key per class, with the
-class's characters of the whole line. What is still long goes through its first
+An edit changes how often at most two characters occur, so of 2 * max_edits + 3
+classes of characters three at least have the same counts in both lines: a key
+that more than ``BUCKET`` lines share is replaced by one key per three classes,
+with those classes' characters of the whole line. What is still long goes through its first
 line: members linked to it are one component, and only members of different
 components are paired. None of this loses a link between components.
 
@@ -27,6 +27,7 @@ ignored; empty tables give no rows; lines of any length are compared whole.
 """
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -132,12 +133,13 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def character_classes(line: str, k: int) -> list[int]:
-    """For each of 2k + 1 classes of characters, a hash of those that the line has (in sorted order)."""
-    n = 2 * k + 1
+    """For each three of 2k + 3 classes of characters, a hash of how many of each the line has."""
+    n = 2 * k + 3
     held: list[list[str]] = [[] for _ in range(n)]
     for c in sorted(line):
         held[ord(c) % n].append(c)
-    return [_hash("".join(h), 0, i) for i, h in enumerate(held)]
+    texts = ["".join(h) for h in held]
+    return [_hash("".join(texts[i] for i in three), 0, no) for no, three in enumerate(itertools.combinations(range(n), 3))]
 
 
 def _linked(pairs: DataFrame, lines: DataFrame, max_edits: int) -> DataFrame:

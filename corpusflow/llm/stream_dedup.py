@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpusflow.llm.common import id_filter, maybe_in, saved, work_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+         # Many small stores: no megabytes of disk set aside for each one's logs.
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(text: str = "text") -> Column:
@@ -53,13 +55,15 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str, out: str, dige
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         q = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(keep).start()
         q.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     fields = "digest binary, first struct<none:boolean,doc_id:bigint,file:string,row:bigint>, n bigint, epoch int"
     try:
         seen = spark.read.schema(fields).parquet(f"{out}/epoch=*")

@@ -14,7 +14,9 @@ An empty table gives no records. Texts of any length are encoded whole.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm.common import saved, work_path
 
-CHUNK_CACHE = 300_000
+CHUNK_CACHE = 1_200_000
 NULL_ID = -(1 << 63)
 MANIFEST = "shard int, path string, n_records long, n_tokens long"
 RECORDS = "shard int, rec long, doc_id long, in_shard long, n_tokens long, ids_crc32 long, byte_offset long, n_bytes long"
@@ -96,36 +98,92 @@ def frame(payloads: list[bytes]) -> list[bytes]:
 
 
 # ---- encoding -------------------------------------------------------------------------------
-_ENC: dict[tuple, "Encoder"] = {}
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
+_CONTROL = re.compile("[\x1c-\x1f]")
+
+
+def _letters(word: str) -> bool:
+    """Whether normalising and lower-casing leave nothing but letters."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
 class Encoder:
     """Whole texts to id bytes with a tokenizer that never joins anything across white space.
 
     The text is cut at blanks and line feeds; each distinct piece goes through
-    the tokenizer once and is remembered (bounded). This holds for tokenizers
-    whose pre-tokenizer drops white space; others get the text in one piece.
+    the tokenizer once and is remembered (bounded). New words of letters only are
+    encoded side by side in one text and told apart by the mark that the
+    vocabulary puts at a word's end. This holds for tokenizers whose
+    pre-tokenizer drops white space; others get each text in one piece.
     """
 
     def __init__(self, path: str, dtype: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
-        pre = self.tok.encode("a b", add_special_tokens=False).ids
-        self.split = pre == [i for p in "ab" for i in self.tok.encode(p, add_special_tokens=False).ids] and not self.tok.encode(" \n", add_special_tokens=False).ids
+        self.split = self._ids("a b") == self._ids("a") + self._ids("b") and not self._ids(" \n")
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        size = self.tok.get_vocab_size()
+        self.ends = np.array([bool(suffix) and (self.tok.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.marks = bool(suffix) and self.split and self._ids("a,.") == self._ids("a") + self._ids(",.")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _bytes(self, text: str) -> bytes:
+        return np.array(self._ids(text), self.dtype).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        known, words, marked, rest = self.known, {}, [], []
+        for p in pieces:
+            if p.isalpha():
+                words[p] = None
+            else:
+                core = p.rstrip(_MARKS) if self.marks else p
+                if len(core) < len(p) and _letters(core):  # marks after letters are a token run of their own
+                    marked.append((p, core))
+                    if core not in known:
+                        words[core] = None
+                else:
+                    rest.append(p)
+        words = list(words)
+        if self.marks and words:
+            ids = np.array(self._ids(" ".join(words)), self.dtype)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(words) and ends[-1] == len(ids):
+                raw, at, step = ids.tobytes(), 0, ids.itemsize
+                for w, end in zip(words, (ends * step).tolist()):
+                    known[w] = raw[at:end]
+                    at = end
+                words = []
+        rest += words
+        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
+            known[p] = np.array(e.ids, self.dtype).tobytes()
+        for p, core in marked:
+            tail = p[len(core):]
+            if tail not in known:
+                known[tail] = self._bytes(tail)
+            known[p] = known[core] + known[tail]
 
     def __call__(self, text: str) -> bytes:
         if not self.split:
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        known, pieces = self.known, text.replace("\n", " ").split(" ")
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CHUNK_CACHE:
+            return self._bytes(text)
+        known = self.known
+        # Python's white space is the tokenizer's and four control characters.
+        pieces = text.replace("\n", " ").split(" ") if _CONTROL.search(text) else text.split()
+        found = list(map(known.get, pieces))
+        if None in found:
+            at = [k for k, f in enumerate(found) if f is None]
+            if len(known) + len(at) > CHUNK_CACHE:
                 known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+                at = range(len(pieces))
+            self._learn({pieces[k] for k in at})
+            for k in at:
+                found[k] = known[pieces[k]]
+        return b"".join(found)
+
+
+_ENC: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, dtype: str) -> Encoder:

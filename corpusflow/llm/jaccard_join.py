@@ -6,12 +6,13 @@ for the result, which gives each document its connected component:
 
 1. Equal sets become one representative.
 2. Similar representatives are put into groups: MinHash bands name a leader
-   per bucket (its smallest id), each member is compared with its leader only,
-   and verified links are joined into components. No bucket is paired out.
+   per bucket (the member whose buckets are the largest, so that it stands in
+   the middle of its copies), each member is compared with its leader only, and
+   verified links are joined into components. No bucket is paired out.
 3. The token-group matrix holds, for each group, the union of its members'
    tokens, restricted to the rarest ones of each member (an extended prefix):
-   two sets that link share at least ``min(ell)`` tokens of their prefixes, so two
-   groups can hold a link only if their unions share as many. Shared tokens
+   two sets that link share at least ``_least(...)`` tokens of their prefixes, so
+   two groups can hold a link only if their unions share as many. Shared tokens
    are counted per pair of groups; the count bounds every member's overlap.
 4. Only qualifying groups are opened: their members are bounded against the
    other group's union in the same way, and the pairs left are verified.
@@ -134,7 +135,19 @@ def _fits(a: str, b: str, pct: int) -> str:
 
 
 def _ell(n):
-    return 1 + n // 16
+    return 1 + n // 32
+
+
+def _least(small: str, large: str, pct: int) -> str:
+    """Tokens at least that the prefixes of linked sets of these sizes (small <= large) share.
+
+    Linked sets have t >= r (small + large) tokens in common, r = pct / (100 + pct).
+    The c-th of them stands no later than at n - t + c in a set of n, so it is in the
+    prefix of length n - ceil(pct n) + ell(n) if c <= ell(n) - ceil(pct n) + t, which is
+    least for the larger set. Written without rounding, so a little lower.
+    """
+    r, p = pct / (100 + pct), pct / 100
+    return f"greatest(1.0D, {r}D * ({small} + {large}) + {large} / 32.0D - {p}D * {large} - 0.97D)"
 
 
 def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) -> DataFrame:
@@ -184,7 +197,12 @@ def jaccard_components(docs: DataFrame, pct: int = PCT, doc_id: str = "doc_id",
     # 2. Groups: each member of a MinHash bucket against the bucket's first.
     banded = (known.select("doc_id", "set_key", F.explode("bands").alias("band"))
               .join(of_set.select("set_key", "rep", F.col("n").alias("m")), "set_key").where("doc_id = rep").select("band", "rep", "m"))
-    leads = banded.groupBy("band").agg(F.min(F.struct("rep", "m")).alias("l"), F.count("*").alias("c")).where("c > 1").select("band", "l.rep", "l.m").toDF("band", "lead", "lead_n")
+    banded = saved(banded, "jaccard-bands")
+    large = banded.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    banded = banded.join(large, "band")
+    central = banded.groupBy("rep").agg(F.sum("c").alias("near"))
+    banded = saved(banded.drop("c").join(central, "rep"), "jaccard-bands")
+    leads = banded.groupBy("band").agg(F.max(F.struct("near", (-F.col("rep")).alias("first"), "rep", "m")).alias("l")).select("band", "l.rep", "l.m").toDF("band", "lead", "lead_n")
     pairs = saved(banded.join(leads, "band").where(f"rep <> lead and {_fits('m', 'lead_n', pct)}").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), "jaccard-leads")
     known_docs = rows.where("doc_id is not null")
     found = saved(components(saved(_verified(pairs, known_docs, pct), "jaccard-links")), "jaccard-groups")
@@ -197,23 +215,30 @@ def jaccard_components(docs: DataFrame, pct: int = PCT, doc_id: str = "doc_id",
     order = np.argsort(t)
     hot = (t[order], np.array([r["docs"] for r in top], np.int64)[order])
     postings = saved(_prefixes(known_docs, hot, pct).join(member.select(F.col("rep").alias("doc_id"), "grp"), "doc_id"), "jaccard-prefixes")
-    bounds = member.groupBy("grp").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    bounds = member.groupBy("grp").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.count("*").alias("size"))
     tokens = postings.select("grp", F.explode("tokens").alias("token")).groupBy("token", "grp").agg(F.lit(1).alias("one"))
     shared = saved(tokens.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where("groups > 1").select("token", "grp"), "jaccard-matrix")
     x, y = shared.select("token", F.col("grp").alias("g")), shared.select("token", F.col("grp").alias("h"))
-    bx, by = bounds.toDF("g", "g_min", "g_max"), bounds.toDF("h", "h_min", "h_max")
+    bx, by = bounds.toDF("g", "g_min", "g_max", "g_size"), bounds.toDF("h", "h_min", "h_max", "h_size")
     can = f"100 * g_max >= {pct} * h_min and 100 * h_max >= {pct} * g_min"
-    ell = "1 + floor(least(g_min, h_min) / 16)"
+    # The bound is lowest for the smallest set and the largest that fits it.
+    small = "least(g_min, h_min)"
+    least = _least(small, f"least(greatest(g_max, h_max), {100 / pct}D * {small})", pct)
     qualified = saved(x.join(y, "token").where("g < h").groupBy("g", "h").agg(F.count("*").alias("common"))
-                      .join(bx, "g").join(by, "h").where(f"{can} and common >= {ell}").select("g", "h", "g_min", "h_min"), "jaccard-open")
+                      .join(bx, "g").join(by, "h").where(f"{can} and common >= {least}").drop("common"), "jaccard-open")
 
     # 4. Open them: members against the other group's union, then pair by pair.
-    sides = qualified.select("g", "h", F.col("h_min").alias("other_min")).union(qualified.select("h", "g", "g_min"))
-    opened = postings.join(sides.select(F.col("g").alias("grp")).distinct(), "grp", "left_semi").select("doc_id", "n", "grp", F.explode("tokens").alias("token"))
-    bounded = (opened.join(shared.withColumnRenamed("grp", "h"), "token").where("grp <> h")
-               .groupBy("doc_id", "n", "grp", "h").agg(F.count("*").alias("common"))
-               .join(sides.withColumnRenamed("g", "grp"), ["grp", "h"]).where("common >= 1 + floor(least(n, other_min) / 16)")
-               .select("doc_id", "n", "grp", "h"))
+    # A group of one is its member, so its bound is known already.
+    sides = qualified.select(F.col("g").alias("grp"), "h", F.col("g_min").alias("n"), F.col("g_size").alias("size"), F.col("h_min").alias("other_min"), F.col("h_max").alias("other_max")).union(
+        qualified.select("h", "g", "h_min", "h_size", "g_min", "g_max"))
+    alone = sides.where("size = 1").select(F.col("grp").alias("doc_id"), "n", "grp", "h")
+    sides = sides.where("size > 1").drop("n", "size")
+    small = "least(n, other_min)"
+    least = _least(small, f"least(greatest(n, other_max), {100 / pct}D * {small})", pct)
+    unions = sides.join(shared.withColumnRenamed("grp", "h"), "h")
+    opened = postings.join(sides.select("grp").distinct(), "grp", "left_semi").select("doc_id", "n", "grp", F.explode("tokens").alias("token"))
+    bounded = (opened.join(unions, ["grp", "token"]).groupBy("doc_id", "n", "grp", "h", "other_min", "other_max").agg(F.count("*").alias("common"))
+               .where(f"common >= {least}").select("doc_id", "n", "grp", "h").union(alone))
     bounded = saved(bounded, "jaccard-bounded")
     p, q = bounded.toDF("a", "na", "g", "h"), bounded.toDF("b", "nb", "h", "g")
     pairs2 = saved(p.where("g < h").join(q, ["g", "h"]).where(_fits("na", "nb", pct)).select("a", "b").distinct(), "jaccard-pairs")

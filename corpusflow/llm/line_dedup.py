@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusflow.llm.common import id_filter, maybe_in, saved
 from corpusflow.llm.components import components
 
-MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 64
+MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 16
 
 
 def _shared_start(a: str, b: str) -> int:
@@ -230,7 +230,7 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
 
 def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: doc_id, n_lines (not blank), n_dropped, n_near (dropped for an unequal line), dropped (positions), text_id."""
-    lines = saved(_lines(docs).where(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "").select("doc_id", "text_id", "pos", F.xxhash64("line").alias("id")), "lines")
+    lines = saved(_lines(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text_id", "pos", F.xxhash64("line").alias("id")), "lines")
     found = components(saved(near_lines(docs, max_edits, min_chars), "line-links"))
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_id", "pos")
     firsts = lines.groupBy("id").agg(F.min(place).alias("own")).join(found, "id", "left").select("id", "own", F.coalesce("component", "id").alias("cls"))

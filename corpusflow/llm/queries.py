@@ -59,4 +59,59 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_records, op2_stream_dedup, op3_chat_format, op4_source_mix, op5_language_id, op6_toxicity, op7_jaccard_join, op8_line_dedup, op9_shard_table, op10_decontaminate)}
-ORACLES: dict[str, str] = {}
+
+_SPACE = r"[\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Distinct five-word shingles, one a row, as (id, n_words, shingle).
+_SHINGLES = """SELECT id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE [w[i:i + 4] FOR i IN range(1, len(w) - 3)] END)) AS s
+  FROM (SELECT {id} AS id, regexp_extract_all({text}, '{word}') AS w FROM {table})"""
+
+
+def _shingles(table_: str, id_: str) -> str:
+    return _SHINGLES.format(table=table_, id=id_, text=_LOWER.format("coalesce(text, '')"), word=_WORD)
+
+
+ORACLES: dict[str, str] = {
+    "op2_stream_dedup": f"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS k, count(*) AS c FROM n GROUP BY t)
+SELECT doc_id, k AS keep_id, c AS group_size, doc_id = k AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)""",
+    "op3_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, length(regexp_replace(text, '([<\[|])(\\*)(/?s>|/?INST\]|\||>)', '\1\2\\\3', 'g'))
+  + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 ELSE 14 + length(regexp_replace(role, '([<\[|])(\\*)(/?s>|/?INST\]|\||>)', '\1\2\\\3', 'g')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id""",
+    "op4_source_mix": f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
+  ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rk FROM d GROUP BY source),
+w AS (SELECT *, [3, 1, 2][(rk - 1) % 3 + 1] AS weight, source_size * 2::DOUBLE AS clamp FROM s),
+r AS (SELECT *, clamp / weight AS ratio, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget FROM w),
+l AS (SELECT *, (budget - coalesce(sum(clamp) OVER before, 0::DOUBLE)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM r WINDOW before AS (ORDER BY ratio, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+m AS (SELECT level AS line FROM l WHERE level <= ratio ORDER BY ratio, rk LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN (SELECT line FROM m) IS NULL OR ratio <= (SELECT line FROM m) THEN clamp ELSE weight * (SELECT line FROM m) END AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS times FROM t),
+e AS (SELECT *, round(target - times * source_size)::BIGINT AS extra FROM p),
+o AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead FROM d)
+SELECT doc_id, size, source_size, target, (times * size + greatest(0, least(size, extra - ahead)))::BIGINT AS taken
+FROM o JOIN e ON o.source IS NOT DISTINCT FROM e.source""",
+    "op7_jaccard_join": f"""
+WITH RECURSIVE s AS ({_shingles('documents', 'doc_id')}),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+o AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
+k AS (SELECT a, b FROM o JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, k.b FROM r JOIN k ON k.a = r.b),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN n ON n.id = doc_id JOIN m ON m.a = doc_id""",
+    "op10_decontaminate": f"""
+WITH d AS ({_shingles('documents', 'doc_id')}), i AS ({_shingles('benchmark', 'item_id')}),
+n AS (SELECT id, count(*) AS n FROM i GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, n AS n_item_shingles, count(*) AS n_common, count(*)::DOUBLE / n AS containment
+FROM d JOIN i ON d.s = i.s JOIN n ON n.id = i.id GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 80 * n""",
+}

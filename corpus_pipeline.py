@@ -14,7 +14,7 @@ from corpusflow.llm.queries import tokenizer_path
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.filtered(docs, model)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusflow.llm.common import saved
 
 # Fixed by this module's default template: its control strings begin and end with these.
-_CONTROL = r"([<\[|])(\\{n})(/?s>|/?INST\]|\||>)"
+_CONTROL = r"([<\[|])(\\{n})(?=/?s>|/?INST\]|\||>)"
 _ESCAPE, _UNESCAPE = re.compile(_CONTROL.replace("{n}", "*")), re.compile(_CONTROL.replace("{n}", "+"))
 TEMPLATE = """{%- for m in messages -%}
 {%- if m.role == 'user' -%}<s>[INST] {{ m.text | escape }} [/INST]
@@ -46,11 +46,11 @@ PART_CHARS = 1_000_000
 
 
 def escape(text: str) -> str:
-    return _ESCAPE.sub(r"\1\2\\\3", text)
+    return _ESCAPE.sub(r"\1\2\\", text)
 
 
 def unescape(text: str) -> str:
-    return _UNESCAPE.sub(lambda m: m[1] + m[2][1:] + m[3], text)
+    return _UNESCAPE.sub(lambda m: m[1] + m[2][1:], text)
 
 
 FILTERS: dict[str, Callable] = {"escape": lambda v: escape(_text(v)), "trim": lambda v: _text(v).strip(), "upper": lambda v: _text(v).upper(),

@@ -80,8 +80,8 @@ SELECT doc_id, k AS keep_id, c AS group_size, doc_id = k AS kept, sha256(t) AS t
     "op3_chat_format": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-f AS (SELECT *, length(regexp_replace(text, '([<\[|])(\\*)(/?s>|/?INST\]|\||>)', '\1\2\\\3', 'g'))
-  + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 ELSE 14 + length(regexp_replace(role, '([<\[|])(\\*)(/?s>|/?INST\]|\||>)', '\1\2\\\3', 'g')) END AS chars FROM c)
+f AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[|]\\*(/?s>|/?INST\]|>)')) + len(regexp_extract_all(text, '[<\[]\\*\|')) + len(regexp_extract_all(replace(text, '|', '|' || chr(1) || '|'), '\|\\*\|\x01'))
+  + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 ELSE 14 + length(role) + len(regexp_extract_all(role, '[<\[|]\\*(/?s>|/?INST\]|>)')) + len(regexp_extract_all(role, '[<\[]\\*\|')) + len(regexp_extract_all(replace(role, '|', '|' || chr(1) || '|'), '\|\\*\|\x01')) END AS chars FROM c)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars

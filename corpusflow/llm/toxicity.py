@@ -16,8 +16,8 @@ nearest examples are the evidence.
 
 Defined cases: null and empty texts have the background term only, so their
 score is that of texts without any chosen term; rows without a label teach
-nothing, a doc_id labelled twice teaches twice; a null doc_id is hashed as empty
-text; equal cosines go to the example of smaller id; repeated rows each get a row;
+nothing, repeated labels teach once and contradicting ones both; a null doc_id is
+hashed as empty text; equal cosines go to the example of smaller id; repeated rows each get a row;
 other columns are ignored; without any example all scores are 0.
 """
 from __future__ import annotations
@@ -167,14 +167,20 @@ class Model:
         return out
 
 
-def fit(labelled: DataFrame, per_class: int = PER_CLASS, n_terms: int = TERMS) -> Model:
-    """A model from rows (doc_id, text, toxic)."""
-    rows = labelled.where("toxic is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("label"))
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, n_terms: int = TERMS) -> Model:
+    """A model from docs (doc_id, text) and labels (doc_id, toxic).
+
+    The sample is chosen among the labels, which are narrow; its ids (about
+    2 * per_class) are broadcast to fetch the texts, so the documents stay in place.
+    """
+    rows = labels.where("toxic is not null and doc_id is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("label")).distinct()
     sizes = rows.groupBy("label").agg(F.count("*").alias("n"))
     part = F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("n"))
-    sample = saved(rows.join(F.broadcast(sizes), "label").withColumn("part", part)
-                   .where(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("toxicity")), F.lit(1_000_000)) < F.col("part") * 1_000_000)
-                   .select("doc_id", "text", "label", (1.0 / F.col("part")).alias("weight")).repartition(12), "toxic-sample")
+    chosen = (rows.join(F.broadcast(sizes), "label").withColumn("part", part)
+              .where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) < F.col("part") * 1_000_000)
+              .select("doc_id", "label", (1.0 / F.col("part")).alias("weight")))
+    sample = saved(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+                   .select("doc_id", "text", "label", "weight").repartition(12), "toxic-sample")
 
     count_schema = pa.schema([("term", pa.string()), ("toxic", pa.float64()), ("clean", pa.float64()), ("docs", pa.int64())])
 
@@ -255,12 +261,7 @@ def filtered(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(keep, docs.schema)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of labelled documents; labels are the smaller side of the join."""
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").where("toxic is not null"), "doc_id")
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence, cosines: labels of held-out rows are not read."""
-    model = fit(training_rows(docs, labels.where(remainder(modulus) != held)))
+    model = fit(docs, labels.where(remainder(modulus) != held))
     return score(docs, model).select("doc_id", (remainder(modulus) == held).alias("held_out"), "score", "predicted", "evidence", "cosines")

@@ -30,6 +30,16 @@ def dedup_latest(df: DataFrame, keys, order_col: str) -> DataFrame:
     return agg.select(*keys, *[F.col("_w")[c].alias(c) for c in [order_col] + others]).select(*df.columns)
 
 
+def dedup_any(df: DataFrame, keys) -> DataFrame:
+    """One row per key where no column orders them: the greatest by the other columns, so always the same one."""
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    agg = df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_w"))
+    return agg.select(*keys, *[F.col("_w")[c].alias(c) for c in others]).select(*df.columns)
+
+
 def null_key_rows(df: DataFrame, keys) -> DataFrame:
     """Rows that cannot be upserted: a key field is null (quarantine)."""
     return df.where(~_keys_not_null(keys)).withColumn("reason", F.lit("null_key"))
@@ -45,7 +55,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | N
 
     Columns present in ``updates`` overwrite (an explicit null overwrites);
     other target columns are kept; unmatched updates are inserted. Duplicate
-    keys inside the batch keep the greatest ``order_col`` (W3); rows with a
+    keys inside the batch keep the greatest ``order_col`` (W3), without one the
+    greatest row, so a replayed batch changes nothing; rows with a
     null key are left out (see :func:`null_key_rows`). ``_action`` is
     'upserted' (new key), 'modified' (some provided value changed), 'same'
     (matched, nothing changed) or 'kept' (target row not in the batch).
@@ -60,6 +71,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | N
     upd = updates.where(_keys_not_null(keys))
     if order_col:
         upd = dedup_latest(upd, keys, order_col).drop(order_col)
+    else:
+        upd = dedup_any(upd, keys)
     spark = target.sparkSession
     from ..session import checkpoint_dir
     checkpoint_dir(spark)

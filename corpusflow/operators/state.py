@@ -50,7 +50,7 @@ def acquire(candidates: DataFrame, leases: DataFrame, owner: str, now, seconds:
 
 def heartbeat(leases: DataFrame, ids: DataFrame, owner: str, now, seconds: int = 300) -> DataFrame:
     """Extend the leases of ``ids`` held by ``owner`` (T3); others unchanged."""
-    hit = ids.select("doc_id", F.lit(True).alias("_hb"))
+    hit = ids.select("doc_id").distinct().withColumn("_hb", F.lit(True))
     j = leases.join(hit, "doc_id", "left")
     mine = F.coalesce(F.col("_hb"), F.lit(False)) & (F.col("owner") == F.lit(owner))
     return j.select("doc_id", "owner",

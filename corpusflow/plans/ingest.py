@@ -38,13 +38,21 @@ def page_records(raw_pages: DataFrame) -> DataFrame:
     return js.unionByName(xm)
 
 
+def page_totals(raw_pages: DataFrame) -> DataFrame:
+    """(api_name, run_date, total_count) from the envelopes of first pages, whether or not they hold records."""
+    first = raw_pages.where(F.col("page_no") == 1)
+    js = explode_json_pages(first.where(F.col("format") == "json"), keep_empty=True)
+    xm = explode_xml_pages(first.where(F.col("format") == "xml"), keep_empty=True)
+    cols = ["api_name", "run_date", "total_count"]
+    return js.select(*cols).unionByName(xm.select(*cols)).where("total_count is not null") \
+        .groupBy("api_name", "run_date").agg(F.max("total_count").alias("total_count"))
+
+
 def ingest_pages(raw_pages: DataFrame, ledger: DataFrame, items: DataFrame, now, *,
                  spec: RecordSpec = DEFAULT_SPEC, keys=("id",), page_size: int = 100,
                  batch_size: int = 100) -> IngestResult:
     recs = page_records(raw_pages)
-    totals = recs.where(F.col("page_no") == 1).groupBy("api_name", "run_date") \
-        .agg(F.max("total_count").alias("total_count"))
-    plan = plan_pages(totals, page_size, batch_size)
+    plan = plan_pages(page_totals(raw_pages), page_size, batch_size)
     todo = pending_pages(plan, ledger)
     recs = recs.join(todo.select(*LEDGER_KEYS), LEDGER_KEYS, "left_semi")
     # The pending records feed the item merge, the page sizes of the ledger and
@@ -52,7 +60,7 @@ def ingest_pages(raw_pages: DataFrame, ledger: DataFrame, items: DataFrame, now,
     checkpoint_dir(raw_pages.sparkSession)
     recs = recs.checkpoint(eager=True)
     good, bad = parse_records(recs, spec, keep=(*LEDGER_KEYS, "record_idx"))
-    upd = good.withColumn("_seq", F.col("page_no").cast("long") * 1000000 + F.col("record_idx"))
+    upd = good.withColumn("_seq", F.struct("page_no", "record_idx"))
     merged = merge_upsert(items, upd.drop(*LEDGER_KEYS, "record_idx"), list(keys), "_seq")
     quarantine = bad.unionByName(
         null_key_rows(good, list(keys)).select(*LEDGER_KEYS, "record_idx", "reason"))

@@ -12,6 +12,7 @@ from ..functions.payload import chunk_payload, resolve_chunk
 from ..operators.embed import HashingEmbedder
 from ..operators.search import search
 from ..session import checkpoint_dir
+from ..sources.chunks import one_per_chunk
 
 # Above this many hit ids the payload lookup uses a shuffled semi join.
 MAX_BROADCAST_HITS = 2_000_000
@@ -22,7 +23,8 @@ def chunk_points(chunks: DataFrame, embedder=None) -> DataFrame:
     embedder = embedder or HashingEmbedder()
     # One shuffle by chunk id up front: the embedder's per-chunk aggregations
     # and the payload join then all reuse that partitioning.
-    chunks = chunks.repartition("chunk_id")
+    # A repeated id is one point: one row per id before embedding.
+    chunks = one_per_chunk(chunks.repartition("chunk_id"))
     vec = embedder.embed(chunks, ["chunk_id"], "contents", role="passage")
     pay = chunks.select("chunk_id", chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta").alias("payload"))
     return vec.join(pay, "chunk_id").select(F.col("chunk_id").alias("point_id"), "vector", "payload")

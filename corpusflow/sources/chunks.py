@@ -34,3 +34,9 @@ def validate_chunks(chunks: DataFrame) -> DataFrame:
 def chunk_rows(chunks: DataFrame) -> DataFrame:
     """Chunk records as JSON lines (the request body format)."""
     return chunks.select(F.to_json(F.struct(*[F.col(c) for c in chunks.columns])).alias("value"))
+
+
+def one_per_chunk(chunks: DataFrame) -> DataFrame:
+    """One row per chunk id: the one of the greatest request id, then name and contents."""
+    row = F.max_by(F.struct(*chunks.columns), F.struct(*[c for c in ("request_id", "name", "contents") if c in chunks.columns]))
+    return chunks.groupBy("chunk_id").agg(row.alias("_r")).select("_r.*")

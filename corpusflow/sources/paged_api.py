@@ -118,20 +118,23 @@ try:
                     return f.read().decode("utf-8")
             single = f"{root}/{page_no}.{self.o.get('format', 'json')}"
             if filesystem.get_file_info(single).type == pafs.FileType.File:
-                return read_text(single)
+                return [read_text(single)]
             folder = f"{root}/page_no={page_no}"
             if filesystem.get_file_info(folder).type != pafs.FileType.Directory:
-                return None
+                raise FileNotFoundError(f"page {page_no} is planned but {folder} does not exist")
             parts = sorted(i.path for i in filesystem.get_file_info(pafs.FileSelector(folder))
                            if i.base_name.startswith("part-"))
-            return read_text(parts[0]).rstrip("\n") if parts else None
+            bodies = [b for b in (read_text(p).rstrip("\n") for p in parts) if b]
+            if not bodies:
+                raise FileNotFoundError(f"page {page_no} is planned but {folder} holds no body")
+            return bodies
 
         def read(self, partition):
             o = self.o
             fetch = self._fetch_file if o.get("transport", "http") == "file" else self._fetch_http
             for p in partition.pages:
-                body = fetch(p)
-                if body is not None:
+                bodies = fetch(p)
+                for body in bodies if isinstance(bodies, list) else [bodies]:
                     yield (o.get("api_name", ""), o.get("run_date", ""), p, o.get("format", "json"), body)
 
     class PagedApiDataSource(DataSource):

@@ -16,8 +16,9 @@ def _json_path(path) -> str:
 
 
 def explode_json_pages(pages: DataFrame, records_path=("body", "items"),
-                       total_path=("body", "totalCount"), body_col: str = "body") -> DataFrame:
-    """One row per record of JSON pages.
+                       total_path=("body", "totalCount"), body_col: str = "body",
+                       keep_empty: bool = False) -> DataFrame:
+    """One row per record of JSON pages (S1); with ``keep_empty`` also one for a page without records.
 
     Records at ``records_path``: missing/null -> none; a list -> its elements;
     an object whose ``item`` is a list -> that list; any other shape -> none,
@@ -40,13 +41,14 @@ def explode_json_pages(pages: DataFrame, records_path=("body", "items"),
         status.alias("shape_status"),
         F.coalesce(as_list, item_list, F.array().cast("array<variant>")).alias("_records"),
     )
-    return out.select(*[c for c in out.columns if c != "_records"],
-                      F.posexplode_outer("_records").alias("record_idx", "record")) \
+    rows = out.select(*[c for c in out.columns if c != "_records"],
+                      F.posexplode_outer("_records").alias("record_idx", "record"))
+    return rows if keep_empty else rows \
         .where(F.col("record").isNotNull() | F.col("shape_status").isin("malformed", "unexpected"))
 
 
 def explode_xml_pages(pages: DataFrame, records_path=("body", "items", "item"),
-                      total_path=("body", "totalCount"), body_col: str = "body") -> DataFrame:
+                      total_path=("body", "totalCount"), body_col: str = "body", keep_empty: bool = False) -> DataFrame:
     """One row per record element of XML pages (S2): each record is a map of
     child tag -> text (nested content dropped). Bad XML -> no records, null total.
     """
@@ -83,7 +85,7 @@ def explode_xml_pages(pages: DataFrame, records_path=("body", "items", "item"),
                        F.when(F.trim(total) != "", F.trim(total)).alias("total_count"),
                        F.coalesce(recs, F.array().cast("array<map<string,string>>")).alias("_records"))
     return out.select(*[c for c in out.columns if c != "_records"],
-                      F.posexplode("_records").alias("record_idx", "record_map"))
+                      (F.posexplode_outer if keep_empty else F.posexplode)("_records").alias("record_idx", "record_map"))
 
 
 def plan_pages(totals: DataFrame, page_size: int = 100, batch_size: int = 100,

@@ -20,7 +20,7 @@ from ..functions.payload import chunk_payload
 from ..functions.text import embedding_input
 from ..operators.embed import HashingEmbedder
 from ..operators.state import admit_requests
-from ..sources.chunks import stream_chunk_requests, validate_chunks
+from ..sources.chunks import one_per_chunk, stream_chunk_requests, validate_chunks
 from ..sources.tables import commit, exists, upsert_bucketed
 
 # Above this many requests in one micro-batch the verdicts join by shuffle.
@@ -42,19 +42,20 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
     reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")) \
         .when(~F.col("valid"), F.concat(F.lit("missing:"), F.array_join("missing", ",")))
     j = j.withColumn("reason", reason)
-    good = j.where(F.col("reason").isNull()).withColumn(
+    # One row per chunk id before anything is embedded: a repeated id is one point.
+    good = one_per_chunk(j.where(F.col("reason").isNull())).withColumn(
         "input", embedding_input("name", "contents", F.col("meta")["content_type"] == "html"))
     vec = embedder.embed(good, ["chunk_id"], "input", role="passage")
-    emb = good.join(vec, "chunk_id", "left")
+    # Points and dead letters both read it: embed once.
+    emb = good.join(vec, "chunk_id", "left").checkpoint(eager=True)
+    failed = F.concat_ws(": ", F.lit("embed_failed"), F.col("embed_error")) if "embed_error" in emb.columns else F.lit("embed_failed")
     pts = emb.where(F.col("vector").isNotNull()).select(
         F.col("chunk_id").alias("point_id"), "vector",
         chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta").alias("payload"),
         F.lit(int(version)).alias("embedding_version"))
     dead = j.where(F.col("reason").isNotNull()).select("chunk_id", "request_id", "reason") \
         .unionByName(emb.where(F.col("vector").isNull())
-                     .select("chunk_id", "request_id", F.lit("embed_failed").alias("reason")))
-    # Epoch e writes version e+1 from the snapshot as of before it (<= e): a
-    # replayed epoch rebuilds the same version and never reads what it overwrites.
+                     .select("chunk_id", "request_id", failed.alias("reason")))
     # Only the hash buckets this batch touches are read, merged and rewritten
     # (staged, then swapped in); a replayed epoch merges the same rows again,
     # which changes nothing, and repairs a commit that stopped half way.
@@ -90,9 +91,9 @@ def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
 
 
 def stream_load(metrics: DataFrame, threshold: float = 0.7, size_col: str = "size", max_col: str = "max_size") -> DataFrame:
-    """Load status (ST4): usage = size / max, available while size < max x threshold."""
+    """Load status (ST4): usage = size / max, available while size < floor(max x threshold)."""
     return metrics.withColumn("usage", F.col(size_col) / F.col(max_col)) \
-        .withColumn("available", F.col(size_col) < F.col(max_col) * F.lit(float(threshold)))
+        .withColumn("available", F.col(size_col) < F.floor(F.col(max_col) * F.lit(float(threshold))))
 
 
 def progress_rows(spark: SparkSession, query) -> DataFrame:

@@ -16,9 +16,8 @@ def test_point_id_matches_uuid5(spark):
 def test_row_hash_rule(spark):
     rec = {"ITEM_SEQ": "7", "ITEM_NAME": None, "ZZ": "extra", "contentHash": "x", "content_hash": "y", "A": ""}
     df = spark.createDataFrame([(rec,)], "m map<string,string>")
-    got = df.select(H.row_hash("m").alias("h")).first().h
-    vals = [("" if v is None else str(v)) for k, v in sorted(rec.items()) if k not in ("content_hash", "contentHash")]
-    assert got == hashlib.md5("|".join(vals).encode()).hexdigest()
+    # Values by key: A "", ITEM_NAME null, ITEM_SEQ "7", ZZ "extra"; hashes are left out.
+    assert df.select(H.row_hash("m").alias("h")).first().h == hashlib.md5(b"||7|extra").hexdigest()
 
 
 def test_chunk_and_item_ids(spark):
@@ -38,11 +37,14 @@ _keys = st.sampled_from(["ITEM_SEQ", "ITEM_NAME", "ENTP_NAME", "content_hash", "
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.dictionaries(_keys, st.one_of(st.none(), st.text(max_size=6)), max_size=6), min_size=1, max_size=6))
 def test_row_hash_property(spark, recs):
-    df = spark.createDataFrame([(i, r) for i, r in enumerate(recs)], "i int, m map<string,string>")
-    got = {r.i: r.h for r in df.select("i", H.row_hash("m").alias("h")).collect()}
-    for i, rec in enumerate(recs):
-        vals = [("" if v is None else v) for k, v in sorted(rec.items()) if k not in ("content_hash", "contentHash")]
-        assert got[i] == hashlib.md5("|".join(vals).encode()).hexdigest()
+    """Order of keys, excluded keys and null instead of empty make no difference; another value does."""
+    hashes = ("content_hash", "contentHash")
+    forms = [lambda r: r, lambda r: dict(reversed(r.items())), lambda r: {k: v for k, v in r.items() if k not in hashes} | {hashes[0]: "q"},
+             lambda r: {k: v or None for k, v in r.items()}, lambda r: r | {"a": (r.get("a") or "") + "!"}]
+    df = spark.createDataFrame([(i, k, f(r)) for i, r in enumerate(recs) for k, f in enumerate(forms)], "i int, k int, m map<string,string>")
+    got = {(r.i, r.k): r.h for r in df.select("i", "k", H.row_hash("m").alias("h")).collect()}
+    for i in range(len(recs)):
+        assert got[i, 0] == got[i, 1] == got[i, 2] == got[i, 3] != got[i, 4]
 
 
 @settings(max_examples=30, deadline=None)

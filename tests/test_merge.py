@@ -43,3 +43,29 @@ def test_merge_paths_agree(spark):
     small = sorted(tuple(r) for r in merge_upsert(target, batch, ["id"], "seq").collect())
     big = sorted(tuple(r) for r in merge_upsert(target, batch, ["id"], "seq", max_broadcast_keys=0).collect())
     assert small == big and len(small) == 260
+
+
+def test_repeated_ids_without_an_order_are_one_row_and_replay_changes_nothing(spark):
+    from corpusflow.operators.merge import merge_upsert
+    target = spark.createDataFrame([("a", 1)], "id string, v int")
+    batch = spark.createDataFrame([("b", 1), ("b", 2), ("a", 5)], "id string, v int")
+    once = merge_upsert(target, batch, ["id"]).select("id", "v")
+    again = merge_upsert(once, batch, ["id"]).select("id", "v")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, again.collect())) == [("a", 5), ("b", 2)]
+
+
+def test_repeated_chunk_id_is_one_point_with_one_vector(spark):
+    from corpusflow.plans.search import chunk_points
+    row = lambda i, t: (i, "s", "n", t, {"lang": "en"})
+    schema = "chunk_id string, item_sequence string, name string, contents string, meta map<string,string>"
+    two = chunk_points(spark.createDataFrame([row("1", "alpha beta"), row("1", "gamma")], schema)).collect()
+    one = chunk_points(spark.createDataFrame([row("1", "gamma")], schema)).collect()
+    assert len(two) == 1 and two[0]["vector"] == one[0]["vector"]
+
+
+def test_empty_first_page_keeps_its_total(spark):
+    from corpusflow.plans.ingest import page_totals
+    rows = [("j", "d", 1, "json", '{"body":{"items":[],"totalCount":250}}'), ("j", "d", 2, "json", '{"body":{"items":[{"a":"1"}],"totalCount":250}}'),
+            ("x", "d", 1, "xml", "<response><body><items></items><totalCount>7</totalCount></body></response>")]
+    got = page_totals(spark.createDataFrame(rows, "api_name string, run_date string, page_no int, format string, body string")).collect()
+    assert {r["api_name"]: r["total_count"] for r in got} == {"j": "250", "x": "7"}

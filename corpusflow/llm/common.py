@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpusflow.session import checkpoint_dir
 
 SHINGLE_WORDS = 5
-WORD_CACHE = 400_000  # entries a Python worker remembers before it starts anew
+WORD_CACHE = 150_000  # entries a Python worker remembers before it starts anew
 
 
 def work_path(spark: SparkSession, name: str) -> str:

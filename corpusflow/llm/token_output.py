@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm.common import saved, work_path
 
-CHUNK_CACHE = 1_200_000
+CHUNK_CACHE = 600_000
 NULL_ID = -(1 << 63)
 MANIFEST = "shard int, path string, n_records long, n_tokens long"
 RECORDS = "shard int, rec long, doc_id long, in_shard long, n_tokens long, ids_crc32 long, byte_offset long, n_bytes long"

@@ -10,12 +10,13 @@ for the result, which gives each document its connected component:
    the middle of its copies), each member is compared with its leader only, and
    verified links are joined into components. No bucket is paired out.
 3. The token-group matrix holds, for each group, the union of its members'
-   tokens, restricted to the rarest ones of each member (an extended prefix):
-   two sets that link share at least ``_least(...)`` tokens of their prefixes, so
-   two groups can hold a link only if their unions share as many. Shared tokens
-   are counted per pair of groups; the count bounds every member's overlap.
+   rarest tokens (their prefixes), each with the sizes of the members that hold
+   it and the most tokens that such a member has from there on. Two sets that
+   link have their first common token in both prefixes, and all their common
+   tokens stand from there on; so what the groups have left there bounds the
+   overlap, and only entries whose bound reaches the threshold qualify a pair.
 4. Only qualifying groups are opened: their members are bounded against the
-   other group's union in the same way, and the pairs left are verified.
+   other group's entry in the same way, and the pairs left are verified.
 5. Components of the verified links give component_id.
 
 Stage 2 only saves work; stages 3 and 4 find every link that it left between
@@ -134,24 +135,13 @@ def _fits(a: str, b: str, pct: int) -> str:
     return f"100 * least({a}, {b}) >= {pct} * greatest({a}, {b})"
 
 
-def _ell(n):
-    return 1 + n // 32
-
-
-def _least(small: str, large: str, pct: int) -> str:
-    """Tokens at least that the prefixes of linked sets of these sizes (small <= large) share.
-
-    Linked sets have t >= r (small + large) tokens in common, r = pct / (100 + pct).
-    The c-th of them stands no later than at n - t + c in a set of n, so it is in the
-    prefix of length n - ceil(pct n) + ell(n) if c <= ell(n) - ceil(pct n) + t, which is
-    least for the larger set. Written without rounding, so a little lower.
-    """
-    r, p = pct / (100 + pct), pct / 100
-    return f"greatest(1.0D, {r}D * ({small} + {large}) + {large} / 32.0D - {p}D * {large} - 0.97D)"
+def _reaches(left: str, n: str, other: str, pct: int) -> str:
+    """Whether ``left`` common tokens can link sets of at least these sizes."""
+    return f"{100 + pct} * {left} >= {pct} * ({n} + {other})"
 
 
 def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) -> DataFrame:
-    """(doc_id, n, tokens): the rarest n - ceil(pct n) + ell(n) tokens of each set."""
+    """(doc_id, n, tokens): the rarest n - ceil(pct n) + 1 tokens of each set, in one order for all sets."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
@@ -169,7 +159,7 @@ def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) ->
                     if len(tokens):
                         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                         s = s[np.argsort(np.where(tokens[at] == s, counts[at], 0), kind="stable")]
-                    out.append((i, n, _signed(s[:n - -(-pct * n // 100) + _ell(n)])))
+                    out.append((i, n, _signed(s[:n - -(-pct * n // 100) + 1])))
                 if out:
                     i, n, t = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.list_(pa.int64()))], schema=schema)
@@ -215,30 +205,19 @@ def jaccard_components(docs: DataFrame, pct: int = PCT, doc_id: str = "doc_id",
     order = np.argsort(t)
     hot = (t[order], np.array([r["docs"] for r in top], np.int64)[order])
     postings = saved(_prefixes(known_docs, hot, pct).join(member.select(F.col("rep").alias("doc_id"), "grp"), "doc_id"), "jaccard-prefixes")
-    bounds = member.groupBy("grp").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.count("*").alias("size"))
-    tokens = postings.select("grp", F.explode("tokens").alias("token")).groupBy("token", "grp").agg(F.lit(1).alias("one"))
-    shared = saved(tokens.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where("groups > 1").select("token", "grp"), "jaccard-matrix")
-    x, y = shared.select("token", F.col("grp").alias("g")), shared.select("token", F.col("grp").alias("h"))
-    bx, by = bounds.toDF("g", "g_min", "g_max", "g_size"), bounds.toDF("h", "h_min", "h_max", "h_size")
-    can = f"100 * g_max >= {pct} * h_min and 100 * h_max >= {pct} * g_min"
-    # The bound is lowest for the smallest set and the largest that fits it.
-    small = "least(g_min, h_min)"
-    least = _least(small, f"least(greatest(g_max, h_max), {100 / pct}D * {small})", pct)
-    qualified = saved(x.join(y, "token").where("g < h").groupBy("g", "h").agg(F.count("*").alias("common"))
-                      .join(bx, "g").join(by, "h").where(f"{can} and common >= {least}").drop("common"), "jaccard-open")
-
-    # 4. Open them: members against the other group's union, then pair by pair.
-    # A group of one is its member, so its bound is known already.
-    sides = qualified.select(F.col("g").alias("grp"), "h", F.col("g_min").alias("n"), F.col("g_size").alias("size"), F.col("h_min").alias("other_min"), F.col("h_max").alias("other_max")).union(
-        qualified.select("h", "g", "h_min", "h_size", "g_min", "g_max"))
-    alone = sides.where("size = 1").select(F.col("grp").alias("doc_id"), "n", "grp", "h")
-    sides = sides.where("size > 1").drop("n", "size")
-    small = "least(n, other_min)"
-    least = _least(small, f"least(greatest(n, other_max), {100 / pct}D * {small})", pct)
-    unions = sides.join(shared.withColumnRenamed("grp", "h"), "h")
-    opened = postings.join(sides.select("grp").distinct(), "grp", "left_semi").select("doc_id", "n", "grp", F.explode("tokens").alias("token"))
-    bounded = (opened.join(unions, ["grp", "token"]).groupBy("doc_id", "n", "grp", "h", "other_min", "other_max").agg(F.count("*").alias("common"))
-               .where(f"common >= {least}").select("doc_id", "n", "grp", "h").union(alone))
+    held = postings.select("doc_id", "n", "grp", F.posexplode("tokens").alias("pos", "token")).withColumn("rest", F.expr("n - pos"))  # tokens from here on
+    tokens = held.groupBy("token", "grp").agg(*[f(c).cast("int").alias(a) for f, c, a in ((F.min, "n", "lo"), (F.max, "n", "hi"), (F.max, "rest", "rest"))])
+    shared = saved(tokens.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where("groups > 1").drop("groups"), "jaccard-matrix")
+    x, y = shared.toDF("token", "g", "g_lo", "g_hi", "g_rest"), shared.toDF("token", "h", "h_lo", "h_hi", "h_rest")
+    can = f"100 * g_hi >= {pct} * h_lo and 100 * h_hi >= {pct} * g_lo and {_reaches('least(g_rest, h_rest)', 'g_lo', 'h_lo', pct)}"
+    met = x.join(y, (x["token"] == y["token"]) & F.expr("g < h") & F.expr(can)).drop(y["token"])
+    met = saved(met, "jaccard-open")
+
+    # 4. Open them: members against the other group's entry, then pair by pair.
+    sides = met.select(F.col("g").alias("grp"), "token", "h", "h_lo", "h_hi", "h_rest").union(met.select("h", "token", "g", "g_lo", "g_hi", "g_rest"))
+    member_can = f"100 * n >= {pct} * h_lo and 100 * h_hi >= {pct} * n and {_reaches('least(rest, h_rest)', 'n', 'h_lo', pct)}"
+    opened, other = held.alias("m"), sides.alias("o")
+    bounded = opened.join(other, F.expr(f"m.grp = o.grp and m.token = o.token and {member_can}")).select("doc_id", "n", "m.grp", "h").distinct()
     bounded = saved(bounded, "jaccard-bounded")
     p, q = bounded.toDF("a", "na", "g", "h"), bounded.toDF("b", "nb", "h", "g")
     pairs2 = saved(p.where("g < h").join(q, ["g", "h"]).where(_fits("na", "nb", pct)).select("a", "b").distinct(), "jaccard-pairs")

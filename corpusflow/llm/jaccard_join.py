@@ -16,7 +16,9 @@ for the result, which gives each document its connected component:
    tokens stand from there on; so what the groups have left there bounds the
    overlap, and only entries whose bound reaches the threshold qualify a pair.
 4. Only qualifying groups are opened: their members are bounded against the
-   other group's entry in the same way, and the pairs left are verified.
+   other group's entry in the same way. Of the pairs left, those go whose
+   parity bitmaps differ in more bits than linked sets can in tokens; the
+   others are verified.
 5. Components of the verified links give component_id.
 
 Stage 2 only saves work; stages 3 and 4 find every link that it left between
@@ -47,6 +49,7 @@ BANDS, ROWS = 8, 3
 HOT_TOKENS = 1 << 18   # longest list of frequent tokens that is broadcast
 HOT_IN_CHUNK = 3       # a token counts as frequent from so many documents of one chunk
 CHUNK_TOKENS = 4_000_000
+PARITY_BITS = 512
 
 _MULT = np.random.default_rng(7).integers(1 << 62, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SETS = "doc_id long, n long, set_key binary, bands array<long>, token long, docs long"
@@ -141,9 +144,9 @@ def _reaches(left: str, n: str, other: str, pct: int) -> str:
 
 
 def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) -> DataFrame:
-    """(doc_id, n, tokens): the rarest n - ceil(pct n) + 1 tokens of each set, in one order for all sets."""
+    """(doc_id, n, tokens, bits): the rarest n - ceil(pct n) + 1 tokens of each set, in one order for all sets, and its parity bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = shared.value
@@ -156,15 +159,16 @@ def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) ->
                     n = len(s)
                     if not n:
                         continue
+                    bits = np.packbits(np.bincount(s & np.uint64(PARITY_BITS - 1), minlength=PARITY_BITS) & 1).view(np.int64)
                     if len(tokens):
                         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                         s = s[np.argsort(np.where(tokens[at] == s, counts[at], 0), kind="stable")]
-                    out.append((i, n, _signed(s[:n - -(-pct * n // 100) + 1])))
+                    out.append((i, n, _signed(s[:n - -(-pct * n // 100) + 1]), bits))
                 if out:
-                    i, n, t = zip(*out)
-                    yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.list_(pa.int64()))], schema=schema)
+                    i, n, t, bits = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], schema=schema)
 
-    return docs.mapInArrow(prefix, "doc_id long, n long, tokens array<long>")
+    return docs.mapInArrow(prefix, "doc_id long, n long, tokens array<long>, bits array<long>")
 
 
 def _grouped(reps: DataFrame, found: DataFrame) -> DataFrame:
@@ -221,6 +225,10 @@ def jaccard_components(docs: DataFrame, pct: int = PCT, doc_id: str = "doc_id",
     bounded = saved(bounded, "jaccard-bounded")
     p, q = bounded.toDF("a", "na", "g", "h"), bounded.toDF("b", "nb", "h", "g")
     pairs2 = saved(p.where("g < h").join(q, ["g", "h"]).where(_fits("na", "nb", pct)).select("a", "b").distinct(), "jaccard-pairs")
+    # A token in one set only flips one bit, so the bitmaps differ in no more bits than the sets in tokens.
+    ba, bb = postings.select("doc_id", "n", "bits").toDF("a", "na", "ba"), postings.select("doc_id", "n", "bits").toDF("b", "nb", "bb")
+    apart = "aggregate(zip_with(ba, bb, (u, v) -> bit_count(u ^ v)), 0, (s, c) -> s + c)"
+    pairs2 = saved(pairs2.join(ba, "a").join(bb, "b").where(f"{100 + pct} * {apart} <= {100 - pct} * (na + nb)").select("a", "b"), "jaccard-near")
     links = _verified(pairs2, known_docs, pct)
 
     # 5. Components over groups.

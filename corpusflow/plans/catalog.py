@@ -954,15 +954,18 @@ def q_search(spark, sf):
 
 
 # ================================================================== streaming (ST1-ST5)
-def _run_stream(spark, sf):
+def _run_stream(spark, chunks):
     import uuid
     from ..session import checkpoint_dir
+    from ..sources.chunks import read_chunk_requests
     from ..streaming.embed_stream import read_dead_letters, read_points, start_embed_stream
     base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
-    # Each request lands whole in one file; at most 2 files per micro-batch.
-    I.chunks(spark, sf).repartition(8, "request_id").write.json(base + "/landing")
+    # Each request lands whole in one file; a quarter of the files, 2 at least, per micro-batch.
+    chunks.repartition("request_id").write.json(base + "/landing")
+    files = len(read_chunk_requests(spark, base + "/landing").inputFiles())
     q = start_embed_stream(spark, base + "/landing", base + "/points", base + "/dead", base + "/ckpt",
-                           max_files_per_trigger=2, max_items=100, max_bytes=100000)
+                           max_files_per_trigger=max(2, -(-files // 4)), max_items=I.REQUEST_ITEMS,
+                           max_bytes=I.REQUEST_BYTES)
     q.awaitTermination()
     return read_points(spark, base + "/points"), read_dead_letters(spark, base + "/dead")
 
@@ -975,7 +978,11 @@ ADMIT_SQL = f"""adm AS (SELECT request_id, CASE WHEN count(*) > 100 THEN 'too_ma
   SELECT c.chunk_id AS point_id, c.item_sequence, c.name, 1 AS embedding_version, 64 AS dim
   FROM {CHUNKS_SQL} c JOIN adm USING (request_id) WHERE adm.reason IS NULL""")
 def q_embed_stream(spark, sf):
-    pts, _ = _run_stream(spark, sf)
+    return _stream_points(spark, I.chunks(spark, sf))
+
+
+def _stream_points(spark, chunks):
+    pts, _ = _run_stream(spark, chunks)
     p = F.from_json("payload", "itemSequence string, name string")
     return pts.select("point_id", p["itemSequence"].alias("item_sequence"), p["name"].alias("name"),
                       "embedding_version", F.size("vector").alias("dim"))
@@ -984,7 +991,32 @@ def q_embed_stream(spark, sf):
 @query("dead_letter", f"""WITH {ADMIT_SQL}
   SELECT c.chunk_id, c.request_id, adm.reason FROM {CHUNKS_SQL} c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL""")
 def q_dead_letter(spark, sf):
-    _, dead = _run_stream(spark, sf)
+    _, dead = _run_stream(spark, I.chunks(spark, sf))
+    return dead.select("chunk_id", "request_id", "reason")
+
+
+# The same stream over requests of bounded size: every chunk that fits a request by itself is embedded.
+BLOCKS_SQL = f"""(SELECT CASE WHEN n > 100 OR bytes > 100000 THEN block || ':' || chunk_id ELSE block END AS request_id,
+    chunk_id, item_sequence, name, contents FROM (
+    SELECT *, count(*) OVER w AS n, sum(strlen(contents)) OVER w AS bytes FROM (
+      SELECT *, CASE WHEN content_type = 'html' THEN 'pages:' || (CAST(substr(chunk_id, 2) AS BIGINT) // 20)
+                ELSE request_id || ':' || (CAST(chunk_id AS BIGINT) // 200) END AS block FROM {CHUNKS_SQL})
+    WINDOW w AS (PARTITION BY block)))"""
+ADMIT_BLOCKS_SQL = f"""c AS {BLOCKS_SQL}, adm AS (SELECT request_id, CASE WHEN count(*) > 100 THEN 'too_many_chunks'
+                 WHEN sum(strlen(contents)) > 100000 THEN 'too_many_bytes' END AS reason FROM c GROUP BY 1)"""
+
+
+@query("embed_stream_blocks", f"""WITH {ADMIT_BLOCKS_SQL}
+  SELECT c.chunk_id AS point_id, c.item_sequence, c.name, 1 AS embedding_version, 64 AS dim
+  FROM c JOIN adm USING (request_id) WHERE adm.reason IS NULL""")
+def q_embed_stream_blocks(spark, sf):
+    return _stream_points(spark, I.block_chunks(spark, sf))
+
+
+@query("dead_letter_blocks", f"""WITH {ADMIT_BLOCKS_SQL}
+  SELECT c.chunk_id, c.request_id, adm.reason FROM c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL""")
+def q_dead_letter_blocks(spark, sf):
+    _, dead = _run_stream(spark, I.block_chunks(spark, sf))
     return dead.select("chunk_id", "request_id", "reason")
 
 

@@ -15,6 +15,7 @@ from ..functions.text import extract_text, normalize_again
 from ..functions.time import lease_expiry, ts_lit
 from ..operators.points import attach_row
 from ..operators.ranking import global_rank
+from ..operators.state import admit_requests
 from ..session import FIXED_NOW
 
 API_NAME = "items"
@@ -23,6 +24,8 @@ API_PAGE_SIZE = 100          # records per API page
 INDEX_PAGE_SIZE = 500        # documents per indexing page
 CHUNK_MAX, CHUNK_OVERLAP = 1600, 80
 LEASE_SECONDS = 300
+DOC_BLOCK, PAGE_BLOCK = 200, 20               # ids per block of chunk requests
+REQUEST_ITEMS, REQUEST_BYTES = 100, 100000    # limits of the embedding worker
 EMBEDDING_VERSION = 1
 DATASET_TYPE = "documents"
 
@@ -184,6 +187,22 @@ def chunks(spark, sf_dir) -> DataFrame:
     return dc.unionByName(pc)
 
 
+def block_chunks(spark, sf_dir) -> DataFrame:
+    """The same chunks in requests of bounded size, whose number grows with the
+    tables: a source's documents of DOC_BLOCK ids, PAGE_BLOCK pages. A block
+    over the worker's limits is sent as one request per chunk id, so only a
+    chunk that is over them by itself is rejected."""
+    c = chunks(spark, sf_dir)
+    page = F.col("request_id") == "pages"
+    key = F.when(page, F.substring("chunk_id", 2, 20)).otherwise(F.col("chunk_id")).cast("long")
+    block = F.floor(key / F.when(page, PAGE_BLOCK).otherwise(DOC_BLOCK)).cast("string")
+    c = c.withColumn("request_id", F.concat_ws(":", "request_id", block))
+    over = admit_requests(c, max_items=REQUEST_ITEMS, max_bytes=REQUEST_BYTES).where(~F.col("accepted"))
+    j = c.join(over.select("request_id", F.lit(True).alias("over")), "request_id", "left")
+    return j.withColumn("request_id", F.when(F.col("over"), F.concat_ws(":", "request_id", "chunk_id"))
+                        .otherwise(F.col("request_id"))).drop("over")
+
+
 # ---------------------------------------------------------------- vectors
 def vector_points(spark, sf_dir) -> DataFrame:
     """embeddings as points: point_id = vec_id, payload type = label."""

@@ -28,3 +28,22 @@ def test_progress_and_load(spark):
     assert prog.count() >= 4 and prog.agg(F.sum("input_rows")).first()[0] == I.chunks(spark, SF).count()
     load = stream_load(prog.select(F.col("input_rows").alias("size"), F.lit(500).alias("max_size")), 0.7)
     assert set(load.columns) >= {"usage", "available"}
+
+
+def test_blocks_embed_every_chunk_that_fits_a_request(spark):
+    import __spark_entry__ as E
+    every = {r.chunk_id: len((r.contents or "").encode()) for r in I.chunks(spark, "/root/testdata/sf0.01").collect()}
+    got = [r.point_id for r in E.queries()["embed_stream_blocks"](spark, "/root/testdata/sf0.01").collect()]
+    assert sorted(got) == sorted(c for c, n in every.items() if n <= 100000) and len(got) >= 1000
+
+
+def test_only_chunks_over_the_limits_are_dead(spark, tmp_path):
+    """A block over the limits is split, not rejected; many small ids make many requests."""
+    import __spark_entry__ as E
+    docs = [(i, "x " * (60_000 if i == 7 else 30_000 if i < 10 else 5), "en", "s") for i in range(450)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, f"u{k}", "<p>x</p>") for k in range(50)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    q = E.queries()
+    dead = [tuple(r) for r in q["dead_letter_blocks"](spark, str(tmp_path)).collect()]
+    assert dead == [("7", "s:0:7", "too_many_bytes")]
+    assert q["embed_stream_blocks"](spark, str(tmp_path)).count() == 450 + 50 - 1

@@ -119,3 +119,21 @@ def contaminated(docs: DataFrame, items: DataFrame, pct: int = THRESHOLD_PCT, bl
         return spark.createDataFrame([], MATCHES)
     # An item given twice with different texts: its best share counts.
     return out
+
+
+def filtered(docs: DataFrame, items: DataFrame, pct: int = THRESHOLD_PCT, block_shingles: int = BLOCK_SHINGLES,
+             doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) that hold enough of no item, judged in place: no join, no shuffle."""
+    at = docs.columns.index(doc_text)
+    for block in _blocks(items, item_id, item_text, block_shingles):
+        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, pct))
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 1024):
+                    part = batch.slice(lo, 1024)
+                    yield part.filter(pa.array([not index.matches(t or b"") for t in part.column(at).cast(pa.binary()).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

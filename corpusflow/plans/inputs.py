@@ -215,3 +215,8 @@ def vector_queries(spark, sf_dir) -> DataFrame:
     """The query set: every vector of the table (each one's nearest neighbours)."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+def vector_searches(spark, sf_dir) -> DataFrame:
+    """The searches of the inverted file: every vector whose id 20 divides, against all points."""
+    return vector_queries(spark, sf_dir).where(F.col("query_id") % 20 == 0)

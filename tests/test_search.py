@@ -79,3 +79,47 @@ def test_ivf_exact_at_full_probe_and_recall(spark):
     part = {(r.query_id, r.point_id) for r in search_ivf(assigned, centers, qs, k=5, nprobe=3).collect()}
     truth = {(q, p) for q, v in exact.items() for p, _ in v}
     assert len(part & truth) / len(truth) >= 0.6
+
+
+def test_dot_metric_and_a_large_group_of_copies(spark):
+    rng = np.random.default_rng(4)
+    P = rng.normal(size=(240, 6)).astype(np.float32)
+    P[40:160] = P[40]                                # equal scores over many tiles: the smallest ids win
+    Q = np.concatenate([P[40:41], rng.normal(size=(4, 6)).astype(np.float32)])
+    got = run(spark, P, Q, k=7, metric="dot", max_block_bytes=6 * 8 * 16)
+    for qi, q in enumerate(Q.astype(np.float64)):
+        s = (P.astype(np.float64) * q).sum(1)
+        exp = sorted(range(len(P)), key=lambda i: (-s[i], i))[:7]
+        assert [p for p, _ in got[qi]] == exp
+
+
+def test_vectors_of_another_dimension_are_a_stated_error(spark):
+    import pytest
+    pts = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "point_id long, vector array<float>")
+    ok = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id long, vector array<float>")
+    assert [(r.query_id, r.point_id) for r in search(pts, ok, k=3).collect()] == [(1, 1)]
+    bad = spark.createDataFrame([(1, [1.0, 0.0, 2.0])], "query_id long, vector array<float>")
+    with pytest.raises(Exception, match="dimension 2 searched by queries of dimension 3"):
+        search(pts, bad, k=3).collect()
+    assert search(pts.limit(0), ok, k=3).collect() == [] == search(pts, ok.limit(0), k=3).collect()
+
+
+def test_a_query_meets_the_points_of_its_lists_only(spark):
+    from corpusflow.operators.search import build_ivf, calibrate_nprobe, list_order, search_ivf
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(8, 8)) * 4
+    P = (centre[rng.integers(0, 8, 600)] + rng.normal(size=(600, 8))).astype(np.float32)
+    pts = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(P)], "point_id long, vector array<float>")
+    qs = pts.where("point_id % 20 = 0").withColumnRenamed("point_id", "query_id")
+    assigned, centers = build_ivf(pts)
+    assert len(centers) == 24                       # the square root of 600
+    assigned = assigned.checkpoint(eager=True)
+    lists = {r.point_id: r.cluster for r in assigned.collect()}
+    order = list_order(P[::20].astype(np.float64), centers)
+    hits = search_ivf(assigned, centers, qs, k=5, nprobe=3).collect()
+    assert all(lists[h.point_id] in order[h.query_id // 20][:3] for h in hits)
+    nprobe = calibrate_nprobe(assigned, centers, qs, k=5)
+    assert nprobe < 12                               # clustered data: most lists are never read
+    exact = {(h.query_id, h.point_id) for h in search(pts, qs, k=5).collect()}
+    found = {(h.query_id, h.point_id) for h in search_ivf(assigned, centers, qs, k=5, nprobe=nprobe).collect()}
+    assert len(found & exact) >= 0.9 * len(exact)

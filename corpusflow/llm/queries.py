@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import chat_template, decontam, jaccard_join, language_id, line_dedup, mixing, sharding, stream_dedup, token_output, toxicity
+from corpusflow.llm import (chat_template, decontam, jaccard_join, language_id, line_dedup, mixing, partition_index, sharding, spelling,
+                            stream_dedup, term_pipeline, token_output, toxicity)
 from corpusflow.llm.common import table
 
 N_SHARDS, TABLE_SIZE = 64, 6553
@@ -58,10 +59,26 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_records, op2_stream_dedup, op3_chat_format, op4_source_mix, op5_language_id, op6_toxicity, op7_jaccard_join, op8_line_dedup, op9_shard_table, op10_decontaminate)}
+def op11_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pipeline.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_records, op2_stream_dedup, op3_chat_format, op4_source_mix, op5_language_id, op6_toxicity, op7_jaccard_join, op8_line_dedup,
+    op9_shard_table, op10_decontaminate, op11_learned_partitions, op12_term_pipeline, op13_spelling_variants)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RUN = r"[A-Za-z\x{C0}-\x{FF}]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 # Distinct five-word shingles, one a row, as (id, n_words, shingle).
 _SHINGLES = """SELECT id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w] ELSE [w[i:i + 4] FOR i IN range(1, len(w) - 3)] END)) AS s
@@ -114,4 +131,31 @@ WITH d AS ({_shingles('documents', 'doc_id')}), i AS ({_shingles('benchmark', 'i
 n AS (SELECT id, count(*) AS n FROM i GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, n AS n_item_shingles, count(*) AS n_common, count(*)::DOUBLE / n AS containment
 FROM d JOIN i ON d.s = i.s JOIN n ON n.id = i.id GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 80 * n""",
+    "op12_term_pipeline": rf"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM documents),
+s AS (SELECT doc_id, d, len(ts) AS n, ts FROM t WHERE len(ts) > 0),
+z AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM s),
+q AS (SELECT item_id, i, term, count(*) AS times FROM (SELECT item_id, i, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term FROM
+  (SELECT item_id, text, row_number() OVER () AS i FROM benchmark)) GROUP BY ALL),
+p AS (SELECT doc_id, d, n, term, count(*) AS tf FROM (SELECT doc_id, d, n, unnest(ts) AS term FROM s) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, z GROUP BY term, docs),
+c AS (SELECT q.i, q.item_id, p.doc_id, p.d, sum(q.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * p.n * z.docs) // z.total))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), z GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS tab),
+o AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, {_LOWER.format(f"unnest(regexp_extract_all(coalesce(text, ''), '{_RUN}'))")} AS run FROM documents),
+u AS (SELECT d, run, count(*) AS c, hex(encode(d || ':' || run)) AS x FROM o WHERE length(run) >= 7 GROUP BY ALL),
+v AS (SELECT run, c, xor(list_reduce(list_transform(range(length(x) // 2), lambda k: ('0x' || substr(x, 2 * k + 1, 2))::BIGINT),
+  lambda h, b: xor(h >> 8, tab[(xor(h, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM u, crc),
+w AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM v)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+k AS MATERIALIZED (SELECT word, left(word, i) || '*' || substr(word, i + 2) AS hole, left(word, i) || substr(word, i + 2) AS less FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+near AS MATERIALIZED (SELECT a.word AS word, b.word AS other FROM k a JOIN k b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT word, less FROM k WHERE less IN (SELECT word FROM w) UNION SELECT less, word FROM k WHERE less IN (SELECT word FROM w)),
+b AS (SELECT near.word, count(*) AS n_near, max(n) AS top_n, arg_min(other, (-n, encode(other))) AS top FROM near JOIN w ON w.word = other GROUP BY near.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * n THEN top END AS form, CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM w LEFT JOIN b ON b.word = w.word),
+r AS (SELECT word, word AS at_, form AS next_ FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.next_)
+SELECT f.word, f.form, r.at_ AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n FROM f JOIN r ON r.word = f.word AND r.next_ IS NULL""",
 }

@@ -32,15 +32,20 @@ def nfkc(c) -> Column:
     return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), _col(c), F.lit(True))
 
 
-def normalize_text(c) -> Column:
+def normalize_text(c, is_list: bool = False) -> Column:
     """One normalization pass (P4): null/'' -> '', NFKC, drop zero-width
     characters, CR/CRLF -> LF, collapse whitespace runs to one space, strip.
 
+    With ``is_list`` the value is an array: its elements as text, joined by a
+    space (a null element reads 'None').
+
     Not idempotent (removing a zero-width character can put a combining mark
     next to its base); pipelines apply it twice, see :func:`normalize_twice`.
     """
-    t = F.coalesce(_col(c).cast("string"), F.lit(""))
-    t = nfkc(t)
+    v = _col(c)
+    if is_list:
+        v = F.array_join(F.transform(v, lambda x: F.coalesce(x.cast("string"), F.lit("None"))), " ")
+    t = nfkc(F.coalesce(v.cast("string"), F.lit("")))
     t = F.regexp_replace(t, ZERO_WIDTH, "")
     t = F.regexp_replace(t, r"\r\n?", "\n")
     t = F.regexp_replace(t, WS + "+", " ")
@@ -91,15 +96,22 @@ def decode_entities(c) -> Column:
     return F.coalesce(_unescape_batch(F.when(c.rlike(_OTHER_ENTITY), c)), jvm)
 
 
+# One pass over the markup, whatever comes first at each place. A tag starts with a letter, its quoted
+# attribute values may hold '>'; the content of a raw-text element ends at its own end tag only; what is
+# never closed runs to the end of the text. '<' before anything else is text.
+_TAG_REST = r"""(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"""
+_MARKUP = ("(?is)<!--(?:-?>|.*?(?:--!?>|\\z))"
+           rf"|<(script|style|noscript)(?=[\s/>]){_TAG_REST}.*?(?:</\1(?=[\s/>]){_TAG_REST}|\z)"
+           rf"|</?[a-z]{_TAG_REST}"
+           r"|<[!?/][^>]*+(?:>|\z)")
+
+
 def strip_html(c) -> Column:
     """Visible text of an HTML fragment (P5): comments and script/style/noscript
     blocks removed, every tag (img included) becomes a separator, entities are
     decoded once, whitespace collapsed."""
     h = F.coalesce(_col(c), F.lit(""))
-    h = F.regexp_replace(h, r"(?s)<!--.*?-->", " ")
-    h = F.regexp_replace(h, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", " ")
-    h = F.regexp_replace(h, r"(?s)<[^>]*>", " ")
-    return collapse_ws(decode_entities(h))
+    return collapse_ws(decode_entities(F.regexp_replace(h, _MARKUP, " ")))
 
 
 def extract_text(fields: list[str], fallback_cols: list[str] | None = None) -> Column:

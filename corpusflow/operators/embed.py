@@ -2,14 +2,15 @@
 
 An embedder turns (key, text) rows into (key, vector) rows. Two kinds:
 
-* :class:`HashingEmbedder` - the default, fully native: lower-cased tokens are
-  hashed into ``dim`` buckets (first 8 hex digits of md5, mod dim), counted
-  and L2-normalized. Token counts are aggregated per (key, bucket) with
-  map-side partial aggregation, so only <= dim rows per document cross the
-  shuffle, never the text.
+* :class:`HashingEmbedder` - the default, fully native: the first ``max_tokens``
+  lower-cased tokens are hashed into ``dim`` buckets (first 8 hex digits of
+  md5, mod dim), counted inside the row and L2-normalized: no shuffle, and the
+  work of a row is bounded however long its text is.
 * :class:`ArrowEmbedder` - a plug-in for real models: ``mapInPandas`` over
   Arrow batches, the model loaded once per Python worker, encoded in batches
-  of ``batch_size``, one error column per row instead of a failed stage.
+  of ``batch_size``; the texts of a batch that fails are encoded one by one, so
+  an error column marks just the rows that fail. Only the first ``max_length``
+  tokens of a text reach the model.
 """
 from __future__ import annotations
 
@@ -28,6 +29,9 @@ DEFAULT_DIM = 768
 E5_PREFIX = {"passage": "passage: ", "query": "query: "}
 # Token separators of the hashing embedder: ASCII whitespace.
 TOKEN_SPLIT = r"[ \t\n\r\f\x0b]+"
+NOT_SPACE = r"[^ \t\n\r\f\x0b]"
+# Tokens of a text that an embedder reads (fixed value); what follows is cut off.
+MAX_TOKENS = 512
 
 
 def model_family(model_name: str) -> str:
@@ -49,6 +53,13 @@ def resolve_dim(model_name: str, model_dim: int | None = None) -> int:
     return DEFAULT_DIM
 
 
+def token_window(text, max_tokens: int = MAX_TOKENS):
+    """The first ``max_tokens`` tokens of a text as an array; the text is split no further than that."""
+    # A leading separator makes one empty element, the last element holds what was not split.
+    parts = F.split(F.coalesce(text, F.lit("")), TOKEN_SPLIT, max_tokens + 2)
+    return F.slice(F.filter(parts, lambda t: t != ""), 1, max_tokens)
+
+
 def role_prefix(model_name: str, role: str) -> str:
     return E5_PREFIX.get(role, "") if model_family(model_name) == "e5" else ""
 
@@ -57,54 +68,46 @@ def role_prefix(model_name: str, role: str) -> str:
 class HashingEmbedder:
     dim: int = 64
     model_name: str = "hashing"
+    max_tokens: int = MAX_TOKENS
 
-    def _tokens(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
-        pre = role_prefix(self.model_name, role)
-        text = F.concat(F.lit(pre), F.coalesce(F.col(text_col), F.lit(""))) if pre else F.col(text_col)
-        # Lower-case per token, after the split (same tokens: lower-casing never
-        # makes or removes ASCII whitespace): ASCII tokens stay on Spark's fast path.
-        return df.select(*keys, F.explode(F.split(text, TOKEN_SPLIT)).alias("_tok")) \
-            .where(F.col("_tok") != "").select(*keys, F.lower("_tok").alias("_tok"))
-
-    def _bucket(self):
+    def _bucket(self, token):
         """int(first 8 hex digits of md5(token), 16) mod dim. When dim divides
         256 only the low byte matters, i.e. hex digits 7-8: read them with two
         instr() lookups instead of a string base conversion."""
-        h = F.md5("_tok")
+        h = F.md5(token)
         if 256 % self.dim == 0:
             digit = lambda i: F.instr(F.lit("0123456789abcdef"), F.substring(h, i, 1)) - 1
             return ((digit(7) * 16 + digit(8)) % self.dim).cast("int")
         return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(self.dim)).cast("int")
 
-    def _grouped(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
-        """(keys..., _e array<struct<bucket, _n>>, _norm): token counts per
-        bucket, pre-aggregated map-side, one row per text."""
-        counts = self._tokens(df, keys, text_col, role).groupBy(*keys, self._bucket().alias("bucket")) \
-            .agg(F.count(F.lit(1)).alias("_n"))
-        vec = counts.groupBy(*keys).agg(F.collect_list(F.struct("bucket", "_n")).alias("_e"))
-        norm = F.sqrt(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["_n"] * e["_n"]))
-        return vec.withColumn("_norm", F.greatest(norm, F.lit(1e-9)))
+    def _counted(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
+        """(keys..., _c: count of each bucket, _norm), one row per text with a token, counted in its row."""
+        pre = role_prefix(self.model_name, role)
+        text = F.concat(F.lit(pre), F.coalesce(F.col(text_col), F.lit(""))) if pre else F.col(text_col)
+        # Lower-case per token, after the split (same tokens: lower-casing never
+        # makes or removes ASCII whitespace): ASCII tokens stay on Spark's fast path.
+        buckets = F.transform(token_window(text, self.max_tokens), lambda t: self._bucket(F.lower(t)))
+        every = F.sequence(F.lit(0), F.lit(self.dim - 1))
+        # The one-element array binds the buckets once; the test for a token is one of the text, so neither is worked out again.
+        counts = F.transform(F.array(buckets), lambda b: F.transform(every, lambda k: F.size(b) - F.size(F.array_remove(b, k))))[0]
+        rows = df.where(text.rlike(NOT_SPACE)).select(*keys, counts.alias("_c"))
+        norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, n: a + n * n))
+        return rows.withColumn("_norm", F.greatest(norm, F.lit(1e-9)))
 
     def embed_sparse(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
         """(keys..., bucket, value) for the non-zero buckets, L2-normalized."""
         keys = list(keys)
-        g = self._grouped(df, keys, text_col, role)
-        return g.select(*keys, F.inline(F.transform("_e", lambda e: F.struct(
-            e["bucket"].alias("bucket"), (e["_n"] / F.col("_norm")).alias("value")))))
+        g = self._counted(df, keys, text_col, role)
+        # Outer: the plain one would have the counts worked out a second time, to filter empty arrays.
+        return g.select(*keys, "_norm", F.posexplode_outer("_c").alias("bucket", "_n")).where("_n > 0") \
+            .select(*keys, "bucket", (F.col("_n") / F.col("_norm")).alias("value"))
 
     def embed(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
         """(keys..., vector array<float>) dense vectors. A text without tokens
         gets no row (its vector would be all zero)."""
         keys = list(keys)
-        g = self._grouped(df, keys, text_col, role)
-        # Dense fill with native array functions: the absent buckets get zero
-        # entries, a native sort orders all dim entries by bucket, one lambda
-        # per element divides by the norm (no per-element map lookups).
-        present = F.transform("_e", lambda e: e["bucket"])
-        missing = F.array_except(F.sequence(F.lit(0), F.lit(self.dim - 1)), present)
-        zeros = F.transform(missing, lambda b: F.struct(b.alias("bucket"), F.lit(0).cast("long").alias("_n")))
-        full = F.array_sort(F.concat(F.col("_e"), zeros))
-        return g.select(*keys, F.transform(full, lambda e: (e["_n"] / F.col("_norm")).cast("float")).alias("vector"))
+        g = self._counted(df, keys, text_col, role)
+        return g.select(*keys, F.transform("_c", lambda n: (n / F.col("_norm")).cast("float")).alias("vector"))
 
 
 _MODEL_CACHE: dict = {}
@@ -119,6 +122,7 @@ class ArrowEmbedder:
     load: Callable[[], object]
     batch_size: int = 64
     normalize: bool = True
+    max_length: int = MAX_TOKENS
 
     def embed(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
         keys = list(keys)
@@ -134,33 +138,55 @@ class ArrowEmbedder:
             for pdf in batches:
                 texts = (pre + pdf[text_col].fillna("")).tolist()
                 vecs, errs = [None] * len(texts), [None] * len(texts)
+
+                def encode(at, n):
+                    m = np.asarray(model.encode(texts[at:at + n]), dtype=np.float64)
+                    if norm:
+                        m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+                    vecs[at:at + n] = list(m.astype(np.float32))
+
                 for s in range(0, len(texts), bs):
+                    n = min(bs, len(texts) - s)
                     try:
-                        m = np.asarray(model.encode(texts[s:s + bs]), dtype=np.float64)
-                        if norm:
-                            m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-                        for i, row in enumerate(m):
-                            vecs[s + i] = row.astype(np.float32)
-                    except Exception as e:  # failure isolation: mark the rows, keep the stage
-                        for i in range(s, min(s + bs, len(texts))):
-                            errs[i] = f"{type(e).__name__}: {e}"[:500]
+                        encode(s, n)
+                    except Exception:  # failure isolation: find the rows, mark them, keep the stage
+                        for i in range(s, s + n):
+                            try:
+                                encode(i, 1)
+                            except Exception as e:
+                                errs[i] = f"{type(e).__name__}: {e}"
                 out = pdf[keys].copy()
                 out["vector"] = vecs
                 out["embed_error"] = errs
                 yield out
 
-        return df.select(*keys, text_col).mapInPandas(run, schema)
+        window = F.array_join(token_window(F.col(text_col), self.max_length), " ")
+        long_text = F.size(F.split(F.col(text_col), TOKEN_SPLIT, self.max_length + 2)) > self.max_length
+        return df.select(*keys, F.when(long_text, window).otherwise(F.col(text_col)).alias(text_col)).mapInPandas(run, schema)
 
 
-def mean_pool(df: DataFrame, keys, vec_col: str = "vector", mask_col: str | None = None) -> DataFrame:
-    """Masked mean of vectors per group (A5): rows whose mask is 0 are left
-    out, the count is clamped at 1e-9. Element-wise partial aggregation: a hot
-    group is pre-aggregated on the map side. Output (keys..., pos, value)."""
+def mean_vectors(df: DataFrame, keys, vec_col: str = "vector", mask_col: str | None = None, dim: int | None = None) -> DataFrame:
+    """Masked mean of vectors per group (A5): (keys..., vector array<double>).
+
+    Rows whose mask is 0 are left out, the count is clamped at 1e-9. The sums
+    of all positions are one aggregation over the arrays: a vector enters it as
+    one row, and a hot group reaches the shuffle as one row per map task.
+    ``dim`` (else the largest in ``df``) positions are summed; a missing or
+    null position adds nothing.
+    """
     keys = list(keys)
-    m = F.col(mask_col).cast("double") if mask_col else F.lit(1.0)
-    ex = df.select(*keys, m.alias("_m"), F.posexplode(vec_col).alias("pos", "_x"))
-    return ex.groupBy(*keys, "pos").agg(
-        (F.sum(F.col("_x").cast("double") * F.col("_m")) / F.greatest(F.sum("_m"), F.lit(1e-9))).alias("value"))
+    dim = dim or df.agg(F.max(F.size(vec_col))).first()[0] or 0
+    m = F.coalesce(F.col(mask_col).cast("double"), F.lit(0.0)) if mask_col else F.lit(1.0)
+    rows = df.select(*keys, F.col(vec_col).alias("_v"), m.alias("_m")).where("_v is not null")
+    sums = [F.coalesce(F.sum(F.get("_v", F.lit(i)).cast("double") * F.col("_m")), F.lit(0.0)) for i in range(dim)]
+    pooled = rows.groupBy(*keys).agg(F.array(*sums).alias("_s"), F.greatest(F.sum("_m"), F.lit(1e-9)).alias("_n"))
+    return pooled.select(*keys, F.transform("_s", lambda x: x / F.col("_n")).alias("vector"))
+
+
+def mean_pool(df: DataFrame, keys, vec_col: str = "vector", mask_col: str | None = None) -> DataFrame:
+    """:func:`mean_vectors` as rows (keys..., pos, value)."""
+    pooled = mean_vectors(df, keys, vec_col, mask_col)
+    return pooled.select(*list(keys), F.posexplode("vector").alias("pos", "value"))
 
 
 def assemble(sparse: DataFrame, keys, pos_col: str = "pos", val_col: str = "value", dim: int | None = None) -> DataFrame:

@@ -91,16 +91,22 @@ def points_count(points: DataFrame, by=(), **equals) -> DataFrame:
     return src.groupBy(*by).agg(F.count(F.lit(1)).alias("points"))
 
 
-def index_summary(docs: DataFrame, state: DataFrame, points: DataFrame, version: int) -> DataFrame:
+def index_summary(docs: DataFrame, state: DataFrame, points: DataFrame, version: int, dataset_type: str = "documents") -> DataFrame:
     """Index summary (A2): points per (type, version) with document totals.
 
-    ``docs`` has (doc_id, text_hash). One aggregate over docs ⟕ state and one
-    over points; the one-row document totals are attached to every points row.
+    ``docs`` has (doc_id, row_hash), the stored hash, or else text_hash. One
+    aggregate over docs ⟕ state and one over points; the one-row document
+    totals are attached to every points row. A collection without a point of
+    ``dataset_type`` and ``version`` still has its row.
     """
-    st = state.select("doc_id", "embedding_version", "indexed_hash", F.lit(True).alias("has_state"))
-    d = docs.join(st, "doc_id", "left").agg(
+    by = "indexed_row_hash" if "indexed_row_hash" in state.columns and "row_hash" in docs.columns else "indexed_hash"
+    now = "row_hash" if by == "indexed_row_hash" else "text_hash"
+    st = state.select("doc_id", "embedding_version", by, F.lit(True).alias("has_state"))
+    d = docs.select("doc_id", now).join(st, "doc_id", "left").agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("embedding_version").eqNullSafe(F.lit(str(version)))).alias("indexed_current"),
-        F.count_if(needs_index(version)).alias("needs_index"))
+        F.count_if(needs_index(version, current_hash=now, indexed_hash=by)).alias("needs_index"))
     p = points.groupBy("type", "embedding_version").agg(F.count(F.lit(1)).alias("points"))
+    own = points.sparkSession.range(1).select(F.lit(dataset_type).alias("type"), F.lit(int(version)).alias("embedding_version"))
+    p = p.join(own, ["type", "embedding_version"], "full_outer").withColumn("points", F.coalesce("points", F.lit(0)).cast("long"))
     return attach_row(p, d)

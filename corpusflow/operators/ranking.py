@@ -20,12 +20,11 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row by ascending ``order_col``
     (ties broken arbitrarily but consistently)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    # as many range partitions as the input has splits (never fewer than the
-    # shuffle setting): each range then holds about one input split of keys
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-    ranged = df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col).checkpoint(eager=True)
+    checkpoint_dir(df.sparkSession)
+    # Finding range bounds runs the input once more: an input that is more than
+    # a scan is written first. The shuffle setting, coalesced by size, gives the ranges.
+    to = [num_partitions] if num_partitions else []
+    ranged = df.checkpoint(eager=True).repartitionByRange(*to, F.col(order_col)).sortWithinPartitions(order_col).checkpoint(eager=True)
     # monotonically_increasing_id = partition index << 33 | position in partition
     local = ranged.withColumn("_mid", F.monotonically_increasing_id()) \
         .withColumn("_pid", F.shiftright("_mid", 33)) \
@@ -62,14 +61,12 @@ def assign_pages(df: DataFrame, id_col: str, page_size: int) -> DataFrame:
         "page_no", ((F.col("rank") - 1) / page_size + 1).cast("long"))
 
 
-def ids_by_page(df: DataFrame, id_col: str, page_no: int, page_size: int) -> DataFrame:
-    """Ids of page ``page_no`` (1-based) in ascending order (L1); bad page or
-    size -> empty. Works at any depth: no offset buffer grows with page_no."""
-    if page_no < 1 or page_size <= 0:
-        return df.select(id_col).limit(0)
-    lo = (page_no - 1) * page_size
-    return global_rank(df.select(id_col), id_col).where(
-        (F.col("rank") > lo) & (F.col("rank") <= lo + page_size)).select(id_col, "rank")
+def ids_by_page(df: DataFrame, id_col: str, page_no: int, page_size: int, directory: DataFrame | None = None) -> DataFrame:
+    """Ids of page ``page_no`` (1-based) in ascending order with their rank (L1);
+    bad page or size -> empty. With a stored page directory this is one pushed
+    range scan at any depth (``sources.scan``)."""
+    from ..sources.scan import scan_page
+    return scan_page(df, id_col, page_no, page_size, None, [id_col], directory).withColumnRenamed("position", "rank")
 
 
 def total_pages(df: DataFrame, page_size: int) -> DataFrame:

@@ -124,15 +124,20 @@ def tiled_topk(points: DataFrame, queries: DataFrame, keep: int, metric: str = "
     key = F.col(row_col or id_col)
     p = points.select(key.alias("_row"), F.col(vec_col).alias("_vec"), id_col, *carry, (F.col(cell) if cell else F.lit(0)).cast("int").alias("_cell")).where("_vec is not null")
     q = queries.select("query_id", F.col(query_vec).alias("_vec"), (F.col(cell) if cell else F.lit(0)).cast("int").alias("_cell")).where("_vec is not null")
-    dim = p.agg(F.max(F.size("_vec"))).first()[0] or 1
-    rows = max(1, max_block_bytes // (8 * dim))
-    tiles = lambda df, n: df.groupBy("_cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(n))
-    # One row a cell: bounded by the number of cells, not by the data.
-    grid = F.broadcast(tiles(p, "_np").join(tiles(q, "_nq"), "_cell"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    spread = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    p = p.join(grid, "_cell").select("*", spread("_row", "_np").alias("_pt"), every("_nq").alias("_qt")).drop("_np", "_nq")
-    q = q.join(grid, "_cell").select("*", spread("query_id", "_nq").alias("_qt"), every("_np").alias("_pt")).drop("_np", "_nq")
+    dim, n_points = p.agg(F.max(F.size("_vec")), F.count("*")).first()
+    rows = max(1, max_block_bytes // (8 * (dim or 1)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    spread = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    if cell:
+        tiles = lambda df, n: df.groupBy("_cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(n))
+        # One row a cell: bounded by the number of cells, not by the data.
+        grid = F.broadcast(tiles(p, "_np").join(tiles(q, "_nq"), "_cell"))
+        p, q = p.join(grid, "_cell"), q.join(grid, "_cell")
+        n_p, n_q = F.col("_np"), F.col("_nq")
+    else:
+        n_p, n_q = F.lit(max(1, -(-n_points // rows))), F.lit(max(1, -(-q.count() // rows)))
+    p = p.select("*", spread("_row", n_p).alias("_pt"), every(n_q).alias("_qt")).drop("_np", "_nq")
+    q = q.select("*", spread("query_id", n_q).alias("_qt"), every(n_p).alias("_pt")).drop("_np", "_nq")
     out = points.select(id_col, *carry).schema
     ddl = ", ".join([f"query_id {q.schema['query_id'].dataType.simpleString()}", "score double",
                      *(f"`{f.name}` {f.dataType.simpleString()}" for f in out)])

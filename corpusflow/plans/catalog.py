@@ -40,18 +40,31 @@ def norm_sql(x: str) -> str:
 
 
 def html_sql(x: str) -> str:
-    s = f"coalesce({x}, '')"
-    s = f"regexp_replace({s}, '(?s)<!--.*?-->', ' ', 'g')"
-    for tag in ("script", "style", "noscript"):
-        s = f"regexp_replace({s}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
-    s = f"regexp_replace({s}, '(?s)<[^>]*>', ' ', 'g')"
+    """Visible text in DuckDB: the text is cut at each '<', and a fold over the
+    pieces keeps a state (in text, or the element or comment whose end is due)."""
+    tag = """^(/?[A-Za-z](?:[^>"\'\']|"[^"]*"|\'\'[^\'\']*\'\')*)>"""
+    name = "lower(regexp_extract(s, '^([A-Za-z]+)[\\s/>]', 1))"
+    rest = f"regexp_replace(s, '{tag}', '')"
+    end = "regexp_replace(s, '^[^>]*>', '')"
+    s = f"""list_reduce(string_split(coalesce({x}, ''), '<')[2:], lambda a, s: CASE
+      WHEN a.due = '--' AND contains(s, '-->') THEN {{'due': '', 'out': a.out || ' ' || substr(s, strpos(s, '-->') + 3)}}
+      WHEN a.due NOT IN ('', '--') AND regexp_matches(lower(s), '^/' || a.due || '[\\s>]') THEN {{'due': '', 'out': a.out || ' ' || {end}}}
+      WHEN a.due <> '' THEN a
+      WHEN starts_with(s, '!--') AND contains(s, '-->') THEN {{'due': '', 'out': a.out || ' ' || substr(s, strpos(s, '-->') + 3)}}
+      WHEN starts_with(s, '!--') THEN {{'due': '--', 'out': a.out || ' '}}
+      WHEN {name} IN ('script', 'style', 'noscript') THEN {{'due': {name}, 'out': a.out || ' '}}
+      WHEN regexp_matches(s, '{tag}') THEN {{'due': '', 'out': a.out || ' ' || {rest}}}
+      WHEN regexp_matches(s, '^[!?/]') THEN {{'due': '', 'out': a.out || ' ' || {end}}}
+      ELSE {{'due': '', 'out': a.out || '<' || s}} END, {{'due': '', 'out': string_split(coalesce({x}, ''), '<')[1]}}).out"""
     for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"),
                     ("&gt;", ">"), ("&amp;", "&")):
         s = f"replace({s}, '{ent}', '{ch}')"
     return f"trim(regexp_replace({s}, '{WS_SQL}+', ' ', 'g'), ' ')"
 
 
-DOCS_SQL = "(SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '   ' ELSE text END AS text, lang, source FROM documents)"
+# All documents, and blank ones as rows of their own.
+DOCS_SQL = f"""(SELECT doc_id, text, lang, source FROM documents
+  UNION ALL SELECT doc_id + {I.BLANK_IDS}, '   ', lang, source FROM documents WHERE doc_id % 17 = 0)"""
 
 
 # ------------------------------------------------------------------ P4
@@ -104,16 +117,17 @@ def q_text_hash(spark, sf):
     return d.select("doc_id", H.text_hash(T.normalize_twice("text")).alias("text_hash"))
 
 
-_UUID_SQL = """
+def uuid_sql(docs: str) -> str:
+    return f"""
   SELECT doc_id, substr(h,1,8) || '-' || substr(h,9,4) || '-5' || substr(h,14,3) || '-' ||
     lower(printf('%02x', (CAST(('0x' || substr(h,17,2)) AS INTEGER) & 63) | 128)) || substr(h,19,2) || '-' ||
     substr(h,21,12) AS point_id
   FROM (SELECT doc_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') ||
-        encode('doc:' || CAST(doc_id AS VARCHAR) || '|v1')) AS h FROM documents)
+        encode('doc:' || CAST(doc_id AS VARCHAR) || '|v1')) AS h FROM {docs})
 """
 
 
-@query("point_id", _UUID_SQL)
+@query("point_id", uuid_sql("documents"))
 def q_point_id(spark, sf):
     d = I.table(spark, sf, "documents")
     return d.select("doc_id", H.point_id("doc_id", I.EMBEDDING_VERSION).alias("point_id"))
@@ -217,13 +231,14 @@ def q_json_page_records(spark, sf):
                     g("ENTP_NAME").alias("entp_name"), "total_count", "shape_status")
 
 
-@query("xml_page_records", f"WITH {REC_SQL} SELECT page_no, record_idx, item_seq, item_name, entp_name, total_count FROM rec")
+@query("xml_page_records", f"""WITH {REC_SQL} SELECT page_no, record_idx, item_seq, item_name, entp_name, total_count,
+  CAST(NULL AS VARCHAR) AS detail, 'no. 0' || item_seq AS note, 'new' AS tag FROM rec""")
 def q_xml_page_records(spark, sf):
     from ..sources.pages import explode_xml_pages
     r = explode_xml_pages(I.xml_pages(spark, sf))
     m = F.col("record_map")
     return r.select("page_no", "record_idx", m["ITEM_SEQ"].alias("item_seq"), m["ITEM_NAME"].alias("item_name"),
-                    m["ENTP_NAME"].alias("entp_name"), "total_count")
+                    m["ENTP_NAME"].alias("entp_name"), "total_count", m["DETAIL"].alias("detail"), m["NOTE"].alias("note"), m["TAG"].alias("tag"))
 
 
 def _parsed(spark, sf):
@@ -238,11 +253,59 @@ def q_parse_records(spark, sf):
     return good.select("id", "name", "vendor", "row_hash")
 
 
-@query("parse_quarantine", "SELECT CAST(p_partkey AS INTEGER) AS page_no, CAST(0 AS INTEGER) AS record_idx, "
-       "'' AS reason FROM part WHERE p_partkey IS NULL AND p_partkey IS NOT NULL")
+@query("parse_quarantine", """SELECT event_id, CASE event_type WHEN 'click' THEN 'id:not_string' WHEN 'error' THEN 'name:not_string'
+  ELSE 'id:missing' END AS reason FROM events WHERE event_type IN ('click', 'error', 'view', 'signup')""")
 def q_parse_quarantine(spark, sf):
-    _, bad = _parsed(spark, sf)
-    return bad.select("page_no", "record_idx", "reason")
+    from ..sources.pages import parse_records
+    _, bad = parse_records(I.event_records(spark, sf), keep=["event_id"])
+    return bad.select("event_id", "reason")
+
+
+K_SQL = "(SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)"
+
+
+def _odd_k(rec):
+    """A user's parser: raises for a record whose name is a number, skips even k."""
+    if not isinstance(rec["ITEM_NAME"], str):
+        raise ValueError(f"bad name {rec['ITEM_NAME']}")
+    return None if rec["k"] % 2 == 0 else {"y": rec["k"], "kind": rec["ITEM_NAME"]}
+
+
+def _function_parsed(spark, sf):
+    from ..sources.pages import FunctionParser, parse_records
+    return parse_records(I.event_records(spark, sf), FunctionParser(_odd_k, "y long, kind string"), keep=["event_id"])
+
+
+def _column_parsed(spark, sf):
+    from ..sources.pages import ColumnParser, parse_records
+    k = lambda r: F.try_variant_get(r, "$.k", "long")
+    number = lambda r: F.schema_of_variant(F.try_variant_get(r, "$.ITEM_NAME", "variant")) != "STRING"
+    parser = ColumnParser({"y": k, "kind": lambda r: F.try_variant_get(r, "$.ITEM_NAME", "string")}, skip=lambda r: k(r) % 2 == 0,
+                          error=lambda r: F.when(number(r), F.concat(F.lit("bad name "), F.try_variant_get(r, "$.ITEM_NAME", "string"))))
+    return parse_records(I.event_records(spark, sf), parser, keep=["event_id"])
+
+
+_ODD_SQL = f"SELECT event_id, k AS y, event_type AS kind FROM {K_SQL} WHERE event_type <> 'error' AND k % 2 = 1"
+
+
+@query("parse_function", _ODD_SQL)
+def q_parse_function(spark, sf):
+    return _function_parsed(spark, sf)[0]
+
+
+@query("parse_function_errors", "SELECT event_id, 'ValueError: bad name 404' AS reason FROM events WHERE event_type = 'error'")
+def q_parse_function_errors(spark, sf):
+    return _function_parsed(spark, sf)[1]
+
+
+@query("parse_columns", _ODD_SQL)
+def q_parse_columns(spark, sf):
+    return _column_parsed(spark, sf)[0]
+
+
+@query("parse_columns_errors", "SELECT event_id, 'bad name 404' AS reason FROM events WHERE event_type = 'error'")
+def q_parse_columns_errors(spark, sf):
+    return _column_parsed(spark, sf)[1]
 
 
 @query("xml_parse_records", "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS vendor FROM part")
@@ -340,14 +403,33 @@ def q_request_plan(spark, sf):
 
 
 # ------------------------------------------------------------------ S9 / A4 / L1
+def _stored(df, spark, name):
+    """``df`` as a table in the shared folder."""
+    import uuid
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@query("page_directory", """
+  SELECT CAST((rn - 1) // 50 + 1 AS BIGINT) AS page_no, doc_id AS start_id, lead(doc_id) OVER (ORDER BY doc_id) AS end_id
+  FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents WHERE lang = 'en') WHERE (rn - 1) % 50 = 0""")
+def q_page_directory(spark, sf):
+    from ..sources.scan import page_directory
+    return page_directory(I.table(spark, sf, "documents"), "doc_id", 50, F.col("lang") == "en")
+
+
 @query("scan_page", """
   SELECT doc_id, source, rn AS position FROM (
     SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) AS rn FROM documents WHERE lang = 'en')
   WHERE rn > 50 AND rn <= 100""")
 def q_scan_page(spark, sf):
-    from ..sources.scan import scan_page
-    d = I.table(spark, sf, "documents")
-    return scan_page(d, "doc_id", page=2, size=50, where=F.col("lang") == "en", cols=["doc_id", "source"])
+    """One page by the stored directory: a range scan with both bounds pushed."""
+    from ..sources.scan import page_directory, read_page
+    d, en = I.table(spark, sf, "documents"), F.col("lang") == "en"
+    directory = _stored(page_directory(d, "doc_id", 50, en), spark, "page-directory")
+    return read_page(d, directory, "doc_id", 2, 50, en, ["doc_id", "source"])
 
 
 @query("scan_count", "SELECT count(*) AS n FROM documents WHERE lang = 'en'")
@@ -431,20 +513,23 @@ def q_point_lookup(spark, sf):
 
 # ================================================================== indexing (F, T, W1, A2, A3, Q2)
 DOC_STATE_SQL = f"""
-  dt AS (SELECT doc_id, {norm_sql(norm_sql('text'))} AS text FROM {DOCS_SQL}),
-  dh AS (SELECT doc_id, text, sha1({norm_sql('text')}) AS text_hash FROM dt),
+  dt AS (SELECT doc_id, {norm_sql(norm_sql('text'))} AS text,
+                md5(concat(doc_id, '|', lang, '|', source, '|', text)) AS row_hash FROM {DOCS_SQL}),
+  dh AS (SELECT doc_id, text, row_hash, sha1({norm_sql('text')}) AS text_hash FROM dt),
   st AS (SELECT doc_id, CASE WHEN doc_id % 6 IN (1, 2, 4) THEN '1' WHEN doc_id % 6 = 3 THEN '0' END AS embedding_version,
-                CASE WHEN doc_id % 6 = 2 THEN 'stale' WHEN doc_id % 6 = 4 THEN '' ELSE text_hash END AS indexed_hash
+                CASE WHEN doc_id % 6 = 2 THEN 'stale' WHEN doc_id % 6 = 4 THEN '' ELSE text_hash END AS indexed_hash,
+                CASE WHEN doc_id % 6 = 2 THEN 'stale' WHEN doc_id % 6 = 4 THEN '' WHEN doc_id % 6 = 1 AND doc_id % 5 = 0 THEN 'older'
+                     ELSE row_hash END AS indexed_row_hash
          FROM dh WHERE doc_id % 6 <> 0),
   ls AS (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'w0' WHEN 2 THEN 'w1' ELSE 'w2' END AS owner,
-                CASE WHEN doc_id % 4 = 1 THEN TIMESTAMP '2024-01-31' - to_seconds(CAST(doc_id - 1 AS BIGINT))
+                CASE WHEN doc_id % 4 = 1 THEN TIMESTAMP '2024-01-31' - to_seconds(CAST(doc_id % {I.BLANK_IDS} - 1 AS BIGINT))
                      ELSE TIMESTAMP '2024-01-31 00:05:00' END AS expires_at
-         FROM documents WHERE doc_id % 4 <> 0),
-  j AS (SELECT dh.*, st.doc_id IS NOT NULL AS has_state, st.embedding_version, st.indexed_hash,
+         FROM {DOCS_SQL} WHERE doc_id % 4 <> 0),
+  j AS (SELECT dh.*, st.doc_id IS NOT NULL AS has_state, st.embedding_version, st.indexed_hash, st.indexed_row_hash,
                ls.doc_id IS NOT NULL AS has_lease, ls.owner, ls.expires_at
         FROM dh LEFT JOIN st USING (doc_id) LEFT JOIN ls USING (doc_id)),
   f AS (SELECT *, (NOT has_state OR embedding_version IS DISTINCT FROM '1'
-                   OR coalesce(text_hash, '') <> coalesce(indexed_hash, '')) AS needs,
+                   OR coalesce(row_hash, '') <> coalesce(indexed_row_hash, '')) AS needs,
                (NOT has_lease OR coalesce(expires_at <= TIMESTAMP '2024-01-31', false)) AS free FROM j),
   r AS (SELECT *, CASE WHEN NOT needs THEN 'up_to_date' WHEN NOT free THEN 'leased'
                        WHEN text = '' THEN 'empty_text'
@@ -457,24 +542,27 @@ DOC_STATE_SQL = f"""
 
 
 def _doc_state(spark, sf):
-    """Canonical texts (normalized once, checkpointed: both the documents and
-    the derived index state read them), index state and leases."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    d = I.doc_texts(spark, sf).checkpoint(eager=True)
-    return d, I.index_state(spark, sf, d), I.leases(spark, sf)
+    """Stored documents with their row hashes, index state and leases. The
+    state's text hashes are those of the canonical texts."""
+    stored = I.stored_documents(spark, sf)
+    return stored, I.index_state(spark, sf, I.canonical(stored), stored), I.leases(spark, sf)
 
 
 def _joined(spark, sf):
-    d, st, ls = _doc_state(spark, sf)
-    return d.join(st.select("doc_id", "embedding_version", "indexed_hash", F.lit(True).alias("has_state")), "doc_id", "left") \
+    stored, st, ls = _doc_state(spark, sf)
+    return stored.select("doc_id", "row_hash") \
+        .join(st.select("doc_id", "embedding_version", "indexed_hash", "indexed_row_hash", F.lit(True).alias("has_state")), "doc_id", "left") \
         .join(ls.select("doc_id", "owner", "expires_at", F.lit(True).alias("has_lease")), "doc_id", "left")
 
 
+def _needs():
+    from ..functions.predicates import needs_index
+    return needs_index(I.EMBEDDING_VERSION, current_hash="row_hash", indexed_hash="indexed_row_hash")
+
+
 @query("needs_index", f"WITH {DOC_STATE_SQL} SELECT doc_id, needs AS needs_index FROM f")
 def q_needs_index(spark, sf):
-    from ..functions.predicates import needs_index
-    return _joined(spark, sf).select("doc_id", needs_index(I.EMBEDDING_VERSION).alias("needs_index"))
+    return _joined(spark, sf).select("doc_id", _needs().alias("needs_index"))
 
 
 @query("lease_free", f"WITH {DOC_STATE_SQL} SELECT doc_id, free AS lease_free FROM f")
@@ -490,12 +578,21 @@ def q_id_range(spark, sf):
     return I.table(spark, sf, "documents").where(in_range("doc_id", 100, 600)).select("doc_id", "lang")
 
 
+def _found(spark, sf):
+    """(state, first half of the routing by stored hashes, claimed documents with their canonical texts)."""
+    from ..operators.state import candidates
+    from ..plans.index import stored_hashes, texts_of
+    from ..session import FIXED_NOW, checkpoint_dir
+    checkpoint_dir(spark)
+    stored, st, ls = _doc_state(spark, sf)
+    found = candidates(stored_hashes(stored), st, ls, I.EMBEDDING_VERSION, FIXED_NOW).checkpoint(eager=True)
+    return st, found, texts_of(stored, found.where(F.col("status") == "claimed").select("doc_id"), I.canonical)
+
+
 def _routed(spark, sf):
-    from ..operators.state import route
-    from ..session import FIXED_NOW
-    d, st, ls = _doc_state(spark, sf)
-    narrow = d.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
-    return route(narrow, st, ls, I.EMBEDDING_VERSION, FIXED_NOW)
+    from ..operators.state import settle
+    _, found, texts = _found(spark, sf)
+    return settle(found, texts.select("doc_id", "text_hash", (F.col("text") == "").alias("blank")), I.EMBEDDING_VERSION)
 
 
 @query("index_routing", f"WITH {DOC_STATE_SQL} SELECT doc_id, status FROM r")
@@ -508,22 +605,28 @@ def q_blank_docs(spark, sf):
     return _routed(spark, sf).where(F.col("status") == "empty_text").select("doc_id")
 
 
-@query("unchanged_docs", f"WITH {DOC_STATE_SQL} SELECT doc_id FROM j WHERE has_state AND "
-       "coalesce(indexed_hash, '') <> '' AND indexed_hash = text_hash AND embedding_version = '1'")
+@query("unchanged_docs", f"WITH {DOC_STATE_SQL} SELECT doc_id FROM r WHERE status = 'skipped_same_hash'")
 def q_unchanged_docs(spark, sf):
-    j = _joined(spark, sf)
-    same = (F.coalesce(F.col("indexed_hash"), F.lit("")) != "") & (F.col("indexed_hash") == F.col("text_hash")) & \
-        F.col("embedding_version").eqNullSafe(F.lit(str(I.EMBEDDING_VERSION)))
-    return j.where(F.col("has_state") & same).select("doc_id")
+    """candidates by their row hash whose text is the indexed one."""
+    return _routed(spark, sf).where(F.col("status") == "skipped_same_hash").select("doc_id")
+
+
+@query("index_candidates", f"WITH {DOC_STATE_SQL} SELECT doc_id, CASE WHEN NOT needs THEN 'up_to_date' WHEN NOT free THEN 'leased' ELSE 'claimed' END AS status FROM r")
+def q_index_candidates(spark, sf):
+    """First half of the routing, from the stored hashes alone: the document scan reads doc_id and row_hash."""
+    from ..operators.state import candidates
+    from ..plans.index import stored_hashes
+    from ..session import FIXED_NOW
+    stored, st, ls = _doc_state(spark, sf)
+    return candidates(stored_hashes(stored), st, ls, I.EMBEDDING_VERSION, FIXED_NOW).select("doc_id", "status")
 
 
 @query("page_anchors", f"WITH {DOC_STATE_SQL} SELECT page_no, doc_id AS start_id FROM "
        "(SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 500 + 1 AS BIGINT) AS page_no "
        "FROM f WHERE needs) WHERE (rn - 1) % 500 = 0")
 def q_page_anchors(spark, sf):
-    from ..functions.predicates import needs_index
     from ..operators.ranking import page_anchors
-    ids = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    ids = _joined(spark, sf).where(_needs()).select("doc_id")
     return page_anchors(ids, "doc_id", I.INDEX_PAGE_SIZE)
 
 
@@ -532,19 +635,17 @@ def q_page_anchors(spark, sf):
        "FROM f WHERE needs) WHERE (rn - 1) % 500 = 0) "
        "SELECT page_no, start_id, lead(start_id) OVER (ORDER BY page_no) AS end_id FROM a")
 def q_page_ranges(spark, sf):
-    from ..functions.predicates import needs_index
     from ..operators.ranking import page_anchors, page_ranges
-    ids = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    ids = _joined(spark, sf).where(_needs()).select("doc_id")
     return page_ranges(page_anchors(ids, "doc_id", I.INDEX_PAGE_SIZE))
 
 
 @query("page_assignment", f"WITH {DOC_STATE_SQL} SELECT doc_id, page_no FROM pg")
 def q_page_assignment(spark, sf):
-    from ..plans.index import routed_documents
+    from ..plans.index import routed_candidates, stored_hashes
     from ..session import FIXED_NOW
-    d, st, ls = _doc_state(spark, sf)
-    narrow = d.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
-    r = routed_documents(narrow, st, ls, I.EMBEDDING_VERSION, FIXED_NOW, I.INDEX_PAGE_SIZE)
+    stored, st, ls = _doc_state(spark, sf)
+    r = routed_candidates(stored_hashes(stored), st, ls, I.EMBEDDING_VERSION, FIXED_NOW, I.INDEX_PAGE_SIZE)
     return r.where(F.col("page_no").isNotNull()).select("doc_id", "page_no")
 
 
@@ -571,10 +672,9 @@ def q_stale_count(spark, sf):
   UNION ALL
   SELECT doc_id, 'w9', '2024-01-31 00:05:00' FROM f WHERE needs AND free""")
 def q_acquire_leases(spark, sf):
-    from ..functions.predicates import needs_index
     from ..operators.state import acquire
     from ..session import FIXED_NOW
-    cand = _joined(spark, sf).where(needs_index(I.EMBEDDING_VERSION)).select("doc_id")
+    cand = _joined(spark, sf).where(_needs()).select("doc_id")
     out = acquire(cand, I.leases(spark, sf), "w9", FIXED_NOW, I.LEASE_SECONDS)
     return out.select("doc_id", "owner", TM.fmt_ts("expires_at").alias("expires_at"))
 
@@ -588,7 +688,7 @@ def q_heartbeat(spark, sf):
     import datetime as dt
     from ..operators.state import heartbeat
     from ..session import FIXED_NOW
-    ids = I.table(spark, sf, "documents").select("doc_id")
+    ids = I.documents(spark, sf).select("doc_id")
     out = heartbeat(I.leases(spark, sf), ids, "w1", FIXED_NOW + dt.timedelta(seconds=120), I.LEASE_SECONDS)
     return out.select("doc_id", "owner", TM.fmt_ts("expires_at").alias("expires_at"),
                       TM.fmt_ts("heartbeat_at").alias("heartbeat_at"))
@@ -597,7 +697,7 @@ def q_heartbeat(spark, sf):
 @query("release_owned", f"WITH {DOC_STATE_SQL} SELECT doc_id, owner FROM ls WHERE owner <> 'w2'")
 def q_release_owned(spark, sf):
     from ..operators.state import release
-    ids = I.table(spark, sf, "documents").select("doc_id")
+    ids = I.documents(spark, sf).select("doc_id")
     return release(I.leases(spark, sf), ids, "w2").select("doc_id", "owner")
 
 
@@ -605,17 +705,20 @@ def q_release_owned(spark, sf):
   SELECT coalesce(st.doc_id, e.doc_id) AS doc_id,
          CASE WHEN e.doc_id IS NOT NULL THEN '1' ELSE st.embedding_version END AS embedding_version,
          CASE WHEN e.doc_id IS NOT NULL THEN coalesce(e.text_hash, '') ELSE st.indexed_hash END AS indexed_hash,
+         CASE WHEN e.doc_id IS NOT NULL THEN e.row_hash ELSE st.indexed_row_hash END AS indexed_row_hash,
          CASE WHEN e.doc_id IS NOT NULL THEN '2024-01-31 00:00:00' ELSE '2024-01-30 00:00:00' END AS indexed_at,
          -- a matched row always changes: indexed_at moves from the day before to now
          CASE WHEN st.doc_id IS NULL THEN 'upserted' WHEN e.doc_id IS NULL THEN 'kept'
               ELSE 'modified' END AS _action
-  FROM st FULL OUTER JOIN (SELECT doc_id, text_hash FROM r WHERE status = 'embed') e USING (doc_id)""")
+  FROM st FULL OUTER JOIN (SELECT doc_id, text_hash, row_hash FROM r WHERE status = 'embed') e USING (doc_id)""")
 def q_mark_indexed(spark, sf):
-    from ..operators.state import mark_indexed
+    from ..operators.state import mark_indexed, settle
     from ..session import FIXED_NOW
-    done = _routed(spark, sf).where(F.col("status") == "embed").select("doc_id", "text_hash")
-    out = mark_indexed(I.index_state(spark, sf), done, I.EMBEDDING_VERSION, FIXED_NOW)
-    return out.select("doc_id", "embedding_version", "indexed_hash", TM.fmt_ts("indexed_at").alias("indexed_at"), "_action")
+    st, found, texts = _found(spark, sf)
+    routed = settle(found, texts.select("doc_id", "text_hash", (F.col("text") == "").alias("blank")), I.EMBEDDING_VERSION)
+    done = routed.where(F.col("status") == "embed").select("doc_id", "text_hash", "row_hash")
+    out = mark_indexed(st, done, I.EMBEDDING_VERSION, FIXED_NOW)
+    return out.select("doc_id", "embedding_version", "indexed_hash", "indexed_row_hash", TM.fmt_ts("indexed_at").alias("indexed_at"), "_action")
 
 
 @query("mark_failed", f"""WITH {DOC_STATE_SQL},
@@ -653,8 +756,8 @@ def hashing_sql(src: str, key: str, text: str) -> str:
     """Hashing embedder in DuckDB: (key, bucket, value) for non-zero buckets."""
     return f"""(SELECT {key}, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS value FROM (
       SELECT {key}, CAST(CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % 64 AS INTEGER) AS bucket, count(*) AS n
-      FROM (SELECT {key}, unnest(regexp_split_to_array(lower({text}), {TOK_SQL})) AS w FROM {src})
-      WHERE w <> '' GROUP BY 1, 2))"""
+      FROM (SELECT {key}, unnest(list_filter(regexp_split_to_array(lower({text}), {TOK_SQL}), lambda w: w <> '')[1:512]) AS w FROM {src})
+      GROUP BY 1, 2))"""
 
 
 DOC_TEXT_SQL = f"(SELECT doc_id, {norm_sql(norm_sql('text'))} AS text FROM {DOCS_SQL})"
@@ -685,6 +788,17 @@ def q_mean_pool(spark, sf):
     return mean_pool(e, ["label"], "embedding").select("label", "pos", F.round("value", 6).alias("value"))
 
 
+@query("mean_pool_masked", """SELECT label, CAST(pos AS INTEGER) AS pos,
+  round(sum(CASE WHEN mask THEN CAST(x AS DOUBLE) ELSE 0 END) / greatest(count(*) FILTER (WHERE mask), 1e-9), 6) AS value
+  FROM (SELECT label, embedding[1] > 0 AS mask, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
+  GROUP BY 1, 2""")
+def q_mean_pool_masked(spark, sf):
+    """Mean per label of the vectors whose first component is positive."""
+    from ..operators.embed import mean_pool
+    e = I.table(spark, sf, "embeddings").withColumn("mask", (F.col("embedding")[0] > 0).cast("int"))
+    return mean_pool(e, ["label"], "embedding", "mask").select("label", "pos", F.round("value", 6).alias("value"))
+
+
 @query("vector_scores", f"""WITH {CENTROID_SQL},
   ex AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
   s AS (SELECT vec_id, sum(CAST(x AS DOUBLE) * c) AS dot, sum(CAST(x AS DOUBLE) * x) AS xx, sum(c * c) AS cc,
@@ -693,9 +807,9 @@ def q_mean_pool(spark, sf):
   SELECT vec_id, round(dot / (greatest(sqrt(xx), 1e-9) * greatest(sqrt(cc), 1e-9)), 6) AS cosine,
          round(dot, 6) AS dot, round(sqrt(d2), 6) AS euclid FROM s""")
 def q_vector_scores(spark, sf):
-    from ..operators.embed import assemble, mean_pool
+    from ..operators.embed import mean_vectors
     e = I.table(spark, sf, "embeddings")
-    cen = assemble(mean_pool(e, ["label"], "embedding"), ["label"]).withColumnRenamed("vector", "centroid")
+    cen = mean_vectors(e, ["label"], "embedding").withColumnRenamed("vector", "centroid")
     j = e.join(cen, "label")
     return j.select("vec_id", F.round(V.cosine("embedding", "centroid"), 6).alias("cosine"),
                     F.round(V.dot("embedding", "centroid"), 6).alias("dot"),
@@ -838,10 +952,11 @@ CHUNKS_SQL = """(
 
 
 @query("payload_roundtrip", f"""SELECT chunk_id, item_sequence, name, CAST(length(contents) AS INTEGER) AS contents_len,
-  meta_lang, content_type, 0 AS n_missing FROM {CHUNKS_SQL}""")
+  meta_lang, content_type, CASE WHEN name IS NULL THEN 1 ELSE 0 END AS n_missing
+  FROM (SELECT * REPLACE (nullif(name, 'es') AS name) FROM {CHUNKS_SQL})""")
 def q_payload_roundtrip(spark, sf):
     from ..functions.payload import chunk_payload, resolve_chunk
-    c = I.chunks(spark, sf)
+    c = I.chunks(spark, sf).withColumn("name", F.nullif("name", F.lit("es")))
     r = c.select(resolve_chunk(chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta")).alias("r")).select("r.*")
     return r.select("chunk_id", "item_sequence", "name", F.char_length("contents").alias("contents_len"),
                     F.col("meta")["lang"].alias("meta_lang"), F.col("meta")["content_type"].alias("content_type"),
@@ -858,13 +973,18 @@ def q_request_admission(spark, sf):
     return admit_requests(I.chunks(spark, sf), max_items=100, max_bytes=100000)
 
 
-@query("chunk_requests", f"SELECT chunk_id, request_id, true AS valid FROM {CHUNKS_SQL}")
+# What senders leave out: documents in Spanish come without a name.
+SENT_SQL = f"(SELECT chunk_id, request_id, nullif(name, 'es') AS name FROM {CHUNKS_SQL})"
+
+
+@query("chunk_requests", f"SELECT chunk_id, request_id, name IS NOT NULL AS valid FROM {SENT_SQL}")
 def q_chunk_requests(spark, sf):
     import uuid
     from ..session import checkpoint_dir
     from ..sources.chunks import read_chunk_requests, validate_chunks
     landing = checkpoint_dir(spark).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
-    I.chunks(spark, sf).write.mode("overwrite").json(landing)
+    sent = I.chunks(spark, sf).withColumn("name", F.nullif("name", F.lit("es")))
+    sent.write.mode("overwrite").json(landing)
     return validate_chunks(read_chunk_requests(spark, landing)).select("chunk_id", "request_id", "valid")
 
 
@@ -898,18 +1018,19 @@ def q_ingest_ledger(spark, sf):
     return ingest_pages(pages, I.ledger(spark, sf), items, FIXED_NOW).ledger.select("page_no", "_action")
 
 
-def _index_run(spark, sf):
+def _index_run(spark, sf, granularity="document", embedder=None):
     from ..plans.index import index_documents
     from ..session import FIXED_NOW
-    d, st, ls = _doc_state(spark, sf)
+    stored, st, ls = _doc_state(spark, sf)
     empty_points = spark.createDataFrame([], "point_id string, vector array<float>, type string, doc_id string, "
                                              "embedding_version int, chunk_count int, chunk_size int, overlap int")
-    return index_documents(d, st, ls, empty_points, None, version=I.EMBEDDING_VERSION, owner="indexer-1",
+    return index_documents(stored, st, ls, empty_points, None, version=I.EMBEDDING_VERSION, owner="indexer-1",
                            now=FIXED_NOW, page_size=I.INDEX_PAGE_SIZE, chunk_size=I.CHUNK_MAX,
-                           overlap=I.CHUNK_OVERLAP, lease_seconds=I.LEASE_SECONDS)
+                           overlap=I.CHUNK_OVERLAP, lease_seconds=I.LEASE_SECONDS, granularity=granularity,
+                           embedder=embedder, prepare=I.canonical)
 
 
-@query("index_documents", f"""WITH {DOC_STATE_SQL}, u AS ({_UUID_SQL})
+@query("index_documents", f"""WITH {DOC_STATE_SQL}, u AS ({uuid_sql(DOCS_SQL)})
   SELECT r.doc_id, pg.page_no, CASE WHEN status = 'embed' THEN 'embedded' ELSE status END AS status,
          CASE WHEN status = 'embed' THEN u.point_id END AS point_id
   FROM r LEFT JOIN pg USING (doc_id) LEFT JOIN u USING (doc_id)""")
@@ -931,14 +1052,76 @@ def q_page_stats(spark, sf):
     return _index_run(spark, sf).page_stats
 
 
+class _RefusesD:
+    """A model of two components that fails for texts beginning with D."""
+
+    def encode(self, texts):
+        if any(t.startswith("D") for t in texts):
+            raise ValueError("no D")
+        return [[1.0, float(len(t))] for t in texts]
+
+
+@query("page_stats_failures", f"""WITH {DOC_STATE_SQL}, x AS (SELECT *, status = 'embed' AND starts_with(text, 'D') AS failed FROM r)
+  SELECT page_no, count(*) AS ids,
+    count(*) FILTER (WHERE status IN ('empty_text', 'skipped_same_hash', 'embed')) AS leases_acquired,
+    count(*) FILTER (WHERE status IN ('empty_text', 'skipped_same_hash', 'embed')) AS fetched,
+    count(*) FILTER (WHERE status = 'empty_text') AS empty_text,
+    count(*) FILTER (WHERE status = 'skipped_same_hash') AS skipped_same_hash,
+    count(*) FILTER (WHERE status = 'embed' AND NOT failed) AS embedded, count(*) FILTER (WHERE status = 'embed' AND NOT failed) AS upserted,
+    count(*) FILTER (WHERE status IN ('embed', 'empty_text', 'skipped_same_hash') AND NOT failed) AS marked_indexed,
+    count(*) FILTER (WHERE failed) AS marked_failed
+  FROM x JOIN pg USING (doc_id) GROUP BY 1""")
+def q_page_stats_failures(spark, sf):
+    """A3 of a run whose model fails for some documents."""
+    from ..operators.embed import ArrowEmbedder
+    return _index_run(spark, sf, embedder=ArrowEmbedder("refuses-d", _RefusesD)).page_stats
+
+
+@query("index_commit", f"""WITH {DOC_STATE_SQL}, u AS ({uuid_sql(DOCS_SQL)})
+  SELECT doc_id, coalesce(CASE WHEN status IN ('embed', 'empty_text', 'skipped_same_hash') THEN '1' ELSE embedding_version END, 'none') AS embedding_version,
+    CASE WHEN status IN ('embed', 'empty_text', 'skipped_same_hash') THEN row_hash ELSE indexed_row_hash END AS indexed_row_hash,
+    CASE WHEN status = 'embed' THEN u.point_id END AS point_id
+  FROM r JOIN u USING (doc_id) WHERE has_state OR status IN ('embed', 'empty_text', 'skipped_same_hash')""")
+def q_index_commit(spark, sf):
+    """Q2 committed twice, the second time with nothing left to do: the state and the points that the batches hold."""
+    import uuid
+    from ..session import FIXED_NOW, checkpoint_dir
+    from . import runs
+    reg = runs.datasets(f"{checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}")
+    stored, st, ls = _doc_state(spark, sf)
+    st = _stored(st, spark, "state")
+    kw = dict(state=st, version=I.EMBEDDING_VERSION, owner="indexer-1", page_size=I.INDEX_PAGE_SIZE, prepare=I.canonical)
+    first = runs.run_index(spark, reg, stored, ls, FIXED_NOW, 1, **kw)
+    runs.run_index(spark, reg, stored, ls, FIXED_NOW, 2, meta=first.meta, **kw)
+    now = runs.current(spark, reg, "state", runs.STATE)
+    now = now.unionByName(st.join(now.select("doc_id"), "doc_id", "left_anti").select(*now.columns))
+    pts = runs.current(spark, reg, "points", runs.POINTS).select(F.col("doc_id").cast("long").alias("doc_id"), "point_id")
+    return now.join(pts, "doc_id", "left").select("doc_id", F.coalesce("embedding_version", F.lit("none")).alias("embedding_version"), "indexed_row_hash", "point_id")
+
+
+@query("ingest_commit", f"""WITH {REC_SQL}
+  SELECT item_seq AS id, item_name AS name, entp_name AS vendor,
+         md5(coalesce(entp_name, '') || '|' || coalesce(item_name, '') || '|' || item_seq) AS row_hash FROM rec""")
+def q_ingest_commit(spark, sf):
+    """Q1 committed page by page order: half of the pages in the first batch, all in the second; the items that the batches hold."""
+    import uuid
+    from ..session import FIXED_NOW, checkpoint_dir
+    from . import runs
+    reg = runs.datasets(f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}")
+    pages = I.json_pages(spark, sf)
+    runs.run_ingest(spark, reg, pages.where(F.col("page_no") % 2 == 1), FIXED_NOW, 1)
+    runs.run_ingest(spark, reg, pages, FIXED_NOW, 2)
+    return runs.current(spark, reg, "items", runs.ITEMS).select("id", "name", "vendor", "row_hash")
+
+
 @query("index_summary", f"""WITH {DOC_STATE_SQL},
   st2 AS (SELECT doc_id, CASE WHEN r.status IN ('embed', 'empty_text', 'skipped_same_hash') THEN '1' ELSE st.embedding_version END AS v,
-                 CASE WHEN r.status IN ('embed', 'empty_text', 'skipped_same_hash') THEN r.text_hash ELSE st.indexed_hash END AS h,
+                 CASE WHEN r.status IN ('embed', 'empty_text', 'skipped_same_hash') THEN r.row_hash ELSE st.indexed_row_hash END AS h,
                  st.doc_id IS NOT NULL OR r.status IN ('embed', 'empty_text', 'skipped_same_hash') AS has
           FROM r LEFT JOIN st USING (doc_id))
   SELECT 'documents' AS type, 1 AS embedding_version, (SELECT count(*) FROM r WHERE status = 'embed') AS points,
          count(*) AS documents, count(*) FILTER (WHERE v = '1') AS indexed_current,
-         count(*) FILTER (WHERE NOT has OR v IS DISTINCT FROM '1' OR coalesce(dh.text_hash, '') <> coalesce(h, '')) AS needs_index
+         count(*) FILTER (WHERE NOT has OR v IS DISTINCT FROM '1' OR coalesce(dh.row_hash, '') <> coalesce(h, '')) AS needs_index
   FROM dh JOIN st2 USING (doc_id)""")
 def q_index_summary(spark, sf):
     return _index_run(spark, sf).summary
@@ -967,20 +1150,22 @@ def q_search(spark, sf):
 
 
 # ================================================================== streaming (ST1-ST5)
-def _run_stream(spark, chunks):
+def _run_stream(spark, chunks, embedder=None):
+    """(points, dead letters, the ended query) of the stream over ``chunks``.
+
+    Each sender names its request's size; the chunks land in any order, so a
+    request is spread over files. A quarter of the files per micro-batch."""
     import uuid
     from ..session import checkpoint_dir
-    from ..sources.chunks import read_chunk_requests
     from ..streaming.embed_stream import read_dead_letters, read_points, start_embed_stream
     base = checkpoint_dir(spark).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
-    # Each request lands whole in one file; a quarter of the files, 2 at least, per micro-batch.
-    chunks.repartition("request_id").write.json(base + "/landing")
-    files = len(read_chunk_requests(spark, base + "/landing").inputFiles())
-    q = start_embed_stream(spark, base + "/landing", base + "/points", base + "/dead", base + "/ckpt",
-                           max_files_per_trigger=max(2, -(-files // 4)), max_items=I.REQUEST_ITEMS,
-                           max_bytes=I.REQUEST_BYTES)
+    sizes = chunks.groupBy("request_id").agg(F.count("*").alias("request_chunks"))
+    files = max(8, chunks.count() // I.CHUNKS_PER_FILE)
+    chunks.join(sizes, "request_id").repartition(files, "chunk_id").write.json(base + "/landing")
+    q = start_embed_stream(spark, base + "/landing", base + "/points", base + "/dead", base + "/ckpt", embedder=embedder,
+                           max_files_per_trigger=-(-files // 4), max_items=I.REQUEST_ITEMS, max_bytes=I.REQUEST_BYTES)
     q.awaitTermination()
-    return read_points(spark, base + "/points"), read_dead_letters(spark, base + "/dead")
+    return read_points(spark, base + "/points"), read_dead_letters(spark, base + "/dead"), q
 
 
 ADMIT_SQL = f"""adm AS (SELECT request_id, CASE WHEN count(*) > 100 THEN 'too_many_chunks'
@@ -995,7 +1180,7 @@ def q_embed_stream(spark, sf):
 
 
 def _stream_points(spark, chunks):
-    pts, _ = _run_stream(spark, chunks)
+    pts, _, _ = _run_stream(spark, chunks)
     p = F.from_json("payload", "itemSequence string, name string")
     return pts.select("point_id", p["itemSequence"].alias("item_sequence"), p["name"].alias("name"),
                       "embedding_version", F.size("vector").alias("dim"))
@@ -1004,7 +1189,7 @@ def _stream_points(spark, chunks):
 @query("dead_letter", f"""WITH {ADMIT_SQL}
   SELECT c.chunk_id, c.request_id, adm.reason FROM {CHUNKS_SQL} c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL""")
 def q_dead_letter(spark, sf):
-    _, dead = _run_stream(spark, I.chunks(spark, sf))
+    _, dead, _ = _run_stream(spark, I.chunks(spark, sf))
     return dead.select("chunk_id", "request_id", "reason")
 
 
@@ -1029,19 +1214,40 @@ def q_embed_stream_blocks(spark, sf):
 @query("dead_letter_blocks", f"""WITH {ADMIT_BLOCKS_SQL}
   SELECT c.chunk_id, c.request_id, adm.reason FROM c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL""")
 def q_dead_letter_blocks(spark, sf):
-    _, dead = _run_stream(spark, I.block_chunks(spark, sf))
+    _, dead, _ = _run_stream(spark, I.block_chunks(spark, sf))
+    return dead.select("chunk_id", "request_id", "reason")
+
+
+class _RefusesFrench:
+    """A model of two components that fails for texts of one language."""
+
+    def encode(self, texts):
+        if any(t.startswith("fr | ") for t in texts):
+            raise ValueError("no French")
+        return [[1.0, float(len(t))] for t in texts]
+
+
+@query("dead_letter_failures", f"""WITH {ADMIT_BLOCKS_SQL}
+  SELECT c.chunk_id, c.request_id, coalesce(adm.reason, 'embed_failed: ValueError: no French') AS reason
+  FROM c JOIN adm USING (request_id) WHERE adm.reason IS NOT NULL OR name = 'fr'""")
+def q_dead_letter_failures(spark, sf):
+    """ST5: chunks that the model fails for are dead letters with its error; the others of their batch are embedded."""
+    from ..operators.embed import ArrowEmbedder
+    _, dead, _ = _run_stream(spark, I.block_chunks(spark, sf), ArrowEmbedder("refuses-french", _RefusesFrench))
     return dead.select("chunk_id", "request_id", "reason")
 
 
-@query("stream_load", """SELECT event_id AS sample_id, CAST(event_id % 500 AS BIGINT) AS size, 500 AS max_size,
-  round((event_id % 500) / 500.0, 6) AS usage, (event_id % 500) < 350.0 AS available FROM events""")
+@query("stream_load", f"""SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS several_batches, true AS usage_is_share
+  FROM {CHUNKS_SQL}""")
 def q_stream_load(spark, sf):
-    from ..streaming.embed_stream import stream_load
-    ev = I.table(spark, sf, "events")
-    m = ev.select(F.col("event_id").alias("sample_id"), (F.col("event_id") % 500).alias("size"),
-                  F.lit(500).alias("max_size"))
-    # Queue limits of the embedding worker (fixed values): 500 slots, 0.7 usage threshold.
-    return stream_load(m, 0.7).withColumn("usage", F.round("usage", 6))
+    """ST4 over the progress of the embedding stream: the rows of each
+    micro-batch as a share of the largest, available below 0.7 of it."""
+    from ..streaming.embed_stream import progress_rows, stream_load
+    _, _, q = _run_stream(spark, I.block_chunks(spark, sf))
+    sizes = progress_rows(spark, q).where("input_rows > 0").select(F.col("input_rows").alias("size"))
+    load = stream_load(sizes.withColumn("max_size", F.lit(sizes.agg(F.max("size")).first()[0])), 0.7)
+    return load.agg(F.sum("size").alias("input_rows"), (F.count("*") > 1).alias("several_batches"),
+                    F.bool_and((F.col("usage") == F.col("size") / F.col("max_size")) & (F.col("available") == (F.col("size") < F.floor(F.col("max_size") * 0.7)))).alias("usage_is_share"))
 
 
 @query("point_upsert_bucketed", """
@@ -1139,12 +1345,4 @@ def q_paged_api_source(spark, sf):
     SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY chunk_idx DESC) AS rn FROM c) WHERE rn = 1""")
 def q_index_chunks(spark, sf):
     """Q2 at chunk granularity: one point per window of each embedded document."""
-    from ..plans.index import index_documents
-    from ..session import FIXED_NOW
-    d, st, ls = _doc_state(spark, sf)
-    empty_points = spark.createDataFrame([], "point_id string, vector array<float>, type string, doc_id string, "
-                                             "embedding_version int, chunk_count int, chunk_size int, overlap int")
-    r = index_documents(d, st, ls, empty_points, None, version=I.EMBEDDING_VERSION, owner="indexer-1",
-                        now=FIXED_NOW, page_size=I.INDEX_PAGE_SIZE, chunk_size=I.CHUNK_MAX,
-                        overlap=I.CHUNK_OVERLAP, lease_seconds=I.LEASE_SECONDS, granularity="chunk")
-    return r.points.select("doc_id", "chunk_idx", "point_id", "chunk_count")
+    return _index_run(spark, sf, "chunk").points.select("doc_id", "chunk_idx", "point_id", "chunk_count")

@@ -1,10 +1,12 @@
 """Incremental indexing run (Q2):
 T1 -> F1/F2 -> W1/J4 -> T2 -> P3/P4/P9 -> F8 -> V3 -> S11 -> P10/P12 -> S10 -> T5/T6 -> T4 -> A3/A2.
 
-Per-document loops of the reference become set operations: routing is one
-join + CASE, embedding is one stage over the 'embed' rows only, and every
-table transition is a join against the routed frame. The routed frame is
-checkpointed once (it feeds several writers; the embedder must not run twice).
+Per-document loops become set operations: candidates are one join on the
+stored row hashes and a CASE, without any text; texts are read, normalized and
+hashed for the claimed candidates only; embedding is one stage over those whose
+text is new; and every table transition is a join against the routed frame. The
+routed frame is checkpointed once (it feeds several writers; the embedder must
+not run twice).
 """
 from __future__ import annotations
 
@@ -25,16 +27,33 @@ from ..session import checkpoint_dir
 MAX_BROADCAST_IDS = 2_000_000
 
 
-def routed_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, version: int, now,
-                     page_size: int = 500) -> DataFrame:
-    """Routing status (F8) per document plus the indexing page of every
-    needs-index document (W1/J4: pages of ``page_size`` ids in order)."""
-    r = S.route(docs, state, leases, version, now)
+def routed_candidates(stored: DataFrame, state: DataFrame, leases: DataFrame, version: int, now,
+                      page_size: int = 500) -> DataFrame:
+    """Candidates by their stored hashes (doc_id, row_hash) and the indexing page
+    of every one (W1/J4: pages of ``page_size`` ids in order)."""
+    r = S.candidates(stored, state, leases, version, now)
     cand = r.where(F.col("status") != "up_to_date").select("doc_id")
     pages = assign_pages(cand, "doc_id", page_size).select("doc_id", "page_no")
     return r.join(pages, "doc_id", "left")
 
 
+def stored_hashes(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_hash): what ingestion stored with each document, else the text hash."""
+    return docs.select("doc_id", F.col("row_hash" if "row_hash" in docs.columns else "text_hash").alias("row_hash"))
+
+
+def texts_hashed(docs: DataFrame, prepare=None) -> DataFrame:
+    return (prepare(docs) if prepare else docs).select("doc_id", "text_hash")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, prepare=None) -> DataFrame:
+    """(doc_id, text, text_hash) of the documents ``ids``: their rows alone are
+    read and prepared, by a broadcast semi join under a bound on the ids."""
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    rows = docs.join(ids, "doc_id", "left_semi")
+    return (prepare(rows) if prepare else rows).select("doc_id", "text", "text_hash")
+
+
 @dataclass
 class IndexResult:
     status: DataFrame      # doc_id, page_no, status, point_id
@@ -44,6 +63,9 @@ class IndexResult:
     meta: DataFrame        # collection_meta
     page_stats: DataFrame  # A3
     summary: DataFrame     # A2
+    new_points: DataFrame  # points that this run made
+    new_state: DataFrame   # state rows that this run changed
+    replaced: DataFrame    # documents (doc_id) whose earlier points go
 
 
 def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points: DataFrame,
@@ -51,10 +73,12 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
                     collection: str = "documents", dataset_type: str = "documents", page_size: int = 500,
                     chunk_size: int = 1600, overlap: int = 80, lease_seconds: int = 300,
                     distance: str = "cosine", on_mismatch: str = "error",
-                    granularity: str = "document") -> IndexResult:
-    """One indexing run. ``docs`` has (doc_id, text, text_hash) with the
-    canonical text. Returns the new tables; writing them is the caller's
-    commit (data first, then state, as the reference orders it).
+                    granularity: str = "document", prepare=None) -> IndexResult:
+    """One indexing run. ``docs`` is the stored document table with its
+    ``row_hash``; ``prepare`` turns rows of it into (doc_id, text, text_hash)
+    with the canonical text and runs on the claimed candidates only. Without it
+    ``docs`` has those columns itself; without ``row_hash`` the text hash
+    decides alone. Returns the new tables; ``plans.runs`` commits them.
 
     ``granularity``: 'document' makes one point per document (point id =
     uuid5 of doc and version); 'chunk' cuts the canonical text into
@@ -66,19 +90,16 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
         raise ValueError("granularity must be 'document' or 'chunk'")
     embedder = embedder or HashingEmbedder()
     checkpoint_dir(docs.sparkSession)
-    # Route on narrow rows: the joins with state and leases never move text.
-    narrow = docs.select("doc_id", "text_hash", (F.col("text") == "").alias("blank"))
-    routed = routed_documents(narrow, state, leases, version, now, page_size).checkpoint(eager=True)
+    # Candidates by stored hashes: neither this scan nor its joins move text.
+    stored = stored_hashes(docs)
+    found = routed_candidates(stored, state, leases, version, now, page_size).checkpoint(eager=True)
+    claimed = found.where(F.col("status") == "claimed").select("doc_id")
+    texts = texts_of(docs, claimed, prepare).checkpoint(eager=True)
+    routed = S.settle(found, texts.select("doc_id", "text_hash", (F.col("text") == "").alias("blank")), version).checkpoint(eager=True)
 
     acquired = routed.where(F.col("status").isin("empty_text", "skipped_same_hash", "embed")).select("doc_id")
     leases1 = S.acquire(acquired, S.release_stale(leases, now), owner, now, lease_seconds)
-
-    # Text is fetched only for the documents to embed: a broadcast semi join
-    # when their id list is small enough (the usual incremental run), else a
-    # shuffled one.
-    embed_ids = routed.where(F.col("status") == "embed").select("doc_id")
-    ids = F.broadcast(embed_ids) if embed_ids.count() <= MAX_BROADCAST_IDS else embed_ids
-    to_embed = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text", "text_hash")
+    to_embed = texts.join(routed.where(F.col("status") == "embed").select("doc_id"), "doc_id", "left_semi")
     if granularity == "document":
         vec = embedder.embed(to_embed, ["doc_id"], "text", role="passage")
         emb = to_embed.select("doc_id", "text_hash", F.char_length("text").alias("n_chars")).join(vec, "doc_id", "left")
@@ -131,12 +152,13 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
         order = "_order"
     points2 = upsert_points(base_points, new_points, order)
 
-    done = routed.where(F.col("status").isin("empty_text", "skipped_same_hash")).select("doc_id", "text_hash") \
-        .unionByName(ok.select("doc_id", "text_hash"))
-    state1 = S.mark_indexed(state, done, version, now).drop("_action")
+    two = ["row_hash"] if "indexed_row_hash" in state.columns else []
+    marks = routed.where(F.col("status").isin("empty_text", "skipped_same_hash", "embed")).select("doc_id", "text_hash", *two)
     fails = failed.select("doc_id", F.col("embed_error").alias("reason"), F.lit(owner).alias("owner"))
-    state2, leases2 = S.mark_failed(state1, fails, leases1, now)
-    leases3 = S.release(leases2, acquired, owner)
+    done = marks.join(fails, "doc_id", "left_anti")
+    changed = S.mark_results(state, done, fails, leases1, version, now).checkpoint(eager=True)
+    state2 = state.join(changed.select("doc_id"), "doc_id", "left_anti").select(*changed.columns).unionByName(changed)
+    leases3 = S.release(leases1, acquired, owner)
 
     final = routed.join(emb.select("doc_id", F.col("embed_error")), "doc_id", "left")
     status = F.when(F.col("status") != "embed", F.col("status")) \
@@ -146,5 +168,6 @@ def index_documents(docs: DataFrame, state: DataFrame, leases: DataFrame, points
                               point_id("doc_id", version)).alias("point_id"))
     stats = S.page_stats(final.withColumn("status", F.when(F.col("embed_error").isNotNull(), "failed")
                                           .otherwise(F.col("status"))))
-    summ = index_summary(docs, state2.drop("_action"), points2.drop("_action"), version)
-    return IndexResult(out, points2.drop("_action"), state2.drop("_action"), leases3, meta2, stats, summ)
+    summ = index_summary(docs if two else texts_hashed(docs, prepare), state2, points2.drop("_action"), version, dataset_type)
+    return IndexResult(out, points2.drop("_action"), state2, leases3, meta2, stats, summ,
+                       new_points.drop("_order"), changed, gone if granularity == "chunk" else acquired.limit(0).select(F.col("doc_id").cast("string")))

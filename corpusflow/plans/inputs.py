@@ -7,16 +7,18 @@ the work grows with the tables). Fixed clock: 2024-01-31 00:00:00 UTC.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import text_hash
+from ..functions.hashing import row_hash, text_hash
 from ..functions.text import extract_text, normalize_again
 from ..functions.time import lease_expiry, ts_lit
 from ..operators.points import attach_row
 from ..operators.ranking import global_rank
 from ..operators.state import admit_requests
-from ..session import FIXED_NOW
+from ..session import FIXED_NOW, checkpoint_dir
 
 API_NAME = "items"
 RUN_DATE = "2024-01-31"
@@ -26,6 +28,7 @@ CHUNK_MAX, CHUNK_OVERLAP = 1600, 80
 LEASE_SECONDS = 300
 DOC_BLOCK, PAGE_BLOCK = 200, 20               # ids per block of chunk requests
 REQUEST_ITEMS, REQUEST_BYTES = 100, 100000    # limits of the embedding worker
+CHUNKS_PER_FILE = 2000                        # of the landing zone
 EMBEDDING_VERSION = 1
 DATASET_TYPE = "documents"
 
@@ -71,17 +74,22 @@ def _xml_text(c):
 
 
 def xml_pages(spark, sf_dir) -> DataFrame:
-    """raw_pages rows with an XML body <response><body><items><item>..."""
+    """raw_pages rows with an XML body <response><body><items><item>...; each
+    item has a nested child, alone (DETAIL) and after text (NOTE), and a repeated
+    one (TAG). A further page is not well-formed."""
     g = _pages_grouped(spark, sf_dir)
     item = F.transform("items", lambda e: F.concat(
         F.lit("<item><ITEM_SEQ>"), _xml_text(e["ITEM_SEQ"]), F.lit("</ITEM_SEQ><ITEM_NAME>"),
         _xml_text(e["ITEM_NAME"]), F.lit("</ITEM_NAME><ENTP_NAME>"), _xml_text(e["ENTP_NAME"]),
-        F.lit("</ENTP_NAME></item>")))
+        F.lit("</ENTP_NAME><DETAIL><MAKER>"), _xml_text(e["ENTP_NAME"]), F.lit("</MAKER></DETAIL><NOTE>no. 0"), e["ITEM_SEQ"],
+        F.lit("<i>x</i></NOTE><TAG>old</TAG><TAG>new</TAG></item>")))
     body = F.concat(F.lit("<response><header><resultCode>00</resultCode></header><body><items>"),
                     F.array_join(item, ""), F.lit("</items><totalCount>"), F.col("total").cast("string"),
                     F.lit("</totalCount></body></response>"))
-    return g.select(F.lit(API_NAME).alias("api_name"), F.lit(RUN_DATE).alias("run_date"), "page_no",
-                    F.lit("xml").alias("format"), body.alias("body"))
+    pages = g.select("page_no", body.alias("body"))
+    cut = pages.where("page_no = 1").select(F.lit(0).alias("page_no"), F.concat("body", F.lit("<response>")).alias("body"))
+    return pages.unionByName(cut).select(F.lit(API_NAME).alias("api_name"), F.lit(RUN_DATE).alias("run_date"), "page_no",
+                                         F.lit("xml").alias("format"), "body")
 
 
 def ledger(spark, sf_dir) -> DataFrame:
@@ -103,6 +111,20 @@ def event_totals(spark, sf_dir) -> DataFrame:
         F.count(F.lit(1)).cast("string").alias("total_count"))
 
 
+def event_records(spark, sf_dir) -> DataFrame:
+    """events -> API records (event_id, record VARIANT) of every shape the item
+    model meets: ITEM_SEQ is text, but a number for clicks, absent for views and
+    null for signups; ITEM_NAME is the event type, but a number for errors; and
+    a field ``k`` of the event's properties."""
+    ev = table(spark, sf_dir, "events")
+    kind, key = F.col("event_type"), F.col("event_id").cast("string")
+    seq = F.when(kind == "click", F.concat(F.lit('"ITEM_SEQ":'), key, F.lit(","))).when(kind == "view", F.lit("")) \
+        .when(kind == "signup", F.lit('"ITEM_SEQ":null,')).otherwise(F.concat(F.lit('"ITEM_SEQ":"'), key, F.lit('",')))
+    name = F.when(kind == "error", F.lit("404")).otherwise(F.concat(F.lit('"'), kind, F.lit('"')))
+    body = F.concat(F.lit("{"), seq, F.lit('"ITEM_NAME":'), name, F.lit(',"k":'), F.get_json_object("props", "$.k"), F.lit("}"))
+    return ev.select("event_id", F.parse_json(body).alias("record"))
+
+
 def part_items(spark, sf_dir) -> DataFrame:
     """Parsed item table (id, name, vendor) straight from part."""
     p = table(spark, sf_dir, "part")
@@ -129,31 +151,54 @@ def changed_batch(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- documents
+BLANK_IDS = 10 ** 12         # ids of the blank documents start here
+
+
 def documents(spark, sf_dir) -> DataFrame:
-    """documents with blank text where doc_id % 17 = 0."""
-    d = table(spark, sf_dir, "documents")
-    return d.withColumn("text", F.when(F.col("doc_id") % 17 == 0, F.lit("   ")).otherwise(F.col("text")))
+    """All documents, and blank ones as rows of their own: one, id BLANK_IDS + doc_id, per document whose doc_id 17 divides."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    blank = d.where(F.col("doc_id") % 17 == 0).select((F.col("doc_id") + BLANK_IDS).alias("doc_id"), F.lit("   ").alias("text"), "lang", "source")
+    return d.unionByName(blank)
 
 
-def doc_texts(spark, sf_dir) -> DataFrame:
-    """(doc_id, text, text_hash): canonical text as the indexer sees it
-    (fields normalized, then the whole again) and the sha1 of its
-    normalization."""
+def stored_documents(spark, sf_dir) -> DataFrame:
+    """The document table as ingestion leaves it, written once: each row with the
+    hash of all its fields (P2). Scans of it read the columns they name."""
     d = documents(spark, sf_dir)
+    fields = F.create_map(*[x for c in ("doc_id", "text", "lang", "source") for x in (F.lit(c), F.col(c).cast("string"))])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-documents-{uuid.uuid4().hex}"
+    d.withColumn("row_hash", row_hash(fields)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def canonical(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, source, text, text_hash): canonical text as the indexer
+    sees it (fields normalized, then the whole again) and the sha1 of its
+    normalization."""
     t = normalize_again(extract_text(["text"]))
-    return d.select("doc_id", "lang", "source", t.alias("text")) \
+    return docs.select("doc_id", "lang", "source", t.alias("text")) \
         .withColumn("text_hash", text_hash(normalize_again(F.col("text"))))
 
 
-def index_state(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:
-    """By doc_id % 6: 0 none; 1 version 1 + current hash; 2 version 1 +
-    'stale'; 3 version 0 + current hash; 4 version 1 + ''; 5 no version +
-    current hash. Version stored as text."""
+def doc_texts(spark, sf_dir) -> DataFrame:
+    return canonical(documents(spark, sf_dir))
+
+
+def index_state(spark, sf_dir, texts: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """By doc_id % 6: 0 none; 1 version 1 + current hashes; 2 version 1 +
+    'stale'; 3 version 0 + current hashes; 4 version 1 + ''; 5 no version +
+    current hashes. Version stored as text. With ``stored`` documents the rows
+    have an indexed row hash too: that of the text's case, but 'older' (another
+    field than the text has changed since) for case 1 where 5 divides doc_id."""
     t = texts if texts is not None else doc_texts(spark, sf_dir)
     m = F.col("doc_id") % 6
     ver = F.when(m.isin(1, 2, 4), "1").when(m == 3, "0")
-    h = F.when(m == 2, "stale").when(m == 4, "").otherwise(F.col("text_hash"))
-    return t.where(m != 0).select("doc_id", ver.alias("embedding_version"), h.alias("indexed_hash"),
+    by_case = lambda c: F.when(m == 2, "stale").when(m == 4, "").otherwise(F.col(c))
+    row = []
+    if stored is not None:
+        t = t.select("doc_id", "text_hash").join(stored.select("doc_id", "row_hash"), "doc_id")
+        row = [F.when((m == 1) & (F.col("doc_id") % 5 == 0), "older").otherwise(by_case("row_hash")).alias("indexed_row_hash")]
+    return t.where(m != 0).select("doc_id", ver.alias("embedding_version"), by_case("text_hash").alias("indexed_hash"), *row,
                                   F.timestamp_add("DAY", F.lit(-1), ts_lit(FIXED_NOW)).alias("indexed_at"),
                                   F.lit(None).cast("string").alias("last_error"),
                                   F.lit(None).cast("timestamp_ntz").alias("last_error_at"))
@@ -162,10 +207,10 @@ def index_state(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:
 def leases(spark, sf_dir) -> DataFrame:
     """By doc_id % 4: 0 none; 1 expired (doc 1 expires exactly now); 2 held
     by w1; 3 held by w2."""
-    d = table(spark, sf_dir, "documents").select("doc_id")
+    d = documents(spark, sf_dir).select("doc_id")
     m = F.col("doc_id") % 4
     now = ts_lit(FIXED_NOW)
-    exp = F.when(m == 1, F.timestamp_add("SECOND", -(F.col("doc_id") - 1), now)) \
+    exp = F.when(m == 1, F.timestamp_add("SECOND", -(F.col("doc_id") % BLANK_IDS - 1), now)) \
         .otherwise(lease_expiry(now, LEASE_SECONDS))
     return d.where(m != 0).select("doc_id", F.when(m == 1, "w0").when(m == 2, "w1").otherwise("w2").alias("owner"),
                                   exp.alias("expires_at"),

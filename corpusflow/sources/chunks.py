@@ -1,6 +1,7 @@
 """Chunk requests (S12): the JSON landing zone of embedding requests, batch
 and streaming twins. One JSON object per line:
 {"request_id", "chunk_id", "item_sequence", "name", "contents", "meta": {...}}
+and ``request_chunks``, the number of chunks of the request, if its sender says it.
 """
 from __future__ import annotations
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REQUEST_SCHEMA = ("request_id string, chunk_id string, item_sequence string, name string, "
-                  "contents string, meta map<string,string>")
+                  "contents string, meta map<string,string>, request_chunks long")
 REQUIRED = ("chunk_id", "item_sequence", "name", "contents")
 
 
@@ -31,11 +32,6 @@ def validate_chunks(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("missing", missing).withColumn("valid", F.size("missing") == 0)
 
 
-def chunk_rows(chunks: DataFrame) -> DataFrame:
-    """Chunk records as JSON lines (the request body format)."""
-    return chunks.select(F.to_json(F.struct(*[F.col(c) for c in chunks.columns])).alias("value"))
-
-
 def one_per_chunk(chunks: DataFrame) -> DataFrame:
     """One row per chunk id: the one of the greatest request id, then name and contents."""
     row = F.max_by(F.struct(*chunks.columns), F.struct(*[c for c in ("request_id", "name", "contents") if c in chunks.columns]))

@@ -2,8 +2,15 @@
 record parsing with quarantine (P1)."""
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from xml.etree import ElementTree
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.hashing import HASH_EXCLUDE, row_hash
 from ..functions.payload import DEFAULT_SPEC, RecordSpec
@@ -47,43 +54,38 @@ def explode_json_pages(pages: DataFrame, records_path=("body", "items"),
         .where(F.col("record").isNotNull() | F.col("shape_status").isin("malformed", "unexpected"))
 
 
+def _xml_pages(records_path: tuple[str, ...], total_path: tuple[str, ...]):
+    """Column function: an XML page -> (total, records), read as a tree batch by batch."""
+    page = pa.struct([("total", pa.string()), ("records", pa.list_(pa.map_(pa.string(), pa.string())))])
+
+    def read(body: str | None) -> dict:
+        try:
+            root = ElementTree.fromstring(body or "")
+        except (ElementTree.ParseError, ValueError):
+            return {"total": None, "records": []}
+        total, holder = root.find("/".join(total_path)), root.find("/".join(records_path[:-1])) if len(records_path) > 1 else root
+        items = [] if holder is None else holder.findall(records_path[-1])
+        # The text before an element's first child: null where it holds elements only; of equal tags the last counts.
+        return {"total": None if total is None else total.text, "records": [list({c.tag: c.text for c in item}.items()) for item in items]}
+
+    @F.arrow_udf("struct<total: string, records: array<map<string, string>>>")
+    def parse(bodies: pa.Array) -> pa.Array:
+        return pa.array([read(b) for b in bodies.to_pylist()], page)
+    return parse
+
+
 def explode_xml_pages(pages: DataFrame, records_path=("body", "items", "item"),
                       total_path=("body", "totalCount"), body_col: str = "body", keep_empty: bool = False) -> DataFrame:
     """One row per record element of XML pages (S2): each record is a map of
-    child tag -> text (nested content dropped). Bad XML -> no records, null total.
+    child tag -> text. A child that holds elements has the text before them,
+    null if there is none: nested content is dropped. Paths start below the
+    root, whatever its name. Bad XML -> no records, null total.
     """
-    # Schema of the root element's content: records_path and total_path merged.
-    rec_container, rec_tag = records_path[:-1], records_path[-1]
-    inner = {}
-    cur = inner
-    for p in rec_container:
-        cur = cur.setdefault(p, {})
-    cur[rec_tag] = "array<map<string,string>>"
-    cur = inner
-    for p in total_path[:-1]:
-        cur = cur.setdefault(p, {})
-    cur[total_path[-1]] = "string"
-
-    def to_ddl(d):
-        parts = []
-        for k, v in d.items():
-            parts.append(f"{k} {('struct<' + to_struct(v) + '>') if isinstance(v, dict) else v}")
-        return ", ".join(parts)
-
-    def to_struct(d):
-        return ", ".join(f"{k}: {('struct<' + to_struct(v) + '>') if isinstance(v, dict) else v}"
-                         for k, v in d.items())
-
-    parsed = F.from_xml(F.col(body_col), to_ddl(inner), {"mode": "PERMISSIVE", "rowTag": "response"})
-    recs = parsed
-    for p in records_path:
-        recs = recs[p]
-    total = parsed
-    for p in total_path:
-        total = total[p]
-    out = pages.select(*[c for c in pages.columns if c != body_col],
-                       F.when(F.trim(total) != "", F.trim(total)).alias("total_count"),
-                       F.coalesce(recs, F.array().cast("array<map<string,string>>")).alias("_records"))
+    parsed = _xml_pages(tuple(records_path), tuple(total_path))(F.col(body_col))
+    out = pages.withColumn("_page", parsed)
+    total = F.trim(F.col("_page.total"))
+    out = out.select(*[c for c in pages.columns if c != body_col], F.when(total != "", total).alias("total_count"),
+                     F.col("_page.records").alias("_records"))
     return out.select(*[c for c in out.columns if c != "_records"],
                       (F.posexplode_outer if keep_empty else F.posexplode)("_records").alias("record_idx", "record_map"))
 
@@ -119,15 +121,99 @@ def _field(rec: Column, name: str, alias: str | None) -> Column:
     return F.coalesce(a, n) if a is not None else n
 
 
-def parse_records(records: DataFrame, spec: RecordSpec = DEFAULT_SPEC, record_col: str = "record",
+@dataclass(frozen=True)
+class ColumnParser:
+    """A user's parser as column expressions of the record (VARIANT).
+
+    ``fields`` gives each output column; a record for which ``skip`` is true is
+    left out; one for which ``error`` is a text is quarantined with it, before
+    ``skip`` is asked. Expressions run in Spark and must not raise (``try_*``).
+    """
+    fields: dict[str, Callable[[Column], Column]]
+    skip: Callable[[Column], Column] | None = None
+    error: Callable[[Column], Column] | None = None
+
+
+@dataclass(frozen=True)
+class FunctionParser:
+    """A user's parser as a Python function from a record (dict) to a dict of
+    the columns of ``schema`` (DDL), run over Arrow batches.
+
+    An empty result (None, {}) skips the record. An exception, or a value that
+    does not fit its column, quarantines the record with the error's text.
+    """
+    function: Callable[[dict], dict | None]
+    schema: str
+
+
+def _fitted(docs: list[dict], schema: pa.Schema) -> tuple[list[pa.Array], dict[int, str]]:
+    """The documents as columns, and why some do not fit (their values are null)."""
+    def columns(rows: list[dict]) -> list[pa.Array]:
+        return [pa.array([d.get(f.name) for d in rows], f.type) for f in schema]
+    try:
+        return columns(docs), {}
+    except (pa.ArrowException, TypeError, OverflowError):
+        bad = {}
+        for i, d in enumerate(docs):
+            try:
+                columns([d])
+            except (pa.ArrowException, TypeError, OverflowError) as e:
+                bad[i] = f"{type(e).__name__}: {e}"
+        return columns([{} if i in bad else d for i, d in enumerate(docs)]), bad
+
+
+def parse_with(records: DataFrame, parser: ColumnParser | FunctionParser, record_col: str = "record", keep=()) -> DataFrame:
+    """Records by a user's parser (P1): the ``keep`` columns, the parser's
+    columns and ``reason``, null where the record parsed. Skipped records are left out."""
+    rec = F.col(record_col)
+    if isinstance(parser, ColumnParser):
+        reason = parser.error(rec) if parser.error else F.lit(None).cast("string")
+        skip = F.coalesce(parser.skip(rec), F.lit(False)) if parser.skip else F.lit(False)
+        staged = records.withColumn("_reason", reason).where(F.col("_reason").isNotNull() | ~skip)
+        ok = F.col("_reason").isNull()
+        return staged.select(*keep, *[F.when(ok, make(rec)).alias(name) for name, make in parser.fields.items()], F.col("_reason").alias("reason"))
+    fields = to_arrow_schema(records.sparkSession.createDataFrame([], parser.schema).schema)
+    rows = records.select(*keep, F.to_json(rec).alias("_record"))
+    function, width = parser.function, len(rows.columns) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, docs, reasons = [], [], []
+            for i, text in enumerate(b.column(width).to_pylist()):
+                doc, reason = {}, None
+                try:
+                    doc = function(json.loads(text) if text is not None else None)
+                except Exception as e:  # the user's code may raise anything: the record is set aside
+                    reason = f"{type(e).__name__}: {e}"
+                if doc or reason is not None:
+                    at.append(i)
+                    docs.append(doc or {})
+                    reasons.append(reason)
+            columns, bad = _fitted(docs, fields)
+            reasons = [bad.get(i, r) for i, r in enumerate(reasons)]
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(take) for c in b.columns[:width]), *columns, pa.array(reasons, pa.string())],
+                                             [*b.schema.names[:width], *fields.names, "reason"])
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    return rows.mapInArrow(run, ", ".join([*kept, parser.schema, "reason string"]))
+
+
+def parse_records(records: DataFrame, spec: RecordSpec | ColumnParser | FunctionParser = DEFAULT_SPEC, record_col: str = "record",
                   keep=()) -> tuple[DataFrame, DataFrame]:
-    """Validate records against ``spec`` (P1). Returns (good, quarantine).
+    """Parse records (P1) by a :class:`RecordSpec`, or by the user's own
+    :class:`ColumnParser` or :class:`FunctionParser`. Returns (good, quarantine);
+    the quarantine has the ``keep`` columns and the reason. A record that fails
+    never stops the others.
 
-    A field is read under its alias or its own name (alias first). Required
+    With a spec, a field is read under its alias or its own name (alias first). Required
     fields must be present, non-null strings; optional fields may be absent or
     null but otherwise must be strings (no number -> string coercion). The row
     hash covers all raw values, unknown fields included.
     """
+    if isinstance(spec, ColumnParser | FunctionParser):
+        staged = parse_with(records, spec, record_col, keep)
+        return staged.where("reason is null").drop("reason"), staged.where("reason is not null").select(*keep, "reason")
     rec = F.col(record_col)
     checks, cols = [], []
     for f in spec.fields:

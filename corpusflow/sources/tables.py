@@ -1,57 +1,57 @@
-"""Snapshot tables on plain Parquet: every commit writes a complete new
-version directory ``v=<n>``; a version is visible once Spark's _SUCCESS
-marker exists, so readers never see a half-written table and a path being
-read is never overwritten. (With Delta Lake or Iceberg on the classpath,
-MERGE INTO replaces this.)"""
+"""Tables that grow by batches, on plain partitioned Parquet.
+
+A run appends the rows it changed as one partition ``batch=<n>``; writing a
+batch again replaces that partition, so a run that is repeated after a stop
+writes the same table. The current rows are the latest of each key; a row with
+``deleted`` set takes its key away. Nothing that is being read is overwritten.
+(With Delta Lake or Iceberg on the classpath, MERGE INTO replaces this.)
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.merge import merge_upsert
 
-def _fs(spark: SparkSession, path: str):
+
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_current(spark: SparkSession, path: str, schema: str, at_most: int | None = None) -> DataFrame:
-    """Latest committed snapshot (the latest not above ``at_most`` when given),
-    or an empty table of ``schema``."""
-    v = [x for x in versions(spark, path) if at_most is None or x <= at_most]
-    if not v:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/v={v[-1]}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def commit(df: DataFrame, path: str, version: int | None = None, bucket_col: str | None = None) -> int:
-    """Write ``df`` as the next version (or the given one: rewriting the same
-    version is how a replayed micro-batch stays idempotent)."""
-    spark = df.sparkSession
-    if version is None:
-        v = versions(spark, path)
-        version = (v[-1] + 1) if v else 0
-    w = df.write.mode("overwrite")
-    if bucket_col:
-        w = w.partitionBy(bucket_col)
-    w.parquet(f"{path.rstrip('/')}/v={version}")
-    return version
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """Number of the last batch, which may hold no rows."""
+    if not exists(spark, path):
+        return None
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=None)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return fs.exists(p)
+def write_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Write (or replace) one batch of the table."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={int(batch)}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """All rows of the table with their ``batch``; with ``before`` those of earlier
+    batches, which partition pruning reads alone. A table without any batch is empty."""
+    schema = f"{schema}, batch long"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return rows if before is None else rows.where(F.col("batch") < before)
+
+
+def current(spark: SparkSession, path: str, schema: str, keys, before: int | None = None) -> DataFrame:
+    """The latest row of each key (of ``schema``, which must have ``keys``), rows marked ``deleted`` left out."""
+    keys = list(keys)
+    rows = read_batches(spark, path, schema, before)
+    others = [c for c in rows.columns if c not in keys and c != "batch"]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("_r")).select(*keys, "_r.*")
+    return last.where("deleted is not true").drop("deleted") if "deleted" in others else last
 
 
 def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, key: str, buckets: int,
@@ -67,10 +67,6 @@ def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, key: str, bu
     the merge is idempotent. Returns the merged rows of the touched buckets
     with ``_action``.
     """
-    from pyspark.sql import functions as F
-
-    from ..operators.merge import merge_upsert
-
     nb = new.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets))).cast("int"))
     touched = nb.select("bucket").distinct()
     cur = spark.read.schema(schema + ", bucket int").parquet(path) if exists(spark, path) \

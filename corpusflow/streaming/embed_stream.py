@@ -1,12 +1,16 @@
 """Embedding stream (ST1-ST5) on Structured Streaming.
 
 Chunk requests land as JSON files; each micro-batch
-  1. admits requests within limits (F5) and checks required fields,
+  1. admits requests within limits (F5) and checks required fields. A request
+     that names its number of chunks is judged as a whole however its chunks are
+     spread over files: they are held until all are there, or until it is over
+     a limit, which rejects what came and what is still to come. Held chunks and
+     open rejections are a table per micro-batch, made from the one before it,
   2. builds the embedder input (P6) and embeds (V3),
-  3. upserts the points by id into the bucketed points table (S10), rewriting
-     only the touched buckets; the upsert is idempotent, so a replayed batch
-     changes nothing and delivery is effectively exactly-once,
-  4. writes rejected, invalid and failed chunks to a dead-letter table (ST5).
+  3. writes the points as one batch of the points table, whose current rows are
+     the latest of each id (S10); a replayed micro-batch writes the same batch
+     again, so delivery is effectively exactly-once,
+  4. writes rejected, invalid and failed chunks as a batch of dead letters (ST5).
 Backpressure (ST2) is ``maxFilesPerTrigger``; drain-and-stop (ST3) is
 ``trigger(availableNow=True)``. Load status (ST4) is a view over progress
 or queue metrics rows.
@@ -20,25 +24,64 @@ from ..functions.payload import chunk_payload
 from ..functions.text import embedding_input
 from ..operators.embed import HashingEmbedder
 from ..operators.state import admit_requests
-from ..sources.chunks import one_per_chunk, stream_chunk_requests, validate_chunks
-from ..sources.tables import commit, exists, upsert_bucketed
+from ..sources.chunks import REQUEST_SCHEMA, one_per_chunk, stream_chunk_requests, validate_chunks
+from ..session import checkpoint_dir
+from ..sources.tables import current, last_batch, read_batches, write_batch
 
 # Above this many requests in one micro-batch the verdicts join by shuffle.
 MAX_BROADCAST_REQUESTS = 1_000_000
 POINTS_SCHEMA = "point_id string, vector array<float>, payload string, embedding_version int"
-DEAD_SCHEMA = "chunk_id string, request_id string, reason string, epoch long"
+DEAD_SCHEMA = "chunk_id string, request_id string, reason string"
+OPEN_SCHEMA = "request_id string, reason string, left long"
 
 
-def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path: str, embedder=None,
-                  version: int = 1, max_items: int = 500, max_bytes: int = 5242880, buckets: int = 64) -> None:
+def admit(batch: DataFrame, epoch: int, held_path: str | None, max_items: int, max_bytes: int) -> DataFrame:
+    """The chunks of requests that are decided now, with ``reject_reason`` (F5 across micro-batches).
+
+    ``request_chunks`` is the number of chunks that a request has; without it
+    (or without ``held_path``) a request ends with its micro-batch. Undecided
+    chunks are written as the held batch of this epoch, which the next epoch
+    starts from; a request rejected before all its chunks came is kept there
+    too, with its reason and the number of chunks still to come. Verdicts are one
+    partially aggregated row a request.
+    """
     spark = batch.sparkSession
-    embedder = embedder or HashingEmbedder()
-    checked = validate_chunks(batch).persist()
-    adm = admit_requests(checked, max_items=max_items, max_bytes=max_bytes).select("request_id", "reject_reason")
+    chunks = batch.withColumn("_new", F.lit(True))
+    open_ = spark.createDataFrame([], OPEN_SCHEMA)
+    if held_path:
+        held = read_batches(spark, f"{held_path}/chunks", REQUEST_SCHEMA).where(F.col("batch") == epoch - 1).drop("batch")
+        chunks = chunks.unionByName(held.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        open_ = read_batches(spark, f"{held_path}/rejected", OPEN_SCHEMA).where(F.col("batch") == epoch - 1).drop("batch")
+    chunks = chunks.persist()
+    sizes = admit_requests(chunks, max_items=max_items, max_bytes=max_bytes).select("request_id", "n_chunks", F.col("reject_reason").alias("over"))
+    named = chunks.groupBy("request_id").agg(F.max("request_chunks").alias("request_chunks"))
+    verdict = (sizes.join(named, "request_id").join(open_.withColumnRenamed("reason", "before"), "request_id", "full_outer")
+               .withColumn("left", F.coalesce("left", "request_chunks") - F.coalesce("n_chunks", F.lit(0))))
+    whole = F.col("request_chunks").isNull() | (F.col("left") <= 0) | F.lit(held_path is None)
+    reason = F.coalesce("before", F.when(F.col("request_chunks") > max_items, "too_many_chunks"), "over")
+    verdict = verdict.select("request_id", "left", "n_chunks", reason.alias("reject_reason"), (whole | reason.isNotNull()).alias("decided"))
     # One verdict row per request: broadcast under a bound, so a request that
     # holds a large share of the batch never lands in one shuffled task.
-    adm = adm.checkpoint(eager=True)
-    j = checked.join(F.broadcast(adm) if adm.count() <= MAX_BROADCAST_REQUESTS else adm, "request_id", "left")
+    verdict = verdict.checkpoint(eager=True)
+    small = F.broadcast(verdict) if verdict.count() <= MAX_BROADCAST_REQUESTS else verdict
+    # Points, dead letters and held chunks all read it: judged once.
+    j = chunks.join(small.select("request_id", "reject_reason", "decided"), "request_id", "left").checkpoint(eager=True)
+    chunks.unpersist()
+    if held_path:
+        write_batch(j.where(~F.col("decided")).drop("_new", "reject_reason", "decided"), f"{held_path}/chunks", epoch)
+        open_now = verdict.where(F.col("reject_reason").isNotNull() & (F.col("left") > 0))
+        write_batch(open_now.select("request_id", F.col("reject_reason").alias("reason"), "left"), f"{held_path}/rejected", epoch)
+    return j.where("decided").drop("_new", "decided")
+
+
+def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path: str, held_path: str | None = None, embedder=None,
+                  version: int = 1, max_items: int = 500, max_bytes: int = 5242880) -> None:
+    spark = batch.sparkSession
+    embedder = embedder or HashingEmbedder()
+    checkpoint_dir(spark)
+    if "request_chunks" not in batch.columns:
+        batch = batch.withColumn("request_chunks", F.lit(None).cast("long"))
+    j = validate_chunks(admit(batch, epoch, held_path, max_items, max_bytes))
     reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")) \
         .when(~F.col("valid"), F.concat(F.lit("missing:"), F.array_join("missing", ",")))
     j = j.withColumn("reason", reason)
@@ -46,7 +89,6 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
     good = one_per_chunk(j.where(F.col("reason").isNull())).withColumn(
         "input", embedding_input("name", "contents", F.col("meta")["content_type"] == "html"))
     vec = embedder.embed(good, ["chunk_id"], "input", role="passage")
-    # Points and dead letters both read it: embed once.
     emb = good.join(vec, "chunk_id", "left").checkpoint(eager=True)
     failed = F.concat_ws(": ", F.lit("embed_failed"), F.col("embed_error")) if "embed_error" in emb.columns else F.lit("embed_failed")
     pts = emb.where(F.col("vector").isNotNull()).select(
@@ -56,13 +98,8 @@ def process_batch(batch: DataFrame, epoch: int, *, points_path: str, dead_path:
     dead = j.where(F.col("reason").isNotNull()).select("chunk_id", "request_id", "reason") \
         .unionByName(emb.where(F.col("vector").isNull())
                      .select("chunk_id", "request_id", failed.alias("reason")))
-    # Only the hash buckets this batch touches are read, merged and rewritten
-    # (staged, then swapped in); a replayed epoch merges the same rows again,
-    # which changes nothing, and repairs a commit that stopped half way.
-    upsert_bucketed(spark, points_path, pts, "point_id", buckets, f"{points_path.rstrip('/')}_staging/epoch={epoch}",
-                    POINTS_SCHEMA)
-    commit(dead.withColumn("epoch", F.lit(int(epoch))), f"{dead_path.rstrip('/')}/epoch={epoch}", version=0)
-    checked.unpersist()
+    write_batch(pts, points_path, epoch)
+    write_batch(dead, dead_path, epoch)
 
 
 def start_embed_stream(spark: SparkSession, source_path: str, points_path: str, dead_path: str,
@@ -72,7 +109,7 @@ def start_embed_stream(spark: SparkSession, source_path: str, points_path: str,
     src = stream_chunk_requests(spark, source_path, max_files_per_trigger)
 
     def fb(df, epoch):
-        process_batch(df, epoch, points_path=points_path, dead_path=dead_path, embedder=embedder,
+        process_batch(df, epoch, points_path=points_path, dead_path=dead_path, held_path=f"{checkpoint.rstrip('/')}-held", embedder=embedder,
                       version=version, max_items=max_items, max_bytes=max_bytes)
 
     w = src.writeStream.foreachBatch(fb).option("checkpointLocation", checkpoint)
@@ -81,13 +118,18 @@ def start_embed_stream(spark: SparkSession, source_path: str, points_path: str,
 
 
 def read_points(spark: SparkSession, points_path: str) -> DataFrame:
-    return spark.read.schema(POINTS_SCHEMA + ", bucket int").parquet(points_path) \
-        if exists(spark, points_path) else spark.createDataFrame([], POINTS_SCHEMA + ", bucket int")
+    """The current points: of each id the one written last."""
+    return current(spark, points_path, POINTS_SCHEMA, ["point_id"])
 
 
 def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
-    return spark.read.schema(DEAD_SCHEMA).parquet(f"{dead_path.rstrip('/')}/*/v=0") \
-        if exists(spark, dead_path) else spark.createDataFrame([], DEAD_SCHEMA)
+    return read_batches(spark, dead_path, DEAD_SCHEMA).withColumnRenamed("batch", "epoch")
+
+
+def read_held(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Chunks that still wait for the rest of their requests."""
+    path = f"{checkpoint.rstrip('/')}-held/chunks"
+    return read_batches(spark, path, REQUEST_SCHEMA).where(F.col("batch") == F.lit(last_batch(spark, path))).drop("batch")
 
 
 def stream_load(metrics: DataFrame, threshold: float = 0.7, size_col: str = "size", max_col: str = "max_size") -> DataFrame:

@@ -53,3 +53,42 @@ def test_mean_pool_mask(spark):
                                "g string, v array<double>, m int")
     got = {(r.g, r.pos): r.value for r in mean_pool(df, ["g"], "v", "m").collect()}
     assert got[("g", 0)] == 2.0 and got[("g", 1)] == 4.0 and got[("h", 0)] == 0.0
+
+
+def test_only_the_token_window_is_embedded(spark):
+    rows = [(1, " \t" + "a " * 511 + "b c"), (2, "a " * 511 + "b"), (3, "a\nb"), (4, None)]
+    df = spark.createDataFrame(rows, "k long, text string")
+    e = HashingEmbedder(dim=16)
+    got = {r.k: r.vector for r in e.embed(df, ["k"], "text").collect()}
+    assert got[1] == got[2] and set(got) == {1, 2, 3}        # the 513th token is cut off
+    short = {r.k: r.vector for r in HashingEmbedder(dim=16, max_tokens=1).embed(df, ["k"], "text").collect()}
+    assert short[3] == short[1] != got[3]
+    with_role = HashingEmbedder(dim=16, model_name="e5-small", max_tokens=2).embed(df.where("k = 3"), ["k"], "text").first().vector
+    assert with_role == HashingEmbedder(dim=16).embed(spark.createDataFrame([(3, "passage: a")], "k long, text string"), ["k"], "text").first().vector
+
+
+def test_counting_needs_no_exchange(spark):
+    df = spark.range(10).select(F.col("id").alias("k"), F.lit("a b a").alias("text"))
+    for out in (HashingEmbedder().embed(df, ["k"], "text"), HashingEmbedder().embed_sparse(df, ["k"], "text")):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_model_sees_the_window_and_only_bad_rows_fail(spark):
+    class Words:
+        def encode(self, texts):
+            if any("boom" in t for t in texts):
+                raise ValueError("bad")
+            return [[len(t.split()), 1.0] for t in texts]
+    df = spark.createDataFrame([(i, "boom" if i == 7 else "w " * (600 if i == 3 else 2)) for i in range(20)], "k long, text string")
+    out = {r.k: r for r in ArrowEmbedder("words", Words, normalize=False, max_length=512).embed(df, ["k"], "text").collect()}
+    assert out[3].vector[0] == 512 and out[4].vector[0] == 2
+    assert [k for k, r in out.items() if r.embed_error] == [7] and out[7].embed_error == "ValueError: bad"
+
+
+def test_mean_vectors_moves_one_row_a_task(spark):
+    from corpusflow.operators.embed import mean_vectors
+    df = spark.createDataFrame([("g", [1.0, 3.0], 1), ("g", [3.0, None], 1), ("g", None, 1), ("g", [9.0, 9.0], None), ("h", [1.0], 1)], "g string, v array<double>, m int")
+    got = mean_vectors(df, ["g"], "v", "m")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert {r.g: r.vector for r in got.collect()} == {"g": [2.0, 1.5], "h": [1.0, 0.0]}
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.sources.pages import (explode_json_pages, explode_xml_pages, map_to_variant, parse_records,
+from corpusflow.sources.pages import (ColumnParser, FunctionParser, explode_json_pages, explode_xml_pages, map_to_variant, parse_records,
                                       plan_pages)
 
 
@@ -85,3 +85,53 @@ def test_payload_resolution(spark):
     assert (got[0].contents, got[0].meta, got[0]._missing) == ("", {}, [])
     assert got[1]._missing == ["itemSequence", "name"] and got[1].meta == {"k": "v"}
     assert got[2]._missing
+
+
+def test_xml_nested_duplicate_and_other_roots(spark):
+    page = ("<answer><body><items><item><a>1</a><b><c>n</c></b><d>lead<e>x</e>tail</d><f/><g at='1'>007</g><a>2</a><h>&lt;i&gt;</h></item>"
+            "<other/><item/></items><totalCount> 2 </totalCount></body></answer>")
+    out = explode_xml_pages(_pages(spark, [page, "", None, "<a>&x;</a>"], "xml"), keep_empty=True).collect()
+    rows = [r for r in out if r.page_no == 1]
+    assert rows[0].record_map == {"a": "2", "b": None, "d": "lead", "f": None, "g": "007", "h": "<i>"}
+    assert rows[1].record_map == {} and {r.total_count for r in rows} == {"2"}
+    assert [(r.page_no, r.record_map, r.total_count) for r in out if r.page_no > 1] == [(2, None, None), (3, None, None), (4, None, None)]
+
+
+def _records(spark, values):
+    return spark.createDataFrame(list(enumerate(values)), "i int, body string").select("i", F.parse_json("body").alias("record"))
+
+
+def test_user_parser_collects_skips_and_survives_errors(spark):
+    def all_of(rec):
+        return {"y": rec["x"]}
+
+    def odd(rec):
+        return None if rec["x"] % 2 == 0 else {"y": rec["x"]}
+
+    def strict(rec):
+        if rec["x"] == "bad":
+            raise ValueError("boom")
+        return {"y": rec["x"]}
+
+    plain = _records(spark, ['{"x": 1}', '{"x": 2}', '{"x": 3}'])
+    good, bad = parse_records(plain, FunctionParser(all_of, "y long"))
+    assert sorted(r.y for r in good.collect()) == [1, 2, 3] and bad.count() == 0
+    good, bad = parse_records(plain, FunctionParser(odd, "y long"), keep=["i"])
+    assert sorted((r.i, r.y) for r in good.collect()) == [(0, 1), (2, 3)] and bad.count() == 0
+    good, bad = parse_records(_records(spark, ['{"x": 1}', '{"x": "bad"}', '{"x": 3}', '{"x": "no number"}', "{}"]), FunctionParser(strict, "y long"), keep=["i"])
+    assert sorted((r.i, r.y) for r in good.collect()) == [(0, 1), (2, 3)]
+    reasons = {r.i: r.reason for r in bad.collect()}
+    assert reasons[1] == "ValueError: boom" and reasons[4] == "KeyError: 'x'" and "no number" in reasons[3] and len(reasons) == 3
+
+
+def test_user_parser_of_columns(spark):
+    x = lambda r: F.try_variant_get(r, "$.x", "long")
+    parser = ColumnParser({"y": x}, skip=lambda r: x(r) % 2 == 0, error=lambda r: F.when(x(r).isNull(), F.lit("no x")))
+    good, bad = parse_records(_records(spark, ['{"x": 1}', '{"x": 2}', '{"x": "bad"}', "{}"]), parser, keep=["i"])
+    assert [(r.i, r.y) for r in good.collect()] == [(0, 1)]
+    assert sorted((r.i, r.reason) for r in bad.collect()) == [(2, "no x"), (3, "no x")]
+
+
+def test_default_parser_gives_the_example_record(spark):
+    good, _ = parse_records(_records(spark, ['{"ITEM_SEQ": "123", "ITEM_NAME": "Foo", "ENTP_NAME": "Bar"}']))
+    assert [(r.id, r.name, r.vendor) for r in good.collect()] == [("123", "Foo", "Bar")]

@@ -111,3 +111,93 @@ def test_request_params(spark):
     assert js[1] == {"serviceKey": "abcde...hij", "type": "json", "pageNo": "1", "numOfRows": "7", "q": "x"}
     xm = request_plan(plan, 100, "xml", None, service_key=None).first().params
     assert "type" not in xm and xm["serviceKey"] == "***MASKED***"
+
+
+def _stop_at(monkeypatch, name):
+    """A commit that stops before it writes the table ``name``."""
+    from corpusflow.plans import runs
+    write = runs._write
+
+    def stopped(registry, table, rows, batch):
+        if table == name:
+            raise RuntimeError("stopped")
+        write(registry, table, rows, batch)
+    monkeypatch.setattr(runs, "_write", stopped)
+
+
+def test_ingestion_stopped_between_items_and_marks(spark, tmp_path, monkeypatch):
+    import pytest
+    from corpusflow.plans import runs
+    pages = I.json_pages(spark, SF)
+    reg, whole = runs.datasets(f"file://{tmp_path}/a"), runs.datasets(f"file://{tmp_path}/b")
+
+    def tables(r):
+        return (sorted(map(tuple, runs.current(spark, r, "items", runs.ITEMS).collect())),
+                sorted(map(tuple, runs.current(spark, r, "ledger", runs.LEDGER).collect())))
+    runs.run_ingest(spark, whole, pages, FIXED_NOW, 1)
+    with monkeypatch.context() as m:
+        _stop_at(m, "ledger")
+        with pytest.raises(RuntimeError, match="stopped"):
+            runs.run_ingest(spark, reg, pages, FIXED_NOW, 1)
+    items, marks = tables(reg)
+    assert items == tables(whole)[0] and items and not marks          # data without marks, never the other way
+    runs.run_ingest(spark, reg, pages, FIXED_NOW, 1)                   # the same batch again
+    assert tables(reg) == tables(whole) and tables(reg)[1]
+    later = runs.run_ingest(spark, reg, pages, FIXED_NOW, 2)           # nothing is left to do
+    assert tables(reg) == tables(whole) and {r._action for r in later.items.collect()} == {"kept"}
+
+
+def test_ingestion_resumed_by_a_later_batch_only_sets_the_marks(spark, tmp_path, monkeypatch):
+    import pytest
+    from corpusflow.plans import runs
+    from corpusflow.sources.tables import read_batches
+    pages, reg = I.json_pages(spark, SF), runs.datasets(f"file://{tmp_path}")
+    with monkeypatch.context() as m:
+        _stop_at(m, "ledger")
+        with pytest.raises(RuntimeError):
+            runs.run_ingest(spark, reg, pages, FIXED_NOW, 1)
+    runs.run_ingest(spark, reg, pages, FIXED_NOW, 2)
+    batches = {r.batch: r["count"] for r in read_batches(spark, f"file://{tmp_path}/items", runs.ITEMS).groupBy("batch").count().collect()}
+    assert batches == {1: 200}
+    assert runs.current(spark, reg, "ledger", runs.LEDGER).count() == 2
+
+
+def test_indexing_stopped_between_points_and_state(spark, tmp_path, monkeypatch):
+    import pytest
+    from corpusflow.plans import runs
+    stored = I.stored_documents(spark, SF)
+    ls = spark.createDataFrame([], "doc_id long, owner string, expires_at timestamp_ntz, heartbeat_at timestamp_ntz")
+    st = spark.createDataFrame(I.index_state(spark, SF, I.canonical(stored), stored).collect(), runs.STATE)
+    reg, whole = runs.datasets(f"file://{tmp_path}/a"), runs.datasets(f"file://{tmp_path}/b")
+    kw = dict(state=st, version=1, owner="o", prepare=I.canonical)
+
+    def tables(r):
+        pts = runs.current(spark, r, "points", runs.POINTS).select("point_id", "doc_id", "vector").collect()
+        return sorted(map(str, pts)), sorted(map(str, runs.current(spark, r, "state", runs.STATE).collect()))
+    first = runs.run_index(spark, whole, stored, ls, FIXED_NOW, 1, **kw)
+    assert {r.status for r in first.status.collect()} == {"up_to_date", "skipped_same_hash", "empty_text", "embedded"}
+    with monkeypatch.context() as m:
+        _stop_at(m, "state")
+        with pytest.raises(RuntimeError, match="stopped"):
+            runs.run_index(spark, reg, stored, ls, FIXED_NOW, 1, **kw)
+    pts, marks = tables(reg)
+    assert pts == tables(whole)[0] and pts and not marks
+    runs.run_index(spark, reg, stored, ls, FIXED_NOW, 1, **kw)
+    assert tables(reg) == tables(whole) and tables(reg)[1]
+    again = runs.run_index(spark, reg, stored, ls, FIXED_NOW, 2, meta=first.meta, **kw)
+    assert {r.status for r in again.status.collect()} == {"up_to_date"} and tables(reg) == tables(whole)
+
+
+def test_candidate_scan_reads_no_text(spark):
+    import __spark_entry__ as E
+    plan = E.queries()["index_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    read = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "FileScan" in line]
+    assert "struct<doc_id:bigint,row_hash:string>" in read and not any("text" in r for r in read)
+
+
+def test_summary_has_a_row_without_points(spark):
+    from corpusflow.operators.points import index_summary
+    docs = spark.createDataFrame([(1, "h")], "doc_id long, text_hash string")
+    st = spark.createDataFrame([], "doc_id long, embedding_version string, indexed_hash string")
+    pts = spark.createDataFrame([], "type string, embedding_version int")
+    assert [tuple(r) for r in index_summary(docs, st, pts, 1).collect()] == [("documents", 1, 0, 1, 0, 1)]

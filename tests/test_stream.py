@@ -1,12 +1,14 @@
 """ST1-ST5: replaying a micro-batch is harmless; progress feeds the load view."""
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
 from conftest import SF
 from corpusflow.plans import inputs as I
 from corpusflow.sources.chunks import REQUEST_SCHEMA
-from corpusflow.streaming.embed_stream import process_batch, progress_rows, read_points, start_embed_stream, stream_load
+from corpusflow.streaming.embed_stream import (process_batch, progress_rows, read_dead_letters, read_held, read_points, start_embed_stream,
+                                               stream_load)
 
 
 def test_replayed_batch_is_idempotent(spark):
@@ -47,3 +49,55 @@ def test_only_chunks_over_the_limits_are_dead(spark, tmp_path):
     dead = [tuple(r) for r in q["dead_letter_blocks"](spark, str(tmp_path)).collect()]
     assert dead == [("7", "s:0:7", "too_many_bytes")]
     assert q["embed_stream_blocks"](spark, str(tmp_path)).count() == 450 + 50 - 1
+
+
+def _requests(spark, rows):
+    """(request_id, number, contents, request_chunks) as chunk requests."""
+    return spark.createDataFrame([(r, f"{r}-{i}", "s", "n", c, {}, n) for r, i, c, n in rows], REQUEST_SCHEMA)
+
+
+def _streamed(spark, tmp_path, *files, **kw):
+    for rows in files:
+        _requests(spark, rows).coalesce(1).write.json(f"{tmp_path}/in/{uuid.uuid4().hex}")
+        q = start_embed_stream(spark, f"{tmp_path}/in/*", f"{tmp_path}/p", f"{tmp_path}/d", f"{tmp_path}/ck", max_files_per_trigger=1, max_items=100, max_bytes=1000, **kw)
+        q.awaitTermination()
+    return (sorted(r.point_id for r in read_points(spark, f"{tmp_path}/p").collect()),
+            sorted((r.chunk_id, r.reason) for r in read_dead_letters(spark, f"{tmp_path}/d").collect()),
+            sorted(r.chunk_id for r in read_held(spark, f"{tmp_path}/ck").collect()))
+
+
+def test_a_split_request_has_one_verdict(spark, tmp_path):
+    big = [("big", i, "x", 120) for i in range(120)]
+    ok = [("ok", i, "x y", 60) for i in range(60)]
+    one = _streamed(spark, tmp_path / "one", big + ok)
+    two = _streamed(spark, tmp_path / "two", big[:60] + ok[:30], big[60:] + ok[30:])
+    three = _streamed(spark, tmp_path / "three", ok[:1] + big[:1], ok[1:59] + big[1:119], big[119:] + ok[59:])
+    assert one == two == three
+    assert len(one[0]) == 60 and len(one[1]) == 120 and {r for _, r in one[1]} == {"too_many_chunks"} and one[2] == []
+
+
+def test_chunks_are_held_until_their_request_is_whole(spark, tmp_path):
+    first = [("a", 0, "x" * 400, 3), ("b", 0, "x" * 900, 2), ("c", 0, "x", None)]
+    points, dead, held = _streamed(spark, tmp_path, first)
+    assert points == ["c-0"] and dead == [] and held == ["a-0", "b-0"]
+    points, dead, held = _streamed(spark, tmp_path, [("d", 0, "x", 1)], [("a", 1, "x" * 400, 3), ("b", 1, "x" * 200, 2)])
+    assert points == ["c-0", "d-0"] and dead == [("b-0", "too_many_bytes"), ("b-1", "too_many_bytes")] and held == ["a-0", "a-1"]
+
+
+def test_a_request_rejected_early_stays_rejected(spark, tmp_path):
+    points, dead, held = _streamed(spark, tmp_path, [("a", 0, "x" * 1001, 3)], [("a", 1, "x", 3)], [("a", 2, "x", 3), ("b", 0, "y", 1)], [("a", 3, "new", 1)])
+    assert [c for c, _ in dead] == ["a-0", "a-1", "a-2"] and held == []
+    assert points == ["a-3", "b-0"]                       # all its chunks have come: the id may be used again
+
+
+def test_failures_are_dead_letters_with_their_error(spark, tmp_path):
+    from corpusflow.operators.embed import ArrowEmbedder
+
+    class Model:
+        def encode(self, texts):
+            if any("boom" in t for t in texts):
+                raise ValueError("bad " + "text " * 200)
+            return [[1.0, len(t)] for t in texts]
+    points, dead, _ = _streamed(spark, tmp_path, [("a", i, "boom" if i == 3 else "fine", 5) for i in range(5)], embedder=ArrowEmbedder("m", Model))
+    assert points == ["a-0", "a-1", "a-2", "a-4"]
+    assert dead == [("a-3", "embed_failed: ValueError: bad " + "text " * 200)]     # the whole error, the one row

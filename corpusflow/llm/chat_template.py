@@ -58,6 +58,9 @@ FILTERS: dict[str, Callable] = {"escape": lambda v: escape(_text(v)), "trim": la
 START, END = object(), object()  # generation markers in the stream of pieces
 
 
+MAX_NESTED, MAX_SYMBOLS = 40, 400  # brackets or blocks inside one another, and symbols of an expression
+
+
 class TemplateError(ValueError):
     pass
 
@@ -92,7 +95,13 @@ class _Expr:
                 raise TemplateError(f"cannot read {source[at:]!r}")
             self.toks.append(next((k, v) for k, v in zip(("int", "str", "name", "sym"), m.groups()) if v is not None))
             at = m.end()
-        self.at = 0
+        self.at, depth = 0, 0
+        for kind, v in self.toks:
+            depth += (kind == "sym") * ((v in "([") - (v in ")]"))
+            if depth > MAX_NESTED:
+                raise TemplateError(f"an expression is nested more than {MAX_NESTED} deep")
+        if len(self.toks) > MAX_SYMBOLS:
+            raise TemplateError(f"an expression has more than {MAX_SYMBOLS} symbols")
 
     def peek(self, *values):
         return self.at < len(self.toks) and self.toks[self.at][1] in values and self.toks[self.at][0] != "str"
@@ -240,7 +249,9 @@ def parse(source: str) -> list:
     return fold(body)
 
 
-def _body(items, at, until):
+def _body(items, at, until, depth=0):
+    if depth > MAX_NESTED:
+        raise TemplateError(f"blocks are nested more than {MAX_NESTED} deep")
     out = []
     while at < len(items):
         kind, s = items[at]
@@ -256,12 +267,12 @@ def _body(items, at, until):
                 m = re.fullmatch(r"([A-Za-z]\w*)\s+in\s+(.+)", rest, re.S)
                 if not m:
                     raise TemplateError(f"cannot read {s!r}")
-                body, at = _body(items, at + 1, ("endfor",))
+                body, at = _body(items, at + 1, ("endfor",), depth + 1)
                 out.append(("for", m[1], _Expr(m[2]).whole(), body))
             elif word == "if":
                 cases, test = [], _Expr(rest).whole()
                 while True:
-                    body, at = _body(items, at + 1, ("elif", "else", "endif"))
+                    body, at = _body(items, at + 1, ("elif", "else", "endif"), depth + 1)
                     cases.append((test, body))
                     if at >= len(items):
                         raise TemplateError("'endif' is missing")
@@ -274,7 +285,7 @@ def _body(items, at, until):
                 name, _, e = rest.partition("=")
                 out.append(("set", name.strip(), _Expr(e).whole()))
             elif word == "generation":
-                body, at = _body(items, at + 1, ("endgeneration",))
+                body, at = _body(items, at + 1, ("endgeneration",), depth + 1)
                 out.append(("gen", body))
             else:
                 raise TemplateError(f"unknown tag {word!r}")

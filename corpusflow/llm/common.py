@@ -4,6 +4,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -47,6 +48,12 @@ class _WordIds(dict):
 _IDS = _WordIds()
 
 
+def forget() -> None:
+    """Give back what a task remembered: workers are used again by later stages."""
+    _IDS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def word_ids(text: bytes) -> np.ndarray:
     """64-bit ids of the words ``[^\\x20\\x09-\\x0D]+`` of a text with A-Z lower-cased."""
     words = text.lower().split()  # of bytes: ASCII letters and ASCII white space only

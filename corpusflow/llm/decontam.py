@@ -13,8 +13,8 @@ Shingles: five words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; an item of
 fewer words is one shingle of that many, looked for among the document's runs
 of as many words. Defined cases: null or empty texts match nothing and are
 matched by nothing; null ids are kept as null; repeated rows of documents each
-give their rows, repeated items (same item_id) match by any of their texts;
-other columns are ignored; empty tables give no rows.
+give their rows, of repeated items (same item_id, null included) the text counts of which
+the document holds the largest share, of equal shares the longest; other columns are ignored; empty tables give no rows.
 
 The items reach the tasks in blocks of bounded size (``block_shingles``
 hashes), each block in one pass over the documents, which are not shuffled.
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusflow.llm.common import SHINGLE_WORDS, shingles, text_bytes, word_ids
+from corpusflow.llm.common import SHINGLE_WORDS, forget, shingles, text_bytes, word_ids
 
 THRESHOLD_PCT = 80
 BLOCK_SHINGLES = 1_000_000
@@ -71,24 +71,28 @@ class ItemIndex:
         if not hit.any():
             return []
         found = np.unique(np.concatenate([self.owners[a:b] for a, b in zip(lo[hit].tolist(), hi[hit].tolist())]))
-        out = []
+        best: dict[int | None, tuple[int, int]] = {}
         for k in found.tolist():
             s = self.sets[k]
             at = np.minimum(np.searchsorted(have, s), len(have) - 1)
             common = int((have[at] == s).sum())
             if 100 * common >= self.pct * len(s):
-                out.append((self.ids[k], len(s), common))
-        return out
+                n, c = best.get(self.ids[k], (1, 0))
+                if (common * n, len(s)) > (c * len(s), n):
+                    best[self.ids[k]] = len(s), common
+        return [(i, n, c) for i, (n, c) in best.items()]
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_shingles: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """Items in blocks of bounded size; the texts of one item_id are in one block."""
     block, n = [], 0
-    for row in items.select(F.col(id_col).cast("long").alias("i"), text_bytes(text_col).alias("t")).distinct().toLocalIterator():
-        block.append((row["i"], bytes(row["t"])))
-        n += len(row["t"]) // 2 + 1  # a word takes two bytes at least
-        if n >= block_shingles:
+    rows = items.select(F.col(id_col).cast("long").alias("i"), text_bytes(text_col).alias("t")).distinct()
+    for row in rows.repartitionByRange("i").sortWithinPartitions("i").toLocalIterator():
+        if n >= block_shingles and row["i"] != block[-1][0]:
             yield block
             block, n = [], 0
+        block.append((row["i"], bytes(row["t"])))
+        n += len(row["t"]) // 2 + 1  # a word takes two bytes at least
     if block:
         yield block
 
@@ -112,12 +116,12 @@ def contaminated(docs: DataFrame, items: DataFrame, pct: int = THRESHOLD_PCT, bl
                         found += [(i, item, n, c, c / n) for item, n, c in index.matches(t)]
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), _MATCHES)], schema=_MATCHES)
+            forget()
 
         part = rows.mapInArrow(search, MATCHES)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], MATCHES)
-    # An item given twice with different texts: its best share counts.
     return out
 
 
@@ -134,6 +138,7 @@ def filtered(docs: DataFrame, items: DataFrame, pct: int = THRESHOLD_PCT, block_
                 for lo in range(0, batch.num_rows, 1024):
                     part = batch.slice(lo, 1024)
                     yield part.filter(pa.array([not index.matches(t or b"") for t in part.column(at).cast(pa.binary()).to_pylist()], pa.bool_()))
+            forget()
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from corpusflow.llm.common import id_filter, maybe_in, saved, shingles, text_bytes, word_ids
+from corpusflow.llm.common import forget, id_filter, maybe_in, saved, shingles, text_bytes, word_ids
 from corpusflow.llm.components import components
 
 PCT = 80
@@ -78,9 +78,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, n_seen = [], 0
 
     def frequent():
-        t, c = np.unique(np.concatenate(seen), return_counts=True)
-        keep = c >= HOT_IN_CHUNK
-        t, c = _signed(t[keep]), c[keep]
+        t = np.concatenate(seen)
+        seen.clear()
+        t.sort()
+        # A token of c documents stands c - HOT_IN_CHUNK + 1 times among those equal to the one so many places on.
+        far = HOT_IN_CHUNK - 1
+        t, c = np.unique(t[far:][t[far:] == t[:len(t) - far]], return_counts=True)
+        t, c = _signed(t), c + far
         none = pa.nulls(len(t))
         return pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.list_(pa.int64())), pa.array(t), pa.array(c.astype(np.int64))], schema=_SETS)
 
@@ -100,9 +104,10 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids[lo:lo + 1024], pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bands, pa.list_(pa.int64())), none, none], schema=_SETS)
             if n_seen >= CHUNK_TOKENS:
                 yield frequent()
-                seen, n_seen = [], 0
+                n_seen = 0
     if seen:
         yield frequent()
+    forget()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
@@ -129,6 +134,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
                         out.append((i, j))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+        forget()
 
     return both.mapInArrow(check, "a long, b long").distinct()
 
@@ -167,6 +173,7 @@ def _prefixes(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], pct: int) ->
                 if out:
                     i, n, t, bits = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], schema=schema)
+        forget()
 
     return docs.mapInArrow(prefix, "doc_id long, n long, tokens array<long>, bits array<long>")
 
@@ -237,6 +244,7 @@ def jaccard_components(docs: DataFrame, pct: int = PCT, doc_id: str = "doc_id",
     final = member.join(joined, member["grp"] == joined["id"], "left").select("rep", F.coalesce("component", "grp").alias("component_id"))
     # Every set's component by its key; ids that name several sets are joined by their representative.
     by_key = of_set.select("set_key", "rep").join(final, "rep").select("set_key", "component_id")
-    out = sets.select("doc_id", "n", "set_key").join(by_key, "set_key", "left")
+    plain = sets.select("doc_id", "n", "set_key")  # texts without a word share one key and need no join
+    out = plain.where("n > 0").join(by_key, "set_key", "left").union(plain.where("n = 0").select("set_key", "doc_id", "n", F.lit(None).cast("long")))
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).cast("long").alias("component_id"))

@@ -98,22 +98,24 @@ def learn(docs: DataFrame, per_lang: int = PER_LANG, dim: int = DIM, seed: int =
     """Languages and their prototypes (unit length) from docs (doc_id, text, lang)."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    chosen = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(1_000_000)) * F.col("n") < F.lit(per_lang * 1_000_000))
+    # By a hash of id and text, so that rows which share an id are chosen one by one; equal rows are one row with a count.
+    chosen = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) * F.col("n") < F.lit(per_lang * 1_000_000))
+    chosen = chosen.groupBy("text", "lang").agg(F.count("*").alias("times"))
     schema = pa.schema([("lang", pa.string()), ("v", pa.list_(pa.float64()))])
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, sums = _space(dim, seed), {}
         for batch in batches:
-            langs = batch.column(1).to_pylist()
+            langs, times = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for lo in range(0, len(langs), BATCH):
                 v = space.bundles(batch.column(0).slice(lo, BATCH).to_pylist())
                 for k, lang in enumerate(langs[lo:lo + BATCH]):
-                    sums[lang] = sums.get(lang, 0) + v[k].astype(np.float64)
+                    sums[lang] = sums.get(lang, 0) + v[k].astype(np.float64) * times[lo + k]
         if sums:
             yield pa.RecordBatch.from_pylist([{"lang": k, "v": x.tolist()} for k, x in sums.items()], schema=schema)
 
     # At most per_lang texts a language move to 16 tasks; 16 vectors a language reach the driver.
-    parts = chosen.select("text", "lang").repartition(16).mapInArrow(bundle, "lang string, v array<double>").collect()
+    parts = chosen.select("text", "lang", "times").repartition(16).mapInArrow(bundle, "lang string, v array<double>").collect()
     total: dict[str, np.ndarray] = {}
     for r in parts:
         total[r["lang"]] = total.get(r["lang"], 0) + np.array(r["v"])

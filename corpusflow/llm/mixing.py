@@ -9,7 +9,7 @@ them in part, so that the words taken meet the target.
 
 Size: number of words ``[^\\x20\\x09-\\x0D]+``; null text: 0. Sources in code
 point order, null last. Defined cases: a null doc_id is ordered as the text
-'null'; rows with the same doc_id are ordered by size and then by text digest; a source
+'null'; rows with the same doc_id are ordered by size and then by text digest; repeated rows share what they take to within a word; a source
 without words gets target 0; other columns are ignored by ``mix_plan`` and
 kept by ``mixed_documents``; an empty table gives no rows.
 """
@@ -83,14 +83,35 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     return plain.select(*cols).union(edge.select(*cols))
 
 
+def _rest_to_first(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``__t`` raised by one in the first ``__rest`` rows of each group.
+
+    Rows are counted per group and partition, so a large group is in no single task."""
+    some = rows.where("__rest > 0")
+    if some.isEmpty():
+        return rows
+    some = saved(some.withColumn("__part", F.spark_partition_id()).withColumn("__pos", F.monotonically_increasing_id()), "mix-repeated")
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"{c}_k") for c in group] + [F.col(c).isNull().alias(f"{c}_n") for c in group]
+    names = [f"{c}_k" for c in group] + [f"{c}_n" for c in group]
+    some = some.select("*", *keys)
+    sizes = some.groupBy(*names, "__part").agg(F.count("*").alias("__c"))
+    before = Window.partitionBy(*names).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
+    own = F.row_number().over(Window.partitionBy(*names, "__part").orderBy("__pos"))
+    some = some.withColumn("__own", own).join(sizes, [*names, "__part"])
+    some = some.withColumn("__t", F.col("__t") + (F.col("__before") + F.col("__own") <= F.col("__rest")).cast("long"))
+    return rows.where("__rest = 0").unionByName(some.select(*rows.columns))
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document's row as often as taken, the last time with its first words only."""
     plan = mix_plan(docs, **options).select(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("digest").alias("__dig"), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
     per = plan.groupBy("__id", "__src", "__dig", "__size").agg(F.sum("__taken").alias("__taken"), F.count("*").alias("__rows"))
     d = docs.withColumn("__dig", F.xxhash64(F.coalesce("text", F.lit(""))))
     j = d.join(per, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__src")) & (d["__dig"] == per["__dig"])).drop(per["__dig"])
-    # Repeated rows share what their group takes evenly; the rest of a division goes to none, which is under one word a row.
-    j = j.withColumn("__t", F.floor(F.col("__taken") / F.col("__rows")))
+    # Repeated rows share what their group takes evenly; the rest of the division goes to the first rows, one word each.
+    j = j.withColumn("__t", F.expr("__taken div __rows")).withColumn("__rest", F.expr("__taken % __rows"))
+    j = _rest_to_first(j, ["__id", "__src", "__dig", "__size"])
     whole = F.when(F.col("__size") > 0, F.floor(F.col("__t") / F.col("__size"))).otherwise(0).cast("int")
     part = (F.col("__t") - whole * F.col("__size")).cast("int")
     j = j.withColumn("__w", whole).withColumn("__p", part).withColumn("__n", F.col("__w") + F.when(F.col("__p") > 0, 1).otherwise(0))

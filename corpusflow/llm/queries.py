@@ -89,6 +89,8 @@ def _shingles(table_: str, id_: str) -> str:
     return _SHINGLES.format(table=table_, id=id_, text=_LOWER.format("coalesce(text, '')"), word=_WORD)
 
 
+_WORDS_SQL = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}')"
+
 ORACLES: dict[str, str] = {
     "op2_stream_dedup": f"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g') AS t FROM documents),
@@ -126,11 +128,19 @@ k AS (SELECT a, b FROM o JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * c
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, k.b FROM r JOIN k ON k.a = r.b),
 m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN n ON n.id = doc_id JOIN m ON m.a = doc_id""",
+    "op9_shard_table": f"""
+WITH d AS (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {TABLE_SIZE})::INTEGER AS slot FROM documents)
+SELECT doc_id, slot, 'shard-' || {sharding.lookup_table([f"shard-{k}" for k in range(N_SHARDS)], TABLE_SIZE)}[slot + 1] AS shard FROM d""",
     "op10_decontaminate": f"""
-WITH d AS ({_shingles('documents', 'doc_id')}), i AS ({_shingles('benchmark', 'item_id')}),
-n AS (SELECT id, count(*) AS n FROM i GROUP BY id)
-SELECT d.id AS doc_id, i.id AS item_id, n AS n_item_shingles, count(*) AS n_common, count(*)::DOUBLE / n AS containment
-FROM d JOIN i ON d.s = i.s JOIN n ON n.id = i.id GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 80 * n""",
+WITH q AS (SELECT item_id, row_number() OVER () AS k, {_WORDS_SQL} AS w FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)),
+i AS (SELECT item_id, k, least(5, len(w)) AS width, unnest(list_distinct([w[j:j + least(5, len(w)) - 1] FOR j IN range(1, len(w) - least(5, len(w)) + 2)])) AS s FROM q WHERE len(w) > 0),
+n AS (SELECT k, count(*) AS n FROM i GROUP BY k),
+t AS (SELECT doc_id, row_number() OVER () AS d, {_WORDS_SQL} AS w FROM documents),
+s AS (SELECT doc_id, d, width, unnest(list_distinct([w[j:j + width - 1] FOR j IN range(1, len(w) - width + 2)])) AS s FROM t, (SELECT DISTINCT width FROM i) WHERE len(w) >= width),
+m AS (SELECT s.doc_id, s.d, i.item_id, n.n, count(*) AS c FROM s JOIN i ON s.width = i.width AND s.s = i.s JOIN n ON n.k = i.k GROUP BY s.doc_id, s.d, i.item_id, i.k, n.n
+  HAVING 100 * count(*) >= 80 * n.n),
+b AS (SELECT *, row_number() OVER (PARTITION BY d, item_id ORDER BY c::DOUBLE / n DESC, n DESC) AS r FROM m)
+SELECT doc_id, item_id, n AS n_item_shingles, c AS n_common, c::DOUBLE / n AS containment FROM b WHERE r = 1""",
     "op12_term_pipeline": rf"""
 WITH t AS (SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM documents),
 s AS (SELECT doc_id, d, len(ts) AS n, ts FROM t WHERE len(ts) > 0),

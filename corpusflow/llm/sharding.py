@@ -9,7 +9,8 @@ Shards differ by one slot at most; when one leaves, few keys of others move.
 The table has ``table_size`` rows, a parameter that does not grow with the
 data, and is broadcast; documents are not shuffled. Defined cases: a null key
 is placed as the empty text; equal keys share a shard; other columns are kept;
-an empty table gives no rows; no shards, or fewer slots than shards, raise.
+a column that is already named slot or shard (in any case) is replaced, but may
+be the key; an empty table gives no rows; no shards, or fewer slots than shards, raise.
 """
 from __future__ import annotations
 
@@ -53,7 +54,8 @@ def place(df: DataFrame, key: str, shards: list[str], table_size: int) -> DataFr
     """``df`` plus slot and shard; no shuffle."""
     spark: SparkSession = df.sparkSession
     rows = [(k, shards[s]) for k, s in enumerate(lookup_table(shards, table_size))]
-    # As one literal array of shard names: constant time for each row.
-    names = spark.createDataFrame(rows, "slot int, shard string")
-    keep = [c for c in df.columns if c not in ("slot", "shard")]
-    return df.select(*keep, slot_of(F.col(key), table_size).alias("slot")).join(F.broadcast(names), "slot").select(*keep, "slot", "shard")
+    # The broadcast table has table_size rows: one hash lookup for each row.
+    names = spark.createDataFrame(rows, "__slot int, __shard string")
+    keep = [c for c in df.columns if c.lower() not in ("slot", "shard")]
+    placed = df.select(*keep, slot_of(F.col(key), table_size).alias("__slot")).join(F.broadcast(names), "__slot")
+    return placed.select(*keep, F.col("__slot").alias("slot"), F.col("__shard").alias("shard"))

@@ -2,12 +2,13 @@
 
 Record: ``u64 length | u32 masked CRC-32C of the length | payload | u32 masked
 CRC-32C of the payload``, all little-endian; payload: ``i64 doc_id`` followed by
-the ids as u16 (vocabularies up to 65,536 ids) or u32. Each shard ``NAME.rec``
+the ids as u16 (vocabularies up to 65,536 ids) or u32; a null doc_id is the
+smallest i64, and one byte more after the ids tells it from a real one. Each shard ``NAME.rec``
 has an index ``NAME.idx`` with one u64 offset per record, so a reader can visit
 records in any order. Shards hold ascending ranges of doc_id.
 
 Defined cases: a null text is an empty sequence (the end id alone); a null
-doc_id is stored as the smallest i64 and sorts first; repeated doc_ids and
+doc_id sorts first; repeated doc_ids and
 repeated rows each get a record, ordered by text; other columns are ignored.
 An empty table gives no records. Texts of any length are encoded whole.
 """
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm.common import saved, work_path
 
-CHUNK_CACHE = 600_000
-NULL_ID = -(1 << 63)
+CHUNK_CACHE = 600_000  # pieces that a worker remembers, in two generations
+NULL_HEAD = struct.pack("<q", -(1 << 63))
 MANIFEST = "shard int, path string, n_records long, n_tokens long"
 RECORDS = "shard int, rec long, doc_id long, in_shard long, n_tokens long, ids_crc32 long, byte_offset long, n_bytes long"
 
@@ -120,7 +121,9 @@ class Encoder:
     def __init__(self, path: str, dtype: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tok, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
+        self.tok, self.dtype = Tokenizer.from_file(path), dtype
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # the generation before: what is met again is taken over
         self.split = self._ids("a b") == self._ids("a") + self._ids("b") and not self._ids(" \n")
         suffix = getattr(self.tok.model, "end_of_word_suffix", None)
         size = self.tok.get_vocab_size()
@@ -173,13 +176,18 @@ class Encoder:
         pieces = text.replace("\n", " ").split(" ") if _CONTROL.search(text) else text.split()
         found = list(map(known.get, pieces))
         if None in found:
-            at = [k for k, f in enumerate(found) if f is None]
-            if len(known) + len(at) > CHUNK_CACHE:
-                known.clear()
-                at = range(len(pieces))
-            self._learn({pieces[k] for k in at})
-            for k in at:
-                found[k] = known[pieces[k]]
+            at, old = [k for k, f in enumerate(found) if f is None], self.old
+            if old:
+                for k in at:
+                    if (f := old.get(pieces[k])) is not None:
+                        found[k] = known[pieces[k]] = f
+                at = [k for k in at if found[k] is None]
+            if at:
+                self._learn({pieces[k] for k in at})
+                for k in at:
+                    found[k] = known[pieces[k]]
+            if len(known) > CHUNK_CACHE // 2:
+                self.known, self.old = {}, known
         return b"".join(found)
 
 
@@ -198,6 +206,13 @@ def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
+def _payload(p: bytes, dtype: str) -> tuple[int | None, np.ndarray]:
+    """doc_id and ids of a payload."""
+    step = np.dtype(dtype).itemsize
+    null = (len(p) - 8) % step == 1
+    return None if null else struct.unpack("<q", p[:8])[0], np.frombuffer(p, dtype, (len(p) - 8) // step, 8)
+
+
 def write_records(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and write all texts in ascending order of id; one shard and one index file a task.
 
@@ -223,7 +238,7 @@ def write_records(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 1
             ids = batch.column(0).to_pylist()
             for lo in range(0, len(ids), 256):
                 texts = batch.column(1).slice(lo, 256).to_pylist()
-                payloads = [struct.pack("<q", NULL_ID if i is None else i) + enc(t) + end for i, t in zip(ids[lo:lo + 256], texts)]
+                payloads = [struct.pack("<q", i) + enc(t) + end if i is not None else NULL_HEAD + enc(t) + end + b"\0" for i, t in zip(ids[lo:lo + 256], texts)]
                 if rec is None:
                     fs.create_dir(root, recursive=True)
                     rec = fs.open_output_stream(own + ".rec")
@@ -276,9 +291,8 @@ def read_records(manifest: DataFrame) -> DataFrame:
                             raise ValueError(f"{row['path']}.rec: a checksum differs in records {lo} to {lo + len(part)}")
                         out = []
                         for k, (p, o) in enumerate(zip(payloads, part)):
-                            ids = np.frombuffer(p, row["dtype"], offset=8)
-                            doc = struct.unpack("<q", p[:8])[0]
-                            out.append({"shard": row["shard"], "rec": lo + k, "doc_id": None if doc == NULL_ID else doc, "in_shard": before, "n_tokens": len(ids),
+                            doc, ids = _payload(p, row["dtype"])
+                            out.append({"shard": row["shard"], "rec": lo + k, "doc_id": doc, "in_shard": before, "n_tokens": len(ids),
                                         "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "byte_offset": o, "n_bytes": len(p) + 16})
                             before += len(ids)
                         yield pa.RecordBatch.from_pylist(out, schema=schema)
@@ -297,7 +311,7 @@ def read_ids(path: str, dtype: str, order: list[int], out_dir: str = "/") -> lis
         for k in order:
             f.seek(int(offsets[k]))
             p = f.read(struct.unpack("<Q", f.read(12)[:8])[0])
-            out.append((struct.unpack("<q", p[:8])[0], np.frombuffer(p, dtype, offset=8)))
+            out.append(_payload(p, dtype))
     return out
 
 

@@ -16,8 +16,8 @@ nearest examples are the evidence.
 
 Defined cases: null and empty texts have the background term only, so their
 score is that of texts without any chosen term; rows without a label teach
-nothing, repeated labels teach once and contradicting ones both; a null doc_id is
-hashed as empty text; equal cosines go to the example of smaller id; repeated rows each get a row;
+nothing, repeated labels teach once and contradicting ones both; of several texts
+under one doc_id the least by code points teaches; a null doc_id teaches nothing; equal cosines go to the example of smaller id; repeated rows each get a row;
 other columns are ignored; without any example all scores are 0.
 """
 from __future__ import annotations
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusflow.llm.common import saved
+from corpusflow.llm.common import forget, saved
 from corpusflow.llm.language_id import remainder
 
 PER_CLASS, TERMS, K, EPS, BACKGROUND, BLOCK = 3_000, 1_000, 25, 0.05, 0.02, 64
@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, n_terms:
               .where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) < F.col("part") * 1_000_000)
               .select("doc_id", "label", (1.0 / F.col("part")).alias("weight")))
     sample = saved(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+                   .groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text"))
                    .select("doc_id", "text", "label", "weight").repartition(12), "toxic-sample")
 
     count_schema = pa.schema([("term", pa.string()), ("toxic", pa.float64()), ("clean", pa.float64()), ("docs", pa.int64())])
@@ -257,6 +258,8 @@ def filtered(docs: DataFrame, model: Model) -> DataFrame:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 yield part.filter(pa.array([m.score(t or "")[0] < THRESHOLD for t in part.column(at).to_pylist()], pa.bool_()))
+        m.known.clear()
+        forget()
 
     return docs.mapInArrow(keep, docs.schema)
 

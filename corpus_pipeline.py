@@ -5,7 +5,7 @@ before kept; all but the last return the columns of ``documents``.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusflow.llm import decontam, jaccard_join, mixing, token_output, toxicity
 from corpusflow.llm.common import saved, table
@@ -18,12 +18,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.filtered(docs, model)
 
 
+# Names of the columns that the stages add to the documents; other names are the table's own.
+PRIVATE = "__pipeline_"
+KEY = PRIVATE + "key"
+
+
 def row_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(keyed, hashed, rest): rows with a key of their own, (key, doc_id) of those keyed by a hash, rows that no key is for.
 
     The key is the doc_id where only one row has it; else (null or repeated) a
     64-bit hash of doc_id and the text's SHA-256. Of rows with one doc_id and
-    one text a single one is keyed; texts without a word have no key and stay.
+    one text a single one is keyed, the least by its other columns; texts
+    without a word have no key and stay.
     """
     once = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
     several = saved(once, "pipeline-several")
@@ -31,23 +37,27 @@ def row_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     odd = docs.where("doc_id is null").unionByName(docs.join(several, "doc_id", "left_semi").select(*docs.columns))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     has_word = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    unique = odd.where(has_word).withColumn("digest", digest).dropDuplicates(["doc_id", "digest"])
-    unique = saved(unique.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "digest")).drop("digest"), "pipeline-odd")
-    keyed = plain.withColumn("key", F.col("doc_id").cast("long")).unionByName(unique)
-    return keyed, unique.select("key", "doc_id"), odd.where(~has_word)
+    others = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")], F.lit(0).alias(PRIVATE + "0")))
+    least = F.row_number().over(Window.partitionBy("doc_id", PRIVATE + "digest").orderBy(PRIVATE + "others"))
+    unique = odd.where(has_word).withColumn(PRIVATE + "digest", digest).withColumn(PRIVATE + "others", others).withColumn(PRIVATE + "n", least).where(F.col(PRIVATE + "n") == 1)
+    unique = unique.withColumn(KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", PRIVATE + "digest")).select(*docs.columns, KEY)
+    unique = saved(unique, "pipeline-odd")
+    keyed = plain.withColumn(KEY, F.col("doc_id").cast("long")).unionByName(unique)
+    return keyed, unique.select(F.col(KEY).alias("key"), "doc_id"), odd.where(~has_word)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar rows, one with the smallest doc_id (a null id only if no row has another); texts without a word stay."""
     keyed, hashed, rest = row_keys(docs)
-    rows = saved(jaccard_join.jaccard_components(keyed, doc_id="key").where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "pipeline-groups")
+    rows = saved(jaccard_join.jaccard_components(keyed, doc_id=KEY).where("n_shingles > 0").select(F.col("doc_id").alias("key"), "component_id"), "pipeline-groups")
     # component_id is the smallest key; where rows keyed by a hash take part, another may have the smallest doc_id.
     ids = rows.join(hashed.withColumn("hashed", F.lit(True)), "key", "left").withColumn("doc_id", F.expr("if(hashed, doc_id, key)"))
     first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("f"))
     other = saved(first.where("f.key <> component_id").select("component_id", "f.key"), "pipeline-firsts")
     found = (rows.where("key <> component_id").select("key").join(other.select("key"), "key", "left_anti")
              .union(other.select("component_id")))
-    return keyed.join(saved(found, "pipeline-copies"), "key", "left_anti").select(*docs.columns).unionByName(rest)
+    found = saved(found.withColumnRenamed("key", KEY), "pipeline-copies")
+    return keyed.join(found, KEY, "left_anti").select(*docs.columns).unionByName(rest)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

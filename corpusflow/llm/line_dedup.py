@@ -12,15 +12,18 @@ its own, with the substrings whose place a match could have. Pairs that meet
 are verified by a banded bit-parallel edit distance.
 
 Keys are shuffled as 64-bit hashes; only keys that two different lines share go
-on, so most rows end there. Long buckets are refined before any pair is made.
-An edit changes how often at most two characters occur, so of 2 * max_edits + 3
-classes of characters three at least have the same counts in both lines: a key
-that more than ``BUCKET`` lines share is replaced by one key per three classes,
-with those classes' characters of the whole line. What is still long goes through its first
-line: members linked to it are one component, and only members of different
-components are paired. None of this loses a link between components.
-
-Lines are identified by 64-bit hashes. Defined cases: null and empty texts have
+on, so most rows end there. A key's lines are never paired out: in each of
+``ROUNDS`` rounds they are compared with one of them, their leader; what is
+linked is contracted to components, the leader leaves, and a key whose lines are
+in one component is settled. Keys that are still open are refined if more than
+``BUCKET`` lines share them. An edit changes how often at most two characters
+occur, so of 2 * max_edits + 3 classes of characters three at least have the
+same counts in both lines: one key per three classes, with those classes'
+characters of the whole line, takes the key's place, and goes through rounds of
+its own. Only lines of different components that share what is left are paired.
+None of this loses a link between components.
+
+Lines are identified by 63-bit hashes. Defined cases: null and empty texts have
 no lines; rows with a null doc_id come first; rows with the same doc_id are told
 apart by their text; repeated rows are one document; other columns are
 ignored; empty tables give no rows; lines of any length are compared whole.
@@ -30,6 +33,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
@@ -38,6 +42,7 @@ from corpusflow.llm.common import id_filter, maybe_in, saved
 from corpusflow.llm.components import components
 
 MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 16
+ROUNDS = 3
 
 
 def _shared_start(a: str, b: str) -> int:
@@ -107,24 +112,82 @@ def _hash(text: str, length: int, number: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def line_keys(line: str, k: int) -> tuple[list[int], list[int]]:
-    """The keys of a line's index entries, and of its probes."""
-    n = len(line)
-    index = [_hash(line[a:a + s], n, i) for i, (a, s) in enumerate(segments(n, k + 1))]
-    probes = []
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base and of its inverse, modulo 2**64."""
+    if len(_POWERS[0]) <= n:
+        for k, base in enumerate((_BASE, _INVERSE)):
+            p = np.full(2 * n + 1, base, np.uint64)
+            p[0] = 1
+            _POWERS[k] = np.multiply.accumulate(p)
+    return _POWERS[0][:n + 1], _POWERS[1][:n + 1]
+
+
+def keys_of(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, probe, owner) of the index entries and probes of all lines side by side.
+
+    The hash of any substring is the difference of two sums of a polynomial over
+    the characters; it depends on the characters, not on their place.
+    """
+    n = np.fromiter(map(len, lines), np.int64, len(lines))
+    start = np.cumsum(n) - n
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    power, inverse = _powers(len(codes))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_mixed(codes.astype(np.uint64) + np.uint64(1)) * power[:len(codes)], out=sums[1:])
+    keys, probes, owners = [], [], []
+
+    def add(which, at, size, length, number, probe):
+        s = (start + at)[which]
+        h = (sums[s + size[which]] - sums[s]) * inverse[s]
+        keys.append(_mixed(h ^ _mixed((length[which] * 64 + number).astype(np.uint64))))
+        owners.append(np.flatnonzero(which))
+        probes.append(np.full(len(s), probe))
+
+    def cut(length):
+        """(start, size) of each segment, as ``segments`` has them."""
+        short, longer = np.divmod(length, k + 1)
+        at = np.zeros_like(length)
+        for i in range(k + 1):
+            size = short + (i >= k + 1 - longer)
+            yield i, at, size
+            at = at + size
+
+    every = np.ones(len(lines), bool)
+    for i, at, size in cut(n):
+        add(every, at, size, n, i, False)
     for less in range(k + 1):
-        size = n - less
-        if size <= k:
-            break
-        for i, (a, s) in enumerate(segments(size, k + 1)):
+        for i, at, size in cut(n - less):
             # Of the edits, at least i come before the segment if it is the first that matches,
             # so its place differs by i at most on the left and by the rest of the edits on the right.
-            lo, hi = max(0, a - i, a + less - (k - i)), min(n - s, a + i, a + less + (k - i))
-            probes += [_hash(line[p:p + s], size, i) for p in range(lo, hi + 1)]
-    return index, probes
+            lo = np.maximum(0, np.maximum(at - i, at + less - (k - i)))
+            hi = np.minimum(n - size, np.minimum(at + i, at + less + (k - i)))
+            for step in range(2 * k + 1):
+                which = (lo + step <= hi) & (n - less > k)
+                if which.any():
+                    add(which, lo + step, size, n - less, i, True)
+    return np.concatenate(keys).view(np.int64), np.concatenate(probes), np.concatenate(owners)
+
+
+def line_keys(line: str, k: int) -> tuple[list[int], list[int]]:
+    """The keys of a line's index entries, and of its probes."""
+    key, probe, _ = keys_of([line], k)
+    return key[~probe].tolist(), key[probe].tolist()
 
 
-KEYS = "key long, probe boolean, line long"
+def line_id(line: str = "line"):
+    """63 bits of a line's hash; the lowest bit is free, for a row of its keys to say that it is a probe."""
+    return F.shiftleft(F.shiftright(F.xxhash64(line), 1), 1)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -142,10 +205,8 @@ def character_classes(line: str, k: int) -> list[int]:
     return [_hash("".join(texts[i] for i in three), 0, no) for no, three in enumerate(itertools.combinations(range(n), 3))]
 
 
-def _linked(pairs: DataFrame, lines: DataFrame, max_edits: int) -> DataFrame:
-    """The pairs (a, b) of line ids that are within max_edits; other lines do not move."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("i"))
-    texts = maybe_in(lines, "id", id_filter(ids, "i")).groupBy("id").agg(F.first("line").alias("line"))
+def _linked(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
+    """The pairs (a, b) of line ids that are within max_edits."""
     both = pairs.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -156,50 +217,82 @@ def _linked(pairs: DataFrame, lines: DataFrame, max_edits: int) -> DataFrame:
                 keep = pa.array([within(p, q, max_edits) for p, q in zip(la.to_pylist(), lb.to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays([a, b], schema=out).filter(keep)
 
-    return both.select("a", "b", "la", "lb").mapInArrow(check, "a long, b long")
+    return saved(both.select("a", "b", "la", "lb").mapInArrow(check, "a long, b long"), "line-links")
 
 
-def _sized(keys: DataFrame) -> DataFrame:
-    """keys (key, probe, line) plus the number of rows of each key, where two lines share it."""
-    n = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key", "n", "lo")
-    return keys.join(n, "key")
+def _members(tagged: DataFrame) -> DataFrame:
+    """(key, line, probe, entry): one row per key and line, from rows (key, tag)."""
+    probe = F.col("tag").bitwiseAND(1)
+    line = F.shiftleft(F.shiftright("tag", 1), 1)
+    return tagged.groupBy("key", line.alias("line")).agg((F.max(probe) == 1).alias("probe"), (F.min(probe) == 0).alias("entry"))
+
+
+MEET = "((x.entry and y.probe) or (x.probe and y.entry))"
+
+
+def _labelled(held: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The members with the component of their line, and the keys whose members are in several: (key, n, lead)."""
+    if links is None:
+        lab = held.withColumn("comp", F.col("line"))
+    else:
+        found = components(links)
+        lab = saved(held.join(found, held["line"] == found["id"], "left").select("key", "line", "probe", "entry", F.coalesce("component", "line").alias("comp")), "line-labels")
+    per = lab.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("line", "probe", "entry", "comp")).alias("x"))
+    return lab, saved(per.where("lo <> hi").select("key", "n", "x"), "line-open")
+
+
+def _contracted(held: DataFrame, links: DataFrame | None, texts: DataFrame, max_edits: int, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rounds of comparing a key's members with one of them. Returns all links, and the labelled members and keys that are still open."""
+    for _ in range(rounds):
+        lab, per = _labelled(held, links)
+        if per.isEmpty():
+            break
+        members = lab.alias("y").join(per, "key").where("y.line <> x.line")
+        stars = members.where(f"y.comp <> x.comp and {MEET}").select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+        new = _linked(saved(stars, "line-stars"), texts, max_edits)
+        links = new if links is None else links.union(new)
+        held = saved(members.select("key", "y.line", "y.probe", "y.entry"), "line-members")  # the leader has met all others
+    return links, *_labelled(held, links)
 
 
-def _pairs(keys: DataFrame) -> DataFrame:
-    x, y = keys.where("not probe").select("key", F.col("line").alias("x")), keys.where("probe").select("key", F.col("line").alias("y"))
-    return x.join(y, "key").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _across(lab: DataFrame, per: DataFrame) -> DataFrame:
+    """Pairs of different components that meet under an open key."""
+    rows = lab.join(per.select("key"), "key")
+    x, y = rows.alias("x"), rows.alias("y")
+    met = x.join(y, F.expr(f"x.key = y.key and x.line < y.line and x.comp <> y.comp and {MEET}"))
+    return met.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
 
 
 def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links between different lines within ``max_edits`` that have all their components."""
-    long_lines = _lines(docs).where(F.length("line") >= min_chars).select(F.xxhash64("line").alias("id"), "line")
-    schema = pa.schema([("key", pa.int64()), ("probe", pa.bool_()), ("line", pa.int64())])
+    long_lines = _lines(docs).where(F.length("line") >= min_chars).select(line_id().alias("id"), "line")
+    schema = pa.schema([("key", pa.int64()), ("tag", pa.int64())])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # lines of this task; forgotten when large, which only repeats rows
         for batch in batches:
             for lo in range(0, batch.num_rows, 2048):
-                key, probe, owner = [], [], []
+                fresh = {}
                 for i, line in zip(batch.column(0).slice(lo, 2048).to_pylist(), batch.column(1).slice(lo, 2048).to_pylist()):
-                    if i in seen:
-                        continue
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(i)
-                    for which, found in zip((False, True), line_keys(line, max_edits)):
-                        key += found
-                        probe += [which] * len(found)
-                        owner += [i] * len(found)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(probe, pa.bool_()), pa.array(owner, pa.int64())], schema=schema)
-
-    rows = long_lines.mapInArrow(keys, KEYS)
+                    if i not in seen:
+                        fresh[i] = line
+                if len(seen) > 500_000:
+                    seen.clear()
+                seen.update(fresh)
+                if fresh:
+                    key, probe, owner = keys_of(list(fresh.values()), max_edits)
+                    ids = np.fromiter(fresh, np.int64, len(fresh))
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[owner] | probe)], schema=schema)
+
+    rows = long_lines.mapInArrow(keys, "key long, tag long")
     w = Window.partitionBy("key")
-    shared = rows.withColumn("lo", F.min("line").over(w)).withColumn("hi", F.max("line").over(w)).where("lo <> hi").drop("lo", "hi")
-    shared = saved(_sized(saved(shared.distinct(), "line-keys")), "line-keys")
+    shared = rows.withColumn("lo", F.min("tag").over(w)).withColumn("hi", F.max("tag").over(w)).where("shiftright(lo, 1) <> shiftright(hi, 1)")
+    held = saved(_members(shared.select("key", "tag")), "line-members")
+    texts = maybe_in(long_lines, "id", id_filter(held.select("line").distinct(), "line")).groupBy("id").agg(F.first("line").alias("line"))
+    texts = saved(texts, "line-texts")
+    links, lab, per = _contracted(held, None, texts, max_edits, ROUNDS)
 
-    # Long buckets: one key a class of characters instead.
-    long_keys = shared.where(F.col("n") > bucket)
-    cand = maybe_in(long_lines, "id", id_filter(long_keys.select("line").distinct(), "line"))
+    # Long keys that are still open: one key for each three classes of characters instead.
     cls = pa.schema([("id", pa.int64()), ("classes", pa.list_(pa.int64()))])
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,29 +301,22 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
                 part = batch.slice(lo, 2048)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([character_classes(t, max_edits) for t in part.column(1).to_pylist()], pa.list_(pa.int64()))], schema=cls)
 
-    by_line = cand.mapInArrow(classes, "id long, classes array<long>").groupBy("id").agg(F.first("classes").alias("classes"))
-    finer = (long_keys.select("key", "probe", "line").join(by_line, F.col("line") == F.col("id"))
-             .select("key", "probe", "line", F.posexplode("classes").alias("c", "h")).select(F.xxhash64("key", "c", "h").alias("key"), "probe", "line"))
-    finer = saved(_sized(finer.distinct()), "line-finer")
-    pairs = _pairs(shared.where(F.col("n") <= bucket)).union(_pairs(finer.where(F.col("n") <= bucket)))
-    links = saved(_linked(saved(pairs.distinct(), "line-pairs"), long_lines, max_edits), "line-links")
-
-    # What is still long: through the first line, then across components.
-    rest = finer.where(F.col("n") > bucket)
-    if rest.isEmpty():
-        return links
-    stars = rest.where("line <> lo").select(F.col("lo").alias("a"), F.col("line").alias("b")).distinct()
-    links = links.union(saved(_linked(saved(stars, "line-stars"), long_lines, max_edits), "line-links"))
-    found = components(links)
-    lab = saved(rest.join(found, rest["line"] == found["id"], "left").select("key", "probe", "line", F.coalesce("component", "line").alias("comp")), "line-rest")
-    x, y = lab.where("not probe").select("key", F.col("line").alias("x"), F.col("comp").alias("cx")), lab.where("probe").select("key", F.col("line").alias("y"), F.col("comp").alias("cy"))
-    across = x.join(y, "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return links.union(_linked(saved(across, "line-pairs"), long_lines, max_edits))
+    short, long_ = per.where(F.col("n") <= bucket), per.where(F.col("n") > bucket)
+    pairs = _across(lab, short)
+    if not long_.isEmpty():
+        open_ = lab.join(long_.select("key"), "key")
+        by_line = texts.join(open_.select(F.col("line").alias("id")).distinct(), "id", "left_semi").mapInArrow(classes, "id long, classes array<long>")
+        finer = (open_.join(by_line, F.col("line") == F.col("id")).select("key", "line", "probe", "entry", F.posexplode("classes").alias("c", "h"))
+                 .select(F.xxhash64("key", "c", "h").alias("key"), "line", "probe", "entry").distinct())
+        links, lab2, per2 = _contracted(saved(finer, "line-finer"), links, texts, max_edits, ROUNDS)
+        pairs = pairs.union(_across(lab2, per2)).distinct()
+    last = _linked(saved(pairs, "line-pairs"), texts, max_edits)
+    return last if links is None else links.union(last)
 
 
 def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: doc_id, n_lines (not blank), n_dropped, n_near (dropped for an unequal line), dropped (positions), text_id."""
-    lines = saved(_lines(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text_id", "pos", F.xxhash64("line").alias("id")), "lines")
+    lines = saved(_lines(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "text_id", "pos", line_id().alias("id")), "lines")
     found = components(saved(near_lines(docs, max_edits, min_chars), "line-links"))
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_id", "pos")
     firsts = lines.groupBy("id").agg(F.min(place).alias("own")).join(found, "id", "left").select("id", "own", F.coalesce("component", "id").alias("cls"))

@@ -1,4 +1,4 @@
-"""Filter predicates as Column builders."""
+"""Filter predicates as Column builders."""
 from __future__ import annotations
 
 from functools import reduce
@@ -46,10 +46,3 @@ def payload_match(**equals) -> Column:
     conds = [F.col(k) == F.lit(v) for k, v in equals.items()]
     return reduce(lambda a, b: a & b, conds, F.lit(True))
 
-
-def score_passes(score, threshold, metric: str = "cosine") -> Column:
-    """Score threshold (F9): similarity >= t, or distance <= t for euclid."""
-    if threshold is None:
-        return F.lit(True)
-    s = _col(score)
-    return s <= F.lit(float(threshold)) if metric == "euclid" else s >= F.lit(float(threshold))

@@ -187,11 +187,3 @@ def mean_pool(df: DataFrame, keys, vec_col: str = "vector", mask_col: str | None
     """:func:`mean_vectors` as rows (keys..., pos, value)."""
     pooled = mean_vectors(df, keys, vec_col, mask_col)
     return pooled.select(*list(keys), F.posexplode("vector").alias("pos", "value"))
-
-
-def assemble(sparse: DataFrame, keys, pos_col: str = "pos", val_col: str = "value", dim: int | None = None) -> DataFrame:
-    """(keys..., pos, value) rows back to one ordered vector per key."""
-    keys = list(keys)
-    g = sparse.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("p"),
-                                                                       F.col(val_col).alias("v")))).alias("_e"))
-    return g.select(*keys, F.transform("_e", lambda e: e["v"]).alias("vector"))

@@ -61,11 +61,11 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | N
     'upserted' (new key), 'modified' (some provided value changed), 'same'
     (matched, nothing changed) or 'kept' (target row not in the batch).
 
-    Plan: the de-duplicated batch is checkpointed once and its keys counted.
-    A batch of at most ``max_broadcast_keys`` keys (the usual incremental
-    case) is broadcast: untouched target rows stream through a broadcast anti
-    join without any shuffle, and only the touched rows (broadcast semi join)
-    meet the batch. A larger batch uses one full outer join.
+    Plan: the de-duplicated batch is written once and its rows counted. A batch
+    of at most ``max_broadcast_keys`` keys (the usual incremental case) is
+    broadcast: the target streams through one left join without a shuffle, and
+    a scan of its key columns alone finds the keys it already has, so that the
+    rest of the batch is inserted. A larger batch is one full outer join.
     """
     keys = list(keys)
     upd = updates.where(_keys_not_null(keys))
@@ -73,29 +73,26 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys, order_col: str | N
         upd = dedup_latest(upd, keys, order_col).drop(order_col)
     else:
         upd = dedup_any(upd, keys)
-    spark = target.sparkSession
     from ..session import checkpoint_dir
-    checkpoint_dir(spark)
+    checkpoint_dir(target.sparkSession)
     upd = upd.checkpoint(eager=True)
-    if upd.count() <= max_broadcast_keys:
-        bkeys = F.broadcast(upd.select(*keys))
-        untouched = target.join(bkeys, keys, "left_anti").withColumn("_action", F.lit("kept"))
-        touched = _merge_join(target.join(bkeys, keys, "left_semi"), upd, keys)
-        cols = touched.columns
-        for c in cols:
-            if c not in untouched.columns:
-                untouched = untouched.withColumn(c, F.lit(None).cast(touched.schema[c].dataType))
-        return untouched.select(*cols).unionByName(touched)
-    return _merge_join(target, upd, keys)
-
-
-def _merge_join(target: DataFrame, upd: DataFrame, keys) -> DataFrame:
+    if upd.count() > max_broadcast_keys:
+        return _merge_join(target, upd, keys, "full_outer")
+    merged = _merge_join(target, upd, keys, "left")
+    there = target.select(*keys).join(F.broadcast(upd.select(*keys)), keys, "left_semi").distinct()
+    new = upd.join(there, keys, "left_anti").withColumn("_action", F.lit("upserted"))
+    return merged.unionByName(new, allowMissingColumns=True)
+
+
+def _merge_join(target: DataFrame, upd: DataFrame, keys, how: str) -> DataFrame:
     upd_cols = [c for c in upd.columns if c not in keys]
     tgt_only = [c for c in target.columns if c not in keys and c not in upd_cols]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys],
                       F.lit(True).alias("_in_t"))
     u = upd.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in upd_cols], F.lit(True).alias("_in_u"))
-    j = t.join(u, keys, "full_outer")
+    if how == "left":
+        u = F.broadcast(u)
+    j = t.join(u, keys, how)
     in_t = F.coalesce(F.col("_in_t"), F.lit(False))
     in_u = F.coalesce(F.col("_in_u"), F.lit(False))
     out = [F.col(k) for k in keys]

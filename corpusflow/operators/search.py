@@ -1,4 +1,4 @@
-"""Exact and list-pruned top-k similarity search (V2, J5, F9, L2) and hit resolution (V8).
+"""Exact and list-pruned top-k similarity search.
 
 Plan: points and queries meet on a grid. A point lies in one of the point
 tiles and is sent to every query tile, a query lies in one query tile and is
@@ -179,13 +179,6 @@ def search(points: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cos
     return _ranked(cand, k, offset, metric, id_col)
 
 
-def search_hits_to_chunks(hits: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Search hits -> (chunk, score) (V8): hits without a payload are dropped."""
-    from ..functions.payload import resolve_chunk
-    return hits.where(F.col(payload_col).isNotNull()) \
-        .withColumn("chunk", resolve_chunk(F.col(payload_col)))
-
-
 def build_ivf(points: DataFrame, nlist: int | None = None, vec_col: str = "vector", seed: int = 7, max_iter: int = 20):
     """Inverted-file index: MLlib k-means over the L2-normalized vectors
     (spherical k-means for cosine); returns (points with a ``cluster`` column,

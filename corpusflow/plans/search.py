@@ -21,13 +21,10 @@ MAX_BROADCAST_HITS = 2_000_000
 def chunk_points(chunks: DataFrame, embedder=None) -> DataFrame:
     """Points for chunks (ST1's batch twin): point id = chunk_id, payload = chunk JSON."""
     embedder = embedder or HashingEmbedder()
-    # One shuffle by chunk id up front: the embedder's per-chunk aggregations
-    # and the payload join then all reuse that partitioning.
-    # A repeated id is one point: one row per id before embedding.
-    chunks = one_per_chunk(chunks.repartition("chunk_id"))
-    vec = embedder.embed(chunks, ["chunk_id"], "contents", role="passage")
-    pay = chunks.select("chunk_id", chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta").alias("payload"))
-    return vec.join(pay, "chunk_id").select(F.col("chunk_id").alias("point_id"), "vector", "payload")
+    # A repeated id is one point: one row per id, whose vector is made in the row that holds its payload.
+    pay = chunk_payload("chunk_id", "item_sequence", "name", "contents", "meta")
+    rows = one_per_chunk(chunks).select(F.col("chunk_id").alias("point_id"), "contents", pay.alias("payload"))
+    return embedder.embed(rows, ["point_id", "payload"], "contents", role="passage").select("point_id", "vector", "payload")
 
 
 def search_chunks(points: DataFrame, queries: DataFrame, *, embedder=None, k: int = 5, where=None,

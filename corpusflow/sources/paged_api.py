@@ -3,7 +3,8 @@
 ``spark.read.format("paged_api")`` yields raw_pages rows
 (api_name, run_date, page_no, format, body); one input partition per batch
 of pages, so executors fetch in parallel and a lost task re-fetches only its
-batch. The transport is pluggable: "http" (urllib, retries with backoff) or
+batch. The transport is pluggable: "http" (urllib; a busy or failing server is asked
+again, an answer that repeats would not change is raised at once) or
 "file" (pages read from ``{path}/{page_no}.{format}`` or Spark-written
 ``{path}/page_no=N/`` folders on any pyarrow filesystem; no HTTP request).
 
@@ -15,6 +16,10 @@ extra (JSON object of extra query parameters).
 from __future__ import annotations
 
 import json
+import time
+import urllib.error
+import urllib.parse
+import urllib.request
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +70,33 @@ def _parse_pages(spec: str) -> list[int]:
     return out
 
 
+# Answers after which a request is sent again (fixed values).
+RETRY_STATUS = (429, 500, 502, 503, 504)
+
+
+def get_page(url: str, shown: str, open_url=None, timeout: float = 20, retries: int = 3, backoff: float = 0.5, sleep=time.sleep) -> str:
+    """Body of ``url``, asked again up to ``retries`` times after a ``RETRY_STATUS``
+    or a broken connection, with doubling pauses or as long as the server's
+    Retry-After says. Any other status is raised at once. ``shown`` is the
+    request as errors may show it, without its key."""
+    open_url = open_url or urllib.request.urlopen
+    for attempt in range(retries + 1):
+        pause = backoff * 2 ** attempt
+        try:
+            with open_url(url, timeout=timeout) as r:
+                return r.read().decode("utf-8")
+        except urllib.error.HTTPError as e:
+            if e.code not in RETRY_STATUS or attempt == retries:
+                raise RuntimeError(f"status {e.code} of {shown}") from None
+            after = (e.headers or {}).get("Retry-After", "")
+            pause = float(after) if after.isdigit() else pause
+        except OSError as e:  # no connection, or it broke
+            if attempt == retries:
+                raise RuntimeError(f"{type(e).__name__} of {shown}") from None
+        sleep(pause)
+    raise AssertionError("unreachable")
+
+
 try:
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -82,9 +114,6 @@ try:
             return [_Batch(pages[i:i + bs]) for i in range(0, len(pages), bs)]
 
         def _fetch_http(self, page_no: int) -> str:
-            import time
-            import urllib.parse
-            import urllib.request
             o = self.o
             fmt = o.get("format", "json")
             params = {SERVICE_KEY_PARAM: o.get("service_key", "")}
@@ -92,16 +121,9 @@ try:
                 params["type"] = "json"
             params.update({"pageNo": page_no, "numOfRows": int(o.get("num_of_rows", 100))})
             params.update(json.loads(o.get("extra", "{}")))
-            url = f"{o['base_url'].rstrip('/')}/{o.get('endpoint', '').lstrip('/')}?" + urllib.parse.urlencode(params)
-            retries, backoff = int(o.get("max_retries", 3)), float(o.get("backoff", 0.5))
-            for attempt in range(retries + 1):
-                try:
-                    with urllib.request.urlopen(url, timeout=float(o.get("timeout", 20))) as r:
-                        return r.read().decode("utf-8")
-                except Exception:
-                    if attempt == retries:
-                        raise
-                    time.sleep(backoff * (2 ** attempt))
+            at = f"{o['base_url'].rstrip('/')}/{o.get('endpoint', '').lstrip('/')}"
+            return get_page(f"{at}?{urllib.parse.urlencode(params)}", f"{at} page {page_no}", timeout=float(o.get("timeout", 20)),
+                            retries=int(o.get("max_retries", 3)), backoff=float(o.get("backoff", 0.5)))
 
         def _fetch_file(self, page_no: int) -> str | None:
             """``{path}/{page_no}.{format}``, or a Spark-written page folder

@@ -69,3 +69,14 @@ def test_empty_first_page_keeps_its_total(spark):
             ("x", "d", 1, "xml", "<response><body><items></items><totalCount>7</totalCount></body></response>")]
     got = page_totals(spark.createDataFrame(rows, "api_name string, run_date string, page_no int, format string, body string")).collect()
     assert {r["api_name"]: r["total_count"] for r in got} == {"j": "250", "x": "7"}
+
+
+def test_small_batch_scans_the_target_once_and_its_keys(spark, tmp_path):
+    spark.createDataFrame([(str(i), f"n{i}", i) for i in range(50)], "id string, name string, x int").write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    batch = spark.createDataFrame([("3", "new"), ("99", "more")], "id string, name string")
+    m = merge_upsert(target, batch, ["id"])
+    scans = [line.split("ReadSchema: ")[1] for line in m._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert sorted(scans) == ["struct<id:string,name:string,x:int>", "struct<id:string>"]
+    got = {r.id: (r.name, r.x, r._action) for r in m.collect()}
+    assert len(got) == 51 and got["3"] == ("new", 3, "modified") and got["99"] == ("more", None, "upserted") and got["4"] == ("n4", 4, "kept")

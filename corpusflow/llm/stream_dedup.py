@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.llm.common import id_filter, maybe_in, saved, work_path
 
+TRIGGER_BYTES = 2 << 30  # of input files in a micro-batch; the next ones meet its state
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
          # Many small stores: no megabytes of disk set aside for each one's logs.
@@ -40,7 +41,7 @@ def _first() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file", "row")
 
 
-def stream_state(spark: SparkSession, path: str, checkpoint: str, out: str, digest_chars: int = 64, max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
+def stream_state(spark: SparkSession, path: str, checkpoint: str, out: str, digest_chars: int = 64, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Run the stream over the files at ``path`` that ``checkpoint`` has not seen; (digest, first, n) of all so far.
 
     The checkpoint holds the state: a later call with the same folders takes
@@ -49,7 +50,7 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str, out: str, dige
     schema = spark.read.parquet(path).select("doc_id", "text").schema
     # As a pattern that matches the path alone, it may be a folder or a single file.
     pattern = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
-    src = spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes_per_trigger).parquet(pattern)
+    src = spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes_per_trigger or TRIGGER_BYTES).parquet(pattern)
     state = _rows(src, digest_chars).groupBy("digest").agg(F.min(_first()).alias("first"), F.count("*").alias("n"))
 
     def keep(batch: DataFrame, epoch: int) -> None:
@@ -74,7 +75,7 @@ def stream_state(spark: SparkSession, path: str, checkpoint: str, out: str, dige
     return seen.groupBy("digest").agg(F.max(F.struct("epoch", "first", "n")).alias("s")).select("digest", "s.first", "s.n")
 
 
-def stateful_dedup(spark: SparkSession, path: str, digest_chars: int = 64, max_bytes_per_trigger: int = 64 << 30) -> DataFrame:
+def stateful_dedup(spark: SparkSession, path: str, digest_chars: int = 64, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """One row per row at ``path``: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``digest_chars``: hex digits of SHA-256 in the state's key (fewer only to

@@ -126,3 +126,21 @@ def test_pipeline_stages_of_an_empty_table(spark, tmp_path):
         out = stage(spark, empty, str(tmp_path))
         assert out.columns == empty.columns and out.collect() == [], name
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_later_micro_batches_meet_earlier_state_through_the_query(spark, tmp_path, monkeypatch):
+    from corpusflow.llm import queries, stream_dedup
+    rows = [(i, f"text {i % 7}" + " " * (i % 3)) for i in range(60)] + [(100, None), (3, "text 3")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    epochs = []
+    state = stream_dedup.stream_state
+
+    def watched(spark_, path, check, out, *a):
+        got = state(spark_, path, check, out, *a)
+        epochs.append(spark_.read.parquet(out).select("epoch").distinct().count())
+        return got
+    monkeypatch.setattr(stream_dedup, "stream_state", watched)
+    whole = sorted(map(tuple, queries.op2_stream_dedup(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(stream_dedup, "TRIGGER_BYTES", 1)
+    assert sorted(map(tuple, queries.op2_stream_dedup(spark, str(tmp_path)).collect())) == whole
+    assert epochs == [1, 8] and len(whole) == 62

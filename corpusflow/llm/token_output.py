@@ -2,10 +2,9 @@
 
 Record: ``u64 length | u32 masked CRC-32C of the length | payload | u32 masked
 CRC-32C of the payload``, all little-endian; payload: ``i64 doc_id`` followed by
-the ids as u16 (vocabularies up to 65,536 ids) or u32; a null doc_id is the
-smallest i64, and one byte more after the ids tells it from a real one. Each shard ``NAME.rec``
+the ids as u16 (vocabularies up to 65,536 ids) or u32. Each shard ``NAME.rec``
 has an index ``NAME.idx`` with one u64 offset per record, so a reader can visit
-records in any order. Shards hold ascending ranges of doc_id.
+records in any order; its highest bit is set where the doc_id is null (stored as the smallest i64). Shards hold ascending ranges of doc_id.
 
 Defined cases: a null text is an empty sequence (the end id alone); a null
 doc_id sorts first; repeated doc_ids and
@@ -16,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import unicodedata
 import zlib
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from corpusflow.llm.common import saved, work_path
 
 CHUNK_CACHE = 600_000  # pieces that a worker remembers, in two generations
-NULL_HEAD = struct.pack("<q", -(1 << 63))
+NULL_ID, NULL_BIT = -(1 << 63), 1 << 63
 MANIFEST = "shard int, path string, n_records long, n_tokens long"
 RECORDS = "shard int, rec long, doc_id long, in_shard long, n_tokens long, ids_crc32 long, byte_offset long, n_bytes long"
 
@@ -114,7 +114,8 @@ class Encoder:
     The text is cut at blanks and line feeds; each distinct piece goes through
     the tokenizer once and is remembered (bounded). New words of letters only are
     encoded side by side in one text and told apart by the mark that the
-    vocabulary puts at a word's end. This holds for tokenizers whose
+    vocabulary puts at a word's end; of ASCII letters, by the model alone, where
+    all that comes before it does is lower-case them. This holds for tokenizers whose
     pre-tokenizer drops white space; others get each text in one piece.
     """
 
@@ -129,10 +130,16 @@ class Encoder:
         size = self.tok.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tok.id_to_token(i) or "").endswith(suffix) for i in range(size)])
         self.marks = bool(suffix) and self.split and self._ids("a,.") == self._ids("a") + self._ids(",.")
+        letters = string.ascii_letters
+        probes = [*letters, letters, "theThEtHe", *(a + b for a in letters for b in letters)]
+        self.direct = self.split and all(self._ids(w) == self._model_ids(w) for w in probes)
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _model_ids(self, word: str) -> list[int]:
+        return [t.id for t in self.tok.model.tokenize(word.lower())]
+
     def _bytes(self, text: str) -> bytes:
         return np.array(self._ids(text), self.dtype).tobytes()
 
@@ -149,6 +156,17 @@ class Encoder:
                         words[core] = None
                 else:
                     rest.append(p)
+        if self.direct:
+            plain = [w for w in words if w.isascii()]
+            words = [w for w in words if not w.isascii()]
+            tokenize, flat, ends = self.tok.model.tokenize, [], []
+            for w in plain:
+                flat += [t.id for t in tokenize(w.lower())]
+                ends.append(len(flat))
+            raw, at, step = np.array(flat, self.dtype).tobytes(), 0, np.dtype(self.dtype).itemsize
+            for w, end in zip(plain, ends):
+                known[w] = raw[at:end * step]
+                at = end * step
         words = list(words)
         if self.marks and words:
             ids = np.array(self._ids(" ".join(words)), self.dtype)
@@ -206,11 +224,9 @@ def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
-def _payload(p: bytes, dtype: str) -> tuple[int | None, np.ndarray]:
+def _payload(p: bytes, dtype: str, null: bool) -> tuple[int | None, np.ndarray]:
     """doc_id and ids of a payload."""
-    step = np.dtype(dtype).itemsize
-    null = (len(p) - 8) % step == 1
-    return None if null else struct.unpack("<q", p[:8])[0], np.frombuffer(p, dtype, (len(p) - 8) // step, 8)
+    return None if null else struct.unpack("<q", p[:8])[0], np.frombuffer(p, dtype, offset=8)
 
 
 def write_records(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,12 +254,12 @@ def write_records(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 1
             ids = batch.column(0).to_pylist()
             for lo in range(0, len(ids), 256):
                 texts = batch.column(1).slice(lo, 256).to_pylist()
-                payloads = [struct.pack("<q", i) + enc(t) + end if i is not None else NULL_HEAD + enc(t) + end + b"\0" for i, t in zip(ids[lo:lo + 256], texts)]
+                payloads = [struct.pack("<q", NULL_ID if i is None else i) + enc(t) + end for i, t in zip(ids[lo:lo + 256], texts)]
                 if rec is None:
                     fs.create_dir(root, recursive=True)
                     rec = fs.open_output_stream(own + ".rec")
-                for p, r in zip(payloads, frame(payloads)):
-                    offsets.append(at)
+                for i, p, r in zip(ids[lo:lo + 256], payloads, frame(payloads)):
+                    offsets.append(at | NULL_BIT if i is None else at)
                     at += len(r)
                     n_tokens += (len(p) - 8) // np.dtype(dtype).itemsize
                     rec.write(r)
@@ -291,9 +307,9 @@ def read_records(manifest: DataFrame) -> DataFrame:
                             raise ValueError(f"{row['path']}.rec: a checksum differs in records {lo} to {lo + len(part)}")
                         out = []
                         for k, (p, o) in enumerate(zip(payloads, part)):
-                            doc, ids = _payload(p, row["dtype"])
+                            doc, ids = _payload(p, row["dtype"], o >= NULL_BIT)
                             out.append({"shard": row["shard"], "rec": lo + k, "doc_id": doc, "in_shard": before, "n_tokens": len(ids),
-                                        "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "byte_offset": o, "n_bytes": len(p) + 16})
+                                        "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "byte_offset": o & ~NULL_BIT, "n_bytes": len(p) + 16})
                             before += len(ids)
                         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
@@ -309,9 +325,9 @@ def read_ids(path: str, dtype: str, order: list[int], out_dir: str = "/") -> lis
     out = []
     with fs.open_input_file(path + ".rec") as f:
         for k in order:
-            f.seek(int(offsets[k]))
+            f.seek(int(offsets[k]) & ~NULL_BIT)
             p = f.read(struct.unpack("<Q", f.read(12)[:8])[0])
-            out.append(_payload(p, dtype))
+            out.append(_payload(p, dtype, int(offsets[k]) >= NULL_BIT))
     return out
 
 

@@ -220,28 +220,29 @@ def _linked(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
     return saved(both.select("a", "b", "la", "lb").mapInArrow(check, "a long, b long"), "line-links")
 
 
+def _line(tag: str):
+    return F.shiftleft(F.shiftright(tag, 1), 1)
+
+
 def _members(tagged: DataFrame) -> DataFrame:
-    """(key, line, probe, entry): one row per key and line, from rows (key, tag)."""
+    """(key, line, lead, probe, entry): one row per key and line, from rows (key, tag, lo)."""
     probe = F.col("tag").bitwiseAND(1)
-    line = F.shiftleft(F.shiftright("tag", 1), 1)
-    return tagged.groupBy("key", line.alias("line")).agg((F.max(probe) == 1).alias("probe"), (F.min(probe) == 0).alias("entry"))
+    return (tagged.groupBy("key", _line("tag").alias("line"), _line("lo").alias("lead"))
+            .agg((F.max(probe) == 1).alias("probe"), (F.min(probe) == 0).alias("entry")))
 
 
 MEET = "((x.entry and y.probe) or (x.probe and y.entry))"
 
 
-def _labelled(held: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _labelled(held: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The members with the component of their line, and the keys whose members are in several: (key, n, lead)."""
-    if links is None:
-        lab = held.withColumn("comp", F.col("line"))
-    else:
-        found = components(links)
-        lab = saved(held.join(found, held["line"] == found["id"], "left").select("key", "line", "probe", "entry", F.coalesce("component", "line").alias("comp")), "line-labels")
+    found = components(links)
+    lab = saved(held.join(found, held["line"] == found["id"], "left").select("key", "line", "probe", "entry", F.coalesce("component", "line").alias("comp")), "line-labels")
     per = lab.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("line", "probe", "entry", "comp")).alias("x"))
     return lab, saved(per.where("lo <> hi").select("key", "n", "x"), "line-open")
 
 
-def _contracted(held: DataFrame, links: DataFrame | None, texts: DataFrame, max_edits: int, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _contracted(held: DataFrame, links: DataFrame, texts: DataFrame, max_edits: int, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rounds of comparing a key's members with one of them. Returns all links, and the labelled members and keys that are still open."""
     for _ in range(rounds):
         lab, per = _labelled(held, links)
@@ -249,8 +250,7 @@ def _contracted(held: DataFrame, links: DataFrame | None, texts: DataFrame, max_
             break
         members = lab.alias("y").join(per, "key").where("y.line <> x.line")
         stars = members.where(f"y.comp <> x.comp and {MEET}").select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
-        new = _linked(saved(stars, "line-stars"), texts, max_edits)
-        links = new if links is None else links.union(new)
+        links = links.union(_linked(saved(stars, "line-stars"), texts, max_edits))
         held = saved(members.select("key", "y.line", "y.probe", "y.entry"), "line-members")  # the leader has met all others
     return links, *_labelled(held, links)
 
@@ -287,10 +287,14 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     rows = long_lines.mapInArrow(keys, "key long, tag long")
     w = Window.partitionBy("key")
     shared = rows.withColumn("lo", F.min("tag").over(w)).withColumn("hi", F.max("tag").over(w)).where("shiftright(lo, 1) <> shiftright(hi, 1)")
-    held = saved(_members(shared.select("key", "tag")), "line-members")
-    texts = maybe_in(long_lines, "id", id_filter(held.select("line").distinct(), "line")).groupBy("id").agg(F.first("line").alias("line"))
+    held = saved(_members(shared.select("key", "tag", "lo")), "line-members")
+    known = held.select("line").distinct()  # leaders among them
+    texts = maybe_in(long_lines, "id", id_filter(known, "line")).groupBy("id").agg(F.first("line").alias("line"))
     texts = saved(texts, "line-texts")
-    links, lab, per = _contracted(held, None, texts, max_edits, ROUNDS)
+    # The first round: a key's least line, which came with its rows, leads.
+    held = held.where("line <> lead")
+    links = _linked(saved(held.select(F.col("lead").alias("a"), F.col("line").alias("b")).distinct(), "line-stars"), texts, max_edits)
+    links, lab, per = _contracted(held.select("key", "line", "probe", "entry"), links, texts, max_edits, ROUNDS - 1)
 
     # Long keys that are still open: one key for each three classes of characters instead.
     cls = pa.schema([("id", pa.int64()), ("classes", pa.list_(pa.int64()))])
@@ -310,8 +314,7 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
                  .select(F.xxhash64("key", "c", "h").alias("key"), "line", "probe", "entry").distinct())
         links, lab2, per2 = _contracted(saved(finer, "line-finer"), links, texts, max_edits, ROUNDS)
         pairs = pairs.union(_across(lab2, per2)).distinct()
-    last = _linked(saved(pairs, "line-pairs"), texts, max_edits)
-    return last if links is None else links.union(last)
+    return links.union(_linked(saved(pairs, "line-pairs"), texts, max_edits))
 
 
 def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:

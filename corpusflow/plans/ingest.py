@@ -51,12 +51,11 @@ def page_totals(raw_pages: DataFrame) -> DataFrame:
 def ingest_pages(raw_pages: DataFrame, ledger: DataFrame, items: DataFrame, now, *,
                  spec: RecordSpec = DEFAULT_SPEC, keys=("id",), page_size: int = 100,
                  batch_size: int = 100) -> IngestResult:
-    recs = page_records(raw_pages)
     plan = plan_pages(page_totals(raw_pages), page_size, batch_size)
     todo = pending_pages(plan, ledger)
-    recs = recs.join(todo.select(*LEDGER_KEYS), LEDGER_KEYS, "left_semi")
-    # The pending records feed the item merge, the page sizes of the ledger and
-    # the quarantine: explode and parse them once.
+    # Only pending pages are read as trees. Their records feed the item merge,
+    # the page sizes of the ledger and the quarantine: exploded once.
+    recs = page_records(raw_pages.join(todo.select(*LEDGER_KEYS), LEDGER_KEYS, "left_semi"))
     checkpoint_dir(raw_pages.sparkSession)
     recs = recs.checkpoint(eager=True)
     good, bad = parse_records(recs, spec, keep=(*LEDGER_KEYS, "record_idx"))

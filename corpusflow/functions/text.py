@@ -158,10 +158,13 @@ def chunk_text(c, max_chars: int = 1000, overlap: int = 100) -> Column:
     n = F.char_length(t)
     k = F.when(n == 0, 0).when(n <= max_chars, 1) \
         .otherwise(1 + F.floor((n - max_chars + step - 1) / step).cast("int"))
-    return F.when(t.isNull(), F.lit(None)).when(
-        k > 0,
-        F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.substring(t, i * step + 1, max_chars)),
-    ).otherwise(F.array().cast("array<string>"))
+    # The text is cut into steps once; a window is the steps it spans (a substring of
+    # the whole text would walk from its start for each window).
+    steps = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    span = -(-max_chars // step)
+    windows = F.transform(F.array(steps), lambda p: F.transform(
+        F.sequence(F.lit(0), k - 1), lambda i: F.substring(F.array_join(F.slice(p, i + 1, span), ""), 1, max_chars)))[0]
+    return F.when(t.isNull(), F.lit(None)).when(k > 0, windows).otherwise(F.array().cast("array<string>"))
 
 
 def chunk_count(n_chars, max_chars: int = 1000, overlap: int = 100) -> Column:

@@ -12,16 +12,18 @@ its own, with the substrings whose place a match could have. Pairs that meet
 are verified by a banded bit-parallel edit distance.
 
 Keys are shuffled as 64-bit hashes; only keys that two different lines share go
-on, so most rows end there. A key's lines are never paired out: in each of
-``ROUNDS`` rounds they are compared with one of them, their leader; what is
-linked is contracted to components, the leader leaves, and a key whose lines are
-in one component is settled. Keys that are still open are refined if more than
-``BUCKET`` lines share them. An edit changes how often at most two characters
-occur, so of 2 * max_edits + 3 classes of characters three at least have the
-same counts in both lines: one key per three classes, with those classes'
-characters of the whole line, takes the key's place, and goes through rounds of
-its own. Only lines of different components that share what is left are paired.
-None of this loses a link between components.
+on, so most rows end there. All lines of a key are first compared with one of
+them, its leader (the line that meets most others under its keys, which stands in
+the middle of its copies); what is linked is contracted to components, the leader
+leaves, and a key whose lines are in one component is settled. Of the others,
+keys that more than ``BUCKET`` lines share go through ``ROUNDS`` further rounds,
+and are then refined: an edit changes how often at most two characters occur, so of
+2 * max_edits + 3 classes of characters three at least have the same counts in
+both lines, and one key per three classes, with those classes' characters of the
+whole line, takes the key's place. Under the short keys that are left, lines of
+different components are paired if their counts of characters in eight classes
+differ by 2 * max_edits at most in all, as those of linked lines do. None of this
+loses a link between components.
 
 Lines are identified by 63-bit hashes. Defined cases: null and empty texts have
 no lines; rows with a null doc_id come first; rows with the same doc_id are told
@@ -31,6 +33,7 @@ ignored; empty tables give no rows; lines of any length are compared whole.
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +44,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusflow.llm.common import id_filter, maybe_in, saved
 from corpusflow.llm.components import components
 
-MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 16
+MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 128
 ROUNDS = 3
 
 
@@ -225,41 +228,54 @@ def _line(tag: str):
 
 
 def _members(tagged: DataFrame) -> DataFrame:
-    """(key, line, lead, probe, entry): one row per key and line, from rows (key, tag, lo)."""
+    """(key, line, probe, entry): one row per key and line, from rows (key, tag)."""
     probe = F.col("tag").bitwiseAND(1)
-    return (tagged.groupBy("key", _line("tag").alias("line"), _line("lo").alias("lead"))
-            .agg((F.max(probe) == 1).alias("probe"), (F.min(probe) == 0).alias("entry")))
+    return tagged.groupBy("key", _line("tag").alias("line")).agg((F.max(probe) == 1).alias("probe"), (F.min(probe) == 0).alias("entry"))
 
 
-MEET = "((x.entry and y.probe) or (x.probe and y.entry))"
+def counts_of(line: str) -> int:
+    """How many characters of each of eight classes a line has, modulo 256, in the bytes of an integer."""
+    n = [0] * 8
+    for c, times in Counter(line).items():
+        n[ord(c) * 11 >> 2 & 7] += times
+    return int.from_bytes(bytes(x & 255 for x in n), "little", signed=True)
+
+
+def _meet(max_edits: int) -> str:
+    """Whether lines x and y can be linked under a key that both have."""
+    byte = lambda side, i: f"(shiftright({side}.counts, {8 * i}) & 255)"
+    apart = " + ".join(f"least(abs({d}), 256 - abs({d}))" for d in (f"{byte('x', i)} - {byte('y', i)}" for i in range(8)))
+    return f"((x.entry and y.probe) or (x.probe and y.entry)) and {apart} <= {2 * max_edits}"
+
+
+HELD = ["key", "line", "probe", "entry", "near", "counts"]
 
 
 def _labelled(held: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members with the component of their line, and the keys whose members are in several: (key, n, lead)."""
+    """The members with the component of their line, and the keys whose members are in several: (key, n, x: the leader)."""
     found = components(links)
-    lab = saved(held.join(found, held["line"] == found["id"], "left").select("key", "line", "probe", "entry", F.coalesce("component", "line").alias("comp")), "line-labels")
-    per = lab.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("line", "probe", "entry", "comp")).alias("x"))
+    lab = saved(held.join(found, held["line"] == found["id"], "left").select(*HELD, F.coalesce("component", "line").alias("comp")), "line-labels")
+    per = lab.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("near", "line", "probe", "entry", "counts", "comp")).alias("x"))
     return lab, saved(per.where("lo <> hi").select("key", "n", "x"), "line-open")
 
 
-def _contracted(held: DataFrame, links: DataFrame, texts: DataFrame, max_edits: int, rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _contracted(lab: DataFrame, per: DataFrame, links: DataFrame, texts: DataFrame, max_edits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rounds of comparing a key's members with one of them. Returns all links, and the labelled members and keys that are still open."""
-    for _ in range(rounds):
-        lab, per = _labelled(held, links)
+    for _ in range(ROUNDS):
         if per.isEmpty():
             break
-        members = lab.alias("y").join(per, "key").where("y.line <> x.line")
-        stars = members.where(f"y.comp <> x.comp and {MEET}").select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
+        members = saved(lab.alias("y").join(per, "key").where("y.line <> x.line").select("key", *[f"y.{c}" for c in HELD[1:]], "y.comp", "x"), "line-members")
+        stars = members.alias("y").where(f"comp <> x.comp and {_meet(max_edits)}").select(F.col("x.line").alias("a"), F.col("line").alias("b")).distinct()
         links = links.union(_linked(saved(stars, "line-stars"), texts, max_edits))
-        held = saved(members.select("key", "y.line", "y.probe", "y.entry"), "line-members")  # the leader has met all others
-    return links, *_labelled(held, links)
+        lab, per = _labelled(members.select(*HELD), links)  # the leader has met all others
+    return links, lab, per
 
 
-def _across(lab: DataFrame, per: DataFrame) -> DataFrame:
+def _across(lab: DataFrame, per: DataFrame, max_edits: int) -> DataFrame:
     """Pairs of different components that meet under an open key."""
-    rows = lab.join(per.select("key"), "key")
+    rows = lab.join(per.select("key"), "key", "left_semi")
     x, y = rows.alias("x"), rows.alias("y")
-    met = x.join(y, F.expr(f"x.key = y.key and x.line < y.line and x.comp <> y.comp and {MEET}"))
+    met = x.join(y, F.expr(f"x.key = y.key and x.line < y.line and x.comp <> y.comp and {_meet(max_edits)}"))
     return met.select(F.col("x.line").alias("a"), F.col("y.line").alias("b")).distinct()
 
 
@@ -287,16 +303,34 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     rows = long_lines.mapInArrow(keys, "key long, tag long")
     w = Window.partitionBy("key")
     shared = rows.withColumn("lo", F.min("tag").over(w)).withColumn("hi", F.max("tag").over(w)).where("shiftright(lo, 1) <> shiftright(hi, 1)")
-    held = saved(_members(shared.select("key", "tag", "lo")), "line-members")
-    known = held.select("line").distinct()  # leaders among them
-    texts = maybe_in(long_lines, "id", id_filter(known, "line")).groupBy("id").agg(F.first("line").alias("line"))
+    held = saved(_members(shared.select("key", "tag")), "line-members")
+    texts = maybe_in(long_lines, "id", id_filter(held.select("line").distinct(), "line")).groupBy("id").agg(F.first("line").alias("line"))
     texts = saved(texts, "line-texts")
-    # The first round: a key's least line, which came with its rows, leads.
-    held = held.where("line <> lead")
-    links = _linked(saved(held.select(F.col("lead").alias("a"), F.col("line").alias("b")).distinct(), "line-stars"), texts, max_edits)
-    links, lab, per = _contracted(held.select("key", "line", "probe", "entry"), links, texts, max_edits, ROUNDS - 1)
 
-    # Long keys that are still open: one key for each three classes of characters instead.
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(counts_of, batch.column(1).to_pylist()), pa.int64())], names=["line", "counts"])
+
+    # The first round, in which each line is a component of its own.
+    near = held.join(held.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("line").agg(F.sum("n").alias("near"))
+    about = near.join(texts.mapInArrow(counted, "line long, counts long"), "line")
+    held = saved(held.join(about, "line"), "line-members")
+    leads = held.groupBy("key").agg(F.max(F.struct("near", "line", "probe", "entry", "counts")).alias("x"))
+    held = saved(held.join(leads, "key").where("line <> x.line"), "line-members")
+    stars = held.alias("y").where(_meet(max_edits)).select(F.col("x.line").alias("a"), F.col("line").alias("b")).distinct()
+    links = _linked(saved(stars, "line-stars"), texts, max_edits)
+    lab, per = _labelled(held.select(*HELD), links)
+    short, long_ = per.where(F.col("n") <= bucket), per.where(F.col("n") > bucket)
+    pairs = _across(lab, short, max_edits)
+    if not long_.isEmpty():
+        links, lab, per = _contracted(lab, long_, links, texts, max_edits)
+        links, more = _refined(lab, per, links, texts, max_edits, bucket)
+        pairs = pairs.union(more).distinct()
+    return links.union(_linked(saved(pairs, "line-pairs"), texts, max_edits))
+
+
+def _refined(lab: DataFrame, per: DataFrame, links: DataFrame, texts: DataFrame, max_edits: int, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """Long keys that are still open: one key for each three classes of characters instead. Returns all links, and the pairs that are left."""
     cls = pa.schema([("id", pa.int64()), ("classes", pa.list_(pa.int64()))])
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,16 +339,16 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
                 part = batch.slice(lo, 2048)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([character_classes(t, max_edits) for t in part.column(1).to_pylist()], pa.list_(pa.int64()))], schema=cls)
 
-    short, long_ = per.where(F.col("n") <= bucket), per.where(F.col("n") > bucket)
-    pairs = _across(lab, short)
+    open_ = lab.join(per.select("key"), "key", "left_semi")
+    by_line = texts.join(open_.select(F.col("line").alias("id")).distinct(), "id", "left_semi").mapInArrow(classes, "id long, classes array<long>")
+    finer = open_.join(by_line, F.col("line") == F.col("id")).select(*HELD, F.posexplode("classes").alias("c", "h")).withColumn("key", F.xxhash64("key", "c", "h")).select(*HELD).distinct()
+    lab, per = _labelled(saved(finer, "line-finer"), links)
+    pairs = _across(lab, per.where(F.col("n") <= bucket), max_edits)
+    long_ = per.where(F.col("n") > bucket)
     if not long_.isEmpty():
-        open_ = lab.join(long_.select("key"), "key")
-        by_line = texts.join(open_.select(F.col("line").alias("id")).distinct(), "id", "left_semi").mapInArrow(classes, "id long, classes array<long>")
-        finer = (open_.join(by_line, F.col("line") == F.col("id")).select("key", "line", "probe", "entry", F.posexplode("classes").alias("c", "h"))
-                 .select(F.xxhash64("key", "c", "h").alias("key"), "line", "probe", "entry").distinct())
-        links, lab2, per2 = _contracted(saved(finer, "line-finer"), links, texts, max_edits, ROUNDS)
-        pairs = pairs.union(_across(lab2, per2)).distinct()
-    return links.union(_linked(saved(pairs, "line-pairs"), texts, max_edits))
+        links, lab, per = _contracted(lab, long_, links, texts, max_edits)
+        pairs = pairs.union(_across(lab, per, max_edits))
+    return links, pairs
 
 
 def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:

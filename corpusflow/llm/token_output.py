@@ -14,7 +14,6 @@ An empty table gives no records. Texts of any length are encoded whole.
 from __future__ import annotations
 
 import os
-import re
 import string
 import struct
 import unicodedata
@@ -100,7 +99,7 @@ def frame(payloads: list[bytes]) -> list[bytes]:
 
 # ---- encoding -------------------------------------------------------------------------------
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 
 
 def _letters(word: str) -> bool:
@@ -191,7 +190,7 @@ class Encoder:
             return self._bytes(text)
         known = self.known
         # Python's white space is the tokenizer's and four control characters.
-        pieces = text.replace("\n", " ").split(" ") if _CONTROL.search(text) else text.split()
+        pieces = text.replace("\n", " ").split(" ") if any(c in text for c in _CONTROL) else text.split()
         found = list(map(known.get, pieces))
         if None in found:
             at, old = [k for k, f in enumerate(found) if f is None], self.old
@@ -305,13 +304,17 @@ def read_records(manifest: DataFrame) -> DataFrame:
                             sums.append(struct.unpack("<I", f.read(4))[0])
                         if masked(crc32c_many([h[:8] for h in heads])).tolist() != [struct.unpack("<I", h[8:])[0] for h in heads] or masked(crc32c_many(payloads)).tolist() != sums:
                             raise ValueError(f"{row['path']}.rec: a checksum differs in records {lo} to {lo + len(part)}")
-                        out = []
-                        for k, (p, o) in enumerate(zip(payloads, part)):
+                        docs, sizes, sums = [], [], []
+                        for p, o in zip(payloads, part):
                             doc, ids = _payload(p, row["dtype"], o >= NULL_BIT)
-                            out.append({"shard": row["shard"], "rec": lo + k, "doc_id": doc, "in_shard": before, "n_tokens": len(ids),
-                                        "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes()), "byte_offset": o & ~NULL_BIT, "n_bytes": len(p) + 16})
-                            before += len(ids)
-                        yield pa.RecordBatch.from_pylist(out, schema=schema)
+                            docs.append(doc)
+                            sizes.append(len(ids))
+                            sums.append(zlib.crc32(ids.astype("<u4")))
+                        ends = before + np.cumsum(sizes)
+                        columns = [np.full(len(part), row["shard"], np.int32), lo + np.arange(len(part)), docs, ends - sizes, sizes, sums,
+                                   [o & ~NULL_BIT for o in part], [len(p) + 16 for p in payloads]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                        before = int(ends[-1])
 
     n = max(1, manifest.count())
     return manifest.repartition(n, "shard").mapInArrow(read, RECORDS)

@@ -144,3 +144,21 @@ def test_later_micro_batches_meet_earlier_state_through_the_query(spark, tmp_pat
     monkeypatch.setattr(stream_dedup, "TRIGGER_BYTES", 1)
     assert sorted(map(tuple, queries.op2_stream_dedup(spark, str(tmp_path)).collect())) == whole
     assert epochs == [1, 8] and len(whole) == 62
+
+
+def test_linked_lines_pass_the_filter_of_counts(spark):
+    from corpusflow.llm import line_dedup
+    rnd = random.Random(9)
+    rows = []
+    for n in (20, 60, 300, 5000):
+        for k in range(60):
+            a = "".join(rnd.choice("abcdefgh xyz\u00e9\u65e5\U0001f600") if k % 3 else "a" for _ in range(n))
+            b = list(a)
+            for _ in range(rnd.randint(0, 2)):
+                at, what = rnd.randrange(len(b)), rnd.randrange(3)
+                b[at:at + (what != 0)] = [rnd.choice("abz\u00e9")] * (what != 1)
+            assert line_dedup.within(a, "".join(b), 2)
+            rows.append((line_dedup.counts_of(a), line_dedup.counts_of("".join(b))))
+    rows = [(i, x, y) for i, (x, y) in enumerate(rows)] + [(-1, line_dedup.counts_of("a" * 30), line_dedup.counts_of("a" * 25))]
+    df = spark.createDataFrame(rows, "i int, a long, b long").selectExpr("i", "struct(a as counts, true as entry, true as probe) as x", "struct(b as counts, true as entry, true as probe) as y")
+    assert [r.i for r in df.where(f"not ({line_dedup._meet(2)})").collect()] == [-1]

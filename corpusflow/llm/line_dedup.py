@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusflow.llm.common import id_filter, maybe_in, saved
 from corpusflow.llm.components import components
 
-MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 128
+MAX_EDITS, MIN_CHARS, BUCKET = 2, 20, 512
 ROUNDS = 3
 
 

@@ -177,8 +177,9 @@ class Encoder:
                     at = end
                 words = []
         rest += words
-        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            known[p] = np.array(e.ids, self.dtype).tobytes()
+        if rest:
+            for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
+                known[p] = np.array(e.ids, self.dtype).tobytes()
         for p, core in marked:
             tail = p[len(core):]
             if tail not in known:
@@ -186,26 +187,36 @@ class Encoder:
             known[p] = known[core] + known[tail]
 
     def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what is new in them is learned together."""
         if not self.split:
-            return self._bytes(text)
-        known = self.known
-        # Python's white space is the tokenizer's and four control characters.
-        pieces = text.replace("\n", " ").split(" ") if any(c in text for c in _CONTROL) else text.split()
-        found = list(map(known.get, pieces))
-        if None in found:
-            at, old = [k for k, f in enumerate(found) if f is None], self.old
-            if old:
-                for k in at:
-                    if (f := old.get(pieces[k])) is not None:
-                        found[k] = known[pieces[k]] = f
-                at = [k for k in at if found[k] is None]
-            if at:
-                self._learn({pieces[k] for k in at})
-                for k in at:
-                    found[k] = known[pieces[k]]
-            if len(known) > CHUNK_CACHE // 2:
-                self.known, self.old = {}, known
-        return b"".join(found)
+            return [self._bytes(t) for t in texts]
+        known, old = self.known, self.old
+        texts_found, waiting, new = [], [], set()
+        for text in texts:
+            # Python's white space is the tokenizer's and four control characters.
+            pieces = text.replace("\n", " ").split(" ") if any(c in text for c in _CONTROL) else text.split()
+            found = list(map(known.get, pieces))
+            texts_found.append(found)
+            if None in found:
+                at = [k for k, f in enumerate(found) if f is None]
+                if old:
+                    for k in at:
+                        if (f := old.get(pieces[k])) is not None:
+                            found[k] = known[pieces[k]] = f
+                    at = [k for k in at if found[k] is None]
+                new.update([pieces[k] for k in at])
+                waiting.append((found, pieces, at))
+        if new:
+            self._learn(new)
+        for found, pieces, at in waiting:
+            for k in at:
+                found[k] = known[pieces[k]]
+        if len(known) > CHUNK_CACHE // 2:
+            self.known, self.old = {}, known
+        return [b"".join(found) for found in texts_found]
 
 
 _ENC: dict[tuple, Encoder] = {}
@@ -253,7 +264,7 @@ def write_records(docs: DataFrame, tokenizer: str, out_dir: str, end_id: int = 1
             ids = batch.column(0).to_pylist()
             for lo in range(0, len(ids), 256):
                 texts = batch.column(1).slice(lo, 256).to_pylist()
-                payloads = [struct.pack("<q", NULL_ID if i is None else i) + enc(t) + end for i, t in zip(ids[lo:lo + 256], texts)]
+                payloads = [struct.pack("<q", NULL_ID if i is None else i) + e + end for i, e in zip(ids[lo:lo + 256], enc.many(texts))]
                 if rec is None:
                     fs.create_dir(root, recursive=True)
                     rec = fs.open_output_stream(own + ".rec")

@@ -13,8 +13,8 @@ An empty table gives no records. Texts of any length are encoded whole.
 """
 from __future__ import annotations
 
+import codecs
 import os
-import string
 import struct
 import unicodedata
 import zlib
@@ -102,6 +102,18 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
 _CONTROL = "\x1c\x1d\x1e\x1f"
 
 
+# Byte-level vocabularies spell a byte that is no printable Latin-1 character by one from U+0100 on.
+_PRINTED = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_BYTES = "".join(chr(b) if b in _PRINTED else chr(256 + _OTHERS.index(b)) for b in range(256))
+
+
+def _spelled(word: str) -> str:
+    """A word of Latin-1 letters as a byte-level model takes it."""
+    word = word.lower()
+    return word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", _BYTES)[0]
+
+
 def _letters(word: str) -> bool:
     """Whether normalising and lower-casing leave nothing but letters."""
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
@@ -113,8 +125,8 @@ class Encoder:
     The text is cut at blanks and line feeds; each distinct piece goes through
     the tokenizer once and is remembered (bounded). New words of letters only are
     encoded side by side in one text and told apart by the mark that the
-    vocabulary puts at a word's end; of ASCII letters, by the model alone, where
-    all that comes before it does is lower-case them. This holds for tokenizers whose
+    vocabulary puts at a word's end; of Latin-1 letters, by the model alone, where
+    all that comes before it does is lower-case them and spell their bytes. This holds for tokenizers whose
     pre-tokenizer drops white space; others get each text in one piece.
     """
 
@@ -129,15 +141,15 @@ class Encoder:
         size = self.tok.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tok.id_to_token(i) or "").endswith(suffix) for i in range(size)])
         self.marks = bool(suffix) and self.split and self._ids("a,.") == self._ids("a") + self._ids(",.")
-        letters = string.ascii_letters
-        probes = [*letters, letters, "theThEtHe", *(a + b for a in letters for b in letters)]
+        letters = [c for c in map(chr, range(256)) if c.isalpha()]
+        probes = [*letters, "".join(letters), "theThEtHe", *(a + b for a in letters for b in letters)]
         self.direct = self.split and all(self._ids(w) == self._model_ids(w) for w in probes)
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _model_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize(word.lower())]
+        return [t.id for t in self.tok.model.tokenize(_spelled(word))]
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self._ids(text), self.dtype).tobytes()
@@ -156,12 +168,18 @@ class Encoder:
                 else:
                     rest.append(p)
         if self.direct:
-            plain = [w for w in words if w.isascii()]
-            words = [w for w in words if not w.isascii()]
-            tokenize, flat, ends = self.tok.model.tokenize, [], []
-            for w in plain:
-                flat += [t.id for t in tokenize(w.lower())]
+            tokenize, plain, others, flat, ends = self.tok.model.tokenize, [], [], [], []
+            for w in words:
+                if not w.isascii():
+                    try:
+                        w.encode("latin-1")
+                    except UnicodeEncodeError:
+                        others.append(w)
+                        continue
+                plain.append(w)
+                flat += [t.id for t in tokenize(_spelled(w))]
                 ends.append(len(flat))
+            words = others
             raw, at, step = np.array(flat, self.dtype).tobytes(), 0, np.dtype(self.dtype).itemsize
             for w, end in zip(plain, ends):
                 known[w] = raw[at:end * step]

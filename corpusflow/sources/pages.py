@@ -55,9 +55,10 @@ def explode_json_pages(pages: DataFrame, records_path=("body", "items"),
 
 
 def _xml_pages(records_path: tuple[str, ...], total_path: tuple[str, ...]):
-    """Column function: an XML page -> (total, records), read as a tree batch by batch."""
-    page = pa.struct([("total", pa.string()), ("records", pa.list_(pa.map_(pa.string(), pa.string())))])
+    """Column function: an XML page -> (total, records), read as a tree.
 
+    A row is a page of many records, so the worker gets the 100 pages of a
+    pickled batch at a time, not the thousands of an Arrow batch."""
     def read(body: str | None) -> dict:
         try:
             root = ElementTree.fromstring(body or "")
@@ -66,12 +67,9 @@ def _xml_pages(records_path: tuple[str, ...], total_path: tuple[str, ...]):
         total, holder = root.find("/".join(total_path)), root.find("/".join(records_path[:-1])) if len(records_path) > 1 else root
         items = [] if holder is None else holder.findall(records_path[-1])
         # The text before an element's first child: null where it holds elements only; of equal tags the last counts.
-        return {"total": None if total is None else total.text, "records": [list({c.tag: c.text for c in item}.items()) for item in items]}
+        return {"total": None if total is None else total.text, "records": [{c.tag: c.text for c in item} for item in items]}
 
-    @F.arrow_udf("struct<total: string, records: array<map<string, string>>>")
-    def parse(bodies: pa.Array) -> pa.Array:
-        return pa.array([read(b) for b in bodies.to_pylist()], page)
-    return parse
+    return F.udf(read, "struct<total: string, records: array<map<string, string>>>", useArrow=False)
 
 
 def explode_xml_pages(pages: DataFrame, records_path=("body", "items", "item"),

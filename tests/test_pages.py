@@ -135,3 +135,12 @@ def test_user_parser_of_columns(spark):
 def test_default_parser_gives_the_example_record(spark):
     good, _ = parse_records(_records(spark, ['{"ITEM_SEQ": "123", "ITEM_NAME": "Foo", "ENTP_NAME": "Bar"}']))
     assert [(r.id, r.name, r.vendor) for r in good.collect()] == [("123", "Foo", "Bar")]
+
+
+def test_xml_pages_reach_python_a_few_at_a_time(spark):
+    """An Arrow batch holds thousands of pages of many records each; pickled batches hold 100 rows."""
+    item = "<item><ITEM_SEQ>1</ITEM_SEQ><ITEM_NAME>a</ITEM_NAME></item>"
+    out = explode_xml_pages(_pages(spark, [f"<response><body><items>{item * 50}</items></body></response>"] * 250, "xml"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" in plan
+    assert out.count() == 12_500 and {tuple(r.record_map.items()) for r in out.collect()} == {(("ITEM_SEQ", "1"), ("ITEM_NAME", "a"))}

@@ -15,6 +15,8 @@ list of any size is cut into as many tiles as it needs.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,8 @@ from ..session import checkpoint_dir
 # Vectors of one side of a tile (bytes of float64), and the scores held at once.
 MAX_BLOCK_BYTES = 4 * 1024 * 1024
 SCORE_BYTES = 32 * 1024 * 1024
+# Scores of all lists, and copies for the probed ones, of the queries that are sent out at once.
+PROBE_BYTES = 8 * 1024 * 1024
 # Lists of an inverted file: their centroids and sizes are small tables.
 MAX_LISTS, SAMPLE_PER_LIST, CALIBRATION_QUERIES = 65_536, 256, 256
 
@@ -201,10 +205,23 @@ def build_ivf(points: DataFrame, nlist: int | None = None, vec_col: str = "vecto
     return model.transform(feats).drop("_f"), centers
 
 
+def _unit(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), NORM_EPS)
+
+
 def list_order(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Lists of each vector, the nearest centroid (by cosine) first."""
-    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), NORM_EPS)
-    return np.argsort(-(unit(vectors) @ unit(centers).T), axis=1, kind="stable")
+    return np.argsort(-(_unit(vectors) @ _unit(centers).T), axis=1, kind="stable")
+
+
+def _sent(queries: pa.Table, centers: np.ndarray, nprobe: int, cell: str) -> Iterator[pa.Table]:
+    """The queries of a batch, each for the lists it probes, in tables of about ``PROBE_BYTES``:
+    a batch has thousands of queries, and each meets all centroids and is sent to many lists."""
+    rows, m = _matrix(queries["vector"])
+    step = max(1, PROBE_BYTES // (8 * (len(centers) + nprobe * centers.shape[1])))
+    for at in range(0, len(rows), step):
+        lists = list_order(m[at:at + step], centers)[:, :nprobe]
+        yield queries.take(pa.array(np.repeat(rows[at:at + step], nprobe))).append_column(cell, pa.array(lists.ravel().astype(np.int32)))
 
 
 def probed(queries: DataFrame, centers: np.ndarray, nprobe: int, query_id: str = "query_id", query_vec: str = "vector",
@@ -216,11 +233,7 @@ def probed(queries: DataFrame, centers: np.ndarray, nprobe: int, query_id: str =
 
     def run(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            rows, m = _matrix(t["vector"])
-            if len(rows):
-                lists = list_order(m, shared.value)[:, :nprobe]
-                out = t.take(pa.array(np.repeat(rows, nprobe))).append_column(cell, pa.array(lists.ravel().astype(np.int32)))
+            for out in _sent(pa.Table.from_batches([b]), shared.value, nprobe, cell):
                 yield from out.to_batches()
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in q.schema) + f", {cell} int"
     return q.mapInArrow(run, ddl)

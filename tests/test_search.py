@@ -123,3 +123,17 @@ def test_a_query_meets_the_points_of_its_lists_only(spark):
     exact = {(h.query_id, h.point_id) for h in search(pts, qs, k=5).collect()}
     found = {(h.query_id, h.point_id) for h in search_ivf(assigned, centers, qs, k=5, nprobe=nprobe).collect()}
     assert len(found & exact) >= 0.9 * len(exact)
+
+
+def test_queries_are_sent_to_their_lists_in_bounded_tables():
+    import pyarrow as pa
+    from corpusflow.operators import search as S
+    rng = np.random.default_rng(3)
+    vectors, centers = rng.normal(size=(3000, 16)).astype(np.float32), rng.normal(size=(400, 16))
+    vectors = [v.tolist() for v in vectors]
+    queries = pa.table({"query_id": list(range(3001)), "vector": pa.array([*vectors, None], pa.list_(pa.float32()))})
+    sent = list(S._sent(queries, centers, 300, "cluster"))
+    assert len(sent) > 1 and max(t.nbytes for t in sent) <= S.PROBE_BYTES
+    rows = pa.concat_tables(sent)
+    assert rows["query_id"].to_pylist() == np.repeat(np.arange(3000), 300).tolist()
+    assert rows["cluster"].to_pylist() == S.list_order(np.array(vectors), centers)[:, :300].ravel().tolist()

@@ -29,7 +29,6 @@ DEFAULT_DIM = 768
 E5_PREFIX = {"passage": "passage: ", "query": "query: "}
 # Token separators of the hashing embedder: ASCII whitespace.
 TOKEN_SPLIT = r"[ \t\n\r\f\x0b]+"
-NOT_SPACE = r"[^ \t\n\r\f\x0b]"
 # Tokens of a text that an embedder reads (fixed value); what follows is cut off.
 MAX_TOKENS = 512
 
@@ -72,13 +71,20 @@ class HashingEmbedder:
 
     def _bucket(self, token):
         """int(first 8 hex digits of md5(token), 16) mod dim. When dim divides
-        256 only the low byte matters, i.e. hex digits 7-8: read them with two
-        instr() lookups instead of a string base conversion."""
-        h = F.md5(token)
-        if 256 % self.dim == 0:
-            digit = lambda i: F.instr(F.lit("0123456789abcdef"), F.substring(h, i, 1)) - 1
-            return ((digit(7) * 16 + digit(8)) % self.dim).cast("int")
-        return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(self.dim)).cast("int")
+        256 only the low byte matters, i.e. hex digits 7-8."""
+        digits = F.substring(F.md5(token), 7, 2) if 256 % self.dim == 0 else F.substring(F.md5(token), 1, 8)
+        return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(self.dim)).cast("int")
+
+    def _counts(self, buckets):
+        """How often each of the ``dim`` buckets is in the array ``buckets``."""
+        every = F.sequence(F.lit(0), F.lit(self.dim - 1))
+        # A one-element array binds what is used for every bucket once.
+        if self.dim > 64:
+            return F.transform(F.array(buckets), lambda b: F.transform(every, lambda k: F.size(b) - F.size(F.array_remove(b, k))))[0]
+        # One ASCII letter a bucket: a letter is counted by the bytes that go with it.
+        letter = lambda k: F.char(k + 48)
+        text = F.array_join(F.transform(buckets, letter), "")
+        return F.transform(F.array(text), lambda s: F.transform(every, lambda k: F.octet_length(s) - F.octet_length(F.replace(s, letter(k), F.lit("")))))[0]
 
     def _counted(self, df: DataFrame, keys, text_col: str, role: str) -> DataFrame:
         """(keys..., _c: count of each bucket, _norm), one row per text with a token, counted in its row."""
@@ -87,12 +93,12 @@ class HashingEmbedder:
         # Lower-case per token, after the split (same tokens: lower-casing never
         # makes or removes ASCII whitespace): ASCII tokens stay on Spark's fast path.
         buckets = F.transform(token_window(text, self.max_tokens), lambda t: self._bucket(F.lower(t)))
-        every = F.sequence(F.lit(0), F.lit(self.dim - 1))
-        # The one-element array binds the buckets once; the test for a token is one of the text, so neither is worked out again.
-        counts = F.transform(F.array(buckets), lambda b: F.transform(every, lambda k: F.size(b) - F.size(F.array_remove(b, k))))[0]
-        rows = df.where(text.rlike(NOT_SPACE)).select(*keys, counts.alias("_c"))
-        norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda a, n: a + n * n))
-        return rows.withColumn("_norm", F.greatest(norm, F.lit(1e-9)))
+        norm = lambda c: F.greatest(F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, n: a + n * n)), F.lit(1e-9))
+        # A generator's rows: neither the text nor its counts are worked out again, for a filter or for each bucket.
+        # Outer: the plain one would have them worked out a second time, to filter empty arrays.
+        some = F.filter(F.array(buckets), lambda b: F.size(b) > 0)
+        found = F.transform(F.transform(some, self._counts), lambda c: F.struct(c.alias("_c"), norm(c).alias("_norm")))
+        return df.select(*keys, F.explode_outer(found).alias("_f")).where("_f is not null").select(*keys, "_f._c", "_f._norm")
 
     def embed_sparse(self, df: DataFrame, keys, text_col: str = "text", role: str = "passage") -> DataFrame:
         """(keys..., bucket, value) for the non-zero buckets, L2-normalized."""

@@ -92,3 +92,20 @@ def test_mean_vectors_moves_one_row_a_task(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert {r.g: r.vector for r in got.collect()} == {"g": [2.0, 1.5], "h": [1.0, 0.0]}
     assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_text_is_worked_out_once(spark):
+    df = spark.range(10).select(F.col("id").alias("k"), F.upper(F.concat(F.lit("a b "), F.col("id").cast("string"))).alias("text"))
+    for out in (HashingEmbedder().embed(df, ["k"], "text"), HashingEmbedder().embed_sparse(df, ["k"], "text")):
+        assert out._jdf.queryExecution().executedPlan().toString().count("upper(") == 1
+
+
+def test_counts_of_any_dimension(spark):
+    import hashlib
+    words = [f"Word{i % 97}" for i in range(400)]
+    df = spark.createDataFrame([(1, " ".join(words))], "k long, text string")
+    for dim in (7, 64, 100, 256):
+        want = np.zeros(dim)
+        for w in words:
+            want[int(hashlib.md5(w.lower().encode()).hexdigest()[:8], 16) % dim] += 1
+        assert np.allclose(HashingEmbedder(dim=dim).embed(df, ["k"], "text").first().vector, want / np.linalg.norm(want), atol=1e-6)

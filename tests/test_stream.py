@@ -101,3 +101,31 @@ def test_failures_are_dead_letters_with_their_error(spark, tmp_path):
     points, dead, _ = _streamed(spark, tmp_path, [("a", i, "boom" if i == 3 else "fine", 5) for i in range(5)], embedder=ArrowEmbedder("m", Model))
     assert points == ["a-0", "a-1", "a-2", "a-4"]
     assert dead == [("a-3", "embed_failed: ValueError: bad " + "text " * 200)]     # the whole error, the one row
+
+
+def test_a_held_chunk_is_written_once(spark, tmp_path):
+    points, dead, held = _streamed(spark, tmp_path, [("a", 0, "x", 4)], [("a", 1, "x", 4)], [("a", 2, "x", 4)], [("b", 0, "x", 2)], [("a", 3, "x", 4)])
+    assert points == ["a-0", "a-1", "a-2", "a-3"] and dead == [] and held == ["b-0"]
+    rows = spark.read.parquet(f"{tmp_path}/ck-held/chunks").groupBy("chunk_id").count().collect()
+    assert {tuple(r) for r in rows} == {("a-0", 1), ("a-1", 1), ("a-2", 1), ("b-0", 1)}
+
+
+def test_a_request_id_used_again_leaves_its_first_chunks_alone(spark, tmp_path):
+    _streamed(spark, tmp_path, [("a", 0, "old", 2), ("b", 0, "x", 2)], [("a", 1, "old", 2)])
+    points, _, held = _streamed(spark, tmp_path, [("a", 0, "new", 2)], [("a", 1, "new", 2), ("b", 1, "x", 2)])
+    assert points == ["a-0", "a-1", "b-0", "b-1"] and held == []
+    last = spark.read.parquet(f"{tmp_path}/p").where("batch = 3").select("point_id", F.get_json_object("payload", "$.contents").alias("c"))
+    assert sorted(map(tuple, last.collect())) == [("a-0", "new"), ("a-1", "new"), ("b-0", "x"), ("b-1", "x")]
+
+
+def test_a_repeated_id_is_one_point_and_the_other_chunks_stay(spark, tmp_path):
+    rows = [(f"r{i}", "same" if i < 3 else f"c{i}", "s", "n", f"text {i}", {}, 1) for i in range(6)]
+    batch = spark.createDataFrame(rows, REQUEST_SCHEMA)
+    process_batch(batch, 0, points_path=f"{tmp_path}/p", dead_path=f"{tmp_path}/d")
+    got = {r.point_id: r.payload for r in read_points(spark, f"{tmp_path}/p").collect()}
+    assert sorted(got) == ["c3", "c4", "c5", "same"] and "text 2" in got["same"]
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 4 and read_dead_letters(spark, f"{tmp_path}/d").count() == 0
+
+
+def test_blocks_are_marked_where_their_chunks_are(spark):
+    assert "hashpartitioning" not in I.block_chunks(spark, SF)._jdf.queryExecution().executedPlan().toString()
